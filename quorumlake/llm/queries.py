@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlake.llm import mixing
+import public_tokenizers
+from quorumlake.llm import bpe, fingerprints, mixing, near_dedup, warc
+from quorumlake.plans.staging import Stage, new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +19,63 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.components(table(spark, sf_dir, "documents"), radius=2, width=3)
+    return found.select("doc_id", near_dedup.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also, for documents whose id is divisible by 100, ``n_near``: how many other documents have a
+    fingerprint within 3 bits, by the permuted block tables over all documents."""
+    prints = Stage(spark, "op4").put(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "prints")
+    asked = prints.where("doc_id % 100 = 0").select("fingerprint").distinct()
+    counts = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    near = fingerprints.within_radius(asked, counts, radius=3)
+    near = near.join(counts, near["found"] == counts["fingerprint"]).groupBy("query").agg((F.sum("n") - 1).alias("n_near"))
+    near = near.select(F.col("query").alias("fingerprint"), "n_near", F.lit(0).alias("_asked"))
+    out = prints.withColumn("_asked", (F.col("doc_id") % 100).cast("int")).join(near, ["fingerprint", "_asked"], "left")
+    hexed = {c: fingerprints.hexadecimal(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return out.withColumns(hexed).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
+
+
+def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are decoded and digested again as read; revisits are read by their headers alone."""
+    path = new_path(spark, "warc")
+    warc.write(warc.deduplicated(table(spark, sf_dir, "pages"), least=100), path)
+    page = lambda c: F.expr(f"try_cast(nullif(substring({c}, 10), '') as bigint)")
+    responses = warc.read(spark, path).where("warc_type = 'response'").select(
+        page("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), F.col("warc_type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"),
+    )
+    revisits = warc.read(spark, path).where("warc_type = 'revisit'").select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), page("refers_to").alias("refers_to")
+    )
+    return responses.unionByName(revisits)
+
+
 QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op6_byte_level_bpe": op6_byte_level_bpe,
+    "op8_warc_archives": op8_warc_archives,
     "op10_source_mix": op10_source_mix,
 }
 
 ORACLES = {
+    "op8_warc_archives": """
+WITH p AS (SELECT page_id, encode(COALESCE(html, '')) AS b FROM pages),
+q AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS f FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f <> page_id THEN f END AS refers_to
+FROM r
+""",
     "op10_source_mix": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
