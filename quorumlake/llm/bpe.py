@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 #: Code points with the White_Space property.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -196,8 +196,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: l
                 cols = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], [*keep, "n_tokens", "ids"])
 
-    kept = docs.select(*keep)
-    schema = kept.schema.add("n_tokens", LongType()).add("ids", BinaryType())
+    schema = StructType([*docs.select(*keep).schema, StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
@@ -211,4 +210,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             text = pa.array([bpe.decode(x.as_py() or b"") for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, text], [*b.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", BinaryType()))
+    return encoded.mapInArrow(run, StructType([*encoded.schema, StructField("decoded", BinaryType())]))
