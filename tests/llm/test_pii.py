@@ -1,0 +1,75 @@
+import re
+
+import pytest
+
+from quorumlake.llm import pii
+
+KEY = b"test"
+
+
+def kinds(text):
+    return [(k, text[a:b]) for a, b, k, _ in pii.detect(text)]
+
+
+def test_detection():
+    assert kinds("mail a.19@mail5.example.com, call +1 (743) 555-3824.") == [("email", "a.19@mail5.example.com"), ("phone", "+1 (743) 555-3824")]
+    assert kinds("from 227.5.221.1 pay 4465758382889437 to") == [("ipv4", "227.5.221.1"), ("card", "4465758382889437")]
+    assert kinds('api token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" x') == [("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962")]
+    assert kinds("ssn 123-45-6789, iban DE89 3704 0044 0532 0130 00") == [("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00")]
+    assert kinds("Frau Anna Weber sah г-н Иванов, then Weber left") == [("person", "Anna"), ("person", "Weber"), ("person", "Иванов"), ("person", "Weber")]
+    assert kinds("nothing here, version 2.0 or 3.14159 in 1999-2004.") == []
+
+
+def luhn(n):
+    return sum(sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(map(int, reversed(n)))) % 10
+
+
+def test_formats_are_kept():
+    text = "A.b9@x-y.example.com +49 30 1234567 4111111111111111 4111111111111112 10.1.2.3 'token=abcDEF123456'"
+    new, spans = pii.replace(text, KEY)
+    shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d+", "9", s)))
+    assert shape(new) == shape(text) and len(spans) == 6
+    cards = re.findall(r"\d{16}", new)
+    assert luhn(cards[0]) == 0 and luhn(cards[1]) != 0 and cards[0][0] == cards[1][0] == "4"
+    for a, b, _ in spans:
+        assert new[a:b] not in text
+    assert pii.replace(text, KEY)[0] == new != pii.replace(text, b"other")[0]
+
+
+def test_permutations_are_one_to_one():
+    for size in (1, 2, 7, 10, 257, 1000):
+        assert sorted(pii.permute(KEY, "t", x, size) for x in range(size)) == list(range(size))
+    ips = {pii.surrogate(KEY, "ipv4", f"1.2.{i}.{j}") for i in range(8) for j in range(50)}
+    assert len(ips) == 400
+    assert len({pii.surrogate(KEY, "phone", f"1743555{i:04}") for i in range(1000)}) == 1000
+
+
+def test_names_keep_gender_script_and_coreference():
+    new, _ = pii.replace("Mrs Jane Doe met Herr Klaus Doe. Doe and Jane spoke to г-жа Анна Петрова and 王芳女士.", KEY)
+    m = re.match(r"Mrs (\S+) (\S+) met Herr (\S+) (\S+)\. (\S+) and (\S+) spoke to г-жа (\S+) (\S+) and (.)(.+)女士\.", new)
+    assert m[1] in pii.GIVEN["latin", "f"] and m[3] in pii.GIVEN["latin", "m"] and m[7] in pii.GIVEN["cyrillic", "f"]
+    assert m[2] == m[4] == m[5] and m[2] in pii.FAMILY["latin"] and m[6] == m[1] and m[8] in pii.FAMILY["cyrillic"] and m[9] in pii.FAMILY["han"]
+
+
+@pytest.fixture(scope="module")
+def crowded():
+    """More family names than the list has."""
+    return [(i, f"Mr Aa{chr(97 + i // 26)}{chr(97 + i % 26)}x wrote to u{i % 40}@example.com", "x") for i in range(150)]
+
+
+def test_collisions_are_resolved(spark, crowded):
+    df = spark.createDataFrame([*crowded, (999, crowded[0][1], "x")], "doc_id long, text string, value string")
+    got = {r.doc_id: r for r in pii.anonymise(df, KEY).collect()}
+    names = {i: re.match(r"Mr (\S+) wrote to (\S+)", r.text) for i, r in got.items()}
+    assert len({m[1] for i, m in names.items() if i < 150}) == 150
+    assert len({m[2] for i, m in names.items() if i < 150}) == 40
+    assert names[999][0] == names[0][0] and all(got[i].text != t for i, t, _ in crowded)
+
+
+def test_table_edges(spark):
+    df = spark.createDataFrame([(1, None, 3), (2, "", 0), (None, "a@b.example.com", 15), (3, "clean text", 10)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in pii.anonymise(df, KEY).collect()}
+    assert got[1].text is None and got[1].pii_spans == [] and got[1].n_chars is None
+    assert got[2].text == "" and got[3].text == "clean text" and got[3].pii_spans == []
+    assert got[None].text != "a@b.example.com" and got[None].n_chars == len(got[None].text)
+    assert pii.anonymise(df.limit(0), KEY).count() == 0
