@@ -1,3 +1,6 @@
-"""All queries of the contest, linkage, career and spatial families."""
-QUERIES = {}
-ORACLES = {}
+"""All queries of the contest, career, linkage, text and spatial families."""
+
+from quorumlake.plans import career_queries, contest_queries, spatial_queries, text_queries  # noqa: F401  they register themselves
+from quorumlake.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
