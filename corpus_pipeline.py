@@ -1,5 +1,65 @@
-"""Corpus pipeline: language ID, near-dedup, PII surrogates, source mixing, byte-level BPE."""
-STAGES = []
+"""The corpus pipeline: five stages, each an operator of the training-data subpackage over all its
+predecessor kept. ``run`` applies them to ``documents``; each stage's rows are written as Parquet to the
+shared folder and read again, so a lost executor costs a stage at most.
+
+No SQL oracle: language scores, surrogates and tokens are not expressible in SQL; the tests hold
+the stages against brute-force versions instead.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quorumlake.llm import bpe, language_id, mixing, near_dedup, pii
+from quorumlake.llm.queries import TOKENS, pii_key
+from quorumlake.plans.staging import Stage
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in an accepted language; those without letters, in none or in doubt go."""
+    return language_id.accepted(docs, language_id.documents(docs))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their personal data and secrets replaced by surrogates."""
+    return pii.anonymise(docs, pii_key(spark)).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, the one at its source's cut in part."""
+    return mixing.apply_mix(docs, mixing.mix(docs))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and digests of them and of the bytes they decode to."""
+    path, pattern = public_tokenizers.path(TOKENS), public_tokenizers.PATTERN
+    both = bpe.decode(bpe.encode(docs, path, pattern, keep=["doc_id", "source", "lang"]), path, pattern)
+    return both.select("doc_id", "source", "lang", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", language),
+    ("SimHash near-dedup", dedup),
+    ("PII surrogates", surrogates),
+    ("source mix", mix),
+    ("byte-level BPE", tokens),
+]
+
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stage = Stage(spark, "pipeline")
+    for i, (_, step) in enumerate(STAGES):
+        docs = stage.put(step(spark, docs, sf_dir), str(i))
+        if i:
+            stage.drop(str(i - 1))
+    return docs

@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from quorumlake.llm import bpe, fingerprints, mixing, near_dedup, warc
+from quorumlake.llm import bpe, fingerprints, importance, language_id, licenses, media, mixing, near_dedup, pii, warc
 from quorumlake.plans.staging import Stage, new_path
 
+#: Demonstration key of the surrogates; a real run passes its own secret in this setting.
+KEY_SETTING, DEMO_KEY = "spark.quorumlake.pii.key", "surrogates-1"
+TOKENS = "byte_bpe_multi_50k.tiktoken"
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    return spark.conf.get(KEY_SETTING, DEMO_KEY).encode()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"), weights=[5, 2, 1], share=1.5, cap=2.0)
     return m.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with surrogates, and where those are; what was replaced is not returned."""
+    out = pii.anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii_key(spark))
+    return out.select("doc_id", "text", F.size("pii_spans").alias("n_entities"), "pii_spans")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.components(table(spark, sf_dir, "documents"), radius=2, width=3)
     return found.select("doc_id", near_dedup.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op3_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pictures of all embeddings are searched for edited pictures of those whose id is divisible by 100."""
+    return media.search(table(spark, sf_dir, "embeddings"), every=100).withColumnRenamed("id", "vec_id")
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also, for documents whose id is divisible by 100, ``n_near``: how many other documents have a
     fingerprint within 3 bits, by the permuted block tables over all documents."""
@@ -38,12 +61,27 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns(hexed).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, declared by their lang and hosted by their source."""
+    return language_id.documents(table(spark, sf_dir, "documents"))
+
+
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over web pages: markup language, address suffix, domain and host."""
+    model = language_id.fit(table(spark, sf_dir, "documents"), ["de", "en", "es", "fr"])
+    return language_id.pages(table(spark, sf_dir, "pages"), model)
+
+
 def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    path, pattern = public_tokenizers.path(TOKENS), public_tokenizers.PATTERN
     both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "template", "containment")
+
+
 def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses are decoded and digested again as read; revisits are read by their headers alone."""
     path = new_path(spark, "warc")
@@ -60,14 +98,37 @@ def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_image_copies": op3_image_copies,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_language_id": op5_language_id,
+    "pages_language_id": pages_language_id,
     "op6_byte_level_bpe": op6_byte_level_bpe,
+    "op7_license_scan": op7_license_scan,
     "op8_warc_archives": op8_warc_archives,
+    "op9_importance_resampling": op9_importance_resampling,
     "op10_source_mix": op10_source_mix,
 }
 
+#: Shingles of the templates and of a text, as the license scan verifies them, without its windows.
+_LICENSE_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+
 ORACLES = {
+    "op7_license_scan": rf"""
+WITH w AS (
+  SELECT doc_id AS id, NULL AS template, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents
+  UNION ALL
+  SELECT NULL, template, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') FROM (VALUES {_LICENSE_ROWS}) AS v(template, text)),
+s AS (
+  SELECT id, template, array_to_string(w[i:i+4], ' ') AS shingle
+  FROM (SELECT id, template, w, UNNEST(range(1, GREATEST(len(w) - 3, 1))) AS i FROM w)),
+t AS (SELECT DISTINCT template, shingle FROM s WHERE template IS NOT NULL),
+n AS (SELECT template, COUNT(*) AS n FROM t GROUP BY template)
+SELECT d.id AS doc_id, t.template, COUNT(DISTINCT t.shingle) / ANY_VALUE(n.n)::DOUBLE AS containment
+FROM (SELECT id, shingle FROM s WHERE template IS NULL) d JOIN t USING (shingle) JOIN n ON n.template = t.template
+GROUP BY d.id, t.template HAVING COUNT(DISTINCT t.shingle) / ANY_VALUE(n.n)::DOUBLE >= 0.8
+""",
     "op8_warc_archives": """
 WITH p AS (SELECT page_id, encode(COALESCE(html, '')) AS b FROM pages),
 q AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
