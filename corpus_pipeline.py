@@ -40,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and digests of them and of the bytes they decode to."""
     path, pattern = public_tokenizers.path(TOKENS), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs, path, pattern, keep=["doc_id", "source", "lang"]), path, pattern)
+    both = bpe.encode(docs, path, pattern, keep=["doc_id", "source", "lang"], back=True)
     return both.select("doc_id", "source", "lang", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -30,9 +30,10 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Cuts a text where every match of the usual byte-level BPE pattern ends too: a run of white space but
 #: for its last character, the next word with one space before it, or a single white space.
 CHUNKS = f"[{WHITE}]+(?![^{WHITE}])| ?[^{WHITE}]+|[{WHITE}]"
-LEAF = 4
+LEAF = 6
 LONG = 96
-MEMO = 400_000
+MEMO = 300_000
+MEMO_PARTS = 120_000
 MEMO_CHARS = 48
 
 
@@ -74,8 +75,8 @@ class Bpe:
         self.token = {i: b for b, i in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.chunks = re.compile(CHUNKS).findall
-        self.stable = Memo(self._stable)
-        self.short = Memo(self.merges)
+        self.stable = Memo(self._stable, MEMO_PARTS)
+        self.short = Memo(self.merges, MEMO_PARTS)
         self.memo = Memo(self.chunk)
 
     # -- merges
@@ -178,25 +179,29 @@ def load(path: str, pattern: str) -> Bpe:
         return Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: doc_id), ``n_tokens bigint`` and ``ids binary`` of every whole text.
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, back: bool = False) -> DataFrame:
+    """``keep`` columns (default: doc_id), ``n_tokens bigint`` and ``ids binary`` of every whole text; with
+    ``back`` also ``decoded binary``, decoded from the ids by the same worker.
 
     ``path`` must exist on every executor (a vocabulary that is installed with the library). Defined
     cases: null text counts as empty, an empty text has no ids; rows are encoded one by one, so
     repeated rows, ids and extra columns make no difference.
     """
     keep = ["doc_id"] if keep is None else keep
+    made = ["n_tokens", "ids", *["decoded"] * back]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 128):
+                part = b.slice(at, 128)
                 ids = [bpe.encode(t.as_py() or "") for t in part.column(part.num_columns - 1)]
-                cols = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], [*keep, "n_tokens", "ids"])
+                cols = [*part.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if back:
+                    cols.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, [*keep, *made])
 
-    schema = StructType([*docs.select(*keep).schema, StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+    schema = StructType([*docs.select(*keep).schema, *[StructField(n, LongType() if n == "n_tokens" else BinaryType()) for n in made]])
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 

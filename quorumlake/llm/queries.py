@@ -74,7 +74,7 @@ def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(TOKENS), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    both = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, back=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
