@@ -70,7 +70,7 @@ def plain_rows(text: Column) -> Column:
     party = F.coalesce(F.try_element_at(lines, head + 1).rlike(r"(?i)^party"), F.lit(False))
     width = F.when(party, 3).otherwise(2)
     body = F.when(head > 0, F.slice(lines, head + width, F.size(lines) + 1)).otherwise(F.array().cast("array<string>"))
-    groups = F.transform(F.sequence(F.lit(0), F.size(body) / width), lambda g: F.slice(body, (g * width).cast("int") + 1, width))
+    groups = F.transform(F.sequence(F.lit(0), F.floor(F.size(body) / width).cast("int")), lambda g: F.slice(body, (g * width).cast("int") + 1, width))
     entries = F.transform(F.filter(groups, lambda g: F.size(g) == width), lambda g: _entry(g, party))
     good = lambda e: F.coalesce(e["votes"].isNotNull() & e["name"].rlike("[A-Za-z]") & ~e["name"].rlike(SKIP), F.lit(False))
     stop = F.array_position(F.transform(entries, lambda e: good(e)), False).cast("int")

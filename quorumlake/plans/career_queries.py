@@ -181,10 +181,10 @@ def gap_match(t):
 
 
 @query("""WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS t FROM part), l AS (SELECT DISTINCT p_partkey AS person, UNNEST(list_slice(t, GREATEST(len(t) - 1, 1), len(t))) AS token FROM w),
-f AS (SELECT tok FROM (SELECT p_partkey, UNNEST(t) AS tok FROM w) GROUP BY tok HAVING COUNT(DISTINCT p_partkey) <= 120)
+f AS (SELECT tok FROM (SELECT p_partkey, UNNEST(t) AS tok FROM w) GROUP BY tok HAVING COUNT(DISTINCT p_partkey) <= 250)
 SELECT person, token FROM l JOIN f ON tok = token WHERE len(token) >= 3 AND token <> 'green'""")
 def surname_tokens(t):
-    return L.surname_tokens(t.part.select("p_partkey", "p_name"), "p_partkey", "p_name", ["green"]).withColumnRenamed("p_partkey", "person")
+    return L.surname_tokens(t.part.select("p_partkey", "p_name"), "p_partkey", "p_name", ["green"], most=250).withColumnRenamed("p_partkey", "person")
 
 
 @query()

@@ -94,8 +94,8 @@ def dedupe_keep_first(t):
     return C.keep_first(d, ["o_custkey", "o_orderstatus"], ["o_orderkey"])
 
 
-@query("""SELECT l_suppkey, l_returnflag, n, f::BIGINT AS first_seen FROM (SELECT l_suppkey, l_returnflag, COUNT(*) AS n, MIN(l_orderkey * 8 + l_linenumber) AS f,
-  ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY COUNT(*) DESC, MIN(l_orderkey * 8 + l_linenumber)) AS rn FROM lineitem GROUP BY ALL) WHERE rn = 1""")
+@query("""WITH c AS (SELECT l_suppkey, l_returnflag, COUNT(*) AS n, MIN(l_orderkey * 8 + l_linenumber)::BIGINT AS first_seen FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_returnflag, n, first_seen FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY n DESC, first_seen) AS rn FROM c) WHERE rn = 1""")
 def mode_first_seen(t):
     d = t.lineitem.select("l_suppkey", "l_returnflag", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"))
     m = C.mode_first(d, ["l_suppkey"], "l_returnflag", "pos")

@@ -50,9 +50,9 @@ def json_props(t):
 
 
 @query(r"""WITH f AS (SELECT * FROM (VALUES ('green', 'verde'), ('red', 'rojo')) AS v(a, b)),
-w AS (SELECT p_partkey, list_filter(string_split(trim(regexp_replace(lower(strip_accents(p_name || ' #é-Dr. X ' || p_partkey)), '[^a-z]+', ' ', 'g')), ' '), x -> x <> '') AS t FROM part),
-x AS (SELECT p_partkey, list_transform(t, x -> CASE x WHEN 'green' THEN 'verde' WHEN 'red' THEN 'rojo' ELSE x END) AS t FROM w)
-SELECT p_partkey, array_to_string(t, ' ') AS full_name, array_to_string(list_filter(t, x -> len(x) > 1 AND x <> 'dr'), '') AS squash FROM x""")
+w AS (SELECT p_partkey, list_filter(string_split(trim(regexp_replace(lower(strip_accents(p_name || ' #é-Dr. X ' || p_partkey)), '[^a-z]+', ' ', 'g')), ' '), lambda x: x <> '') AS t FROM part),
+x AS (SELECT p_partkey, list_transform(t, lambda x: CASE x WHEN 'green' THEN 'verde' WHEN 'red' THEN 'rojo' ELSE x END) AS t FROM w)
+SELECT p_partkey, array_to_string(t, ' ') AS full_name, array_to_string(list_filter(t, lambda x: len(x) > 1 AND x <> 'dr'), '') AS squash FROM x""")
 def name_normalise(t):
     raw = F.concat("p_name", F.lit(" #é-Dr. X "), "p_partkey")
     n = N.name_forms(raw, honorifics=["dr"], token_fix={"verde": "green", "rojo": "red"})
@@ -61,7 +61,7 @@ def name_normalise(t):
 
 @query(r"""WITH s AS (SELECT o_orderkey, 'Dera Ghazi Khan-' || CASE o_orderkey % 3 WHEN 0 THEN 'II' WHEN 1 THEN 'IV' ELSE 'cum-Rajan' END || ' (Old ' || o_orderpriority || ')' AS n FROM orders),
 r AS (SELECT o_orderkey, regexp_replace(replace(replace(regexp_replace(lower(n), '\([^)]*\)', ' ', 'g'), '-', ' '), 'cum', ' cum '), '[^a-z\s]', ' ', 'g') AS n FROM s)
-SELECT o_orderkey, replace(array_to_string(list_filter(string_split(trim(regexp_replace(n, '\s+', ' ', 'g')), ' '), x -> x NOT IN ('i', 'ii', 'iii', 'iv', 'v')), ' '), 'dera ghazi khan', 'dg khan') AS district FROM r""")
+SELECT o_orderkey, replace(array_to_string(list_filter(string_split(trim(regexp_replace(n, '\s+', ' ', 'g')), ' '), lambda x: x NOT IN ('i', 'ii', 'iii', 'iv', 'v')), ' '), 'dera ghazi khan', 'dg khan') AS district FROM r""")
 def district_base(t):
     suffix = F.when(F.col("o_orderkey") % 3 == 0, "II").when(F.col("o_orderkey") % 3 == 1, "IV").otherwise("cum-Rajan")
     name = F.concat(F.lit("Dera Ghazi Khan-"), suffix, F.lit(" (Old "), "o_orderpriority", F.lit(")"))
@@ -73,7 +73,7 @@ def greedy_segment(t):
     """Documents' first words cut into a small vocabulary's phrases, longest first."""
     vocabulary = F.array(*map(F.lit, ["the", "of the", "in the", "and", "de la", "la", "der", "die"]))
     words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)), 1, 40)
-    d = t.documents.select("doc_id", N.greedy_segments(words, vocabulary).alias("s"))
+    d = t.documents.select("doc_id", words.alias("w")).select("doc_id", N.greedy_segments(F.col("w"), vocabulary).alias("s"))
     known = F.filter("s", lambda x: x["known"])
     return d.select("doc_id", F.array_join(F.transform(known, lambda x: x["phrase"]), "|").alias("phrases"), (F.size("s") - F.size(known)).alias("unknown"))
 

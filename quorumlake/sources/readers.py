@@ -98,8 +98,8 @@ def calendar(spark: SparkSession, years: list[int]) -> DataFrame:
     return spark.createDataFrame([(y, i + 1) for i, y in enumerate(sorted(years))], "year int, period_no int")
 
 
-def poll_date(c: Column) -> Column:
-    """A date written ``M/d/yy`` or ISO."""
-    return F.coalesce(F.try_to_date(c, "M/d/yy"), F.try_to_date(c, "yyyy-MM-dd")) if hasattr(F, "try_to_date") else F.coalesce(
-        F.try_to_timestamp(c, F.lit("M/d/yy")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))
-    ).cast("date")
+def poll_date(c: Column, pivot: int = 30) -> Column:
+    """A date written ``M/d/yy`` (years up to ``pivot`` are of this century) or ISO; null for anything else."""
+    century = F.when(F.regexp_extract(c, r"(\d{2})$", 1) <= str(pivot), "20").otherwise("19")
+    full = F.concat(F.regexp_extract(c, r"^(\d{1,2}/\d{1,2}/)\d{2}$", 1), century, F.regexp_extract(c, r"(\d{2})$", 1))
+    return F.coalesce(F.try_to_timestamp(full, F.lit("M/d/yyyy")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))).cast("date")
