@@ -62,3 +62,29 @@ def capped_clique_edges(members: DataFrame, group: list[str], node: str, low: in
     a = kept.select(*group, F.col(node).alias("src"))
     b = kept.select(*group, F.col(node).alias("dst"))
     return a.join(b, group).where("src < dst").select("src", "dst").distinct()
+
+
+def resolve_ids(groups: DataFrame, live: DataFrame, id_col: str = "id") -> DataFrame:
+    """``(id, resolved)``: for every id of the groups' arrays ``ids`` the smallest live id that the groups connect it
+    with; null if none is live."""
+    edges = groups.select(F.explode("ids").alias("src"), F.col("ids").getItem(0).alias("dst"))
+    found = connected_components(edges)
+    alive = found.join(live.select(F.col(id_col).alias("node")).distinct(), "node").groupBy("component").agg(F.min("node").alias("resolved"))
+    return found.join(alive, "component", "left").select(F.col("node").alias(id_col), "resolved")
+
+
+def family_graph(edges: DataFrame, persons: DataFrame, resolved: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes (family, id, name, wins, known) and edges (family, a, b, rel) of families.
+
+    Ends are resolved first; edges from a person to themself go; ends that ``persons`` (id, name, wins) lacks become
+    placeholder nodes without a name and with 0 wins.
+    """
+    e = edges
+    if resolved is not None:
+        for end in "ab":
+            r = resolved.select(F.col("id").alias(end), F.col("resolved").alias(f"_{end}"))
+            e = e.join(r, end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
+    e = e.where("a <> b").select("family", "a", "b", "rel").distinct()
+    ends = e.select("family", F.col("a").alias("id")).unionByName(e.select("family", F.col("b").alias("id"))).distinct()
+    nodes = ends.join(persons.select("id", "name", "wins", F.lit(True).alias("_known")), "id", "left")
+    return nodes.select("family", "id", "name", F.coalesce("wins", F.lit(0)).alias("wins"), F.coalesce("_known", F.lit(False)).alias("known")), e

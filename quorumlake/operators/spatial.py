@@ -201,26 +201,25 @@ def capacity_allocate(cells: DataFrame, seeds: DataFrame, quota: str = "quota",
     return base.withColumn("label", label())
 
 
-def contiguity_repair(cells: DataFrame, most_share: float = 0.15, rounds: int = 6) -> DataFrame:
-    """``cells`` (ix, iy, label): the parts of a label beside its largest one, if they hold at most ``most_share``
-    of its cells, move to the label they touch most. All parts of a round move at once."""
-    stage = Stage(cells.sparkSession, "contiguity")
+def _parts(cells: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """Neighbouring cell pairs (a, b, la, lb), and each cell's connected part of its label (node, label, component)."""
+    key = F.struct("ix", "iy")
+    steps = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((1, 0), (-1, 0), (0, 1), (0, -1))]))
+    near = cells.select(key.alias("a"), F.col("label").alias("la"), steps.alias("s"), "ix", "iy")
+    near = near.select("a", "la", (F.col("ix") + F.col("s.dx")).alias("ix"), (F.col("iy") + F.col("s.dy")).alias("iy"))
+    near = stage.put(near.join(cells.select("ix", "iy", F.col("label").alias("lb")), ["ix", "iy"]).select("a", F.struct("ix", "iy").alias("b"), "la", "lb"), "near")
+    found = connected_components(near.where("la <=> lb"), "a", "b")
+    part = cells.select(key.alias("node"), "label").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return near, stage.put(part, "part")
+
+
+def _move(cells: DataFrame, choose, rounds: int) -> DataFrame:
+    """Rounds in which the parts that ``choose(part)`` names go, all at once, to the label they touch most."""
+    stage = Stage(cells.sparkSession, "parts")
     cur = stage.put(cells.select("ix", "iy", "label"), "cells")
     for _ in range(rounds):
-        key = F.struct("ix", "iy")
-        steps = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((1, 0), (-1, 0), (0, 1), (0, -1))]))
-        near = cur.select(key.alias("a"), F.col("label").alias("la"), steps.alias("s"), "ix", "iy")
-        near = near.select("a", "la", (F.col("ix") + F.col("s.dx")).alias("ix"), (F.col("iy") + F.col("s.dy")).alias("iy"))
-        near = near.join(cur.select("ix", "iy", F.col("label").alias("lb")), ["ix", "iy"]).select("a", F.struct("ix", "iy").alias("b"), "la", "lb")
-        near = stage.put(near, "near")
-        parts = connected_components(near.where("la = lb"), "a", "b")
-        part = cur.select(key.alias("node"), "label").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        part = stage.put(part, "part")
-        size = part.groupBy("label", "component").agg(F.count("*").alias("n"))
-        w = Window.partitionBy("label")
-        orphan = size.withColumns({"_rn": F.row_number().over(w.orderBy(F.desc("n"), "component")), "_all": F.sum("n").over(w)})
-        orphan = orphan.where((F.col("_rn") > 1) & (F.col("n") <= most_share * F.col("_all"))).select("component")
-        touch = near.where("la <> lb").join(part.select(F.col("node").alias("a"), "component"), "a").join(orphan, "component")
+        near, part = _parts(cur, stage)
+        touch = near.where("lb is not null and not la <=> lb").join(part.select(F.col("node").alias("a"), "component"), "a").join(choose(part), "component")
         touch = touch.groupBy("component", "lb").agg(F.count("*").alias("n"))
         move = touch.groupBy("component").agg(F.max(F.struct("n", F.col("lb").alias("to"))).alias("_m")).select("component", F.col("_m.to").alias("to"))
         move = stage.put(move, "move")
@@ -230,6 +229,45 @@ def contiguity_repair(cells: DataFrame, most_share: float = 0.15, rounds: int =
     return cur
 
 
+def contiguity_repair(cells: DataFrame, most_share: float = 0.15, rounds: int = 6) -> DataFrame:
+    """``cells`` (ix, iy, label): the parts of a label beside its largest one, if they hold at most ``most_share``
+    of its cells, move to the label they touch most."""
+    def choose(part: DataFrame) -> DataFrame:
+        w = Window.partitionBy("label")
+        size = part.groupBy("label", "component").agg(F.count("*").alias("n"))
+        size = size.withColumns({"_rn": F.row_number().over(w.orderBy(F.desc("n"), "component")), "_all": F.sum("n").over(w)})
+        return size.where((F.col("_rn") > 1) & (F.col("n") <= most_share * F.col("_all"))).select("component")
+
+    return _move(cells, choose, rounds)
+
+
+def absorb_slivers(cells: DataFrame, least_cells: int, rounds: int = 6) -> DataFrame:
+    """Parts of under ``least_cells`` cells go to the neighbour with the longest common border."""
+    return _move(cells, lambda part: part.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") < least_cells).select("component"), rounds)
+
+
+def fill_holes(cells: DataFrame, rounds: int = 4) -> DataFrame:
+    """Unlabelled parts that do not reach the grid's edge go to the neighbour with the longest common border."""
+    edge = cells.agg(F.min("ix").alias("x0"), F.max("ix").alias("x1"), F.min("iy").alias("y0"), F.max("iy").alias("y1"))
+
+    def choose(part: DataFrame) -> DataFrame:
+        p = part.where("label is null").crossJoin(F.broadcast(edge))  # one row
+        at = (F.col("node.ix") == F.col("x0")) | (F.col("node.ix") == F.col("x1")) | (F.col("node.iy") == F.col("y0")) | (F.col("node.iy") == F.col("y1"))
+        return p.groupBy("component").agg(F.max(at).alias("_edge")).where("not _edge").select("component")
+
+    return _move(cells, choose, rounds)
+
+
+def detached_lobes(cells: DataFrame, receivers: DataFrame) -> DataFrame:
+    """All parts of a label but its largest go to the label that ``receivers`` (label, receiver) names for it."""
+    stage = Stage(cells.sparkSession, "lobes")
+    _, part = _parts(stage.put(cells.select("ix", "iy", "label"), "cells"), stage)
+    size = part.groupBy("label", "component").agg(F.count("*").alias("n"))
+    rn = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "component"))
+    lobe = size.withColumn("_rn", rn).where("_rn > 1").join(receivers, "label").select("component", "receiver")
+    return part.join(lobe, "component", "left").select("node.ix", "node.iy", F.coalesce("receiver", "label").alias("label"))
+
+
 def partition_mismatch(a: DataFrame, b: DataFrame) -> DataFrame:
     """Of two labelled grids: cells of either, of both, and with different labels."""
     j = a.select("ix", "iy", F.col("label").alias("la")).join(b.select("ix", "iy", F.col("label").alias("lb")), ["ix", "iy"], "full_outer")
