@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quorumlake.plans.shipping import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,6 +27,7 @@ def query(sql: str | None = None):
 
     def put(f: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(Tables(spark, sf_dir))
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
