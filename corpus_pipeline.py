@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from quorumlake.llm import bpe, language_id, mixing, near_dedup, pii
 from quorumlake.llm.queries import TOKENS, pii_key
+from quorumlake.plans.shipping import ship
 from quorumlake.plans.staging import Stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in an accepted language; those without letters, in none or in doubt go."""
+    ship(spark)
     return language_id.accepted(docs, language_id.documents(docs))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlake.llm import bpe, fingerprints, importance, language_id, licenses, media, mixing, near_dedup, pii, warc
+from quorumlake.plans.shipping import ship
 from quorumlake.plans.staging import Stage, new_path
 
 #: Demonstration key of the surrogates; a real run passes its own secret in this setting.
@@ -19,6 +20,7 @@ def pii_key(spark: SparkSession) -> bytes:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
