@@ -31,8 +31,8 @@ from quorumlake.plans.staging import Stage
 
 #: Titles before a name and the gender they tell (fixed values).
 TITLES = {
-    "m": "Mr Herr Hr Monsieur M Señor Sr Don г-н господин Κύριος 先生".split(),
-    "f": "Mrs Ms Miss Frau Fr Madame Mme Mademoiselle Mlle Señora Sra Señorita Srta Doña г-жа госпожа Κυρία 女士".split(),
+    "m": "Mr Herr Monsieur Señor Sr г-н господин Κύριος 先生".split(),
+    "f": "Mrs Ms Miss Frau Madame Mme Mademoiselle Mlle Señora Sra Señorita Srta г-жа госпожа Κυρία 女士".split(),
     "": "Dr Prof Professor Doctor".split(),
 }
 #: Given names by script and gender, and family names by script.
@@ -69,8 +69,22 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d-]|\.\d)|(?<![\w.])\+\d{7,15}(?!\d)"),
     "person": re.compile(rf"(?<!\w)({_TITLE})\.?\s+({_NAME}(?:\s+{_NAME}){{0,2}})|(王|李|张|刘|陈|杨|黄|赵|吴|周)([一-鿿]{{1,2}})(先生|女士)"),
 }
-_ASK = {"email": "@", "secret": None, "iban": "0", "card": "0", "ipv4": "0", "ssn": "0", "phone": "0", "person": None}
 _DIGIT = re.compile("[0-9]")
+#: What a text must contain for a pattern to be tried: cheap searches that spare most texts the patterns.
+_KEYWORDS = ("token", "secret", "passw", "key", "credential")
+_CUES = tuple(t + end for g in TITLES.values() for t in g for end in ((".", " ", "\n") if len(t) == 2 and t.isascii() else ("",)))
+
+
+def _worth(text: str) -> set[str]:
+    """Types whose pattern may match."""
+    kinds = {"email"} if "@" in text else set()
+    if _DIGIT.search(text):
+        kinds |= {"secret", "iban", "card", "ipv4", "ssn", "phone"}
+    elif ("=" in text or ":" in text) and any(k in low for low in [text.lower()] for k in _KEYWORDS):
+        kinds.add("secret")
+    if any(c in text for c in _CUES):
+        kinds.add("person")
+    return kinds
 
 
 def script_of(word: str) -> str:
@@ -83,6 +97,16 @@ def _luhn(digits: str) -> int:
     return sum(2 * d - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(digits))))
 
 
+def _addresses(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches around each @: a local part has at most 64 characters."""
+    at = end = -1
+    while (at := text.find("@", at + 1)) >= 0:
+        m = pattern.search(text, max(end, at - 64, 0), at + 256)
+        if m and m.start() < at:
+            end = m.end()
+            yield m
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, type, value)`` in order, none overlapping; the earlier type of PATTERNS wins.
 
@@ -95,12 +119,12 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     def free(a: int, b: int) -> bool:
         return all(b <= x or y <= a for x, y in taken)
 
-    digits = bool(_DIGIT.search(text))
+    worth = _worth(text)
     parts: dict[str, str] = {}
     for kind, pattern in PATTERNS.items():
-        if _ASK[kind] == "0" and not digits or _ASK[kind] == "@" and "@" not in text:
+        if kind not in worth:
             continue
-        for m in pattern.finditer(text):
+        for m in _addresses(pattern, text) if kind == "email" else pattern.finditer(text):
             g = next((i for i in range(1, (m.re.groups or 0) + 1) if m.group(i)), 0) if kind == "secret" else 0
             a, b = m.span(g)
             if kind == "person":
