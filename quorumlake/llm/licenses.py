@@ -1,7 +1,7 @@
 """License scans by MinHash bands over overlapping text windows, in DataFrame functions alone.
 
 A text becomes its lower-case alphanumeric words and the hashes of their five-word shingles. Windows are runs of
-1, 2, 4 or 8 shingles that overlap by half; a template is indexed by its windows at every offset. A copy that
+8 shingles that overlap by half, or single shingles for short templates; a template is indexed by its windows at every offset. A copy that
 keeps four fifths of a template's shingles has an unbroken stretch of a certain length (``unbroken``), and the
 template uses the longest run L with 1.5 L - 1 shingles in it: the stretch then holds one whole window of the text, whose
 MinHashes equal those of the template's window, and all bands collide. Windows of similarity s collide in one of b single-row bands with
@@ -21,7 +21,7 @@ from quorumlake.plans.joins import join_dim
 from quorumlake.plans.staging import Stage
 
 WIDTH = 5
-RUNS = (1, 2, 4, 8)
+RUNS = (1, 8)
 BANDS = 2
 CONTAINMENT = 0.8
 
@@ -63,23 +63,22 @@ def run_of(n: int, runs=RUNS) -> int:
     return max((r for r in runs if 1.5 * r - 1 <= unbroken(n)), default=runs[0])
 
 
-def _minhashes(hashes: str, run: int, at: str, bands: int) -> str:
-    """A band's key of the window at ``at``: the least hash after a band's own mix."""
-    window = f"slice({hashes}, {at} + 1, {run})"
-    keys = [f"array_min({window})"] + [f"array_min(transform({window}, h -> xxhash64(h, {b})))" for b in range(1, bands if run > 1 else 1)]
-    return f"array({', '.join(keys)})"
+def _mixed(bands: int) -> dict:
+    """Columns ``_h0``...: the shingles' hashes, mixed anew for each band after the first."""
+    return {f"_h{b}": F.expr(f"transform(_h, h -> xxhash64(h, {b}))") if b else F.col("_h") for b in range(bands)}
 
 
-def _windows(run: int, step: int, bands: int) -> str:
-    """Array of (run, at, keys) of the windows of ``run`` shingles every ``step`` shingles of ``_h``."""
-    each = f"transform(sequence(0, size(_h) - {run}, {step}), s -> struct({run} as run, s as at, {_minhashes('_h', run, 's', bands)} as keys))"
-    return f"if(size(_h) >= {run}, {each}, array())"
+def _windows(run: int, step: int, bands: int) -> list[str]:
+    """Arrays of (run, band, at, key) of the windows of ``run`` shingles every ``step``: a band's key is the
+    least of its mixed hashes, for a single shingle its hash."""
+    if run == 1:
+        return ["transform(_h0, (h, s) -> struct(1 as run, 0 as band, s as at, h as key))"]
+    each = "transform(sequence(0, size(_h0) - {run}, {step}), s -> struct({run} as run, {b} as band, s as at, array_min(slice(_h{b}, s + 1, {run})) as key))"
+    return [f"if(size(_h0) >= {run}, {each.format(run=run, step=step, b=b)}, array())" for b in range(bands)]
 
 
-def _keys(df: DataFrame, keep: list[str], windows: str) -> DataFrame:
-    """``(keep, run, at, band, key)`` of an expression of windows."""
-    w = df.select(*keep, F.explode(F.expr(windows)).alias("_w"))
-    return w.select(*keep, F.col("_w.run").alias("run"), F.col("_w.at").alias("at"), F.posexplode("_w.keys").alias("band", "key"))
+def _keys(df: DataFrame, keep: list[str], windows: list[str]) -> DataFrame:
+    return df.select(*keep, F.explode(F.expr(f"concat({', '.join(windows)})")).alias("_w")).select(*keep, "_w.*")
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
@@ -114,24 +113,25 @@ def scan(
     if not runs:
         return docs.select(F.col(id_col), F.lit("").alias("template"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).limit(0)
     d = docs.select(F.col(id_col).alias("_id"), words(F.col(text)).alias("_words")).where(F.size("_words") >= WIDTH)
-    d = d.select("_id", shingles("_words").alias("_h"))
+    d = d.select("_id", shingles("_words").alias("_h")).select("_id", *[c.alias(n) for n, c in _mixed(bands).items()])
 
     index = None
+    mixed = t.withColumns(_mixed(bands))
     for run in runs:
-        mine = _keys(t.where(F.col("_n").isin([n for n in counts if run_of(n) == run])), ["template"], _windows(run, 1, bands))
+        mine = _keys(mixed.where(F.col("_n").isin([n for n in counts if run_of(n) == run])), ["template"], _windows(run, 1, bands))
         index = mine if index is None else index.unionByName(mine)
     index = index.select("run", "band", "key", "template", F.col("at").alias("_t_at")).distinct()
-    windows = _keys(d, ["_id"], f"concat({', '.join(_windows(run, max(1, run // 2), bands) for run in runs)})")
+    windows = _keys(d, ["_id"], [w for run in runs for w in _windows(run, max(1, run // 2), bands)])
     hit = windows.join(F.broadcast(index), ["run", "band", "key"])
     found = stage.put(hit.select("_id", "template", (F.col("at") - F.col("_t_at")).alias("_from")).distinct(), "retrieved")
     places = found.groupBy("_id", "template").agg(F.sort_array(F.collect_set("_from")).alias("_places"))
-    places = join_dim(places, t.select("template", F.col("_h").alias("_th"), "_n"), "template", "inner")
-    matched = places.groupBy("_id").agg(F.collect_list(F.struct("template", "_places", "_th", "_n")).alias("_m"))  # at most one entry a template
+    matched = places.groupBy("_id").agg(F.collect_list(F.struct("template", "_places")).alias("_m"))  # at most one entry a template
     matched = stage.put(matched, "matched").withColumnRenamed("_id", "_mid")
     again = docs.select(F.col(id_col).alias("_id"), words(F.col(text)).alias("_words"))
     few = matched.limit(50_001).count() <= 50_000
     again = again.join(F.broadcast(matched) if few else matched, F.col("_id").eqNullSafe(F.col("_mid"))).select("_id", "_m", shingles("_words").alias("_h"))
     one = again.select("_id", "_h", F.explode("_m").alias("_c")).select("_id", "_h", "_c.*")
+    one = join_dim(one, t.select("template", F.col("_h").alias("_th"), "_n"), "template", "inner")
     around = "slice(_h, greatest(p - cast(_n div 4 as int), 0) + 1, _n + 2 * cast(_n div 4 as int))"
     share = (
         "transform(_places, p -> struct("
