@@ -6,7 +6,7 @@ the k largest keys samples k documents without replacement in proportion to impo
 
 Scale: two passes over the texts. The first leaves counts by bucket, summed on each executor before the
 shuffle; a fixed number of buckets reaches the driver. Raw counts cover all rows; the target model is
-fitted on at most ``most_target`` labelled rows, the smallest hashes of their ids. The k-th key is
+fitted on about ``most_target`` labelled rows (all if fewer), those with the smallest hashes of their ids. The k-th key is
 found by a distributed sort of slim rows.
 """
 
@@ -28,7 +28,9 @@ BITS = 16
 
 def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str = "text", most_target: int = 20_000, smooth: float = 1.0) -> np.ndarray:
     """log(p_target / p_raw) by bucket. ``target`` has the ids of target rows; null texts count as empty."""
-    picked = target.select(F.col(id_col).alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(most_target)
+    ids = target.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
+    share = most_target / max(1, ids.count())
+    picked = ids.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 32)) / F.lit(float(1 << 32)) < share)  # some most_target ids
     rows = docs.join(F.broadcast(picked.withColumn("_hit", F.lit(True))), docs[id_col] == F.col("_id"), "left")
     rows = rows.select(F.col("_hit").isNotNull().alias("hit"), F.col(text).alias("t"))
 

@@ -7,7 +7,7 @@ are counts of grouped aggregation over all rows, by the languages their texts al
 
 Scale: one pass over the texts leaves a slim table (id, declarations, scores), written once; all
 aggregations and joins run on that. Only the trigram model is fitted on a bounded sample of labelled
-rows: at most ``per_language`` rows of each language, the smallest hashes of their ids.
+rows: about ``per_language`` rows of each language, those with the smallest hashes of their ids.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumlake.llm import textbytes
@@ -44,12 +44,13 @@ class TrigramModel:
 
 
 def fit(docs: DataFrame, languages: list[str], label: str = "lang", id_col: str = "doc_id", text: str = "text", per_language: int = 2000) -> TrigramModel:
-    """Trigram model of labelled rows, at most ``per_language`` a language; without any it is uniform."""
-    rows = docs.where(F.col(label).isin(languages)).select(F.col(id_col).alias("_id"), F.col(label).alias("_label"))
-    w = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
-    picked = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_language).select("_id").distinct()
-    sample = docs.join(F.broadcast(picked), docs[id_col] == picked["_id"])  # at most per_language x languages ids
-    sample = sample.where(F.col(label).isin(languages)).select(F.array_position(F.array(*map(F.lit, languages)), F.col(label)).cast("int").alias("l"), F.col(text).alias("t"))
+    """Trigram model of labelled rows; without any it is uniform. Of a language with n rows those are taken whose
+    id's hash falls in the first ``per_language`` / n of its range: about ``per_language``, or all if there are fewer."""
+    known = docs.where(F.col(label).isin(languages))
+    n = {r[0]: r[1] for r in known.groupBy(label).agg(F.count("*")).collect()}  # a row a language
+    drawn = F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    least = F.coalesce(*[F.when(F.col(label) == x, F.lit(per_language / n[x])) for x in n], F.lit(0.0))
+    sample = known.where(drawn < least).select(F.array_position(F.array(*map(F.lit, languages)), F.col(label)).cast("int").alias("l"), F.col(text).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((len(languages), 1 << BITS), np.int64)
