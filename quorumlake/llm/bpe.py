@@ -79,6 +79,12 @@ class Bpe:
         self.short = Memo(self.merges, MEMO_PARTS)
         self.memo = Memo(self.chunk)
 
+    def forget(self) -> None:
+        """Drops the memo of chunks and all old generations: a worker outlives its task, and its memory counts then."""
+        self.memo.clear()
+        for m in (self.memo, self.short, self.stable):
+            m.old = {}
+
     # -- merges
 
     def merges(self, data: bytes) -> list[int]:
@@ -174,7 +180,7 @@ class Bpe:
 
 @lru_cache(2)
 def load(path: str, pattern: str) -> Bpe:
-    """From a file of base64 tokens and ranks; a worker loads it once."""
+    """From a file of base64 tokens and ranks; a worker loads it once and keeps the merges of short parts."""
     with open(path, "rb") as f:
         return Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
@@ -200,6 +206,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: l
                 if back:
                     cols.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, [*keep, *made])
+        bpe.forget()
 
     schema = StructType([*docs.select(*keep).schema, *[StructField(n, LongType() if n == "n_tokens" else BinaryType()) for n in made]])
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
