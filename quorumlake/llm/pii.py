@@ -31,8 +31,8 @@ from quorumlake.plans.staging import Stage
 
 #: Titles before a name and the gender they tell (fixed values).
 TITLES = {
-    "m": "Mr Herr Monsieur Señor Sr г-н господин Κύριος 先生".split(),
-    "f": "Mrs Ms Miss Frau Madame Mme Mademoiselle Mlle Señora Sra Señorita Srta г-жа госпожа Κυρία 女士".split(),
+    "m": "Mr Herr Hr Monsieur M Señor Sr Don г-н господин Κύριος 先生".split(),
+    "f": "Mrs Ms Miss Frau Fr Madame Mme Mademoiselle Mlle Señora Sra Señorita Srta Doña г-жа госпожа Κυρία 女士".split(),
     "": "Dr Prof Professor Doctor".split(),
 }
 #: Given names by script and gender, and family names by script.
@@ -69,10 +69,37 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d-]|\.\d)|(?<![\w.])\+\d{7,15}(?!\d)"),
     "person": re.compile(rf"(?<!\w)({_TITLE})\.?\s+({_NAME}(?:\s+{_NAME}){{0,2}})|(王|李|张|刘|陈|杨|黄|赵|吴|周)([一-鿿]{{1,2}})(先生|女士)"),
 }
-_DIGIT = re.compile("[0-9]")
-#: What a text must contain for a pattern to be tried: cheap searches that spare most texts the patterns.
+_DIGIT = re.compile(r"\d")
+#: What a text must contain for a pattern to be tried: cheap searches that spare most texts the patterns. Each is a
+#: necessary condition of its pattern.
 _KEYWORDS = ("token", "secret", "passw", "key", "credential")
-_CUES = tuple(t + end for g in TITLES.values() for t in g for end in ((".", " ", "\n") if len(t) == 2 and t.isascii() else ("",)))
+_PREFIXES = ("akia", "ghp_", "sk-", "xox")
+_HEX_LETTERS = re.compile("[a-fA-F]{32}")
+_TITLE_CUES = tuple(t for g in TITLES.values() for t in g if not "一" <= t[0] <= "鿿")
+_HAN_CUES = ("先生", "女士")
+
+
+def _folded(text: str) -> str:
+    """Lower case, with the letters that a pattern without case takes for i and s (lower() maps the sign K itself)."""
+    return text.replace("İ", "i").replace("ı", "i").replace("ſ", "s").lower()
+
+
+def _titled(text: str) -> bool:
+    """Whether a title stands at a word's start and before a dot or any white space."""
+    for t in _TITLE_CUES:
+        at = text.find(t)
+        while at >= 0:
+            after = text[at + len(t) : at + len(t) + 1]
+            if (after == "." or after.isspace()) and not (at and (text[at - 1].isalnum() or text[at - 1] == "_")):
+                return True
+            at = text.find(t, at + 1)
+    return any(t in text for t in _HAN_CUES)
+
+
+def _secretive(text: str) -> bool:
+    """Whether a text without digits may hold a secret."""
+    low = _folded(text)
+    return ("=" in low or ":" in low) and any(k in low for k in _KEYWORDS) or any(k in low for k in _PREFIXES) or bool(_HEX_LETTERS.search(text))
 
 
 def _worth(text: str) -> set[str]:
@@ -80,9 +107,9 @@ def _worth(text: str) -> set[str]:
     kinds = {"email"} if "@" in text else set()
     if _DIGIT.search(text):
         kinds |= {"secret", "iban", "card", "ipv4", "ssn", "phone"}
-    elif ("=" in text or ":" in text) and any(k in low for low in [text.lower()] for k in _KEYWORDS):
+    elif _secretive(text):
         kinds.add("secret")
-    if any(c in text for c in _CUES):
+    if _titled(text):
         kinds.add("person")
     return kinds
 
@@ -97,12 +124,23 @@ def _luhn(digits: str) -> int:
     return sum(2 * d - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(digits))))
 
 
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_LOCAL_ENDS = _LOCAL - set(".")
+_STARTS = _LOCAL - set("._%+-")
+
+
 def _addresses(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
-    """Matches around each @: a local part has at most 64 characters."""
-    at = end = -1
+    """The pattern's matches, each tried once at the first letter or digit of the whole local part before an @."""
+    at, end = -1, 0
     while (at := text.find("@", at + 1)) >= 0:
-        m = pattern.search(text, max(end, at - 64, 0), at + 256)
-        if m and m.start() < at:
+        if at <= end or text[at - 1] not in _LOCAL_ENDS:
+            continue
+        start = i = at
+        while i > end and text[i - 1] in _LOCAL:
+            i -= 1
+            if text[i] in _STARTS:
+                start = i
+        if start < at and (m := pattern.match(text, start)):
             end = m.end()
             yield m
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -73,3 +74,24 @@ def test_table_edges(spark):
     assert got[2].text == "" and got[3].text == "clean text" and got[3].pii_spans == []
     assert got[None].text != "a@b.example.com" and got[None].n_chars == len(got[None].text)
     assert pii.anonymise(df.limit(0), KEY).count() == 0
+
+
+def uncued(text, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(pii, "_worth", lambda t: set(pii.PATTERNS))
+        m.setattr(pii, "_addresses", lambda pattern, t: pattern.finditer(t))
+        return pii.detect(text)
+
+
+def test_cues_drop_nothing(monkeypatch):
+    """All that the patterns find without cues, whatever the spacing, titles, prefixes and lengths."""
+    assert kinds("M. Dupont and Don Pedro met Doña Ana, Hr Holm, Fr Berg. Dupont left") == [("person", n) for n in ("Dupont", "Pedro", "Ana", "Holm", "Berg", "Dupont")]
+    assert kinds("use sk-AbCdEfGhIjKlMnOp") == [("secret", "sk-AbCdEfGhIjKlMnOp")]
+    long = "a" * 100 + ".b@" + ".".join(["label"] * 60) + ".org"
+    assert kinds(f"to {long},") == [("email", long)]
+    parts = ["Mr", "Dr", "M.", "Don", "Fr.", "先生", "王芳女士", "\u00a0", "\t", "\r", "\n", " ", ".", "@", "-", "_", ":", "=", "Ann", "Bo-Lee", "Иванов", "г-н", "a.b", "x.com", "q" * 70, "ghp_", "SK-", "AKIA", "xoxb-"]
+    parts += ["abcdefghijkl", "secret", "\u017fecret", "pa\u017f\u017fw", "to\u212aen", "cred\u0130ent\u0131al", "abcdefabcdefabcdefabcdefabcdefab", "12", "٣٤٥", "AB٣٤ ABCD EFGH", "٣٤٥-٣٤-٣٤٥٣", "+", "4111111111111111"]
+    r = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(r.choices(parts, k=r.randint(1, 9)))
+        assert pii.detect(text) == uncued(text, monkeypatch), text
