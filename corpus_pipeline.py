@@ -36,7 +36,7 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the one at its source's cut in part."""
-    return mixing.apply_mix(docs, mixing.mix(docs))
+    return mixing.mixed_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,18 +61,21 @@ def mix(
     seed: str = "mix-1:",
     id_col: str = "doc_id",
     size: Column | None = None,
+    row_col: str | None = None,
 ) -> DataFrame:
     """``(id, source, size, source_size, target, taken)``: words that the mix takes of each document.
 
     A source's budget is its target rounded down; all its documents are taken as often as whole
     epochs fit, then in the order of their random keys until the budget ends, the last of them in part.
     Defined cases: null text has size 0; a null source is a source of its own; repeated ids count
-    as separate rows, ordered by key, then id, then size (equal rows are interchangeable); a mix
+    as separate rows, ordered by key, then id, then size (equal rows are interchangeable), then by
+    ``row_col``, a unique column that is kept in the result if given; a mix
     without words takes 0 everywhere; an empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
     size = word_count(F.col("text")) if size is None else size
-    slim = docs.select(F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
+    row = [F.col(row_col).alias("_row")] if row_col else []
+    slim = docs.select(*row, F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
     slim = slim.select("*", random_key("_id", seed).alias("_key"))
     stage = Stage(spark, "mix")
     slim = stage.put(slim, "sizes")
@@ -85,7 +88,7 @@ def mix(
     offsets = totals.select("source", "_slice", (F.sum("_words").over(before) - F.col("_words")).alias("_offset"))
     offsets = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.*", "source_size", "target")
     offsets = stage.put(offsets, "offsets")
-    w = Window.partitionBy("source", "_slice").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("source", "_slice").orderBy("_key", "_id", "size", *(["_row"] if row_col else [])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefixed = sliced.withColumn("_upto", F.sum("size").over(w))
     same = F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p._slice") == F.col("o._slice"))
     joined = prefixed.alias("p").join(offsets.alias("o"), same).select("p.*", "_offset", "source_size", "target")
@@ -95,12 +98,13 @@ def mix(
     start = F.col("_offset") + F.col("_upto") - F.col("size")
     part = F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))
     taken = (epochs * F.col("size") + part).cast("long")
-    return joined.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.alias("taken"))
+    kept = [F.col("_row").alias(row_col)] if row_col else []
+    return joined.select(*kept, F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.alias("taken"))
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` as the mix takes them: a row an epoch, none where nothing is taken, and the
-    document at its source's cut shortened to the words that still fit. Needs unique ids."""
+    document at its source's cut shortened to the words that still fit. Needs unique ids without null; see ``mixed_rows``."""
     cols = docs.columns
     m = mixed.select(F.col(id_col), F.col("size").alias("_size"), F.col("taken").alias("_taken")).where("_taken > 0")
     d = docs.join(m, id_col)
@@ -114,3 +118,10 @@ def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> Data
     if "n_chars" in cols:
         out["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
     return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in cols])
+
+
+def mixed_rows(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` as their mix takes them, whatever their ids: rows with a null or repeated id are rows of
+    their own. Rows are told apart by a key made once and staged with them."""
+    rows = Stage(docs.sparkSession, "mix").put(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "rows")
+    return apply_mix(rows, mix(rows, row_col="_mix_row", **how), "_mix_row").select(*docs.columns)

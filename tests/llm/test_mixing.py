@@ -75,3 +75,21 @@ def test_apply_repeats_and_cuts(spark):
     mixed = spark.createDataFrame([(1, 3, 5), (2, 1, 2), (3, 1, 0)], "doc_id long, size long, taken long")
     got = sorted((r.doc_id, r.text, r.n_chars) for r in mixing.apply_mix(docs, mixed).collect())
     assert got == [(1, " a b", 4), (1, " a b  c ", 8), (2, "d", 1), (2, "d", 1)]
+
+
+def test_rows_without_or_with_repeated_ids(spark):
+    """Every row is taken as often as the mix says, also where ids are null or repeat."""
+    import corpus_pipeline
+
+    rows = [(None if i % 5 == 0 else i // 4, " ".join(f"r{i}w{k}" for k in range(i % 6 + 1)), f"s{i % 2}", "x") for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for r in corpus_pipeline.mix(spark, docs, "").collect():
+        i = int(r.text.split("w")[0][1:])
+        assert (r.doc_id, r.source) == (rows[i][0], rows[i][2])
+        got.setdefault(i, []).append(len(r.text.split()))
+    per = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("t")).collect()
+    for p in per:
+        assert sum(sum(n) for i, n in got.items() if rows[i][2] == p.source) == p.t
+    assert all(sum(n) <= 2 * (i % 6 + 1) for i, n in got.items())
+    assert any(rows[i][0] is None for i in got)
