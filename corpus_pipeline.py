@@ -25,8 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near-duplicates."""
-    return near_dedup.keep_one(docs)
+    """One document, the one with the smallest id, of each group whose five-word shingles are similar by 0.8 or more."""
+    return near_dedup.keep_one_similar(docs, width=5, least=0.8)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,18 +35,27 @@ SEED = 42
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint(text: bytes | None, width: int = 3) -> int:
-    """Unsigned 64-bit SimHash of UTF-8 text: A-Z lower-cased, words split at ASCII space, shingles of
-    ``width`` words with repeats (fewer words: all of them; no words: 0)."""
+def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
+    """XXH64 of each shingle of ``width`` words, with repeats (fewer words: one of all of them; no words: none)."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) < width:
         words = [b" ".join(words)]
         width = 1
     runs = zip(*(words[i:] for i in range(width)))
-    n = len(words) - width + 1
-    h = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64, len(words) - width + 1)
+
+
+def fingerprint(text: bytes | None, width: int = 3) -> int:
+    """Unsigned 64-bit SimHash of UTF-8 text: A-Z lower-cased, words split at ASCII space, shingles of
+    ``width`` words with repeats (fewer words: all of them; no words: 0)."""
+    return simhash(shingle_hashes(text, width))
+
+
+def simhash(h: np.ndarray) -> int:
+    """The bits that more than half of the hashes set; 0 for none."""
+    n = len(h)
     votes = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 14):
         part = h[at : at + (1 << 14)]
@@ -236,7 +245,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how)
 
     Rows that repeat an id are one document and stay or go together; rows without id stay.
     """
-    found = components(docs, id_col, text, **how)
+    return _kept(docs, components(docs, id_col, text, **how), id_col)
+
+
+def _kept(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
     dropped = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("_kept")).where("not _kept").select(id_col)
     dropped = Stage(docs.sparkSession, "dedup").put(dropped, "dropped").withColumn("_dropped", F.lit(True))
     return join_dim(docs, dropped, id_col).where("_dropped is null").select(*docs.columns)
@@ -244,3 +256,104 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how)
 
 def hexadecimal(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+# ---------------------------------------------------------------- similarity of word shingles
+
+#: SimHash radius of candidates: distinct shingles at a Jaccard similarity of 0.8 differ in some 10 of 64 bits, 5 deviations less than this.
+WIDE = 24
+#: 16 bands of 4 minima: a pair at 0.8 shares one with a probability of 0.9998.
+BANDS, ROWS = 16, 4
+TILE = 256
+_XOR, _MUL = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
+_MUL |= np.uint64(1)
+
+
+def band_keys(h: np.ndarray) -> list[int]:
+    """A signed key for each band of the set's minimum hashes; none for an empty set."""
+    if not len(h):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(h), 1 << 12):
+        least = np.minimum(least, ((h[at : at + (1 << 12), None] ^ _XOR) * _MUL).min(0))
+    return np.array([xxhash.xxh64_intdigest(b.tobytes()) for b in least.reshape(BANDS, ROWS)], np.uint64).view(np.int64).tolist()
+
+
+def _sketches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, fps, keys = [], [], []
+            for t in b.column(1).cast(pa.large_binary()):
+                h = np.unique(shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else None, width))
+                names.append(xxhash.xxh3_128_hexdigest(h.tobytes()))
+                fps.append(simhash(h))
+                keys.append(band_keys(h))
+            new = [pa.array(names), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], ["id", "t", "name", "fp", "bands"])
+
+    return run
+
+
+def _alike(width: int, least: float):
+    def run(tile: pa.Table) -> pa.Table:
+        """Edges that connect the texts of a tile whose shingles have a Jaccard similarity of ``least`` or more."""
+        names = tile.column("name").to_pylist()
+        sets = [np.unique(shingle_hashes(t.encode() if t is not None else None, width)) for t in tile.column("t").to_pylist()]
+        f = np.array([simhash(h) for h in sets], np.uint64)
+        label, src, dst = np.arange(len(f)), [], []
+        for i, j in zip(*within(f, f, WIDE)):
+            if i >= j or label[i] == label[j]:
+                continue
+            x, y = sets[i], sets[j]
+            if min(len(x), len(y)) < least * max(len(x), len(y)):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both >= least * (len(x) + len(y) - both):
+                label[label == label[j]] = label[i]
+                src.append(names[i])
+                dst.append(names[j])
+        return pa.table({"src": pa.array(src, pa.string()), "dst": pa.array(dst, pa.string())})
+
+    return run
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8, cap: int = CAP, tile: int = TILE) -> DataFrame:
+    """``(id, component_id)`` of every row: the smallest id that links between texts reach whose distinct
+    ``width``-word shingles have a Jaccard similarity of ``least`` or more.
+
+    Texts that share a band of minimum hashes are compared by bit-sliced SimHash at a wide radius; what that links
+    are candidate groups, in which all pairs within the radius are then checked exactly. Equal shingle
+    sets are one member. Groups of over two ``tile`` members are compared in pairs of chunks, so a member of a group
+    of n is copied some n / ``tile`` times. Ids and empty texts are treated as in ``components``.
+    """
+    stage = Stage(docs.sparkSession, "similar")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
+    prints = stage.put(rows.mapInArrow(_sketches(width), "id bigint, t string, name string, fp bigint, bands array<bigint>"), "prints")
+    distinct = stage.put(prints.groupBy("name").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
+    tables = distinct.select("fp", F.posexplode("bands").alias("t", "k")).distinct()
+    sized = tables.groupBy("t", "k").agg(F.count("*").alias("m"), F.min("fp").alias("low")).where("m > 1")
+    shared = stage.put(tables.join(sized, ["t", "k"]), "shared")
+    edges = shared.where(F.col("m") <= cap).repartition("t", "k").select("t", "k", "fp").sortWithinPartitions("t", "k").mapInArrow(_compare(WIDE), "src bigint, dst bigint")
+    edges = edges.unionByName(shared.where(F.col("m") > cap).select(F.col("fp").alias("src"), F.col("low").alias("dst")))
+    found = connected_components(stage.put(edges.distinct(), "edges")).withColumnRenamed("node", "fp")
+    groups = distinct.join(found, "fp", "left").select("name", F.coalesce("component", "fp").alias("g"))
+    many = groups.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+    members = stage.put(groups.join(many, "g"), "members")
+    texts = join_dim(prints.select("name", "t"), members, "name", "inner").dropDuplicates(["name"])
+    chunks = F.when(F.col("m") <= 2 * tile, 1).otherwise(F.ceil(F.col("m") / tile)).cast("int")
+    texts = texts.withColumn("c", chunks).withColumn("a", F.expr("pmod(xxhash64(name), c)"))
+    texts = texts.withColumn("b", F.explode(F.expr("sequence(0, c - 1)")))
+    texts = texts.select(F.col("g"), F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "name", "t")
+    alike = stage.put(texts.groupBy("g", "x", "y").applyInArrow(_alike(width, least), "src string, dst string"), "alike")
+    linked = connected_components(alike).withColumnRenamed("node", "name")
+    named = distinct.select("name", "rep", "n").join(linked, "name", "left")
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("low"))
+    of = named.where("n > 1 or component is not null").join(lowest, "component", "left")
+    of = stage.put(of.select("name", F.coalesce("low", "rep").alias("component_id"), F.lit(True).alias("_grouped")), "of")
+    out = join_dim(prints.select("id", "name"), of, "name")
+    return out.select(F.col("id").alias(id_col), F.when(F.col("_grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """``keep_one`` by ``similar_components``."""
+    return _kept(docs, similar_components(docs, id_col, text, **how), id_col)

@@ -95,3 +95,39 @@ def test_edge_cases(spark):
     assert got == sorted([(4, 2), (2, 2), (9, 2), (None, None), (5, 5), (5, 5)], key=str)
     assert sorted((r.doc_id for r in N.keep_one(df).collect()), key=str) == [2, 5, 5, None]
     assert N.components(df.limit(0)).count() == 0
+
+
+def brute_similar(rows):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = frozenset(" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    comp = {i: i for i in sets}
+    same = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    pairs = [(a, b) for a in sets for b in sets if a < b and same(sets[a], sets[b])]
+    for _ in range(len(sets)):
+        for a, b in pairs:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    return comp
+
+
+def test_stage_keeps_one_of_five_word_jaccard_groups(spark):
+    """The pipeline's stage and small tiles and buckets, against all pairs."""
+    import corpus_pipeline
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(200, None), (201, " "), (202, "solo"), (203, "Solo")]
+    for b in range(12):
+        base = r.choices(words, k=r.choice([12, 60, 300]))
+        for c in range(8 if b else 30):
+            t = list(base)
+            for _ in range(r.randint(0, max(1, len(t) // 40))):
+                t[r.randrange(len(t))] = r.choice(words)
+            rows.append((len(rows), " ".join(t)))
+    comp = brute_similar(rows)
+    assert len(set(comp.values())) < len(rows) - 40
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x.doc_id for x in corpus_pipeline.dedup(spark, df, "").collect()) == sorted(set(comp.values()))
+    got = {x.doc_id: x.component_id for x in N.similar_components(df, cap=3, tile=4).collect()}
+    assert got == comp
