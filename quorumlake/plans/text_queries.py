@@ -70,9 +70,9 @@ def district_base(t):
 
 @query()
 def greedy_segment(t):
-    """Documents' first words cut into a small vocabulary's phrases, longest first."""
+    """Documents' words cut into a small vocabulary's phrases, longest first."""
     vocabulary = F.array(*map(F.lit, ["the", "of the", "in the", "and", "de la", "la", "der", "die"]))
-    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)), 1, 40)
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     d = t.documents.select("doc_id", words.alias("w")).select("doc_id", N.greedy_segments(F.col("w"), vocabulary).alias("s"))
     known = F.filter("s", lambda x: x["known"])
     return d.select("doc_id", F.array_join(F.transform(known, lambda x: x["phrase"]), "|").alias("phrases"), (F.size("s") - F.size(known)).alias("unknown"))
