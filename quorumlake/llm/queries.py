@@ -45,7 +45,8 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pictures of all embeddings are searched for edited pictures of those whose id is divisible by 100."""
+    """Pictures of all embeddings are searched for edited pictures of those whose id is divisible by 100: a row for
+    each picture and each query with its class of copies."""
     return media.search(table(spark, sf_dir, "embeddings"), every=100).withColumnRenamed("id", "vec_id")
 
 
