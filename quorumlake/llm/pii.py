@@ -4,13 +4,14 @@ E-mail addresses, phone, card and account numbers, social security numbers, IP a
 mapped by a keyed permutation (a Feistel network with cycle walking) of all values of the same format: each
 letter stays a letter of its case, each digit a digit, the rest as it is; a card keeps its issuer digit and
 whether its check digit holds. A permutation cannot merge two entities, and equal entities map alike in
-every document. Personal names, found by titles, become listed names of the same script and gender; names
-can collide, so all distinct entities go through a collision check, and the later one of two that
-met is drawn again until none meet.
-
-Scale: the texts pass twice through narrow maps, to find and to replace. Only distinct entities are
-shuffled for the check; the exceptions it makes, usually none, return by a join on the documents'
-ids. Nothing about the corpus is held in the driver.
+every document. Personal names, found by titles or listed given names, are drawn by a keyed hash
+from composed names of their role, script and gender, some billions each. What can collide
+(names, secrets of different alphabets) goes through a collision check; the later one of two that met is drawn again
+from a larger space until none meet.
+
+Scale: the texts pass twice through narrow maps, to check and to replace. The check shuffles keyed hashes of
+entities and of their surrogates, summed up by partition first; no personal value leaves its row, and nothing is staged. n distinct
+names of a kind meet some n^2 / 10^10 times; only those exceptions, up to ``MOST_AGAIN``, reach the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,8 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlake.plans.staging import Stage
-
 # ---------------------------------------------------------------- lists
 
 #: Titles before a name and the gender they tell (fixed values).
@@ -35,7 +35,7 @@ TITLES = {
     "f": "Mrs Ms Miss Frau Fr Madame Mme Mademoiselle Mlle Señora Sra Señorita Srta Doña г-жа госпожа Κυρία 女士".split(),
     "": "Dr Prof Professor Doctor".split(),
 }
-#: Given names by script and gender, and family names by script.
+#: Given names that tell a gender and, before a capitalised word, a person.
 GIVEN = {
     ("latin", "m"): "Adam Albert Anton Arthur Bruno Carl Daniel David Emil Eric Felix Frank Gabriel George Henry Hugo Ivan James Jonas Julian Leon Louis Lucas Marco Martin Max Michael Oliver Oscar Paul Peter Philip Robert Samuel Simon Theo Thomas Victor Walter William".split(),
     ("latin", "f"): "Alice Anna Astrid Barbara Clara Carla Caroline Diana Elena Elisa Emma Eva Flora Gloria Hannah Helena Ida Irene Julia Karin Laura Lena Lisa Lucia Maria Marta Mia Nina Nora Olga Paula Rita Rosa Sara Silvia Sofia Teresa Vera Victoria Zoe".split(),
@@ -46,18 +46,36 @@ GIVEN = {
     ("han", "m"): "伟 强 军 勇 杰 涛 明 超 刚 平".split(),
     ("han", "f"): "芳 娜 敏 静 丽 艳 娟 霞 秀 玲".split(),
 }
-FAMILY = {
-    "latin": "Ackerman Baker Bauer Becker Blanc Bishop Carter Castro Costa Dubois Evans Fischer Fontaine Garcia Gruber Hansen Hoffman Jansen Keller Kramer Lambert Larsen Lopez Marsh Meyer Moreau Morgan Navarro Nielsen Novak Olsen Palmer Petit Ramos Richter Romero Santos Schmidt Turner Vega Vogel Wagner Weber Winter".split(),
-    "cyrillic": "Волков Зайцев Козлов Лебедев Морозов Новиков Орлов Павлов Смирнов Соколов".split(),
-    "greek": "Γεωργίου Δημητρίου Ιωάννου Κωνσταντίνου Νικολάου Παπαδόπουλος Πέτρου Χατζής".split(),
-    "han": "王 李 张 刘 陈 杨 黄 赵 吴 周".split(),
+#: Parts of composed names by script: first, second and third letters of a syllable, and the ends of family names and
+#: of given names by gender.
+SYLLABLES = {
+    "latin": ("b br d dr f fl g gr h j k kl l m n p pr r s st t tr v w".split(), "a e i o u".split(), ["", "l", "m", "n", "r", "s"]),
+    "cyrillic": ("б в г д ж з к л м н п р с т ф х".split(), "а е и о у".split(), ["", "л", "м", "н", "р", "с"]),
+    "greek": ("β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ".split(), "α ε η ι ο".split(), ["", "λ", "μ", "ν", "ρ", "σ"]),
+}
+ENDS = {
+    ("latin", "family"): "bach berg burg dale feld ford hof holm ler lund mann ner sen son stein tal ton well wood worth".split(),
+    ("latin", "m"): "ald an ard el er ert ik in is o on us".split(),
+    ("latin", "f"): "a ana ella elle ena etta ia ie ina ine isa ora".split(),
+    ("cyrillic", "family"): "ов ев ин".split(),
+    ("cyrillic", "m"): "ан ей ий ил ис ор".split(),
+    ("cyrillic", "f"): "ана ена ина ира ия ея".split(),
+    ("greek", "family"): "άκης άτος ίδης ίου όπουλος".split(),
+    ("greek", "m"): "ας ης ος".split(),
+    ("greek", "f"): "α η ω".split(),
 }
+#: Chinese family names, a closed list, and the ends of given names by gender (those of GIVEN).
+HAN_FAMILY = "王 李 张 刘 陈 杨 黄 赵 吴 周".split()
+HAN = 0x4E00, 20902
+#: Feminine and base ends of Russian family names (fixed values).
+FEMININE = (("ова", "ов"), ("ева", "ев"), ("ёва", "ёв"), ("ина", "ин"), ("ына", "ын"))
 _GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
 
 # ---------------------------------------------------------------- detection
 
 _NAME = r"[^\W\d_]*[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][^\W\d_]+)?"
 _TITLE = "|".join(sorted((re.escape(t) for g in TITLES.values() for t in g if not "一" <= t[0] <= "鿿"), key=len, reverse=True))
+_KNOWN = "|".join(sorted((n for (script, _), names in GIVEN.items() if script != "han" for n in names), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"),
@@ -68,6 +86,7 @@ PATTERNS = {
     "ssn": re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d-]|\.\d)|(?<![\w.])\+\d{7,15}(?!\d)"),
     "person": re.compile(rf"(?<!\w)({_TITLE})\.?\s+({_NAME}(?:\s+{_NAME}){{0,2}})|(王|李|张|刘|陈|杨|黄|赵|吴|周)([一-鿿]{{1,2}})(先生|女士)"),
+    "named": re.compile(rf"(?<![\w-])(?:{_KNOWN})(?:[ \u00a0]+{_NAME}){{1,2}}(?![\w-])"),
 }
 _DIGIT = re.compile(r"\d")
 #: What a text must contain for a pattern to be tried: cheap searches that spare most texts the patterns. Each is a
@@ -104,7 +123,7 @@ def _secretive(text: str) -> bool:
 
 def _worth(text: str) -> set[str]:
     """Types whose pattern may match."""
-    kinds = {"email"} if "@" in text else set()
+    kinds = {"email", "named"} if "@" in text else {"named"}
     if _DIGIT.search(text):
         kinds |= {"secret", "iban", "card", "ipv4", "ssn", "phone"}
     elif _secretive(text):
@@ -145,35 +164,43 @@ def _addresses(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
             yield m
 
 
+class _Spans:
+    """Taken spans, none overlapping, in order."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def take(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, a)
+        if i and self.ends[i - 1] > a or i < len(self.starts) and self.starts[i] < b:
+            return False
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+        return True
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, type, value)`` in order, none overlapping; the earlier type of PATTERNS wins.
 
-    A value is what co-refers: lower-case addresses, digits without separators, a name part with its
-    role, script and gender (the parts of a name found by its title are found again in the rest of the text).
+    A value is what co-refers: lower-case addresses, digits without separators, a part of a name with its role, script and
+    gender (parts of a name found once are found again in the rest of the text). A given name's gender is its
+    title's, else that of the first title that the text gives to it, else the listed one, else one by a hash: a text
+    without conflicting titles has one gender and so one surrogate a name.
     """
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for x, y in taken)
-
+    spans = _Spans()
+    names: list[tuple[int, int, str, str, str]] = []  # start, end, role, word, the title's gender
     worth = _worth(text)
-    parts: dict[str, str] = {}
     for kind, pattern in PATTERNS.items():
         if kind not in worth:
             continue
         for m in _addresses(pattern, text) if kind == "email" else pattern.finditer(text):
+            if kind in ("person", "named"):
+                names += [x for x in _name_parts(m, kind) if spans.take(*x[:2])]
+                continue
             g = next((i for i in range(1, (m.re.groups or 0) + 1) if m.group(i)), 0) if kind == "secret" else 0
             a, b = m.span(g)
-            if kind == "person":
-                for s, e, value in _name_parts(m):
-                    if free(s, e):
-                        parts.setdefault(text[s:e], value)
-                        taken.append((s, e))
-                        found.append((s, e, kind, value))
-                continue
-            if not free(a, b):
-                continue
             value = text[a:b]
             if kind == "email":
                 value = value.lower()
@@ -183,32 +210,67 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                     continue
             elif kind == "iban":
                 value = value.replace(" ", "")
-            taken.append((a, b))
-            found.append((a, b, kind, value))
-    if parts:
-        again = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, parts), key=len, reverse=True)) + r")(?!\w)")
-        for m in again.finditer(text):
-            if free(*m.span()):
-                found.append((*m.span(), "person", parts[m[0]]))
+            if spans.take(a, b):
+                found.append((a, b, kind, value))
+    if not names:
+        return sorted(found)
+    titled: dict[str, str] = {}
+    for _, _, role, word, gender in names:
+        if role == "given" and gender:
+            titled.setdefault(word.lower(), gender)
+    parts: dict[str, str] = {}
+    whole: dict[str, list[tuple[int, int, str]]] = {}  # Chinese names, which stand in no spaces
+    for k, (a, b, role, word, gender) in enumerate(names):
+        value = _name_value(role, word, gender or titled.get(word.lower(), ""))
+        for form in _forms(role, word):
+            parts.setdefault(form, value)
+        found.append((a, b, "person", value))
+        if role == "given" and script_of(word) == "han" and k and names[k - 1][1] == a:
+            whole.setdefault(text[names[k - 1][0] : b], [(0, 1, found[-2][3]), (1, b - a + 1, value)])
+    for m in re.finditer(r"\w+", text):
+        if m[0] in parts and spans.take(*m.span()):
+            found.append((*m.span(), "person", parts[m[0]]))
+    for name, each in whole.items():
+        at = text.find(name)
+        while at >= 0:
+            if spans.take(at, at + len(name)):
+                found += [(at + a, at + b, "person", value) for a, b, value in each]
+            at = text.find(name, at + 1)
     return sorted(found)
 
 
-def _name_parts(m: re.Match) -> list[tuple[int, int, str]]:
-    if m[3]:  # a Chinese name with its title behind
-        gender = "m" if m[5] == "先生" else "f"
-        return [(*m.span(3), f"family:han::{m[3]}"), (*m.span(4), f"given:han:{gender}:{m[4]}")]
-    gender = next((g for g, titles in TITLES.items() if m[1] in titles), "")
-    words = [(m.start(2) + w.start(), m.start(2) + w.end(), w[0]) for w in re.finditer(r"\S+", m[2])]
+def _name_parts(m: re.Match, kind: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, role, word, the title's gender) of the words of a name; both sides of a hyphen are words."""
+    if kind == "person" and m[3]:  # a Chinese name with its title behind
+        return [(*m.span(3), "family", m[3], ""), (*m.span(4), "given", m[4], "m" if m[5] == "先生" else "f")]
+    start, text = (m.start(2), m[2]) if kind == "person" else (m.start(), m[0])
+    gender = next((g for g, titles in TITLES.items() if m[1] in titles), "") if kind == "person" else ""
+    words = list(re.finditer(r"\S+", text))
     out = []
-    for i, (s, e, w) in enumerate(words):
-        last = i == len(words) - 1
-        if last:
-            out.append((s, e, f"family:{script_of(w)}::{w.lower()}"))
-        else:
-            out.append((s, e, f"given:{script_of(w)}:{_GENDER.get(w.lower(), gender) if not gender else gender}:{w.lower()}"))
+    for i, w in enumerate(words):
+        role = "family" if i == len(words) - 1 else "given"
+        out += [(start + w.start() + x.start(), start + w.start() + x.end(), role, x[0], gender) for x in re.finditer("[^-]+", w[0])]
     return out
 
 
+def _forms(role: str, word: str) -> list[str]:
+    """A word and, of a Russian family name, the form of the other gender."""
+    if role == "given" or script_of(word) != "cyrillic":
+        return [word]
+    other = next((word[: -len(a)] + b for a, b in FEMININE if word.endswith(a)), None)
+    return [word, other or word + "а"]
+
+
+def _name_value(role: str, word: str, gender: str) -> str:
+    low, script = word.lower(), script_of(word)
+    if role == "given":
+        gender = gender or _GENDER.get(low) or "mf"[hashlib.sha256(low.encode()).digest()[0] & 1]
+        return f"given:{script}:{gender}:{low}"
+    if script == "cyrillic":  # a woman's family name is her husband's or father's with another end
+        low = next((low[: -len(a)] + b for a, b in FEMININE if low.endswith(a)), low)
+    return f"family:{script}::{low}"
+
+
 # ---------------------------------------------------------------- keyed permutations
 
 
@@ -255,20 +317,35 @@ def reshape(key: bytes, tweak: str, value: str, classes=_CLASSES) -> str:
 _HEX = ("0123456789abcdef",), ("0123456789ABCDEF",)
 
 
+def _name(key: bytes, value: str, attempt: int) -> str:
+    """A composed name of three syllables, one more with each attempt; a Chinese one has two characters and more."""
+    role, script, gender, low = value.split(":", 3)
+    n = _prf(key, f"person:{attempt}", value)
+    if script == "han":
+        if role == "family":
+            at = HAN_FAMILY.index(low)
+            return HAN_FAMILY[permute(key, "han", at, len(HAN_FAMILY))]
+        out = ""
+        for _ in range(attempt + 1):
+            n, c = divmod(n, HAN[1])
+            out += chr(HAN[0] + c)
+        ends = GIVEN["han", gender]
+        return out + ends[n % len(ends)]
+    out = ""
+    for _ in range(attempt + 3):
+        for letters in SYLLABLES[script]:
+            n, c = divmod(n, len(letters))
+            out += letters[c]
+    ends = ENDS[script, gender or role]
+    return (out + ends[n % len(ends)]).capitalize()
+
+
 @lru_cache(100_000)
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a canonical value; ``attempt`` draws another one after a collision."""
     tweak = f"{kind}:{attempt}"
     if kind == "person":
-        role, script, gender, _ = value.split(":", 3)
-        gender = gender or "mf"[_prf(key, "gender", value) & 1]
-        names = FAMILY[script] if role == "family" else GIVEN[script, gender]
-        n = _prf(key, tweak, value)
-        picked = [names[n % len(names)]]
-        for _ in range(attempt):  # compounds: the space grows with every attempt
-            n //= len(names)
-            picked.append(names[n % len(names)])
-        return ("" if script == "han" else "-").join(picked)
+        return _name(key, value, attempt)
     if kind == "email":
         local, _, domain = value.partition("@")
         labels, _, top = domain.rpartition(".")
@@ -285,8 +362,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         low, size = (0, 224 << 24) if public else (224 << 24, 32 << 24)
         n = low + permute(key, f"{tweak}:{public}", n - low, size)
         return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
-    if kind == "phone" and len(value) > 10:
-        return value[:-10] + reshape(key, f"{tweak}:{value[:-10]}", value[-10:])
+    if kind == "phone":  # the last ten digits alike with and without a country's code
+        return value[:-10] + reshape(key, tweak, value[-10:])
     if kind == "iban":
         return value[:2] + reshape(key, tweak + value[:2], value[2:])
     if kind == "secret":
@@ -303,16 +380,29 @@ def dress(kind: str, original: str, new: str) -> str:
         return "".join(next(it) if c.isalnum() else c for c in original)
     if kind == "email":
         return "".join(b.upper() if a.isupper() else b for a, b in zip(original, new))
-    if kind == "person" and original.isupper() and len(original) > 1:
-        return new.upper()
+    if kind == "person":
+        low = original.lower()
+        if script_of(low) == "cyrillic" and new.endswith(tuple(ENDS["cyrillic", "family"])) and low.endswith(tuple(a for a, _ in FEMININE)):
+            new += "а"
+        return new.upper() if original.isupper() and len(original) > 1 else new
     return new
 
 
-def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int] | None = None) -> tuple[str, list[tuple[int, int, str]]]:
-    """The text with surrogates and the new spans ``(start, end, type)``."""
+def entity_hash(key: bytes, kind: str, value: str) -> bytes:
+    """What stands for an entity outside its row: nothing can be read from it without the key."""
+    return hmac.new(key, f"entity\0{kind}\0{value}".encode(), hashlib.sha256).digest()[:16]
+
+
+#: Types whose surrogates can collide; the others are permutations.
+DRAWN = ("person", "secret")
+
+
+def replace(text: str, key: bytes, again: dict[bytes, int] | None = None) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with surrogates and the new spans ``(start, end, type)``; ``again`` has the attempts of entities that collided."""
     out, spans, at, size = [], [], 0, 0
     for a, b, kind, value in detect(text):
-        new = dress(kind, text[a:b], surrogate(key, kind, value, (attempts or {}).get((kind, value), 0)))
+        attempt = again.get(entity_hash(key, kind, value), 0) if again and kind in DRAWN else 0
+        new = dress(kind, text[a:b], surrogate(key, kind, value, attempt))
         out += [text[at:a], new]
         size += a - at
         spans.append((size, size + len(new), kind))
@@ -325,92 +415,81 @@ def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int] | None =
 
 # ---------------------------------------------------------------- over tables
 
+#: Entities that may be drawn again; they are kept in the driver and sent to every task (some 100 bytes each).
+MOST_AGAIN = 1_000_000
 
-def entities(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, type, value)`` of the entities of each document, once each."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, kinds, values = [], [], []
-            for i, t in zip(b.column(0), b.column(1)):
-                if t.is_valid and (got := {x[2:] for x in detect(t.as_py())}):
-                    ids += [i.as_py()] * len(got)
-                    kinds += [k for k, _ in got]
-                    values += [v for _, v in got]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["id", "type", "value"])
+def _scope(kind: str, value: str) -> str:
+    """Where surrogates must differ: a type, of names also their role."""
+    return f"person:{value.split(':', 1)[0]}" if kind == "person" else kind
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id bigint, type string, value string")
 
+def _met(docs: DataFrame, key: bytes, text: str, again: dict[bytes, int]) -> DataFrame:
+    """``(entity, attempt)`` of all but the first of the distinct entities that share a surrogate."""
 
-def _drawn(distinct: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([surrogate(key, k, v, a) for k, v, a in rows], pa.string())], ["type", "value", "attempt", "surrogate"])
-
-    return distinct.select("type", "value", "attempt").mapInArrow(run, "type string, value string, attempt int, surrogate string")
+            seen = set()
+            for t in b.column(0):
+                if t.is_valid:
+                    seen |= {x[2:] for x in detect(t.as_py()) if x[2] in DRAWN}
+            rows = []
+            for kind, value in seen:
+                e = entity_hash(key, kind, value)
+                attempt = again.get(e, 0)
+                new = f"{_scope(kind, value)}\0{surrogate(key, kind, value, attempt)}"
+                rows.append((hashlib.sha256(new.encode()).digest()[:16], attempt, e))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.binary(), pa.int32(), pa.binary()))], ["s", "attempt", "e"])
+
+    drawn = docs.select(F.col(text).alias("t")).mapInArrow(run, "s binary, attempt int, e binary").distinct()
+    met = drawn.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("attempt", "e"))).alias("es")).where(F.size("es") > 1)
+    return met.select(F.explode(F.slice("es", 2, F.size("es"))).alias("x")).select("x.e", "x.attempt")
+
+
+def collisions(docs: DataFrame, key: bytes, text: str = "text", most: int = MOST_AGAIN, most_rounds: int = 20) -> dict[bytes, int]:
+    """Attempts, by ``entity_hash``, of the entities that must be drawn again, so that no two distinct entities of a
+    type (names: of a role) share a surrogate. Of those that met the one with the fewest attempts, then the smallest
+    hash, keeps its surrogate. A round more is read only if some met. Over ``most`` exceptions are an error."""
+    again: dict[bytes, int] = {}
+    for _ in range(most_rounds):
+        met = _met(docs, key, text, again).limit(most + 1).toArrow()
+        if not met.num_rows:
+            return again
+        again |= {e: a + 1 for e, a in zip(met["e"].to_pylist(), met["attempt"].to_pylist())}
+        if len(again) > most:
+            raise ValueError(f"over {most} entities collide")
+    raise RuntimeError("surrogates still collide")
 
 
-def collisions(found: DataFrame, key: bytes, most_rounds: int = 50) -> DataFrame:
-    """``(type, value, attempt)`` of the entities that must be drawn again, so that no two distinct
-    entities of a type (names: of a role) share a surrogate. Usually empty."""
-    stage = Stage(found.sparkSession, "pii")
-    scope = F.concat_ws(":", "type", F.when(F.col("type") == "person", F.substring_index("value", ":", 1)))
-    drawn = stage.put(_drawn(found.select("type", "value").distinct().withColumn("attempt", F.lit(0)), key), "drawn")
-    for _ in range(most_rounds):
-        first = drawn.groupBy(scope.alias("_scope"), "surrogate").agg(F.min(F.struct("attempt", "value")).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-        met = drawn.withColumn("_scope", scope).join(first, ["_scope", "surrogate"]).where(F.struct("attempt", "value") != F.col("_first"))
-        met = stage.put(met.select("type", "value", "attempt"), "met")
-        if met.isEmpty():
-            break
-        again = _drawn(met.withColumn("attempt", F.col("attempt") + 1), key)
-        rest = drawn.join(met.select("type", "value"), ["type", "value"], "left_anti")
-        drawn = stage.put(rest.unionByName(again), "drawn")
-        stage.drop("drawn", keep_last=True)
-    else:
-        raise RuntimeError("surrogates still collide")
-    return drawn.where("attempt > 0").select("type", "value", "attempt")
-
-
-def anonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text", check: bool = True) -> DataFrame:
+def anonymise(docs: DataFrame, key: bytes, text: str = "text", check: bool = True) -> DataFrame:
     """``docs`` with its texts' entities replaced (``n_chars``, if there, follows), plus
     ``pii_spans array<struct<start,end,type>>``: where surrogates lie, in code points of the new text.
 
     Defined cases: a null text stays null with no spans; an empty text stays empty; equal entities get
-    equal surrogates in all rows, repeated rows included; an empty table gives no rows; a column of the
-    input named pii_spans is replaced.
+    equal surrogates in all rows, whatever their ids, null and repeated ones included; an empty table gives no rows; a
+    column of the input named pii_spans is replaced, all others are kept. A text is worked on whole, in time in
+    proportion to its length and the logarithm of its entities.
     """
+    if not key:
+        raise ValueError("a key is needed")
     cols = [c for c in docs.columns if c != "pii_spans"]
-    rows = docs.select(*cols)
-    attempts = None
-    if check:
-        stage = Stage(docs.sparkSession, "pii")
-        found = stage.put(entities(docs, id_col, text), "found")
-        again = stage.put(collisions(found, key), "again")
-        if not again.isEmpty():
-            mine = found.join(again, ["type", "value"]).groupBy("id").agg(F.collect_list(F.struct("type", "value", "attempt")).alias("_attempts"))
-            mine = stage.put(mine, "attempts").withColumnRenamed("id", "_attempt_id")
-            few = mine.limit(20_001).count() <= 20_000  # one row a document; its entities are bounded by its text
-            rows = rows.join(F.broadcast(mine) if few else mine, F.col(id_col) == F.col("_attempt_id"), "left").drop("_attempt_id")
-            attempts = "_attempts"
-    return _apply(rows, cols, key, text, attempts)
-
-
-def _apply(rows: DataFrame, cols: list[str], key: bytes, text: str, attempts: str | None) -> DataFrame:
+    return _apply(docs.select(*[F.col(f"`{c}`") for c in cols]), cols, key, text, collisions(docs, key, text) if check else {})
+
+
+def _apply(rows: DataFrame, cols: list[str], key: bytes, text: str, again: dict[bytes, int]) -> DataFrame:
     at, n_chars = cols.index(text), cols.index("n_chars") if "n_chars" in cols else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("type", pa.string())]))
         for b in batches:
             out, spans, sizes = [], [], []
-            drawn = b.column(b.num_columns - 1).to_pylist() if attempts else [None] * b.num_rows
-            for t, again in zip(b.column(at).to_pylist(), drawn):
-                new, where = (t, []) if t is None else replace(t, key, {(x["type"], x["value"]): x["attempt"] for x in again or ()})
+            for t in b.column(at).to_pylist():
+                new, where = (t, []) if t is None else replace(t, key, again)
                 out.append(new)
                 spans.append([{"start": s, "end": e, "type": k} for s, e, k in where])
                 sizes.append(None if new is None else len(new))
-            arrays = list(b.columns[: len(cols)])
-            arrays[at] = pa.array(out, pa.string())
+            arrays = list(b.columns)
+            arrays[at] = pa.array(out, b.schema.field(at).type)
             if n_chars is not None:
                 arrays[n_chars] = pa.array(sizes, pa.int64()).cast(b.schema.field(n_chars).type)
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(spans, spans_type)], [*cols, "pii_spans"])

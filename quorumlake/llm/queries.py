@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,18 @@ from quorumlake.llm import bpe, fingerprints, importance, language_id, licenses,
 from quorumlake.plans.shipping import ship
 from quorumlake.plans.staging import Stage, new_path
 
-#: Demonstration key of the surrogates; a real run passes its own secret in this setting.
-KEY_SETTING, DEMO_KEY = "spark.quorumlake.pii.key", "surrogates-1"
+#: A run over real data passes its own secret in this setting. The published key is for the synthetic tables alone:
+#: whoever knows a key can undo its surrogates.
+KEY_SETTING, PUBLISHED_KEY = "spark.quorumlake.pii.key", "published-key-of-the-synthetic-tables"
 TOKENS = "byte_bpe_multi_50k.tiktoken"
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    return spark.conf.get(KEY_SETTING, DEMO_KEY).encode()
+    """The session's key; without one the published key, with a warning."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: surrogates are made with a published key", stacklevel=2)
+    return (key or PUBLISHED_KEY).encode()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

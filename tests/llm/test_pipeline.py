@@ -6,7 +6,7 @@ import tiktoken
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from quorumlake.llm import bpe, mixing, near_dedup, pii
-from quorumlake.llm.queries import DEMO_KEY, TOKENS
+from quorumlake.llm.queries import PUBLISHED_KEY, TOKENS
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,7 +50,7 @@ def test_surrogates(stages):
     text = {r.doc_id: r.text for r in new}
     assert len(text) == len(old)
     for r in old:
-        assert text[r.doc_id] == pii.replace(r.text, DEMO_KEY.encode())[0]
+        assert text[r.doc_id] == pii.replace(r.text, PUBLISHED_KEY.encode())[0]
         for a, b, _, _ in pii.detect(r.text):
             assert r.text[a:b] not in text[r.doc_id]
 
