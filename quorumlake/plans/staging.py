@@ -15,10 +15,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where that is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset a local session, as in tests, gets a folder of its own;
+    on a cluster, whose machines would not see one another's, that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="quorumlake-")
