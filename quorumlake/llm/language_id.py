@@ -185,8 +185,8 @@ def documents(docs: DataFrame, languages: list[str] = ("de", "en", "es", "fr"))
 def accepted(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` but for the ids of which no row is kept; rows without id stay."""
     gone = found.groupBy(id_col).agg(F.max("keep").alias("_kept")).where("not _kept").select(id_col)
-    gone = Stage(docs.sparkSession, "language").put(gone, "rejected").withColumn("_gone", F.lit(True))
-    return join_dim(docs, gone, id_col).where("_gone is null").select(*docs.columns)
+    gone = Stage(docs.sparkSession, "language").put(gone, "rejected")
+    return join_dim(docs, gone, id_col, "left_anti")
 
 
 def pages(table: DataFrame, model: TrigramModel) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quorumlake.operators.ordering import global_rank
 from quorumlake.plans.staging import Stage
 
+
 def word_count(text: Column) -> Column:
     """Maximal runs of characters outside [\\x20\\x09-\\x0D]; 0 for null or empty text."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
@@ -48,9 +49,11 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, cap: floa
     return ranked.withColumn("target", target)
 
 
-def random_key(id_col: str, seed: str) -> Column:
-    """Hex digest of the seed and the id: a key that any rerun and any engine gives again."""
-    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+def random_key(id_col: str, seed: str, text: Column | None = None) -> Column:
+    """Hex digest of the seed and the id: a key that any rerun and any engine gives again. A null id has the
+    digest of the text's hash instead, so that rows without id spread over the slices."""
+    instead = F.lit("") if text is None else F.concat(F.lit("text:"), F.xxhash64(text).cast("string"))
+    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), instead)))
 
 
 def mix(
@@ -68,15 +71,15 @@ def mix(
     A source's budget is its target rounded down; all its documents are taken as often as whole
     epochs fit, then in the order of their random keys until the budget ends, the last of them in part.
     Defined cases: null text has size 0; a null source is a source of its own; repeated ids count
-    as separate rows, ordered by key, then id, then size (equal rows are interchangeable), then by
+    as separate rows, ordered by key (of a null id: its text's), then id, then size (equal rows are interchangeable), then by
     ``row_col``, a unique column that is kept in the result if given; a mix
     without words takes 0 everywhere; an empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
     size = word_count(F.col("text")) if size is None else size
     row = [F.col(row_col).alias("_row")] if row_col else []
-    slim = docs.select(*row, F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
-    slim = slim.select("*", random_key("_id", seed).alias("_key"))
+    key = random_key(id_col, seed, F.col("text") if "text" in docs.columns else None)
+    slim = docs.select(*row, F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"), key.alias("_key"))
     stage = Stage(spark, "mix")
     slim = stage.put(slim, "sizes")
     n = slim.count()
@@ -102,26 +105,36 @@ def mix(
     return joined.select(*kept, F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.alias("taken"))
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` as the mix takes them: a row an epoch, none where nothing is taken, and the
-    document at its source's cut shortened to the words that still fit. Needs unique ids without null; see ``mixed_rows``."""
-    cols = docs.columns
-    m = mixed.select(F.col(id_col), F.col("size").alias("_size"), F.col("taken").alias("_taken")).where("_taken > 0")
+    document at its source's cut shortened to the words that still fit. Needs unique ids without null (see ``mixed_rows``
+    for any others); a null or empty text is never taken; all columns of ``docs`` are kept, whatever their names."""
+    cols = [f"`{c}`" for c in docs.columns]
+    size, taken, pos, copy, keep = (_unused(docs, c) for c in ("_size", "_taken", "_pos", "_copy", "_words"))
+    m = mixed.select(F.col(id_col), F.col("size").alias(size), F.col("taken").alias(taken)).where(F.col(taken) > 0)
     d = docs.join(m, id_col)
-    copy = F.posexplode(F.expr("sequence(0L, (_taken - 1) div _size)"))
-    d = d.select("*", copy.alias("_pos", "_copy"))
-    words = F.least(F.col("_taken") - F.col("_copy") * F.col("_size"), F.col("_size"))
-    head = F.expr(r"array_join(slice(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(_words as int)), '')")
-    d = d.withColumn("_words", words)
-    text = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col("text"))
-    out = {"text": text}
-    if "n_chars" in cols:
-        out["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in cols])
+    d = d.select("*", F.posexplode(F.expr(f"sequence(0L, ({taken} - 1) div {size})")).alias(pos, copy))
+    words = F.least(F.col(taken) - F.col(copy) * F.col(size), F.col(size))
+    head = F.expr(rf"array_join(slice(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast({keep} as int)), '')")
+    d = d.withColumn(keep, words)
+    text = F.when(F.col(keep) < F.col(size), head).otherwise(F.col("text"))
+    out = {"`text`": text.alias("text")}
+    if "n_chars" in docs.columns:
+        out["`n_chars`"] = F.length(text).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return d.select(*[out.get(c, F.col(c)) for c in cols])
 
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """``docs`` as their mix takes them, whatever their ids: rows with a null or repeated id are rows of
     their own. Rows are told apart by a key made once and staged with them."""
-    rows = Stage(docs.sparkSession, "mix").put(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "rows")
-    return apply_mix(rows, mix(rows, row_col="_mix_row", **how), "_mix_row").select(*docs.columns)
+    row = _unused(docs, "_mix_row")
+    rows = Stage(docs.sparkSession, "mix").put(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    return apply_mix(rows, mix(rows, row_col=row, **how), row).select(*[f"`{c}`" for c in docs.columns])

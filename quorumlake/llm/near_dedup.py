@@ -250,8 +250,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how)
 
 def _kept(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
     dropped = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("_kept")).where("not _kept").select(id_col)
-    dropped = Stage(docs.sparkSession, "dedup").put(dropped, "dropped").withColumn("_dropped", F.lit(True))
-    return join_dim(docs, dropped, id_col).where("_dropped is null").select(*docs.columns)
+    dropped = Stage(docs.sparkSession, "dedup").put(dropped, "dropped")
+    return join_dim(docs, dropped, id_col, "left_anti")
 
 
 def hexadecimal(fp):

@@ -93,3 +93,13 @@ def test_rows_without_or_with_repeated_ids(spark):
         assert sum(sum(n) for i, n in got.items() if rows[i][2] == p.source) == p.t
     assert all(sum(n) <= 2 * (i % 6 + 1) for i, n in got.items())
     assert any(rows[i][0] is None for i in got)
+
+
+def test_clashing_columns(spark):
+    rows = [(i, "a b c", "s", i, "k", i, 7, 8, 9) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _size long, _taken string, _mix_row int, _words int, _pos int, _copy int")
+    got = mixing.mixed_rows(docs)
+    assert got.columns == docs.columns
+    out = got.collect()
+    assert sum(len(r.text.split()) for r in out) == 90 and all((r._size, r._taken, r._mix_row, r._words) == (r.doc_id, "k", r.doc_id, 7) for r in out)
+    assert mixing.mixed_rows(docs.limit(0)).count() == 0

@@ -90,7 +90,8 @@ def test_chain_links_and_hot_bucket(spark):
 
 
 def test_edge_cases(spark):
-    df = spark.createDataFrame([(4, None), (2, ""), (9, " "), (None, "a b c"), (5, "solo"), (5, "solo")], "doc_id long, text string")
+    rows = [(4, None, 1), (2, "", 1), (9, " ", 1), (None, "a b c", 1), (5, "solo", 1), (5, "solo", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _dropped int")
     got = sorted(((r.doc_id, r.component_id) for r in N.components(df).collect()), key=str)
     assert got == sorted([(4, 2), (2, 2), (9, 2), (None, None), (5, 5), (5, 5)], key=str)
     assert sorted((r.doc_id for r in N.keep_one(df).collect()), key=str) == [2, 5, 5, None]
