@@ -264,7 +264,12 @@ def hexadecimal(fp):
 WIDE = 24
 #: 16 bands of 4 minima: a pair at 0.8 shares one with a probability of 0.9998.
 BANDS, ROWS = 16, 4
-TILE = 256
+#: Texts of a chunk of a large group; two are compared at once.
+TILE = 128
+#: Leaders that a large group is compared with before its chunks are.
+LEADERS = 3
+#: Bytes of leaders' texts that may be sent to every executor.
+BROADCAST_BYTES = 32 << 20
 _XOR, _MUL = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 _MUL |= np.uint64(1)
 
@@ -294,21 +299,30 @@ def _sketches(width: int):
     return run
 
 
+def _shingle_set(text: str | None, width: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text.encode() if text is not None else None, width))
+
+
+def _similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of ``least`` or more."""
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both)
+
+
 def _alike(width: int, least: float):
     def run(tile: pa.Table) -> pa.Table:
-        """Edges that connect the texts of a tile whose shingles have a Jaccard similarity of ``least`` or more."""
-        names = tile.column("name").to_pylist()
-        sets = [np.unique(shingle_hashes(t.encode() if t is not None else None, width)) for t in tile.column("t").to_pylist()]
+        """Edges that connect the texts of a tile whose shingles have a Jaccard similarity of ``least`` or more;
+        those that one leader has linked before are not compared."""
+        names, led = tile.column("name").to_pylist(), tile.column("led").to_pylist()
+        sets = [_shingle_set(t.as_py(), width) for t in tile.column("t")]
         f = np.array([simhash(h) for h in sets], np.uint64)
-        label, src, dst = np.arange(len(f)), [], []
+        first: dict[str, int] = {}
+        label = np.array([i if of is None else first.setdefault(of, i) for i, of in enumerate(led)], np.int64)
+        src, dst = [], []
         for i, j in zip(*within(f, f, WIDE)):
-            if i >= j or label[i] == label[j]:
-                continue
-            x, y = sets[i], sets[j]
-            if min(len(x), len(y)) < least * max(len(x), len(y)):
-                continue
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both >= least * (len(x) + len(y) - both):
+            if i < j and label[i] != label[j] and _similar(sets[i], sets[j], least):
                 label[label == label[j]] = label[i]
                 src.append(names[i])
                 dst.append(names[j])
@@ -317,14 +331,77 @@ def _alike(width: int, least: float):
     return run
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8, cap: int = CAP, tile: int = TILE) -> DataFrame:
+def _near_leader(width: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whether each text is similar to its group's leader."""
+        last, of = None, None
+        for b in batches:
+            near = []
+            for name, leader, t, lt in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), b.column(4)):
+                if leader != last:
+                    last, of = leader, _shingle_set(lt.as_py(), width)
+                near.append(name == leader or _similar(_shingle_set(t.as_py(), width), of, least))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(near, pa.bool_())], ["g", "name", "leader", "near"])
+
+    return run
+
+
+def _led(held: DataFrame, width: int, least: float, tile: int, rounds: int) -> tuple[DataFrame, DataFrame | None]:
+    """``held`` (g, m, name, t) with ``led``, the leader that a text of a group of over two ``tile`` texts is similar to or
+    null, and the edges to the leaders. A group has up to ``rounds`` leaders, each the first of those that none had linked."""
+    stage = Stage(held.sparkSession, "similar")
+    rest = held.where(F.col("m") > 2 * tile).select("g", "name", "t")
+    found = None
+    for _ in range(rounds):
+        lead = rest.groupBy("g").agg(F.min("name").alias("leader"), F.count("*").alias("_n")).where(F.col("_n") > 2 * tile)
+        lead = stage.put(lead.join(held.select(F.col("name").alias("leader"), F.col("t").alias("lt")), "leader").select("g", "leader", "lt"), "lead")
+        n, size = lead.agg(F.count("*"), F.sum(F.octet_length("lt"))).first()
+        if not n:
+            break
+        pairs = rest.join(F.broadcast(lead) if (size or 0) <= BROADCAST_BYTES else lead, "g")
+        near = pairs.select("g", "name", "leader", "t", "lt").mapInArrow(_near_leader(width, least), "g bigint, name string, leader string, near boolean")
+        near = stage.put(near, "near")
+        hit = near.where("near").select("name", "leader")
+        found = hit if found is None else found.unionByName(hit)
+        rest = rest.join(near.where("not near").select("name"), "name").select("g", "name", "t")
+    if found is None:
+        return held.withColumn("led", F.lit(None).cast("string")), None
+    found = stage.put(found, "led")
+    out = held.join(found.withColumnRenamed("leader", "led"), "name", "left")
+    return out, found.where("name <> leader").select(F.col("name").alias("src"), F.col("leader").alias("dst"))
+
+
+def _tiles(led: DataFrame, tile: int) -> DataFrame:
+    """``(g, x, y, name, t, led)``: each text in the tiles of its group. A small group is one tile. Of a large one the texts of the
+    leader with most of them need no comparison with one another: their chunks meet the chunks of the rest alone,
+    and those all of one another. A group that its leader links whole has no tile."""
+    stage = Stage(led.sparkSession, "similar")
+    led = stage.put(led, "held")
+    small = led.where(F.col("m") <= 2 * tile).select("g", F.lit(0).alias("x"), F.lit(0).alias("y"), "name", "t", "led")
+    large = led.where(F.col("m") > 2 * tile)
+    counts = stage.put(large.groupBy("g", "led").agg(F.count("*").alias("n")), "counts")
+    if counts.isEmpty():
+        return small
+    by = counts.groupBy("g").agg(F.sum("n").alias("all"), F.max_by(F.struct("n", "led"), F.struct(F.when(F.col("led").isNotNull(), F.col("n")).otherwise(0), "led")).alias("top"))
+    main = F.when(F.col("top.led").isNotNull(), F.col("top.n")).otherwise(0)
+    chunks = lambda n: F.ceil(n / tile).cast("int")
+    by = by.select("g", F.col("top.led").alias("main"), chunks(main).alias("d"), chunks(F.col("all") - main).alias("c"))
+    large = join_dim(large, by, "g", "inner").where("c > 0")
+    at = F.xxhash64("name")
+    each = F.when(F.col("led") == F.col("main"), F.array(-1 - F.pmod(at, F.col("d")))).otherwise(F.array(F.pmod(at, F.col("c")))).getItem(0).cast("int")
+    large = large.withColumn("a", each).withColumn("b", F.explode(F.expr("sequence(if(a < 0, 0, -d), c - 1)")))
+    return small.unionByName(large.select("g", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "name", "t", "led"))
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8, cap: int = CAP, tile: int = TILE, leaders: int = LEADERS) -> DataFrame:
     """``(id, component_id)`` of every row: the smallest id that links between texts reach whose distinct
     ``width``-word shingles have a Jaccard similarity of ``least`` or more.
 
     Texts that share a band of minimum hashes are compared by bit-sliced SimHash at a wide radius; what that links
     are candidate groups, in which all pairs within the radius are then checked exactly. Equal shingle
-    sets are one member. Groups of over two ``tile`` members are compared in pairs of chunks, so a member of a group
-    of n is copied some n / ``tile`` times. Ids and empty texts are treated as in ``components``.
+    sets are one member. Groups of over two ``tile`` members are first compared with up to ``leaders`` of their
+    own, which links most groups whole in proportion to their size; only what no leader links meets all others, in
+    pairs of chunks. Ids and empty texts are treated as in ``components``.
     """
     stage = Stage(docs.sparkSession, "similar")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
@@ -340,11 +417,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     many = groups.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
     members = stage.put(groups.join(many, "g"), "members")
     texts = join_dim(prints.select("name", "t"), members, "name", "inner").dropDuplicates(["name"])
-    chunks = F.when(F.col("m") <= 2 * tile, 1).otherwise(F.ceil(F.col("m") / tile)).cast("int")
-    texts = texts.withColumn("c", chunks).withColumn("a", F.expr("pmod(xxhash64(name), c)"))
-    texts = texts.withColumn("b", F.explode(F.expr("sequence(0, c - 1)")))
-    texts = texts.select(F.col("g"), F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "name", "t")
-    alike = stage.put(texts.groupBy("g", "x", "y").applyInArrow(_alike(width, least), "src string, dst string"), "alike")
+    texts, edges = _led(stage.put(texts, "texts"), width, least, tile, leaders)
+    alike = _tiles(texts, tile).groupBy("g", "x", "y").applyInArrow(_alike(width, least), "src string, dst string")
+    alike = stage.put(alike if edges is None else alike.unionByName(edges), "alike")
     linked = connected_components(alike).withColumnRenamed("node", "name")
     named = distinct.select("name", "rep", "n").join(linked, "name", "left")
     lowest = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("low"))

@@ -130,5 +130,6 @@ def test_stage_keeps_one_of_five_word_jaccard_groups(spark):
     assert len(set(comp.values())) < len(rows) - 40
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(x.doc_id for x in corpus_pipeline.dedup(spark, df, "").collect()) == sorted(set(comp.values()))
-    got = {x.doc_id: x.component_id for x in N.similar_components(df, cap=3, tile=4).collect()}
-    assert got == comp
+    for leaders in (0, 1, 3):
+        got = {x.doc_id: x.component_id for x in N.similar_components(df, cap=3, tile=4, leaders=leaders).collect()}
+        assert got == comp
