@@ -32,6 +32,33 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/staged/{tag}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+class Scope:
+    """Within ``with Scope(spark) as made`` all staged tables are noted; at the end those go that ``made.keep`` did
+    not name. What it named belongs to the scope around, if any."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.kept = spark, set()
+
+    def keep(self, *staged: DataFrame) -> None:
+        """``staged`` is what ``Stage.put`` returned; a plan that a caller gets must read nothing else."""
+        self.kept |= {d.staged_path for d in staged}
+
+    def __enter__(self) -> Scope:
+        _SCOPES.append([])
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        made = _SCOPES.pop()
+        for path in made:
+            if path not in self.kept:
+                remove(self.spark, path)
+        if _SCOPES:
+            _SCOPES[-1] += [path for path in made if path in self.kept]
+
+
 class Stage:
     """Staged tables of one operator call; ``drop`` removes those that no later plan reads."""
 
@@ -42,7 +69,11 @@ class Stage:
         path = new_path(self.spark, f"{self.tag}-{name}")
         df.write.parquet(path)
         self.paths.setdefault(name, []).append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        if _SCOPES:
+            _SCOPES[-1].append(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out.staged_path = path
+        return out
 
     def drop(self, name: str, keep_last: bool = False) -> None:
         paths = self.paths.get(name, [])
