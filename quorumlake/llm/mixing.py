@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.operators.ordering import global_rank
-from quorumlake.plans.staging import Stage
+from quorumlake.plans.staging import Scope, Stage
 
 
 def word_count(text: Column) -> Column:
@@ -80,17 +80,19 @@ def mix(
     row = [F.col(row_col).alias("_row")] if row_col else []
     key = random_key(id_col, seed, F.col("text") if "text" in docs.columns else None)
     slim = docs.select(*row, F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"), key.alias("_key"))
-    stage = Stage(spark, "mix")
-    slim = stage.put(slim, "sizes")
-    n = slim.count()
-    digits = max(1, min(5, math.ceil(math.log(max(1, n / 500), 16))))  # slices of at most some 500 documents
-    sliced = slim.withColumn("_slice", F.substring("_key", 1, digits))
-    totals = stage.put(sliced.groupBy("source", "_slice").agg(F.sum("size").alias("_words")), "slices")
-    targets = source_targets(totals.groupBy("source").agg(F.sum("_words").alias("source_size")), list(weights), share, cap)
-    before = Window.partitionBy("source").orderBy("_slice")
-    offsets = totals.select("source", "_slice", (F.sum("_words").over(before) - F.col("_words")).alias("_offset"))
-    offsets = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.*", "source_size", "target")
-    offsets = stage.put(offsets, "offsets")
+    with Scope(spark) as made:
+        stage = Stage(spark, "mix")
+        slim = stage.put(slim, "sizes")
+        n = slim.count()
+        digits = max(1, min(5, math.ceil(math.log(max(1, n / 500), 16))))  # slices of at most some 500 documents
+        sliced = slim.withColumn("_slice", F.substring("_key", 1, digits))
+        totals = stage.put(sliced.groupBy("source", "_slice").agg(F.sum("size").alias("_words")), "slices")
+        targets = source_targets(totals.groupBy("source").agg(F.sum("_words").alias("source_size")), list(weights), share, cap)
+        before = Window.partitionBy("source").orderBy("_slice")
+        offsets = totals.select("source", "_slice", (F.sum("_words").over(before) - F.col("_words")).alias("_offset"))
+        offsets = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.*", "source_size", "target")
+        offsets = stage.put(offsets, "offsets")
+        made.keep(slim, offsets)
     w = Window.partitionBy("source", "_slice").orderBy("_key", "_id", "size", *(["_row"] if row_col else [])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefixed = sliced.withColumn("_upto", F.sum("size").over(w))
     same = F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p._slice") == F.col("o._slice"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.operators.graph import connected_components
 from quorumlake.plans.joins import join_dim
-from quorumlake.plans.staging import Stage
+from quorumlake.plans.staging import Scope, Stage
 
 RADIUS = 2
 CAP = 4096
@@ -227,30 +227,39 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radi
     repeat an id keep a row each; a null id is nobody's smallest (a group of null ids alone has a
     null component); an empty table gives no rows. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    stage = Stage(spark, "dedup")
-    prints = stage.put(fingerprints(docs, id_col, text, width), "prints")
-    distinct = stage.put(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "distinct")
-    found = connected_components(links(distinct.select("fp"), radius, cap))
-    named = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    lowest = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("low"))
-    of = named.where("n > 1 or component is not null").join(lowest, "component", "left")
-    of = stage.put(of.select("fp", F.coalesce("low", "rep").alias("component_id"), F.lit(True).alias("_grouped")), "of")
+    with Scope(docs.sparkSession) as made:
+        stage = Stage(docs.sparkSession, "dedup")
+        prints = stage.put(fingerprints(docs, id_col, text, width), "prints")
+        distinct = stage.put(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "distinct")
+        of = stage.put(_lowest(distinct, links(distinct.select("fp"), radius, cap), "fp"), "of")
+        made.keep(prints, of)
     out = join_dim(prints, of, "fp")
     return out.select(F.col("id").alias(id_col), "fp", F.when(F.col("_grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def _lowest(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``(key, component_id, _grouped)`` of the distinct values that edges link or that several rows have, with the smallest
+    id of all of them; ``distinct`` is (key, rep, n)."""
+    found = connected_components(edges).withColumnRenamed("node", key)
+    named = distinct.select(key, "rep", "n").join(found, key, "left")
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("low"))
+    of = named.where("n > 1 or component is not null").join(lowest, "component", "left")
+    return of.select(key, F.coalesce("low", "rep").alias("component_id"), F.lit(True).alias("_grouped"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group, all columns as they were.
 
     Rows that repeat an id are one document and stay or go together; rows without id stay.
     """
-    return _kept(docs, components(docs, id_col, text, **how), id_col)
+    return _kept(docs, lambda: components(docs, id_col, text, **how), id_col)
 
 
-def _kept(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    dropped = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("_kept")).where("not _kept").select(id_col)
-    dropped = Stage(docs.sparkSession, "dedup").put(dropped, "dropped")
+def _kept(docs: DataFrame, find, id_col: str) -> DataFrame:
+    with Scope(docs.sparkSession) as made:
+        dropped = find().groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component_id")).alias("_kept")).where("not _kept").select(id_col)
+        dropped = Stage(docs.sparkSession, "dedup").put(dropped, "dropped")
+        made.keep(dropped)
     return join_dim(docs, dropped, id_col, "left_anti")
 
 
@@ -403,32 +412,31 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     own, which links most groups whole in proportion to their size; only what no leader links meets all others, in
     pairs of chunks. Ids and empty texts are treated as in ``components``.
     """
-    stage = Stage(docs.sparkSession, "similar")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
-    prints = stage.put(rows.mapInArrow(_sketches(width), "id bigint, t string, name string, fp bigint, bands array<bigint>"), "prints")
-    distinct = stage.put(prints.groupBy("name").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
-    tables = distinct.select("fp", F.posexplode("bands").alias("t", "k")).distinct()
-    sized = tables.groupBy("t", "k").agg(F.count("*").alias("m"), F.min("fp").alias("low")).where("m > 1")
-    shared = stage.put(tables.join(sized, ["t", "k"]), "shared")
-    edges = shared.where(F.col("m") <= cap).repartition("t", "k").select("t", "k", "fp").sortWithinPartitions("t", "k").mapInArrow(_compare(WIDE), "src bigint, dst bigint")
-    edges = edges.unionByName(shared.where(F.col("m") > cap).select(F.col("fp").alias("src"), F.col("low").alias("dst")))
-    found = connected_components(stage.put(edges.distinct(), "edges")).withColumnRenamed("node", "fp")
-    groups = distinct.join(found, "fp", "left").select("name", F.coalesce("component", "fp").alias("g"))
-    many = groups.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
-    members = stage.put(groups.join(many, "g"), "members")
-    texts = join_dim(prints.select("name", "t"), members, "name", "inner").dropDuplicates(["name"])
-    texts, edges = _led(stage.put(texts, "texts"), width, least, tile, leaders)
-    alike = _tiles(texts, tile).groupBy("g", "x", "y").applyInArrow(_alike(width, least), "src string, dst string")
-    alike = stage.put(alike if edges is None else alike.unionByName(edges), "alike")
-    linked = connected_components(alike).withColumnRenamed("node", "name")
-    named = distinct.select("name", "rep", "n").join(linked, "name", "left")
-    lowest = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("low"))
-    of = named.where("n > 1 or component is not null").join(lowest, "component", "left")
-    of = stage.put(of.select("name", F.coalesce("low", "rep").alias("component_id"), F.lit(True).alias("_grouped")), "of")
-    out = join_dim(prints.select("id", "name"), of, "name")
+    with Scope(docs.sparkSession) as made:
+        stage = Stage(docs.sparkSession, "similar")
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
+        prints = stage.put(rows.mapInArrow(_sketches(width), "id bigint, t string, name string, fp bigint, bands array<bigint>"), "prints")
+        distinct = stage.put(prints.groupBy("name").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
+        tables = distinct.select("fp", F.posexplode("bands").alias("t", "k")).distinct()
+        sized = tables.groupBy("t", "k").agg(F.count("*").alias("m"), F.min("fp").alias("low")).where("m > 1")
+        shared = stage.put(tables.join(sized, ["t", "k"]), "shared")
+        edges = shared.where(F.col("m") <= cap).repartition("t", "k").select("t", "k", "fp").sortWithinPartitions("t", "k").mapInArrow(_compare(WIDE), "src bigint, dst bigint")
+        edges = edges.unionByName(shared.where(F.col("m") > cap).select(F.col("fp").alias("src"), F.col("low").alias("dst")))
+        found = connected_components(stage.put(edges.distinct(), "edges")).withColumnRenamed("node", "fp")
+        groups = distinct.join(found, "fp", "left").select("name", F.coalesce("component", "fp").alias("g"))
+        many = groups.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+        members = stage.put(groups.join(many, "g"), "members")
+        texts = join_dim(prints.select("name", "t"), members, "name", "inner").dropDuplicates(["name"])
+        texts, edges = _led(stage.put(texts, "texts"), width, least, tile, leaders)
+        alike = _tiles(texts, tile).groupBy("g", "x", "y").applyInArrow(_alike(width, least), "src string, dst string")
+        alike = stage.put(alike if edges is None else alike.unionByName(edges), "alike")
+        of = stage.put(_lowest(distinct, alike, "name"), "of")
+        ids = stage.put(prints.select("id", "name"), "ids")
+        made.keep(ids, of)
+    out = join_dim(ids, of, "name")
     return out.select(F.col("id").alias(id_col), F.when(F.col("_grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``keep_one`` by ``similar_components``."""
-    return _kept(docs, similar_components(docs, id_col, text, **how), id_col)
+    return _kept(docs, lambda: similar_components(docs, id_col, text, **how), id_col)

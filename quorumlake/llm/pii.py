@@ -95,6 +95,7 @@ _KEYWORDS = ("token", "secret", "passw", "key", "credential")
 _PREFIXES = ("akia", "ghp_", "sk-", "xox")
 _HEX_LETTERS = re.compile("[a-fA-F]{32}")
 _TITLE_CUES = tuple(t for g in TITLES.values() for t in g if not "一" <= t[0] <= "鿿")
+_GIVEN_CUE = re.compile(_KNOWN)
 _HAN_CUES = ("先生", "女士")
 
 
@@ -123,7 +124,9 @@ def _secretive(text: str) -> bool:
 
 def _worth(text: str) -> set[str]:
     """Types whose pattern may match."""
-    kinds = {"email", "named"} if "@" in text else {"named"}
+    kinds = {"email"} if "@" in text else set()
+    if _GIVEN_CUE.search(text):
+        kinds.add("named")
     if _DIGIT.search(text):
         kinds |= {"secret", "iban", "card", "ipv4", "ssn", "phone"}
     elif _secretive(text):
