@@ -5,7 +5,9 @@ Terms are words; each votes with its weight for or against every bit of its hash
 fingerprint of a text is one hash aggregation over its exploded words with 33 sums. Where the rows
 already lie by a bucket, as in ``edited_fingerprints``, that aggregation needs no shuffle of its own.
 
-Scale: texts move once, by a bucket of some 512 neighbours in id order; a bucket is a window, so
+Sums are taken by pieces of 2^22 words first, so that no half of a sum overflows however long a text is.
+
+Scale: texts move once, by a bucket of some 128 neighbours in id order; a bucket is a window, so
 its size is set by the number of rows and not by the ids' distribution (see ``with_next``).
 """
 
@@ -24,6 +26,8 @@ from quorumlake.plans.staging import Stage
 
 WORD_BREAK = r"[\x20\x09-\x0D]++"
 LOW = 0xFFFFFFFF
+#: A piece has 2^PIECE words: at most 144 of weight each, under 2^32 together.
+PIECE = 22
 
 
 def length_weight(term: Column) -> Column:
@@ -37,17 +41,19 @@ def simhash(rows: DataFrame, keys: list[str], text: str = "text", weight=length_
 
     Null, empty and blank texts have fingerprint 0. A tie of the votes leaves the bit 0.
     """
-    terms = rows.select(*keys, F.explode_outer(F.split(F.lower(F.col(text)), WORD_BREAK)).alias("_t"))
-    terms = terms.select(*keys, F.xxhash64("_t").alias("_h"), F.coalesce(weight(F.col("_t")), F.lit(0)).cast("long").alias("_w"))
+    words = F.posexplode_outer(F.split(F.lower(F.col(text)), WORD_BREAK)).alias("_at", "_t")
+    terms = rows.select(*keys, words).select(
+        *keys, F.shiftright(F.coalesce("_at", F.lit(0)), PIECE).alias("_piece"), F.xxhash64("_t").alias("_h"), F.when(F.col("_t").isNull(), 0).otherwise(weight(F.col("_t"))).cast("long").alias("_w")
+    )
     both = F.lit((1 << 32) | 1)
     sums = [F.sum(F.shiftrightunsigned("_h", i).bitwiseAND(both) * F.col("_w")).alias(f"_s{i}") for i in range(32)]
-    voted = terms.groupBy(*keys).agg(F.sum("_w").alias("_all"), *sums)
+    pieces = terms.groupBy(*keys, "_piece").agg(F.sum("_w").alias("_all"), *sums)
+    halves = [F.col(f"_s{i % 32}").bitwiseAND(F.lit(LOW)) if i < 32 else F.shiftrightunsigned(f"_s{i % 32}", 32) for i in range(64)]
+    voted = pieces.groupBy(*keys).agg(F.sum("_all").alias("_all"), *[F.sum(h).alias(f"_b{i}") for i, h in enumerate(halves)])
     bits = []
     for i in range(64):
-        s = F.col(f"_s{i % 32}")
-        s = s.bitwiseAND(F.lit(LOW)) if i < 32 else F.shiftrightunsigned(s, 32)
         bit = 1 << i if i < 63 else -(1 << 63)
-        bits.append(F.when(s * 2 > F.col("_all"), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        bits.append(F.when(F.col(f"_b{i}") * 2 > F.col("_all"), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")))
     return voted.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("fingerprint"))
 
 
@@ -56,7 +62,7 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
 
 
-def with_next(docs: DataFrame, id_col: str, text: str, per_bucket: int = 512) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, text: str, per_bucket: int = 128) -> DataFrame:
     """``(_bucket, _rn, id, text, _next, _guest)``: each row with the text of the next one by ascending
     id, after the last the first; rows lie by ``_bucket``. A bucket also holds, last and marked
     ``_guest``, the first row of the next bucket, so no other row needs a look outside.

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.llm import textbytes
 from quorumlake.operators.ordering import global_rank
+from quorumlake.plans.joins import join_dim
 
 BITS = 16
 
@@ -31,8 +32,8 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str =
     ids = target.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
     share = most_target / max(1, ids.count())
     picked = ids.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 32)) / F.lit(float(1 << 32)) < share)  # some most_target ids
-    rows = docs.join(F.broadcast(picked.withColumn("_hit", F.lit(True))), docs[id_col] == F.col("_id"), "left")
-    rows = rows.select(F.col("_hit").isNotNull().alias("hit"), F.col(text).alias("t"))
+    rows = join_dim(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("t")), picked.withColumn("_hit", F.lit(True)), "_id")
+    rows = rows.select(F.col("_hit").isNotNull().alias("hit"), "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << BITS), np.int64)
@@ -61,8 +62,9 @@ def gumbel(ids: np.ndarray, seed: str) -> np.ndarray:
     return -np.log(-np.log((np.array(u, np.float64) + 0.5) / 2.0**64))
 
 
-def keys(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text: str = "text", seed: str = "resample-1:", most_grams: int = 100) -> DataFrame:
-    """``(id, n_grams, log_weight, key)``; a text's n-grams count as ``most_grams`` independent ones at most."""
+def keys(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text: str = "text", seed: str = "resample-1:", most_grams: int | None = None) -> DataFrame:
+    """``(id, n_grams, log_weight, key)``: the sum of the log ratios of a text's n-grams, and that plus the noise. With
+    ``most_grams`` the n-grams of a text count as so many at most, which tempers the weights of long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -72,7 +74,7 @@ def keys(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text: str =
                 n.append(textbytes.sum_by_text(np.ones(len(codes), np.float32), at, offsets))
                 s.append(textbytes.sum_by_text(ratio[codes], at, offsets))
             n, s = np.concatenate(n), np.concatenate(s)
-            w = s * np.minimum(1, most_grams / np.maximum(n, 1))
+            w = s if most_grams is None else s * np.minimum(1, most_grams / np.maximum(n, 1))
             ids = b.column(0).fill_null(-1).to_numpy()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n.astype(np.int64)), pa.array(w), pa.array(w + gumbel(ids, seed))], ["id", "n_grams", "log_weight", "key"])
 
@@ -84,7 +86,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     """Every row's ``(id, n_grams, log_weight, key, rank, keep)``; ``keep`` marks the k largest keys.
 
     k is ``share`` of all rows; by default the share of labelled rows whose quality is 1. Defined cases:
-    null and empty texts have weight 0; equal keys rank by id; rows that repeat an id share their noise
+    null and empty texts have weight 0; a label without id labels nothing; equal keys rank by id; rows that repeat an id share their noise
     and count one by one; null ids rank last of equals; without labels all rows are kept; an empty
     table gives no rows. Other columns are ignored.
     """

@@ -7,7 +7,8 @@ are counts of grouped aggregation over all rows, by the languages their texts al
 
 Scale: one pass over the texts leaves a slim table (id, declarations, scores), written once; all
 aggregations and joins run on that. Only the trigram model is fitted on a bounded sample of labelled
-rows: about ``per_language`` rows of each language, those with the smallest hashes of their ids.
+rows: about ``per_language`` rows of each language, those with the smallest hashes of their ids. It has two halves, by
+another bit of that hash; a row is scored by the half that was fitted without it, so its own label counts but once, as its declaration.
 """
 
 from __future__ import annotations
@@ -34,28 +35,36 @@ NONE_LOG = -1.8
 @dataclass
 class TrigramModel:
     languages: list[str]
-    logp: np.ndarray  # float32 [languages + 1, 2^BITS]; the last row is the uniform model of NONE
+    #: float32 [languages + 1, 2 * 2^BITS], the halves one after the other; the last row is the uniform model of NONE
+    logp: np.ndarray
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Trigrams and log-likelihoods [texts, languages + 1] of each text."""
+    def scores(self, data: np.ndarray, offsets: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Trigrams and log-likelihoods [texts, languages + 1] of each text, by the model of the half that it is not in."""
         codes, at = textbytes.trigrams(data, offsets, BITS)
-        n = textbytes.sum_by_text(np.ones(len(codes), np.float32), at, offsets)
+        n = np.diff(np.searchsorted(at, offsets))
+        codes += np.repeat((1 - half.astype(np.int64)) << BITS, n)
         return n, np.stack([textbytes.sum_by_text(row[codes], at, offsets) for row in self.logp], 1)
 
 
-def fit(docs: DataFrame, languages: list[str], label: str = "lang", id_col: str = "doc_id", text: str = "text", per_language: int = 2000) -> TrigramModel:
+def half_of(id_col: str) -> Column:
+    """0 or 1, by a bit of the id's hash that the sample's bound does not look at."""
+    return F.shiftright(F.xxhash64(id_col), 40).bitwiseAND(F.lit(1)).cast("int")
+
+
+def fit(docs: DataFrame, languages: list[str], label: str = "lang", id_col: str = "doc_id", text: str = "text", per_language: int = 4000) -> TrigramModel:
     """Trigram model of labelled rows; without any it is uniform. Of a language with n rows those are taken whose
     id's hash falls in the first ``per_language`` / n of its range: about ``per_language``, or all if there are fewer."""
     known = docs.where(F.col(label).isin(languages))
     n = {r[0]: r[1] for r in known.groupBy(label).agg(F.count("*")).collect()}  # a row a language
     drawn = F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) / F.lit(float(1 << 32))
     least = F.coalesce(*[F.when(F.col(label) == x, F.lit(per_language / n[x])) for x in n], F.lit(0.0))
-    sample = known.where(drawn < least).select(F.array_position(F.array(*map(F.lit, languages)), F.col(label)).cast("int").alias("l"), F.col(text).alias("t"))
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col(label)).cast("int") - 1
+    sample = known.where(drawn < least).select((number + half_of(id_col) * len(languages)).alias("l"), F.col(text).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(languages), 1 << BITS), np.int64)
+        seen = np.zeros((2 * len(languages), 1 << BITS), np.int64)
         for b in batches:
-            label_of = b.column(0).to_numpy() - 1
+            label_of = b.column(0).to_numpy()
             for row, data, offsets in textbytes.slices(b.column(1)):
                 codes, at = textbytes.trigrams(data, offsets, BITS)
                 of = label_of[row + np.searchsorted(offsets, at, "right") - 1]
@@ -64,31 +73,33 @@ def fit(docs: DataFrame, languages: list[str], label: str = "lang", id_col: str
         yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(code, pa.int64()), pa.array(seen[of, code])], ["l", "c", "n"])
 
     total = sample.mapInArrow(count, "l bigint, c bigint, n bigint").groupBy("l", "c").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.full((len(languages), 1 << BITS), 1e-9)
+    counts = np.full((2 * len(languages), 1 << BITS), 1e-9)
     counts[total["l"].to_numpy(), total["c"].to_numpy()] += total["n"].to_numpy()
     logp = np.log(0.9 * counts / counts.sum(1, keepdims=True) + 0.1 / (1 << BITS))
-    chance = np.full((1, 1 << BITS), -BITS * np.log(2.0) + NONE_LOG)
-    return TrigramModel(list(languages), np.concatenate([logp, chance]).astype(np.float32))
+    chance = np.full((1, 2 << BITS), -BITS * np.log(2.0) + NONE_LOG)
+    halves = logp.reshape(2, len(languages), 1 << BITS).transpose(1, 0, 2).reshape(len(languages), 2 << BITS)
+    return TrigramModel(list(languages), np.concatenate([halves, chance]).astype(np.float32))
 
 
 def score(rows: DataFrame, model: TrigramModel, text: str) -> DataFrame:
-    """``rows`` with ``n_grams bigint`` and ``ll array<double>`` in place of ``text``, which must come last."""
-    keep = [c for c in rows.columns if c != text]
+    """``rows`` with ``n_grams bigint`` and ``ll array<double>`` in place of ``_half`` and ``text``."""
+    keep = [c for c in rows.columns if c not in (text, "_half")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grams, likely = [], []
-            for _, data, offsets in textbytes.slices(b.column(b.num_columns - 1)):
-                n, ll = model.scores(data, offsets)
+            half = b.column(b.num_columns - 2).to_numpy()
+            for row, data, offsets in textbytes.slices(b.column(b.num_columns - 1)):
+                n, ll = model.scores(data, offsets, half[row : row + len(offsets) - 1])
                 grams.append(n)
                 likely.append(ll)
             n = np.concatenate(grams) if grams else np.zeros(0)
             ll = np.concatenate(likely) if likely else np.zeros((0, len(model.logp)))
             cells = pa.FixedSizeListArray.from_arrays(pa.array(ll.ravel()), ll.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n.astype(np.int64)), cells], [*keep, "n_grams", "ll"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(n.astype(np.int64)), cells], [*keep, "n_grams", "ll"])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select(*keep, text).mapInArrow(run, f"{schema}, n_grams bigint, ll array<double>")
+    return rows.select(*keep, "_half", text).mapInArrow(run, f"{schema}, n_grams bigint, ll array<double>")
 
 
 def _softmax(x: Column) -> Column:
@@ -119,6 +130,7 @@ def identify(
     Text evidence counts as that of at most ``most_grams`` independent trigrams. A missing piece of evidence
     (null, or not given) contributes nothing. ``keep`` is false where the text has no trigram (three bytes
     around a letter), where no language beats chance, or where the posterior is under ``least_posterior``.
+    Of languages of equal posterior the first in the model's order counts.
     Defined cases: null and empty texts are ``und`` with posterior 1 and not kept; rows that repeat an
     id are judged one by one; an empty table gives no rows; other columns are ignored.
     """
@@ -129,7 +141,7 @@ def identify(
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.regexp_extract(of(declared), "^[a-z]{2,3}", 0).alias("_declared") if declared is not None else blank.alias("_declared"),
-        of(suffix).alias("_suffix"), of(domain).alias("_domain"), of(host).alias("_host"), F.col(text).alias("_text"),
+        of(suffix).alias("_suffix"), of(domain).alias("_domain"), of(host).alias("_host"), half_of(id_col).alias("_half"), F.col(text).alias("_text"),
     )
     stage = Stage(spark, "language")
     scored = score(rows, model, "_text")

@@ -76,8 +76,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.documents(table(spark, sf_dir, "documents"))
 
 
-def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same operator over web pages: markup language, address suffix, domain and host."""
+def op5_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over web pages, with all kinds of evidence: markup language, address suffix, domain and host."""
     model = language_id.fit(table(spark, sf_dir, "documents"), ["de", "en", "es", "fr"])
     return language_id.pages(table(spark, sf_dir, "pages"), model)
 
@@ -113,7 +113,7 @@ QUERIES = {
     "op3_image_copies": op3_image_copies,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_language_id": op5_language_id,
-    "pages_language_id": pages_language_id,
+    "op5_language_id_pages": op5_language_id_pages,
     "op6_byte_level_bpe": op6_byte_level_bpe,
     "op7_license_scan": op7_license_scan,
     "op8_warc_archives": op8_warc_archives,

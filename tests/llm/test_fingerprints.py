@@ -64,10 +64,20 @@ def test_within_radius(spark):
     got = sorted((x.query, x.found, x.distance) for x in P.within_radius(q, t, 3).collect())
     d = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
     assert got == sorted((a, b, d(a, b)) for a in set(signed[:15]) for b in set(signed) if d(a, b) <= 3)
-    assert all(bin(m).count("1") + 0 >= 0 for m in P.block_masks(3, 5)) and len(P.block_masks(3, 5)) == 10
+    masks = P.block_masks(3, 5)
+    assert len(set(masks)) == 10 and all(25 <= bin(m).count("1") <= 26 for m in masks)
 
 
 def test_native_plan(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = P.edited_fingerprints(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pieces_and_long_texts(spark, monkeypatch):
+    """A text of many pieces has the fingerprint of the whole."""
+    long = " ".join(f"word{i % 997}" for i in range(200_000))
+    monkeypatch.setattr(P, "PIECE", 3)
+    rows = [(1, long), (2, "a b c d e f g h i j k l"), (3, None), (4, "")]
+    got = {r.k: r.fingerprint & (2**64 - 1) for r in P.simhash(spark.createDataFrame(rows, "k long, text string"), ["k"]).collect()}
+    assert got == {k: brute_simhash(t) for k, t in rows}

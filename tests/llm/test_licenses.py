@@ -60,6 +60,31 @@ def test_windows_that_hold_for_certain():
             assert any(s >= start and s + run <= start + L.unbroken(n) for s in range(0, 200, step))
 
 
+def test_insertions_deletions_and_moves(spark):
+    """Copies that keep four fifths of the shingles, whatever the changes, are all found; one scan does it."""
+    r = random.Random(4)
+    rows = []
+    for i in range(400):
+        w = L.TEMPLATES[r.choice(list(L.TEMPLATES))].split()
+        for _ in range(r.randint(0, 1 + len(w) // 25)):
+            at = r.randrange(len(w))
+            w[at : at + r.choice([0, 0, 1, 2])] = r.choice([["new"], ["two", "words"], []])
+        if i % 5 == 0:
+            w = w[len(w) // 2 :] + w[: len(w) // 2]
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((x.doc_id, x.template, round(x.containment, 9)) for x in L.scan(df).collect())
+    assert got == brute(rows, L.TEMPLATES) and len(got) > 200
+    plan = L.scan(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+
+
+def test_very_long_text(spark):
+    text = "filler words of a long text " * 30_000 + L.TEMPLATES["Zlib"] + " more of it" * 1000
+    df = spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")
+    assert [(x.doc_id, x.template, x.first_word) for x in L.scan(df).collect()] == [(1, "Zlib", 180_000)]
+
+
 def test_native_plan(spark):
     df = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     plan = L.scan(df)._jdf.queryExecution().optimizedPlan().toString()
