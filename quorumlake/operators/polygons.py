@@ -1,0 +1,468 @@
+"""Polygons without a geometry library: overlays, repair, simplification, partitions.
+
+A region is a list of rings [n, 2]; a point is inside if it lies in an odd number of them, so holes are rings like any
+other. Overlays cut the plane into horizontal slabs at all vertices and crossings. Inside a slab no two edges
+cross, so the result there is a row of trapezoids; their outline is traced back into rings. Areas are exact up to rounding.
+
+Scale: rows are independent (``overlay``) or grouped by a key whose members make one map (``dissolve``, ``partition``); the
+work of a group grows with the square of its edges, so a group is a map sheet, not a table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+Region = list[np.ndarray]
+RINGS = "array<array<struct<x:double,y:double>>>"
+
+# ---------------------------------------------------------------- overlays
+
+
+def _edges(regions: list[Region]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges [n, 4] (x0, y0, x1, y1), upwards, without horizontal ones, and the region of each."""
+    edges, of = [np.zeros((0, 4))], [np.zeros(0, int)]
+    for k, region in enumerate(regions):
+        for ring in region:
+            if len(ring) > 2:
+                e = np.hstack([ring, np.roll(ring, -1, 0)])
+                e = e[e[:, 1] != e[:, 3]]
+                down = e[:, 1] > e[:, 3]
+                e[down] = e[down][:, [2, 3, 0, 1]]
+                edges.append(e)
+                of.append(np.full(len(e), k))
+    return np.concatenate(edges), np.concatenate(of)
+
+
+def _levels(e: np.ndarray) -> np.ndarray:
+    """Heights of all vertices and crossings."""
+    found = [e[:, 1], e[:, 3]]
+    r = e[:, 2:] - e[:, :2]
+    for start in range(0, len(e), 512):
+        p, d = e[start : start + 512, None, :2], r[start : start + 512, None]
+        cross = d[..., 0] * r[None, :, 1] - d[..., 1] * r[None, :, 0]
+        gap = e[None, :, :2] - p
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (gap[..., 0] * r[None, :, 1] - gap[..., 1] * r[None, :, 0]) / cross
+            u = (gap[..., 0] * d[..., 1] - gap[..., 1] * d[..., 0]) / cross
+        met = (cross != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
+        found.append((p[..., 1] + t * d[..., 1])[met])
+    y = np.unique(np.concatenate(found))
+    return y[np.concatenate([[True], np.diff(y) > 1e-12 * max(1.0, np.abs(y).max())])] if len(y) else y
+
+
+def trapezoids(regions: list[Region], inside: Callable[[list[bool]], bool]) -> np.ndarray:
+    """Trapezoids [n, 6] (y0, y1, left and right at y0, left and right at y1) of the points where ``inside`` holds of their
+    membership in each region."""
+    e, of = _edges(regions)
+    out = []
+    levels = _levels(e)
+    for y0, y1 in zip(levels, levels[1:]):
+        live = np.nonzero((e[:, 1] <= (y0 + y1) / 2) & (e[:, 3] >= (y0 + y1) / 2))[0]
+        x = lambda y: e[live, 0] + (e[live, 2] - e[live, 0]) * ((y - e[live, 1]) / (e[live, 3] - e[live, 1]))  # noqa: B023,E731
+        low, mid, high = x(y0), x((y0 + y1) / 2), x(y1)
+        order = np.lexsort((of[live], mid))
+        within, member, left = False, [False] * len(regions), 0
+        for i in order:
+            member[of[live[i]]] = not member[of[live[i]]]
+            now = inside(member)
+            if now and not within:
+                left = i
+            elif within and not now and mid[i] - mid[left] > 1e-12 * max(1.0, abs(mid[i])):
+                if out and out[-1][1] == y1 and out[-1][3] == low[left] and out[-1][5] == high[left]:
+                    out[-1][3], out[-1][5] = low[i], high[i]
+                else:
+                    out.append([y0, y1, low[left], low[i], high[left], high[i]])
+            within = now
+    return np.array(out).reshape(-1, 6)
+
+
+def traps_area(t: np.ndarray) -> float:
+    return float(((t[:, 3] - t[:, 2] + t[:, 5] - t[:, 4]) * (t[:, 1] - t[:, 0])).sum() / 2)
+
+
+def outline(t: np.ndarray, digits: int = 9) -> Region:
+    """Rings around trapezoids, the inside to the left, without vertices on straight lines."""
+    if not len(t):
+        return []
+    t = np.round(t, digits) + 0.0
+    steps = []
+    for y0, y1, l0, r0, l1, r1 in t:
+        steps += [((r0, y0), (r1, y1)), ((l1, y1), (l0, y0))]
+    for y in np.unique(t[:, :2]):
+        above, below = t[t[:, 0] == y], t[t[:, 1] == y]
+        cuts = np.unique(np.concatenate([above[:, 2], above[:, 3], below[:, 4], below[:, 5]]))
+        for a, b in zip(cuts, cuts[1:]):
+            up = bool(((above[:, 2] <= a) & (above[:, 3] >= b)).any())
+            down = bool(((below[:, 4] <= a) & (below[:, 5] >= b)).any())
+            if up != down:
+                steps.append(((a, y), (b, y)) if up else ((b, y), (a, y)))
+    leave: dict[tuple, list[tuple]] = {}
+    for a, b in steps:
+        if a != b:
+            leave.setdefault(a, []).append(b)
+    rings = []
+    while leave:
+        at = start = next(iter(leave))
+        ring = []
+        while True:
+            ring.append(at)
+            to = leave[at].pop()
+            if not leave[at]:
+                del leave[at]
+            at = to
+            if at == start or at not in leave:
+                break
+        ring = _straightened(np.array(ring, float))
+        if len(ring) > 2:
+            rings.append(ring)
+    return rings
+
+
+def _straightened(ring: np.ndarray) -> np.ndarray:
+    while len(ring) > 2:
+        a, b = ring - np.roll(ring, 1, 0), np.roll(ring, -1, 0) - ring
+        turn = np.abs(a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0]) > 1e-9 * (np.hypot(*a.T) * np.hypot(*b.T) + 1e-300)
+        if turn.all():
+            break
+        drop = np.nonzero(~turn)[0]
+        ring = np.delete(ring, drop[np.concatenate([[True], np.diff(drop) > 1])], 0)
+    return ring
+
+
+OPERATIONS: dict[str, Callable[[list[bool]], bool]] = {
+    "union": any,
+    "intersection": all,
+    "difference": lambda m: m[0] and not any(m[1:]),
+    "symmetric": lambda m: sum(m) % 2 == 1,
+}
+
+
+def combine(regions: list[Region], operation: str) -> Region:
+    """Union, intersection, symmetric difference of regions, or the first without the others."""
+    return outline(trapezoids(regions, OPERATIONS[operation])) if any(regions) else []
+
+
+def area(region: Region) -> float:
+    return traps_area(trapezoids([region], any))
+
+
+def common_area(a: Region, b: Region) -> float:
+    return traps_area(trapezoids([a, b], all))
+
+
+def repair(region: Region) -> Region:
+    """The same points as rings that do not cross."""
+    return combine([region], "union")
+
+
+def signed_area(ring: np.ndarray) -> float:
+    x, y = ring.T
+    return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
+
+
+def clockwise(region: Region) -> Region:
+    """Repaired, with exteriors clockwise and holes the other way."""
+    return [ring[::-1] for ring in repair(region)]
+
+
+def perimeter(region: Region) -> float:
+    return float(sum(np.hypot(*(np.roll(ring, -1, 0) - ring).T).sum() for ring in region))
+
+
+def shared_border(a: Region, b: Region) -> float:
+    """Length of the border that two regions without common area share."""
+    return max(0.0, (perimeter(a) + perimeter(b) - perimeter(combine([a, b], "union"))) / 2)
+
+
+def centre(region: Region) -> np.ndarray:
+    """Centre of mass."""
+    total, at = 0.0, np.zeros(2)
+    for ring in repair(region):
+        x, y = ring.T
+        cross = x * np.roll(y, -1) - np.roll(x, -1) * y
+        total += cross.sum() / 2
+        at += [((x + np.roll(x, -1)) * cross).sum() / 6, ((y + np.roll(y, -1)) * cross).sum() / 6]
+    return at / total if total else at
+
+
+def contains(region: Region, points: np.ndarray) -> np.ndarray:
+    """Which points [n, 2] lie inside."""
+    e, _ = _edges([region])
+    x, y = points[:, :1], points[:, 1:]
+    level = (e[:, 1] <= y) & (y < e[:, 3])
+    return (level & (x < e[:, 0] + (y - e[:, 1]) / (e[:, 3] - e[:, 1]) * (e[:, 2] - e[:, 0]))).sum(1) % 2 == 1
+
+
+def distance(region: Region, points: np.ndarray) -> np.ndarray:
+    """Distance of points from a region, 0 inside."""
+    best = np.full(len(points), np.inf)
+    for ring in region:
+        a, d = ring, np.roll(ring, -1, 0) - ring
+        t = ((points[:, None] - a) * d).sum(2) / np.maximum((d * d).sum(1), 1e-300)
+        best = np.minimum(best, np.hypot(*np.moveaxis(points[:, None] - a - np.clip(t, 0, 1)[..., None] * d, 2, 0)).min(1))
+    return np.where(contains(region, points), 0.0, best)
+
+
+def parts(region: Region) -> list[Region]:
+    """Connected parts, each an exterior with its holes, the largest first."""
+    rings = repair(region)
+    outer = sorted((r for r in rings if signed_area(r) > 0), key=signed_area)
+    out = [[r] for r in outer]
+    for hole in (r for r in rings if signed_area(r) < 0):
+        inner = (hole[:1] + hole[1:2]) / 2
+        out[next((i for i, r in enumerate(outer) if contains([r], inner)[0] or distance([r], inner)[0] < 1e-9), -1)].append(hole)
+    return sorted(out, key=lambda p: -sum(map(signed_area, p)))
+
+
+def holes(regions: list[Region], least: float = 0.0) -> list[Region]:
+    """Holes of the union of regions that are larger than ``least``."""
+    return [[r[::-1]] for r in combine(regions, "union") if signed_area(r) < -least]
+
+
+# ---------------------------------------------------------------- simplification
+
+
+def _kept(line: np.ndarray, tolerance: float) -> np.ndarray:
+    """Douglas-Peucker: which points of an open line stay."""
+    stay = np.zeros(len(line), bool)
+    stay[[0, -1]] = True
+    open_ = [(0, len(line) - 1)]
+    while open_:
+        a, b = open_.pop()
+        if b - a < 2:
+            continue
+        p, d = line[a + 1 : b] - line[a], line[b] - line[a]
+        n = np.hypot(*d)
+        off = np.abs(p[:, 0] * d[1] - p[:, 1] * d[0]) / n if n else np.hypot(*p.T)
+        k = int(off.argmax())
+        if off[k] > tolerance:
+            stay[a + 1 + k] = True
+            open_ += [(a, a + 1 + k), (a + 1 + k, b)]
+    return stay
+
+
+def simplify(region: Region, tolerance: float, fixed: set[tuple[float, float]] | None = None) -> Region:
+    """Rings with points left out that lie within ``tolerance`` of the rest. Points in ``fixed`` stay, so borders
+    that regions share, cut at their common ends, stay shared. A ring that would cross itself or vanish stays as it is."""
+    out = []
+    for ring in region:
+        anchors = [i for i, p in enumerate(map(tuple, ring)) if fixed and p in fixed] or [0]
+        start = anchors[0]
+        turned = np.roll(ring, -start, 0)
+        if len(anchors) < 2:
+            anchors = [start, (start + int(np.hypot(*(turned - turned[0]).T).argmax())) % len(ring)]
+        cuts = sorted({(a - start) % len(ring) for a in anchors}) + [len(ring)]
+        closed = np.vstack([turned, turned[:1]])
+        stay = np.zeros(len(closed), bool)
+        for a, b in zip(cuts, cuts[1:]):
+            stay[a : b + 1] |= _kept(closed[a : b + 1], tolerance)
+        new = closed[:-1][stay[:-1]]
+        good = len(new) > 2 and signed_area(new) * signed_area(ring) > 0 and abs(area([new]) - abs(signed_area(new))) < 1e-9 * max(1.0, abs(signed_area(new)))
+        out.append(new if good else ring)
+    return out
+
+
+def junctions(regions: list[Region]) -> set[tuple[float, float]]:
+    """Points where borders of regions meet or part: where the neighbours along the rings are more than two points."""
+    near: dict[tuple, set] = {}
+    for region in regions:
+        for ring in region:
+            for a, p, b in zip(map(tuple, np.roll(ring, 1, 0)), map(tuple, ring), map(tuple, np.roll(ring, -1, 0))):
+                near.setdefault(p, set()).update((a, b))
+    return {p for p, n in near.items() if len(n) > 2}
+
+
+# ---------------------------------------------------------------- partitions of a map
+
+Map = dict[str, Region]
+
+
+def _neighbour(m: Map, piece: Region, but: str | None = None, reach: float = np.inf) -> str | None:
+    """The region with the longest border with a piece, else the nearest within ``reach``; the first of equals."""
+    names = [k for k in m if k != but and m[k]]
+    if not names:
+        return None
+    border = {k: shared_border(m[k], piece) for k in names if _boxes_meet(m[k], piece)}
+    if border and max(border.values()) > 1e-9:
+        return max(border, key=border.get)
+    far = {k: min(distance(m[k], np.vstack(piece)).min(), distance(piece, np.vstack(m[k])).min()) for k in names}
+    best = min(far, key=far.get)
+    return best if far[best] <= reach else None
+
+
+def _boxes_meet(a: Region, b: Region) -> bool:
+    p, q = np.vstack(a), np.vstack(b)
+    return bool((p.min(0) <= q.max(0) + 1e-9).all() and (q.min(0) <= p.max(0) + 1e-9).all())
+
+
+def snap(m: Map, frame: Region) -> Map:
+    """Regions clipped to a frame; pieces of the frame that none covers go to the longest border, else the nearest."""
+    out = {k: combine([r, frame], "intersection") for k, r in m.items()}
+    for piece in parts(combine([frame, *out.values()], "difference")):
+        to = _neighbour(out, piece)
+        if to is not None:
+            out[to] = combine([out[to], piece], "union")
+    return out
+
+
+def resolve_overlaps(m: Map) -> Map:
+    """What two regions share stays with the one of the longer perimeter; pairs in the order of ``m``."""
+    out, names = dict(m), list(m)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            if out[a] and out[b] and _boxes_meet(out[a], out[b]) and common_area(out[a], out[b]) > 0:
+                loser, other = (b, a) if perimeter(out[a]) >= perimeter(out[b]) else (a, b)
+                out[loser] = combine([out[loser], out[other]], "difference")
+    return out
+
+
+def reassign_slivers(m: Map, least: float, rounds: int = 6) -> Map:
+    """Parts beside a region's largest of under ``least`` area go, one after the other, to the neighbour with the
+    longest common border, until nothing moves."""
+    out = dict(m)
+    for _ in range(rounds):
+        moved = False
+        for k in list(out):
+            pieces = parts(out[k])
+            for p in pieces[1:]:
+                to = _neighbour(out, p, k, 0.0) if area(p) < least else None
+                if to is not None:
+                    out[k], out[to], moved = combine([out[k], p], "difference"), combine([out[to], p], "union"), True
+        if not moved:
+            break
+    return out
+
+
+def fill_holes(m: Map, least: float = 0.0, preferred: str | None = None, rounds: int = 4) -> Map:
+    """Holes of the union go, one after the other, to ``preferred`` if it borders on them, else to the longest border."""
+    out = dict(m)
+    for _ in range(rounds):
+        found = holes(list(out.values()), least)
+        for h in found:
+            first = preferred in out and _boxes_meet(out[preferred], h) and shared_border(out[preferred], h) > 1e-9
+            to = preferred if first else _neighbour(out, h)
+            out[to] = combine([out[to], h], "union")
+        if not found:
+            break
+    return out
+
+
+def transfer_lobes(m: Map, receivers: dict[str, str]) -> Map:
+    """All parts of a region but its largest go to the region that ``receivers`` names for it."""
+    out = dict(m)
+    for k, to in receivers.items():
+        for p in parts(out[k])[1:]:
+            out[k], out[to] = combine([out[k], p], "difference"), combine([out[to], p], "union")
+    return out
+
+
+def carve(m: Map, child: str, parent: str, cut: Region) -> Map:
+    """The part of ``parent`` inside ``cut`` becomes ``child``."""
+    piece = combine([m[parent], cut], "intersection")
+    return m | {child: piece, parent: combine([m[parent], cut], "difference")}
+
+
+def polygonise(labels: np.ndarray, x0: float = 0.0, y0: float = 0.0, step: float = 1.0) -> dict[int, Region]:
+    """Rings around the cells [iy, ix] of each label; negative labels are left out."""
+    out = {}
+    for k in np.unique(labels[labels >= 0]):
+        t = []
+        for iy, row in enumerate(labels == k):
+            edge = np.diff(np.concatenate([[0], row.astype(int), [0]]))
+            for a, b in zip(np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]):
+                l, r = x0 + a * step, x0 + b * step
+                t.append([y0 + iy * step, y0 + (iy + 1) * step, l, r, l, r])
+        out[int(k)] = outline(np.array(t))
+    return out
+
+
+def rotated_iou(a: Region, b: Region, angles: tuple[float, ...] = tuple(range(-15, 16, 3))) -> float:
+    """Largest overlap (shared over joint area) of two shapes of equal size and centre, over turns in degrees."""
+
+    def normal(region: Region) -> Region:
+        at, size = centre(region), np.sqrt(area(region))
+        return [(ring - at) / size for ring in region]
+
+    a, b, best = normal(a), normal(b), 0.0
+    for angle in np.radians(angles):
+        c, s = np.cos(angle), np.sin(angle)
+        both = common_area(a, [ring @ np.array([[c, s], [-s, c]]) for ring in b])
+        best = max(best, both / (2 - both))
+    return best
+
+
+# ---------------------------------------------------------------- over tables
+
+
+def to_region(rings) -> Region:
+    """Of a value of type RINGS; null has no rings, a closing point that repeats the first is dropped."""
+    out = []
+    for ring in rings if rings is not None else ():
+        p = np.array([[q["x"], q["y"]] for q in ring], float).reshape(-1, 2)
+        out.append(p[:-1] if len(p) > 1 and (p[0] == p[-1]).all() else p)
+    return out
+
+
+def of_region(region: Region) -> list:
+    return [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in region]
+
+
+def overlay(df: DataFrame, a: str, b: str, operation: str = "intersection", name: str = "rings", measure: str = "area") -> DataFrame:
+    """``df`` with the overlay of two columns of RINGS and its area; null counts as an empty region."""
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rings, sizes = [], []
+            for p, q in zip(batch.column(batch.schema.get_field_index(a)).to_pylist(), batch.column(batch.schema.get_field_index(b)).to_pylist()):
+                t = trapezoids([to_region(p), to_region(q)], OPERATIONS[operation])
+                rings.append(of_region(outline(t)))
+                sizes.append(traps_area(t))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rings, kind), pa.array(sizes, pa.float64())], [*batch.schema.names, name, measure])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{schema}, `{name}` {RINGS}, `{measure}` double")
+
+
+def reshape(df: DataFrame, rings: str, how: Callable[[Region], Region]) -> DataFrame:
+    """``df`` with each region put through ``how``: ``repair``, ``clockwise``, a simplification."""
+    at, kind = df.columns.index(rings), pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = list(batch.columns)
+            cols[at] = pa.array([None if r is None else of_region(how(to_region(r))) for r in cols[at].to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+
+    schema = ", ".join(f"`{f.name}` {RINGS if f.name == rings else f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, schema)
+
+
+def dissolve(df: DataFrame, keys: list[str], rings: str, tolerance: float = 0.0) -> DataFrame:
+    """``(keys, rings, area)``: the union of each group's regions, simplified."""
+    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        region = combine([to_region(r) for r in pdf[rings]], "union")
+        region = simplify(region, tolerance) if tolerance else region
+        return pd.DataFrame({**{k: pdf[k].iloc[:1].array for k in keys}, rings: [of_region(region)], "area": [area(region)]})
+
+    return df.select(*keys, rings).groupBy(*keys).applyInPandas(run, f"{schema}, `{rings}` {RINGS}, area double")
+
+
+def partition(df: DataFrame, group: str, name: str, rings: str, how: Callable[[Map], Map]) -> DataFrame:
+    """``(group, name, rings, area)``: each group's regions, in the order of their names, put through ``how`` (``snap``,
+    ``resolve_overlaps``, ``reassign_slivers``, ``fill_holes``, ``transfer_lobes``, ``carve`` with their parameters)."""
+    schema = f"`{group}` {df.schema[group].dataType.simpleString()}, `{name}` {df.schema[name].dataType.simpleString()}, `{rings}` {RINGS}, area double"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(name)
+        out = how({k: to_region(r) for k, r in zip(pdf[name], pdf[rings])})
+        return pd.DataFrame({group: [pdf[group].iloc[0]] * len(out), name: list(out), rings: [of_region(r) for r in out.values()], "area": [area(r) for r in out.values()]})
+
+    return df.select(group, name, rings).groupBy(group).applyInPandas(run, schema)

@@ -1,0 +1,107 @@
+import numpy as np
+import pytest
+
+from quorumlake.operators import polygons as P
+
+
+def box(x0, y0, x1, y1):
+    return [np.array([[x0, y0], [x1, y0], [x1, y1], [x0, y1]], float)]
+
+
+def star(seed, n=9, at=(0, 0)):
+    r = np.random.default_rng(seed)
+    a = np.sort(r.uniform(0, 2 * np.pi, n))
+    d = r.uniform(1, 4, n)
+    return [np.stack([at[0] + d * np.cos(a), at[1] + d * np.sin(a)], 1)]
+
+
+def sampled(regions, operation, n=400):
+    """Area by points of a fine grid."""
+    x, y = np.meshgrid((np.arange(n) + 0.5) / n * 12 - 6, (np.arange(n) + 0.5) / n * 12 - 6)
+    p = np.stack([x.ravel(), y.ravel()], 1)
+    m = np.stack([P.contains(r, p) for r in regions], 1)
+    return np.mean([P.OPERATIONS[operation](list(row)) for row in m]) * 144
+
+
+@pytest.mark.parametrize("operation", list(P.OPERATIONS))
+def test_overlays_against_sampled_points(operation):
+    for seed in range(4):
+        a, b = star(seed), star(seed + 50, at=(1, 0.5))
+        exact = P.traps_area(P.trapezoids([a, b], P.OPERATIONS[operation]))
+        assert exact == pytest.approx(sampled([a, b], operation), abs=0.25)
+        rings = P.combine([a, b], operation)
+        assert sum(map(P.signed_area, rings)) == pytest.approx(exact, abs=1e-6)
+        assert P.area(rings) == pytest.approx(exact, abs=1e-6)
+
+
+def test_touching_nested_and_empty_regions():
+    a, b = box(0, 0, 2, 2), box(2, 0, 4, 2)
+    assert len(P.combine([a, b], "union")) == 1 and len(P.combine([a, b], "union")[0]) == 4
+    assert P.combine([a, b], "intersection") == [] and P.combine([a, a], "difference") == []
+    ring = P.combine([box(0, 0, 6, 6), box(2, 2, 4, 4)], "difference")
+    assert P.area(ring) == 32 and len(ring) == 2 and len(P.holes([ring])) == 1
+    assert P.shared_border(a, b) == pytest.approx(2) and P.combine([[], a], "union")[0].shape == (4, 2)
+    assert P.centre(ring) == pytest.approx([3, 3]) and P.area([]) == 0 and P.combine([[], []], "union") == []
+
+
+def test_repair_winding_parts_distance():
+    bow = [np.array([[0, 0], [2, 2], [2, 0], [0, 2]], float)]
+    fixed = P.repair(bow)
+    assert P.area(fixed) == pytest.approx(2) and len(P.parts(fixed)) == 2
+    assert all(P.signed_area(r) < 0 for r in P.clockwise(box(0, 0, 1, 1)))
+    two = box(0, 0, 3, 3) + box(5, 0, 6, 1)
+    assert [P.area(p) for p in P.parts(two)] == [9, 1]
+    assert P.distance(two, np.array([[4.0, 0.5], [1, 1], [3, 5]])) == pytest.approx([1, 0, 2])
+
+
+def test_simplify_keeps_topology_and_shared_borders():
+    t = np.linspace(0, 2 * np.pi, 400, endpoint=False)
+    circle = [np.stack([np.cos(t), np.sin(t)], 1)]
+    small = P.simplify(circle, 0.01)
+    assert len(small[0]) < 40 and P.area(small) == pytest.approx(np.pi, rel=0.03)
+    y = np.linspace(0, 1, 60)
+    line = np.stack([1 + 0.02 * np.sin(40 * y), y], 1)
+    left = [np.vstack([[[0, 0]], line, [[0, 1]]])]
+    right = [np.vstack([[[2, 1]], line[::-1], [[2, 0]]])]
+    fixed = P.junctions([left, right]) | {tuple(line[0]), tuple(line[-1])}
+    a, b = P.simplify(left, 0.05, fixed), P.simplify(right, 0.05, fixed)
+    assert P.common_area(a, b) == pytest.approx(0) and P.area(P.combine([a, b], "union")) == pytest.approx(2)
+
+
+def test_partitions():
+    frame = box(0, 0, 10, 10)
+    m = P.snap({"a": box(-1, 0, 4, 10), "b": box(5, 0, 12, 10)}, frame)
+    assert sum(map(P.area, m.values())) == pytest.approx(100) and P.common_area(m["a"], m["b"]) == 0
+    m = P.resolve_overlaps({"a": box(0, 0, 6, 10), "b": box(5, 0, 7, 1)})
+    assert P.area(m["a"]) == 60 and P.area(m["b"]) == pytest.approx(1)
+    m = P.reassign_slivers({"a": box(0, 0, 4, 4) + box(8, 8, 8.5, 8.5), "b": box(4, 0, 8, 9)}, 1.0)
+    assert P.area(m["a"]) == 16 and P.area(m["b"]) == pytest.approx(36.25)
+    walls = P.combine([box(0, 0, 6, 6), box(2, 2, 4, 4)], "difference")
+    m = {"a": P.combine([walls, box(0, 0, 3, 6)], "intersection"), "b": P.combine([walls, box(3, 0, 6, 6)], "intersection")}
+    assert sum(map(P.area, P.fill_holes(m).values())) == 36 and P.area(P.fill_holes(m, preferred="b")["b"]) == 20
+    m = P.transfer_lobes({"a": box(0, 0, 4, 4) + box(8, 0, 9, 1), "b": box(9, 0, 12, 4)}, {"a": "b"})
+    assert P.area(m["a"]) == 16 and P.area(m["b"]) == 13
+    m = P.carve({"p": box(0, 0, 4, 4)}, "c", "p", box(3, 0, 9, 9))
+    assert P.area(m["c"]) == 4 and P.area(m["p"]) == 12
+
+
+def test_polygonise_and_rotated_overlap():
+    labels = np.array([[0, 0, 1], [0, 1, 1], [-1, 1, 1]])
+    out = P.polygonise(labels)
+    assert {k: P.area(r) for k, r in out.items()} == {0: 3, 1: 5} and P.common_area(out[0], out[1]) == 0
+    a = star(3)
+    c, s = np.cos(np.radians(9)), np.sin(np.radians(9))
+    b = [ring @ np.array([[c, s], [-s, c]]) * 3 + 7 for ring in a]
+    assert P.rotated_iou(a, b) == pytest.approx(1, abs=1e-6) and P.rotated_iou(a, star(4)) < 0.95
+
+
+def test_tables(spark):
+    rows = [("u", "a", P.of_region(box(0, 0, 2, 2))), ("u", "b", P.of_region(box(1, 0, 3, 2))), ("v", "c", P.of_region(box(0, 0, 1, 1))), ("v", "d", None)]
+    df = spark.createDataFrame(rows, f"unit string, name string, rings {P.RINGS}")
+    assert {r.unit: r.area for r in P.dissolve(df, ["unit"], "rings").collect()} == {"u": 6, "v": 1}
+    assert {r.name: r.area for r in P.partition(df, "unit", "name", "rings", P.resolve_overlaps).collect()} == {"a": 4, "b": 2, "c": 1, "d": 0}
+    pairs = df.selectExpr("name", "rings as p", "array(array(struct(1D as x, 1D as y), struct(9D as x, 1D as y), struct(9D as x, 9D as y))) as q")
+    got = {r.name: r.area for r in P.overlay(pairs, "p", "q", "difference").collect()}
+    assert got["a"] == pytest.approx(3.5) and got["d"] == 0
+    assert P.reshape(df, "rings", P.clockwise).where("rings is null").count() == 1
+    assert P.dissolve(df.limit(0), ["unit"], "rings").count() == 0
