@@ -1,0 +1,109 @@
+"""Raster scan: PNM and plain 8-bit PNG files as rows of RGB pixels."""
+
+from __future__ import annotations
+
+import re
+import struct
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+RASTER = "id string, height int, width int, pixels binary"
+
+
+def _unfiltered(kind: int, line: bytes, up: list[int], channels: int) -> list[int]:
+    """A PNG line without its filter; ``up`` is the line above."""
+    if kind == 0:
+        return list(line)
+    if kind == 2:
+        return [(x + b) & 255 for x, b in zip(line, up)]
+    out: list[int] = []
+    for i, x in enumerate(line):
+        a, c = (out[i - channels], up[i - channels]) if i >= channels else (0, 0)
+        b = up[i]
+        if kind == 1:
+            guess = a
+        elif kind == 3:
+            guess = (a + b) >> 1
+        else:
+            da, db, dc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+            guess = a if da <= db and da <= dc else b if db <= dc else c
+        out.append((x + guess) & 255)
+    return out
+
+
+def _png(data: bytes) -> np.ndarray:
+    at, body, head = 8, b"", None
+    while at + 8 <= len(data):
+        n, kind = struct.unpack(">I4s", data[at : at + 8])
+        chunk = data[at + 8 : at + 8 + n]
+        head = chunk if kind == b"IHDR" else head
+        body += chunk if kind == b"IDAT" else b""
+        at += 12 + n
+    w, h, depth, colour, _, _, lace = struct.unpack(">IIBBBBB", head)
+    channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
+    if depth != 8 or channels is None or lace:
+        raise ValueError("only plain 8-bit grey and colour PNG are read")
+    raw, size = zlib.decompress(body), w * channels
+    lines, up = [], [0] * size
+    for y in range(h):
+        line = raw[y * (size + 1) : (y + 1) * (size + 1)]
+        up = _unfiltered(line[0], line[1:], up, channels)
+        lines.append(up)
+    out = np.array(lines, np.uint8).reshape(h, w, channels)
+    return out[:, :, :3] if channels > 2 else out[:, :, :1]
+
+
+_PNM = re.compile(rb"(P[56])\s+(?:#.*\n\s*)*(\d+)\s+(?:#.*\n\s*)*(\d+)\s+(?:#.*\n\s*)*\d+\s")
+
+
+def decode(data: bytes | None) -> np.ndarray | None:
+    """Pixels [h, w, 1 or 3] of a binary PGM, PPM or plain 8-bit PNG; None if it is none of these."""
+    try:
+        if data[:8] == b"\x89PNG\r\n\x1a\n":
+            return _png(data)
+        head = _PNM.match(data)
+        w, h, channels = int(head[2]), int(head[3]), {b"P5": 1, b"P6": 3}[head[1]]
+        return np.frombuffer(data, np.uint8, w * h * channels, head.end()).reshape(h, w, channels)
+    except (KeyError, ValueError, TypeError, AttributeError, struct.error, zlib.error, IndexError):
+        return None
+
+
+def to_ppm(image: np.ndarray) -> bytes:
+    """PGM of [h, w], PPM of [h, w, 3]."""
+    kind = b"P6" if image.ndim == 3 else b"P5"
+    return kind + b"\n%d %d\n255\n" % (image.shape[1], image.shape[0]) + image.astype(np.uint8).tobytes()
+
+
+def shrunk(image: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` pixels a side, by means of equal blocks (a rest at the edge is left out)."""
+    k = -(-max(image.shape[:2]) // most)
+    if k < 2:
+        return image
+    h, w = image.shape[0] // k, image.shape[1] // k
+    return image[: h * k, : w * k].reshape(h, k, w, k, -1).mean((1, 3)).round().astype(np.uint8)
+
+
+def pixels(images: DataFrame, id_col: str, content: str, most: int = 3000) -> DataFrame:
+    """``(id, height, width, pixels)``: RGB bytes of each image that can be read; the others have null pixels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                image = decode(b.column(1)[k].as_py())
+                if image is not None:
+                    image = np.broadcast_to(shrunk(image, most), (*shrunk(image, most).shape[:2], 3))
+                size = (None, None) if image is None else image.shape[:2]
+                cols = [pa.array([size[0]], pa.int32()), pa.array([size[1]], pa.int32()), pa.array([None if image is None else image.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), *cols], ["id", "height", "width", "pixels"])
+
+    return images.select(F.col(id_col).cast("string").alias("id"), F.col(content).alias("content")).mapInArrow(run, RASTER)
+
+
+def scan(spark: SparkSession, path, most: int = 3000) -> DataFrame:
+    """Image files by path."""
+    return pixels(spark.read.format("binaryFile").load(path), "path", "content", most)

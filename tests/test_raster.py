@@ -1,0 +1,170 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quorumlake.operators import fitting as T
+from quorumlake.operators import polygons as P
+from quorumlake.operators import raster as R
+from quorumlake.sources import rasters as S
+
+
+def canvas(h=60, w=80, colour=(255, 255, 255)):
+    return np.full((h, w, 3), colour, np.uint8)
+
+
+def flood(mask, diagonal):
+    """Components pixel by pixel."""
+    out, n = np.zeros(mask.shape, int), 0
+    steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + [(1, 1), (1, -1), (-1, 1), (-1, -1)] * diagonal
+    for y, x in zip(*np.nonzero(mask)):
+        if not out[y, x]:
+            n += 1
+            stack = [(y, x)]
+            while stack:
+                a, b = stack.pop()
+                if 0 <= a < mask.shape[0] and 0 <= b < mask.shape[1] and mask[a, b] and not out[a, b]:
+                    out[a, b] = n
+                    stack += [(a + i, b + j) for i, j in steps]
+    return out, n
+
+
+@pytest.mark.parametrize("diagonal", [False, True])
+def test_components_morphology_distances(diagonal):
+    r = np.random.default_rng(1)
+    for _ in range(5):
+        m = r.random((20, 31)) < 0.5
+        got, n = R.label(m, diagonal)
+        want, k = flood(m, diagonal)
+        assert n == k and (got == want).all()
+        p = np.pad(m, 2)
+        assert (R.dilate(m, 3) == np.any([p[1 + i : 21 + i, 1 + j : 32 + j] for i in range(3) for j in range(3)], 0)).all()
+        d, iy, ix = R.nearest(m)
+        ys, xs = np.nonzero(m)
+        y, x = np.mgrid[0:20, 0:31]
+        assert (d == ((y[..., None] - ys) ** 2 + (x[..., None] - xs) ** 2).min(2)).all() and m[iy, ix].all()
+    ring = np.zeros((9, 9), bool)
+    ring[2:7, 2:7] = True
+    ring[4, 4] = False
+    assert R.fill_holes(ring).sum() == 25 and (R.open_(ring, 3) <= ring).all() and (R.close(ring, 3) >= ring).all()
+
+
+def test_colours():
+    image = canvas()
+    image[5:25, 5:30] = (200, 60, 60)
+    image[30:50, 40:70] = (60, 60, 200)
+    image[25:27] = 0
+    got = R.colour_segments(image)
+    assert [(s["area"], s["fill"]) for s in got if s["fill"] != [255, 255, 255]] == [(600, [60, 60, 200]), (500, [200, 60, 60])]
+    masks = R.hue_masks(image, {"red": (170, 185), "blue": (110, 130)}, least=100)
+    assert masks["red"].sum() == 500 and masks["blue"].sum() == 600
+    assert R.hsv(np.array([[[255, 0, 0], [0, 255, 0], [0, 0, 255], [9, 9, 9]]], np.uint8))[0].tolist() == [[0, 255, 255], [60, 255, 255], [120, 255, 255], [0, 0, 9]]
+    assert (R.keep_embedded(masks["red"] | masks["blue"], [masks["red"]], 5, 100) == masks["red"]).all()
+    classes, centres = R.colour_classes(image, masks["red"] | masks["blue"], 2)
+    assert len(centres) == 2 and len(set(classes[masks["red"]])) == len(set(classes[masks["blue"]])) == 1
+    blob = R.content_blob(image, masks["blue"])
+    assert blob[masks["blue"]].all() and R.content_blob(canvas(), masks["red"]) is None
+
+
+def test_grid_lines_and_land():
+    image = canvas(200, 300)
+    image[:, [60, 61, 150]] = 180
+    image[[50, 120]] = 180
+    cols, rows = R.grid_lines(image)
+    assert cols == [60, 150] and rows == [50, 120]
+    map_ = canvas(100, 100, (0, 0, 0))
+    map_[10:60, 10:60] = 200
+    map_[70:90, 70:90] = 200
+    labels, size = R.land_components(map_)
+    assert sorted(size.tolist()) == [400, 2500]
+    region = np.zeros((100, 100), bool)
+    region[15:20, 15:20] = True
+    assert R.component_of(labels, region) == labels[30, 30] and R.component_of(labels, ~(labels > 0)) == 0
+
+
+def test_barriers_and_watershed():
+    lines = np.zeros((80, 120), bool)
+    lines[[10, 70], 10:111] = True
+    lines[10:71, [10, 60, 110]] = True
+    regions = R.barrier_regions(lines, 2)
+    assert len(regions) == 2 and not (regions[0] & regions[1] & ~R.dilate(lines, 3)).any()
+    lines[38:41, 60] = False
+    body = np.zeros((80, 120), bool)
+    body[10:71, 10:111] = True
+    got = R.seeded_regions(lines, body, [(35, 40), (85, 40)])
+    assert (got[15:65, 15:55] == 1).all() and (got[15:65, 66:105] == 2).all() and (got[~body] == 0).all()
+    assert R.barrier_regions(lines, 9) == []
+
+
+def test_contours_rasters_and_splits():
+    mask = np.zeros((40, 40), bool)
+    mask[5:30, 8:35] = True
+    ring = R.contours(mask)
+    assert P.area(ring) == 25 * 27 and (R.rasterise(ring, 40, 40) == mask).all()
+    own = R.split_blob(mask, [(10, 10), (30, 25)])
+    assert set(own[mask]) == {1, 2} and (own[~mask] == 0).all() and own[6, 9] == 1
+    away = R.split_blob(mask, [(10, 10), (500, 500)])
+    assert min(np.bincount(away[mask])[1:]) > 100 and away[6, 9] == 1
+    left, right = mask.copy(), mask.copy()
+    left[:, 18:], right[:, :24] = False, False
+    labels, (x0, y0, step) = R.label_transfer([left, right], lambda p: p + 0.5, ring, 54)
+    x = x0 + (np.arange(54) + 0.5) * step
+    row = labels[20]
+    assert (row[x < 20.5] == 0).all() and (row[(x > 21.5) & (x < 35)] == 1).all()
+
+
+def test_fits():
+    r = np.random.default_rng(2)
+    p = r.normal(size=(4, 2))
+    turn = 2.5 * np.array([[np.cos(0.7), -np.sin(0.7)], [np.sin(0.7), np.cos(0.7)]])
+    m, b = T.similarity(p, p @ turn.T + [3, -1])
+    assert np.allclose(m, turn) and np.allclose(b, [3, -1])
+    t = np.linspace(0, 2 * np.pi, 160, endpoint=False)
+    shape = np.stack([(3 + np.cos(3 * t)) * np.cos(t) * 1.5, (3 + np.sin(2 * t)) * np.sin(t)], 1)
+    m, b, rms = T.fit_outline(shape, shape @ turn.T + 7, 2.4)
+    assert rms < 0.2
+    warp = T.thin_plate(p, p + [[0.1, 0], [0, 0.1], [0.1, 0.1], [0, 0]], 1e-9)
+    assert np.allclose(warp(p), p + [[0.1, 0], [0, 0.1], [0.1, 0.1], [0, 0]], atol=1e-3)
+    region = [np.array([[60, 20], [64, 20], [65, 23], [62, 25], [60, 24]], float)]
+    y, x = np.mgrid[0:60, 0:60]
+    to = np.stack([60 + 0.1 * x.ravel() + 0.02 * y.ravel() - 0.7, 25.6 - 0.1 * y.ravel()], 1)
+    mask = P.contains(region, to).reshape(60, 60)
+    coef, shared = T.fit_affine(mask, region, rounds=250)
+    assert shared > 0.9 and shared > T.fit_affine(mask, region, rounds=0)[1]
+    grid = R.rasterise(region, 60, 60, 59.5, 19.8, 0.1)[::-1]
+    quadratic, better = T.fit_quadratic(mask, grid, 59.5, 25.8, 0.1, coef, rounds=60)
+    assert better > 0.85 and quadratic.shape == (6, 2)
+    assert T.nelder_mead(lambda v: float(((v - [1, 2]) ** 2).sum()), np.zeros(2), np.ones(2), flat=1e-14)[0] == pytest.approx([1, 2], abs=1e-3)
+
+
+def test_relational_fits(spark):
+    pairs = spark.createDataFrame([(k, x, y, 2 * x - y + 5, x + 2 * y - 1) for k in (1, 2) for x, y in ((0.0, 0.0), (1.0, 0.0), (0.0, 2.0), (3.0, 1.0))] + [(3, 1.0, 1.0, 2.0, 2.0)], "k int, x double, y double, u double, v double")
+    got = {r.k: r for r in T.anchor_similarity(pairs, ["k"]).collect()}
+    assert [got[1][c] for c in ("a", "b", "tx", "ty", "rms")] == pytest.approx([2, 1, 5, -1, 0], abs=1e-6) and got[3].a is None
+    labels = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", "b"), ("s", "far"), ("s", "none")], "sheet string, unit string")
+    places = spark.createDataFrame([("a", 70.0, 30.0), ("b", 70.5, 30.5), ("far", 75.0, 30.0)], "unit string, lon double, lat double")
+    assert sorted((r.unit, r.kept) for r in T.majority_cluster(labels, places, "sheet", "unit").collect()) == [("a", True), ("a", True), ("b", True), ("far", False), ("none", False)]
+    seats = spark.createDataFrame([("r", "1", 1.0, None, 5.0), ("r", "2", 2.0, 3.0, 5.0), ("q", "3", None, 3.0, 5.0), ("t", "4", None, None, 5.0), ("t", "5", None, 4.0, 6.0), ("u", "6", None, None, 7.0), ("u", "7", None, None, 7.0)], "region string, seat string, own double, earlier double, district double")
+    got = {r.seat: (r.source, r.seed) for r in T.seed_cascade(seats, "region", "own", "earlier", "district").collect()}
+    assert got == {"1": ("own", 1), "2": ("own", 2), "3": ("earlier", 3), "4": ("district", 5), "5": ("district", 6), "6": ("kmeans", None), "7": ("kmeans", None)}
+
+
+def test_projection(spark):
+    e, n = T.utm(F.col("lon"), F.col("lat"), 42)
+    row = spark.createDataFrame([(67.0, 24.86)], "lon double, lat double").select(e.alias("e"), n.alias("n"), T.utm_zone(F.col("lon")).alias("z")).first()
+    # a degree and a half east of the central meridian 69: two degrees west here
+    assert row.z == 42 and row.n == pytest.approx(2751000, abs=3000) and row.e == pytest.approx(500000 - 2 * 111319.49 * np.cos(np.radians(24.86)) * 0.9996, abs=400)
+    row = spark.createDataFrame([(69.0, 0.0)], "lon double, lat double").select(e.alias("e"), n.alias("n")).first()
+    assert (row.e, row.n) == pytest.approx((500000, 0))
+
+
+def test_scan_and_segments(spark, tmp_path):
+    image = canvas()
+    image[5:25, 5:30] = (200, 60, 60)
+    (tmp_path / "a.ppm").write_bytes(S.to_ppm(image))
+    (tmp_path / "b.pgm").write_bytes(S.to_ppm(np.full((8, 8), 100)))
+    (tmp_path / "c.png").write_bytes(b"junk")
+    d = S.scan(spark, str(tmp_path))
+    assert sorted((r.id[-5:], r.height, r.width) for r in d.collect()) == [("a.ppm", 60, 80), ("b.pgm", 8, 8), ("c.png", None, None)]
+    got = [r for r in R.segments(d).collect() if r.fill != [255, 255, 255]]
+    assert [(r.x0, r.y0, r.x1, r.y1, r.area) for r in got] == [(5, 5, 30, 25, 500)]
+    assert S.shrunk(image, 40).shape == (30, 40, 3)
