@@ -1,40 +1,50 @@
-"""Edit similarities from built-in functions."""
+"""Edit similarities and set overlaps: built-in functions but for the edit similarity, which runs on Arrow batches."""
 
-from __future__ import annotations
-
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from quorumlake.plans.joins import join_dim
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, by a fold over ``a`` that keeps one row of the table."""
-    bs = F.filter(F.split(b, ""), lambda c: c != "")
-    zero = F.transform(bs, lambda _: F.lit(0))
 
-    def row(prev, c):
-        def cell(acc, i):
-            diagonal = F.when(i > 0, F.get(prev, i - 1)).otherwise(0)
-            left = F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))
-            best = F.when(F.get(bs, i) == c, diagonal + 1).otherwise(F.greatest(left, F.get(prev, i)))
-            return F.array_append(acc, best)
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence: a row of the table is the bits of one integer."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for c in b:
+        hit = row & at.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
 
-        at = F.when(F.size(bs) > 0, F.sequence(F.lit(0), F.size(bs) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(at, F.array().cast("array<int>"), cell)
 
-    chars = F.filter(F.split(a, ""), lambda c: c != "")
-    return F.coalesce(F.try_element_at(F.aggregate(chars, zero, row), F.lit(-1)), F.lit(0))
+@F.pandas_udf(DoubleType())
+def _ratio(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """In Arrow batches; 0 without a comparison where the lengths cannot reach ``least``."""
+    out = []
+    for x, y, low in zip(a, b, least):
+        if x is None or y is None:
+            out.append(None)
+        elif x == y:
+            out.append(100.0)
+        else:
+            n = len(x) + len(y)
+            out.append(200.0 * lcs(x, y) / n if 200.0 * min(len(x), len(y)) >= low * n else 0.0)
+    return pd.Series(out, dtype="float64")
 
 
-def indel_ratio(a: Column, b: Column) -> Column:
-    """100 (1 - insertions and deletions / total length) = 200 LCS / (|a| + |b|); two empty strings are alike."""
-    total = F.length(a) + F.length(b)
-    return F.when(total == 0, 100.0).when(a == b, 100.0).otherwise(F.lit(200.0) * lcs_length(a, b) / F.nullif(total, F.lit(0)))
+def indel_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """100 (1 - insertions and deletions / total length) = 200 LCS / (|a| + |b|); two empty strings are alike. With
+    ``least`` pairs that cannot reach it count as 0."""
+    return _ratio(a, b, F.lit(float(least)))
 
 
-def token_sort_ratio(a: Column, b: Column) -> Column:
+def token_sort_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
     """``indel_ratio`` of the sorted tokens."""
     ordered = lambda s: F.array_join(F.array_sort(F.filter(F.split(s, " "), lambda t: t != "")), " ")
-    return indel_ratio(ordered(a), ordered(b))
+    return indel_ratio(ordered(a), ordered(b), least)
 
 
 def can_reach(a: Column, b: Column, least: float) -> Column:
@@ -62,3 +72,14 @@ def differ_by(a: Column, b: Column, fillers: list[str], least: int = 3) -> Colum
     odd = F.array_union(F.array_except(a, b), F.array_except(b, a))
     filler = F.array(*map(F.lit, fillers)) if fillers else F.array().cast("array<string>")
     return (F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b))) >= least) & contained(a, b) & (F.size(F.array_except(odd, filler)) == 0)
+
+
+def overlaps(df: DataFrame, key: str, item: str) -> DataFrame:
+    """``(a, b, shared, iou)``, a < b, of all keys whose sets of items meet, through the items: keys without a common item
+    never meet. Items that very many keys have make many pairs, as their overlaps do."""
+    d = df.select(F.col(key).alias("k"), F.col(item).alias("i")).where("i is not null").distinct()
+    n = d.groupBy("k").agg(F.count("*").alias("n"))
+    met = d.select(F.col("k").alias("a"), "i").join(d.select(F.col("k").alias("b"), "i"), "i").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    for side in "ab":
+        met = join_dim(met, n.select(F.col("k").alias(side), F.col("n").alias(f"n_{side}")), side, "inner")
+    return met.select("a", "b", "shared", (F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("iou"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +54,63 @@ def border_growth(borders: DataFrame, assigned: DataFrame, rounds: int = 6) -> D
     return cur
 
 
+def free_seats_in_order(regions: DataFrame, seats: DataFrame, group: str, rounds: int = 6) -> DataFrame:
+    """``(group, region, seat)``, one region after the other: in each round, from the largest, a region without a seat gets
+    the only free one of all its districts, if there is but one. regions: (group, region, district, area), seats: (group, seat, district);
+    each may have several districts. A group is one map and is worked on by one task."""
+    kind = lambda d, c: f"`{c}` {d.schema[c].dataType.simpleString()}"
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        of = right.groupby("district")["seat"].agg(set).to_dict()
+        order = left.groupby("region").agg(area=("area", "max"), districts=("district", set)).reset_index().sort_values(["area", "region"], ascending=[False, True])
+        taken, got = set(), {}
+        for _ in range(rounds):
+            before = len(got)
+            for region, districts in zip(order["region"], order["districts"]):
+                free = set().union(*(of.get(d, set()) for d in districts)) - taken
+                if region not in got and len(free) == 1:
+                    got[region] = free.pop()
+                    taken.add(got[region])
+            if len(got) == before:
+                break
+        g = left[group].iloc[:1] if len(left) else right[group].iloc[:1]
+        return pd.DataFrame({group: [g.iloc[0]] * len(got), "region": list(got), "seat": list(got.values())})
+
+    a, b = regions.select(group, "region", "district", "area").groupBy(group), seats.select(group, "seat", "district").groupBy(group)
+    return a.cogroup(b).applyInPandas(run, f"{kind(regions, group)}, {kind(regions, 'region')}, {kind(seats, 'seat')}")
+
+
+def border_growth_in_order(units: DataFrame, borders: DataFrame, group: str, rounds: int = 6) -> DataFrame:
+    """``(group, unit, label)``, one unit after the other: in each round a unit without a label, by ``pos``, takes that of the neighbour
+    with the longest border, those placed just before included (of equals the label that came first). units: (group,
+    unit, label, pos), borders: (group, a, b, length), each pair once. What no border reaches keeps a null label."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        near: dict = {}
+        for a, b, length in zip(right["a"], right["b"], right["length"]):
+            near.setdefault(a, {})[b] = length
+            near.setdefault(b, {})[a] = length
+        left = left.sort_values("pos")
+        placed = {u: x for u, x in zip(left["unit"], left["label"]) if not pd.isna(x)}
+        open_ = [u for u in left["unit"] if u not in placed]
+        for _ in range(rounds):
+            before = len(placed)
+            for u in open_:
+                if u in placed:
+                    continue
+                rank = {x: i for i, x in enumerate(dict.fromkeys(placed.values()))}
+                best = max(((n, -rank[placed[v]]) for v, n in near.get(u, {}).items() if v in placed and n > 0), default=None)
+                if best:
+                    placed[u] = next(x for x, i in rank.items() if i == -best[1])
+            if len(placed) == before:
+                break
+        return pd.DataFrame({group: left[group], "unit": left["unit"], "label": [placed.get(u) for u in left["unit"]]})
+
+    kind = ", ".join(f"`{c}` {units.schema[c].dataType.simpleString()}" for c in (group, "unit", "label"))
+    a, b = units.select(group, "unit", "label", "pos").groupBy(group), borders.select(group, "a", "b", "length").groupBy(group)
+    return a.cogroup(b).applyInPandas(run, kind)
+
+
 def least_cost(cost: list[list[float]]) -> list[int]:
     """Column of each row in the cheapest assignment of rows to different columns (shortest augmenting paths)."""
     n, m = len(cost), len(cost[0]) if cost else 0

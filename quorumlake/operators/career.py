@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.operators.contest import keep_first
+from quorumlake.plans.joins import join_dim
 
 
 def best_rows(df: DataFrame, person: str, year: str, won: Column, rank: str, pos: list) -> DataFrame:
@@ -24,7 +25,7 @@ def steps(df: DataFrame, person: str, order: list, columns: list[str]) -> DataFr
 
 def with_period(df: DataFrame, calendar: DataFrame, year: str, period: str = "period_no") -> DataFrame:
     """Numbers the years by a calendar (year, period_no): neighbours differ by one, whatever the years."""
-    return df.join(F.broadcast(calendar), year)
+    return join_dim(df, calendar, year, "inner")
 
 
 def transitions(steps_: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,3 +76,17 @@ def persistence(wins: DataFrame, group: list[str], person: str) -> DataFrame:
     per = wins.groupBy(*group, person).agg(F.count("*").alias("_w"))
     held = lambda k: F.round(F.sum(F.when(F.col("_w") >= k, F.col("_w")).otherwise(0)) / F.sum("_w"), 3)
     return per.groupBy(*group).agg(F.sum("_w").alias("wins"), F.count("*").alias("winners"), held(2).alias("held_by_2"), held(3).alias("held_by_3"))
+
+
+def spans(df: DataFrame, person: str, year: str, pos: list[str], field: str) -> DataFrame:
+    """``(person, n, first, last, first_value, kinds)``: rows, first and last year, the first row's ``field`` and its sorted distinct
+    values, all from partial aggregates: no history is collected."""
+    return df.groupBy(person).agg(
+        F.count("*").alias("n"), F.min(year).alias("first"), F.max(year).alias("last"),
+        F.min_by(field, F.struct(year, *pos)).alias("first_value"), F.array_sort(F.collect_set(field)).alias("kinds"),
+    )
+
+
+def multi_seat(df: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
+    """``(keys, n)`` of persons with several rows in one period."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= least)

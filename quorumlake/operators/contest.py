@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumlake.operators.ordering import global_prefix
 from quorumlake.plans.joins import join_dim
 
 
@@ -113,8 +114,10 @@ def swings(shares: DataFrame, period: str, category: str, value: str, lineage: D
 
 
 def running_layout(df: DataFrame, order: list, size: str, group: list[str] | None = None) -> DataFrame:
-    """Adds ``start`` and ``end``: where each row lies when sizes are laid end to end."""
-    w = Window.partitionBy(*(group or [F.lit(1)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Adds ``start`` and ``end``: where each row lies when sizes are laid end to end, in each group or in all."""
+    if not group:
+        return global_prefix(df, order, size, "end").withColumn("start", F.col("end") - F.col(size))
+    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("end", F.sum(size).over(w)).withColumn("start", F.col("end") - F.col(size))
 
 
@@ -140,3 +143,22 @@ def asc(c: str) -> Column:
 
 def desc(c: str) -> Column:
     return F.col(c).desc_nulls_first()
+
+
+def largest_per_group(df: DataFrame, group: str, size: str, counts: DataFrame, n: str, pos: list) -> DataFrame:
+    """The largest rows of each group, as many as ``counts`` (group, n) says."""
+    w = Window.partitionBy(group).orderBy(F.desc(size), *pos)
+    return join_dim(df.withColumn("_rn", F.row_number().over(w)), counts.select(group, n), group, "inner").where(F.col("_rn") <= F.col(n)).drop("_rn", n)
+
+
+def arc(start: Column, end: Column, total: Column, radius: float = 100.0, hole: float = 60.0) -> Column:
+    """SVG path of a half-annulus sector from ``start`` to ``end`` of ``total``, left to right."""
+    point = lambda share, r: F.format_string("%.2f %.2f", F.lit(radius) - F.lit(r) * F.cos(F.pi() * share), F.lit(radius) - F.lit(r) * F.sin(F.pi() * share))
+    a, b = F.try_divide(start, total), F.try_divide(end, total)
+    flag = lambda r, sweep: F.lit(f" A {r:g} {r:g} 0 0 {sweep} ")
+    return F.concat(F.lit("M "), point(a, radius), flag(radius, 1), point(b, radius), F.lit(" L "), point(b, hole), flag(hole, 0), point(a, hole), F.lit(" Z"))
+
+
+def bar_width(value: Column, most: Column, least: float = 2.0) -> Column:
+    """Width in percent of a bar: at least ``least``."""
+    return F.greatest(F.lit(least), F.try_divide(F.lit(100.0) * value, most))

@@ -88,3 +88,13 @@ def family_graph(edges: DataFrame, persons: DataFrame, resolved: DataFrame | Non
     ends = e.select("family", F.col("a").alias("id")).unionByName(e.select("family", F.col("b").alias("id"))).distinct()
     nodes = ends.join(persons.select("id", "name", "wins", F.lit(True).alias("_known")), "id", "left")
     return nodes.select("family", "id", "name", F.coalesce("wins", F.lit(0)).alias("wins"), F.coalesce("_known", F.lit(False)).alias("known")), e
+
+
+def component_regions(members: DataFrame, seat: str, unit: str, forced: DataFrame | None = None) -> DataFrame:
+    """``(region, seats, units)``: seats that share units, directly or by others, make one region of all their units; ``forced`` (src,
+    dst) joins seats besides. region is the smallest seat."""
+    m = members.select(F.col(seat).alias("s"), F.col(unit).alias("u")).where("s is not null and u is not null").distinct()
+    edges = m.join(m.groupBy("u").agg(F.min("s").alias("dst")), "u").select(F.col("s").alias("src"), "dst")
+    found = connected_components(edges if forced is None else edges.unionByName(forced.select("src", "dst")))
+    named = m.join(found.withColumnRenamed("node", "s"), "s", "left").withColumn("region", F.coalesce("component", "s"))
+    return named.groupBy("region").agg(F.array_sort(F.collect_set("s")).alias("seats"), F.array_sort(F.collect_set("u")).alias("units"))

@@ -14,18 +14,21 @@ from quorumlake.functions import similarity as S
 from quorumlake.functions.textnorm import FILLERS
 from quorumlake.operators.contest import mode_first
 from quorumlake.operators.graph import connected_components
+from quorumlake.operators.ordering import global_rank
 from quorumlake.plans.joins import join_dim
 
 
-def token_frequency(df: DataFrame, id_col: str, tokens: str) -> DataFrame:
-    """``(token, df)``: in how many records a token occurs."""
-    return df.select(id_col, F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.countDistinct(id_col).alias("df"))
+def token_frequency(df: DataFrame, id_col: str, tokens: str, unique: bool = True) -> DataFrame:
+    """``(token, df)``: in how many records a token occurs. A row is a record and counts a token once, so counts are
+    summed up before the only shuffle; where rows repeat an id, ``unique`` false counts them once."""
+    each = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("token"))
+    return (each if unique else each.distinct()).groupBy("token").agg(F.count("*").alias("df"))
 
 
 def rare_tokens(df: DataFrame, id_col: str, tokens: str, most: int = 60, longer_than: int = 2, name: str = "rare") -> DataFrame:
     """Adds the array of a record's tokens that at most ``most`` records have."""
     each = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("token")).where(F.length("token") > longer_than)
-    freq = each.groupBy("token").agg(F.countDistinct(id_col).alias("_df")).where(F.col("_df") <= most)
+    freq = each.groupBy("token").agg(F.count("*").alias("_df")).where(F.col("_df") <= most)
     kept = each.join(freq, "token").groupBy(id_col).agg(F.array_sort(F.collect_set("token")).alias(name))
     return df.join(kept, id_col, "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
 
@@ -65,9 +68,7 @@ def arms(modern: bool = True, fillers: list[str] = FILLERS) -> list[tuple[str, C
     rare = F.arrays_overlap("a_rare", "b_rare")
     ls, ld = F.length("a_squash"), F.length("a_distinct")
     wide = lambda n: (same_province & (n >= 12)) if modern else F.lit(False)
-    sim = lambda least: (
-        S.can_reach(c("a_squash"), c("b_squash"), least) & (S.indel_ratio(c("a_squash"), c("b_squash")) >= least)
-    ) | (S.can_reach(c("a_core"), c("b_core"), least) & (S.token_sort_ratio(c("a_core"), c("b_core")) >= least))
+    sim = lambda least: (S.indel_ratio(c("a_squash"), c("b_squash"), least) >= least) | (S.token_sort_ratio(c("a_core"), c("b_core"), least) >= least)
     tokens = lambda x: F.filter(F.split(x, " "), lambda t: t != "")
     found = [
         ("squash", (c("a_squash") == c("b_squash")) & (same_district | wide(ls) | (ls >= 16))),
@@ -78,7 +79,7 @@ def arms(modern: bool = True, fillers: list[str] = FILLERS) -> list[tuple[str, C
         ("sim96", ((same_province & rare) if modern else rare) & sim(96)),
     ]
     if modern:
-        close = S.can_reach(c("a_distinct"), c("b_distinct"), 95) & (S.indel_ratio(c("a_distinct"), c("b_distinct")) >= 95)
+        close = S.indel_ratio(c("a_distinct"), c("b_distinct"), 95) >= 95
         found.append(("distinct95", (ld >= 10) & (same_district | (same_province & rare)) & close))
     return found
 
@@ -148,7 +149,7 @@ def apply_splits(df: DataFrame, rules: DataFrame, person: str = "person", name:
         & (F.col("r_name_contains").isNull() | F.contains(name, "r_name_contains"))
     )
     w = Window.partitionBy("_row").orderBy(F.desc("r_rule_no"))
-    d = df.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(r), hit, "left")
+    d = df.withColumn("_row", F.monotonically_increasing_id()).join(r, hit, "left")
     d = d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
     fresh = F.coalesce("r_merge_into", F.format_string("PX%03d", F.col("r_rule_no").cast("int")))
     return d.withColumn(person, F.when(F.col("r_rule_no").isNotNull(), fresh).otherwise(F.col(person))).select(*df.columns)
@@ -194,3 +195,17 @@ def surname_tokens(df: DataFrame, person: str, core: str, stop: list[str] = (),
     last = t.select(person, F.explode(F.when(F.size("_t") > 1, F.slice("_t", -2, 2)).otherwise(F.col("_t"))).alias("token")).distinct()
     borne = t.select(person, F.explode("_t").alias("token")).groupBy("token").agg(F.countDistinct(person).alias("_f")).where(F.col("_f") <= most)
     return last.where((F.length("token") >= 3) & ~F.col("token").isin(list(stop))).join(borne, "token").select(person, "token")
+
+
+def fresh_ids(clusters: DataFrame, cluster: str, prefix: str = "H", digits: int = 4) -> DataFrame:
+    """``clusters`` with ``person``: ids H0001, H0002, .. in the order of the clusters, for those that no person was found for."""
+    ranked = global_rank(clusters, [F.col(cluster)], "_no")
+    return ranked.withColumn("person", F.concat(F.lit(prefix), F.lpad(F.col("_no").cast("string"), digits, "0"))).drop("_no")
+
+
+def probes(persons_: DataFrame, names: list[str], column: str) -> DataFrame:
+    """``(probe, n, example)``: how many rows hold each text, none included, and the first of them."""
+    asked = persons_.sparkSession.createDataFrame([(n,) for n in names], "probe string")
+    hits = persons_.select(F.explode(F.filter(F.array(*map(F.lit, names)), lambda p: F.contains(F.col(column), p))).alias("probe"), F.col(column).alias("_c"))
+    found = hits.groupBy("probe").agg(F.count("*").alias("n"), F.min("_c").alias("example"))
+    return asked.join(found, "probe", "left").select("probe", F.coalesce("n", F.lit(0)).alias("n"), "example")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumlake.operators.ordering import global_rank
+from quorumlake.plans.joins import BROADCAST_ROWS
+from quorumlake.plans.staging import Stage
+
 
 def gaps(df: DataFrame, number: str, low: int, high: int) -> DataFrame:
     """Numbers of low..high that do not occur."""
@@ -50,8 +54,34 @@ def exactly(df: DataFrame, n: int, what: str = "rows") -> DataFrame:
 
 
 def quantiles(df: DataFrame, value: str, at: list[float], group: list[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation, and the root mean square."""
-    return df.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(f"q{round(100 * q)}") for q in at], F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"))
+    """Exact quantiles with linear interpolation, and the root mean square; missing values are left out. Values are ranked
+    by a distributed sort, so no task holds a group; the two neighbours of a quantile are summed up with their weights."""
+    group = list(group)
+    d = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    ranked = global_rank(d, [*[F.col(g).asc_nulls_first() for g in group], F.col("_v")], "_rank")
+    per = ranked.groupBy(*group).agg(F.min("_rank").alias("_first"), F.count("*").alias("_n"), F.sqrt(F.avg(F.col("_v") * F.col("_v"))).alias("rms"))
+    per = Stage(df.sparkSession, "quantiles").put(per.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_first", "_n", "rms"), "groups")
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    few = per.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    both = ranked.join(F.broadcast(per) if few else per, same)
+    k = (F.col("_rank") - F.col("_first")).cast("double")
+    weight = lambda q: F.greatest(F.lit(0.0), 1 - F.abs(F.lit(q) * (F.col("_n") - 1) - k))
+    return both.groupBy(*group).agg(*[F.sum(F.when(weight(q) > 0, weight(q) * F.col("_v"))).alias(f"q{round(100 * q)}") for q in at], F.first("rms").alias("rms"))
+
+
+def metrics(a: float, parts: Column, whole: Column, overlap: Column) -> Column:
+    """struct(factor, residue): the parts' sum over the whole (1 for a partition) and overlap over the whole, which should not
+    exceed ``a``; ``ok`` tells."""
+    factor, residue = F.try_divide(parts, whole), F.try_divide(overlap, whole)
+    return F.struct(factor.alias("factor"), residue.alias("residue"), (residue <= a).alias("ok"))
+
+
+def area_shares(df: DataFrame, canvas: str, area: str, km2: float) -> DataFrame:
+    """``df`` with ``share`` of its canvas and ``km2``: the area times a constant."""
+    w = Window.partitionBy(canvas)
+    return df.withColumns({"share": F.try_divide(F.col(area), F.sum(area).over(w)), "km2": F.col(area) * F.lit(km2)})
 
 
 def coverage(cells: DataFrame, unit: str = "label") -> DataFrame:

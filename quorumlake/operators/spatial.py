@@ -1,11 +1,12 @@
 """Boxes, rings, grids: the relational part of the vector operators, and shapes without a geometry library.
 
-Range joins become equi joins on covering grid cells; exact tests follow. Claims stop at boxes, simple rings
-and convex clips.
+Range joins become equi joins on covering grid cells; exact tests follow. This module is boxes, simple rings and grids; free
+polygons are in ``operators.polygons``.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,14 +58,54 @@ def projected_winner(votes: DataFrame, target: str, parts: DataFrame, part: str,
     return top.join(one, target).select(target, "party", F.try_divide("votes", "_all").alias("purity"), (F.col("single") | (F.col("sources") == 1)).alias("single"))
 
 
-def nearest(points: DataFrame, anchors: DataFrame, id_col: str, label: str, dims: tuple[str, ...] = ("x", "y"), within: list[str] = ()) -> DataFrame:
-    """Each point's nearest anchor (squared distance, then label). Anchors are few: they are broadcast, and
-    only a running minimum is kept a point. With ``within`` only anchors of the same group compete."""
-    a = anchors.select(label, *within, *[F.col(d).alias(f"_{d}") for d in dims])
-    square = sum(((F.col(d) - F.col(f"_{d}")) * (F.col(d) - F.col(f"_{d}")) for d in dims), F.lit(0.0))
-    both = points.join(F.broadcast(a), list(within)) if within else points.crossJoin(F.broadcast(a))
-    best = both.groupBy(id_col).agg(F.min(F.struct(square.alias("d2"), F.col(label))).alias("_b"))
-    return best.select(id_col, F.col(f"_b.{label}").alias(label), F.col("_b.d2").alias("d2"))
+#: Anchors that are written into the expression; beyond, points and anchors meet in grid cells.
+FEW_ANCHORS = 64
+
+
+def nearest(points: DataFrame, anchors: DataFrame, id_col: str, label: str, dims: tuple[str, ...] = ("x", "y"), within: list[str] = (), few: int = FEW_ANCHORS) -> DataFrame:
+    """Each point's nearest anchor (squared distance, then label) and ``d2``. With ``within`` only anchors of the same group compete;
+    a point whose group has none, or without coordinates, is left out.
+
+    A few anchors are compared in the row, without a join. Others meet points by cells: a point's nearest anchor is
+    known once it is no farther than a cell's side; what is left goes on with cells twice as large.
+    """
+    order = [F.col(label)]
+    a = anchors.where(" and ".join(f"`{d}` is not null" for d in dims)).select(label, *within, *[F.col(d).cast("double").alias(f"_{d}") for d in dims])
+    points = points.where(" and ".join(f"`{d}` is not null" for d in dims))
+    if not within:
+        rows = a.orderBy(*order).limit(few + 1).collect()  # bounded by ``few``
+        if not rows:
+            return points.limit(0).select(id_col).join(a.select(label).limit(0)).withColumn("d2", F.lit(0.0))
+        if len(rows) <= few:
+            kind = a.schema[label].dataType
+            d2 = lambda r: sum(((F.col(d) - F.lit(r[f"_{d}"])) * (F.col(d) - F.lit(r[f"_{d}"])) for d in dims), F.lit(0.0))
+            best = F.array_min(F.array(*[F.struct(d2(r).alias("d2"), F.lit(r[label]).cast(kind).alias("label")) for r in rows]))
+            return points.select(id_col, best.alias("_b")).select(id_col, F.col("_b.label").alias(label), F.col("_b.d2").alias("d2"))
+    stage = Stage(points.sparkSession, "nearest")
+    left = stage.put(points.select(id_col, *within, *[F.col(d).cast("double").alias(d) for d in dims]), "left")
+    a = stage.put(a, "anchors")
+    span = a.agg(F.count("*").alias("n"), *[f(f"_{d}").alias(f"{k}{d}") for d in dims for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    reach = left.agg(*[f(d).alias(f"{k}{d}") for d in dims for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    if not span.n or reach[f"lo{dims[0]}"] is None:
+        return left.select(id_col).limit(0).join(a.select(label).limit(0)).withColumn("d2", F.lit(0.0))
+    widest = max(max(span[f"hi{d}"], reach[f"hi{d}"]) - min(span[f"lo{d}"], reach[f"lo{d}"]) for d in dims)
+    side = max(max(span[f"hi{d}"] - span[f"lo{d}"] for d in dims) / max(1.0, span.n ** (1 / len(dims))), widest / 1e6) or 1.0
+    cell = [f"_c{i}" for i in range(len(dims))]
+    done = None
+    while True:
+        at = left.withColumns({c: F.floor(F.col(d) / side) for c, d in zip(cell, dims)})
+        near = a
+        for c, d in zip(cell, dims):
+            near = near.withColumn(c, F.explode(F.sequence(F.floor(F.col(f"_{d}") / side) - 1, F.floor(F.col(f"_{d}") / side) + 1)))
+        d2 = sum(((F.col(d) - F.col(f"_{d}")) * (F.col(d) - F.col(f"_{d}")) for d in dims), F.lit(0.0))
+        best = at.join(near, [*within, *cell]).groupBy(id_col).agg(F.min(F.struct(d2.alias("d2"), F.col(label))).alias("_b"))
+        sure = best if side > widest else best.where(F.col("_b.d2") <= side * side)
+        sure = stage.put(sure.select(id_col, F.col(f"_b.{label}").alias(label), F.col("_b.d2").alias("d2")), "sure")
+        done = sure if done is None else done.unionByName(sure)
+        left = stage.put(left.join(sure.select(id_col), id_col, "left_anti"), "left")
+        if side > widest or left.isEmpty():
+            return done
+        side *= 2
 
 
 def nearest_by_array(points: DataFrame, anchors: list[list[float]], vector: str) -> Column:
@@ -170,35 +211,43 @@ def grid(df: DataFrame, keys: list[str], step: float) -> DataFrame:
     return d.select(*keys, "ix", "iy", (F.col("x0") + (F.col("ix") + 0.5) * step).alias("x"), (F.col("y0") + (F.col("iy") + 0.5) * step).alias("y"))
 
 
-def capacity_allocate(cells: DataFrame, seeds: DataFrame, quota: str = "quota", rounds: int = 300) -> DataFrame:
-    """``cells`` (cell_id, x, y) with ``label``: nearest seed by squared distance less an additive weight, which
-    moves each round by how far the seed's count is from its quota, until all are within
-    max(2, 0.4 % of the cells). Seeds (label, x, y, quota as a share) are few; the driver holds their weights and counts.
+def capacity_allocate(cells: DataFrame, seeds: DataFrame, quota: str = "quota", rounds: int = 300, strict: bool = False) -> DataFrame:
+    """``cells`` (cell_id, x, y) with ``label``: the seed of the least distance less an additive weight. Each round moves a seed's
+    weight by how far its count is from its target, in spreads of all distances, until all are within max(2, 0.4 % of the cells).
+
+    Targets are the quotas' shares of the cells, rounded, the last one what is left. Seeds (label, x, y, quota) are few and keep the
+    order of their labels, in which ties go; the driver holds their weights and counts. If ``rounds`` do not do, the last
+    round's labels are returned with a warning, or ``strict`` fails.
     """
-    s = {r.label: (r.x, r.y, r[quota]) for r in seeds.collect()}  # a row a seed
-    stage = Stage(cells.sparkSession, "capacity")
-    base = stage.put(cells, "cells")
-    n, spread = base.agg(F.count("*"), F.coalesce(F.stddev("x"), F.lit(1.0)) + F.coalesce(F.stddev("y"), F.lit(1.0))).first()
-    weight = dict.fromkeys(s, 0.0)
-    tolerance = max(2, 0.004 * n)
-
-    def label() -> Column:
-        d = [F.struct(((F.col("x") - x) * (F.col("x") - x) + (F.col("y") - y) * (F.col("y") - y) - F.lit(weight[k])).alias("d"), F.lit(k).alias("label")) for k, (x, y, _) in sorted(s.items())]
-        return F.array_min(F.array(*d))["label"]
-
-    best, lowest = dict(weight), None
+    s = sorted(((r.label, r.x, r.y, float(r[quota])) for r in seeds.collect()), key=lambda r: r[0])  # a row a seed
+    base = Stage(cells.sparkSession, "capacity").put(cells, "cells")
+    far = [F.hypot(F.col("x") - F.lit(x), F.col("y") - F.lit(y)) for _, x, y, _ in s]
+    n, *moments = base.agg(F.count("*"), *[F.sum(d) for d in far], *[F.sum(d * d) for d in far]).first()
+    if not n or not s:
+        return base.withColumn("label", F.lit(None).cast(seeds.schema["label"].dataType))
+    mean = sum(moments[: len(s)]) / (n * len(s))
+    spread = max(0.0, sum(moments[len(s) :]) / (n * len(s)) - mean * mean) ** 0.5
+    target = [round(q / sum(r[3] for r in s) * n) for *_, q in s]
+    target[-1] = n - sum(target[:-1])
+    weight = [0.0] * len(s)
+
+    def number() -> Column:
+        return F.array_min(F.array(*[F.struct((d - F.lit(w)).alias("d"), F.lit(i).alias("i")) for i, (d, w) in enumerate(zip(far, weight))]))["i"]
+
+    met = False
     for i in range(rounds):
-        got = {r.label: r.n for r in base.groupBy(label().alias("label")).agg(F.count("*").alias("n")).collect()}
-        error = {k: got.get(k, 0) - n * q for k, (_, _, q) in s.items()}
-        worst = max(map(abs, error.values()), default=0)
-        if lowest is None or worst < lowest:
-            best, lowest = dict(weight), worst
-        if worst <= tolerance:
+        got = {r.i: r.n for r in base.groupBy(number().alias("i")).agg(F.count("*").alias("n")).collect()}
+        error = [got.get(i, 0) - t for i, t in enumerate(target)]
+        met = max(map(abs, error)) <= max(2, int(0.004 * n))
+        if met or i == rounds - 1:
             break
-        for k, e in error.items():
-            weight[k] -= e / n * spread * spread * 1.5 / (1 + i / 20)
-    weight = best
-    return base.withColumn("label", label())
+        weight = [w - e / n * spread * 1.5 for w, e in zip(weight, error)]
+    if not met:
+        if strict:
+            raise RuntimeError(f"capacities were not met in {rounds} rounds")
+        warnings.warn(f"capacities were not met in {rounds} rounds", stacklevel=2)
+    labels = F.array(*[F.lit(r[0]).cast(seeds.schema["label"].dataType) for r in s])
+    return base.withColumn("label", F.get(labels, number()))
 
 
 def _parts(cells: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
@@ -288,3 +337,45 @@ def shared_borders(cells: DataFrame) -> DataFrame:
     up = cells.select("ix", (F.col("iy") + 1).alias("iy"), F.col("label").alias("a"))
     both = right.unionByName(up).join(cells.select("ix", "iy", F.col("label").alias("b")), ["ix", "iy"]).where("a <> b")
     return both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("length"))
+
+
+def spatial_join(left: DataFrame, right: DataFrame, cell: float, rings: str = "ring", a: str = "a_", b: str = "b_", predicate: str = "intersects", reach: float = 0.0) -> DataFrame:
+    """Pairs of rings (columns ``{a}ring``, ``{b}ring`` of array<struct<x,y>>) that intersect, of which the first covers the second, or that lie
+    within ``reach``. Their boxes, widened by ``reach``, meet in grid cells; what meets is tested exactly, in Arrow batches."""
+    from quorumlake.operators import polygons as P
+
+    def boxed(df: DataFrame, p: str) -> DataFrame:
+        box = ring_box(F.col(p + rings))
+        return df.withColumns({p + c: box[c] + F.lit(reach * s) for c, s in (("x0", -1), ("y0", -1), ("x1", 1), ("y1", 1))})
+
+    def cells(df: DataFrame, p: str) -> DataFrame:
+        at = lambda c: F.floor(F.col(p + c) / cell)
+        return df.withColumn("_cx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("_cy", F.explode(F.sequence(at("y0"), at("y1"))))
+
+    pairs = cells(boxed(left, a), a).join(cells(boxed(right, b), b), ["_cx", "_cy"])
+    corner = lambda c: F.floor(F.greatest(F.col(a + c), F.col(b + c)) / cell)
+    pairs = pairs.where((F.col("_cx") == corner("x0")) & (F.col("_cy") == corner("y0"))).drop("_cx", "_cy")
+    meet = [F.col(a + lo) <= F.col(b + hi) for lo, hi in (("x0", "x1"), ("y0", "y1"))] + [F.col(b + lo) <= F.col(a + hi) for lo, hi in (("x0", "x1"), ("y0", "y1"))]
+    pairs = pairs.where(meet[0] & meet[1] & meet[2] & meet[3]).drop(*[p + c for p in (a, b) for c in BOX])
+
+    def holds(p: P.Region, q: P.Region) -> bool:
+        if predicate == "covers":
+            return P.traps_area(P.trapezoids([q, p], P.OPERATIONS["difference"])) <= 1e-9 * max(1.0, P.area(q))
+        if predicate == "within":
+            return min(P.distance(p, q[0]).min(), P.distance(q, p[0]).min()) <= reach or P.common_area(p, q) > 0
+        return P.common_area(p, q) > 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            side = lambda p: [P.to_region([r]) for r in batch.column(batch.schema.get_field_index(p + rings)).to_pylist()]  # noqa: B023,E731
+            yield batch.filter(pa.array([holds(p, q) for p, q in zip(side(a), side(b))], pa.bool_()))
+
+    return pairs.mapInArrow(run, pairs.schema)
+
+
+def urban_or_small(boxes: list[tuple[float, float, float, float]], least: float) -> Column:
+    """Whether a row's box (x0, y0, x1, y1) meets one of ``boxes`` or its ``area`` is under ``least``."""
+    c, hit = F.col, F.lit(False)
+    for x0, y0, x1, y1 in boxes:
+        hit = hit | ((c("x0") < x1) & (c("x1") > x0) & (c("y0") < y1) & (c("y1") > y0))
+    return hit | (c("area") < least)

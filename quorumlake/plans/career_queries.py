@@ -75,18 +75,17 @@ def serial_switchers(t):
 @query("""SELECT user_id, COUNT(*) AS n, COUNT(DISTINCT event_type) AS kinds, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS kind_list,
   MIN(ts) AS first_ts, MAX(ts) AS last_ts, arg_min(event_type, (ts, event_id)) AS first_kind FROM events GROUP BY user_id""")
 def longest_careers(t):
-    c = K.careers(t.events, "user_id", "ts", ["event_id", "event_type"])
-    kinds = F.array_sort(F.array_distinct(F.transform("career", lambda x: x["event_type"])))
+    c = K.spans(t.events, "user_id", "ts", ["event_id"], "event_type")
     return c.select(
-        "user_id", F.size("career").cast("long").alias("n"), F.size(kinds).cast("long").alias("kinds"), F.array_join(kinds, "|").alias("kind_list"),
-        F.col("career")[0]["ts"].alias("first_ts"), F.element_at("career", -1)["ts"].alias("last_ts"), F.col("career")[0]["event_type"].alias("first_kind"),
+        "user_id", "n", F.size("kinds").cast("long").alias("kinds"), F.array_join("kinds", "|").alias("kind_list"),
+        F.col("first").alias("first_ts"), F.col("last").alias("last_ts"), F.col("first_value").alias("first_kind"),
     )
 
 
 @query("SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS n FROM events GROUP BY ALL HAVING COUNT(*) > 1")
 def multi_seat(t):
     """Several rows of a person in one period."""
-    return t.events.groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n")).where("n > 1")
+    return K.multi_seat(t.events.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")), ["user_id", "day"])
 
 
 @query(f"""WITH {WON}, p AS (SELECT ranked.seat, w.person, COUNT(*) AS k FROM w JOIN ranked ON ranked.candidate = w.person AND ranked.year = w.year WHERE won GROUP BY ALL)
@@ -126,13 +125,13 @@ def token_df(t):
     return L.token_frequency(d, "doc_id", "tokens").where("df <= 60")
 
 
-@query("""WITH e AS (SELECT DISTINCT l_suppkey AS s, l_orderkey AS o FROM lineitem WHERE l_orderkey % 20 = 3), p AS (
-  SELECT a.s AS x, b.s AS y FROM e a JOIN e b ON a.o = b.o AND a.s <> b.s)
-SELECT s AS node, LEAST(s, COALESCE((WITH RECURSIVE r(n) AS (SELECT e2.s UNION SELECT y FROM r JOIN p ON p.x = r.n) SELECT MIN(n) FROM r), s)) AS component
-FROM (SELECT DISTINCT x AS s FROM p) e2""")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, 'p' || l_partkey || ':' || l_suppkey || ':' || l_quantity::INT AS s FROM lineitem), m AS (SELECT o, MIN(s) AS s FROM e GROUP BY o),
+p AS MATERIALIZED (SELECT e.s AS x, m.s AS y FROM e JOIN m USING (o) WHERE e.s <> m.s UNION SELECT m.s, e.s FROM e JOIN m USING (o) WHERE e.s <> m.s),
+r(n, c) AS (SELECT x, x FROM p UNION SELECT r.n, p.y FROM r JOIN p ON p.x = r.c)
+SELECT n AS node, LEAST(n, MIN(c)) AS component FROM r GROUP BY n""")
 def components(t):
-    """Suppliers that share an order of one in twenty, directly or through others."""
-    e = t.lineitem.where("l_orderkey % 20 = 3").select("l_orderkey", F.col("l_suppkey").alias("id")).distinct()
+    """Parts of a supplier, by quantity, that were ordered together, directly or through others."""
+    e = t.lineitem.select("l_orderkey", F.concat_ws(":", F.concat(F.lit("p"), "l_partkey"), "l_suppkey", F.col("l_quantity").cast("int")).alias("id")).distinct()
     return G.connected_components(L.star_edges(e, ["l_orderkey"], "id"))
 
 
@@ -187,37 +186,6 @@ def surname_tokens(t):
     return L.surname_tokens(t.part.select("p_partkey", "p_name"), "p_partkey", "p_name", ["green"], most=250).withColumnRenamed("p_partkey", "person")
 
 
-@query()
-def indel_similarity(t):
-    """Edit similarity of part names that share brand and size; its semantics are tested on known pairs."""
-    b = t.part.select(F.col("p_partkey").alias("id"), F.lit("t").alias("kind"), F.concat_ws("|", "p_brand", "p_size").alias("key"))
-    names = t.part.select(F.col("p_partkey").alias("id"), "p_name")
-    p = L.block_pairs(b, "id", uncapped=())
-    p = p.join(names.toDF("a", "na"), "a").join(names.toDF("b", "nb"), "b")
-    return p.select("a", "b", F.round(S.indel_ratio(F.col("na"), F.col("nb")), 2).alias("ratio"), F.round(S.token_sort_ratio(F.col("na"), F.col("nb")), 2).alias("sorted_ratio"))
-
-
-def linkage_rows(t: Tables) -> DataFrame:
-    """Conversations' opening words as names, linked as candidacies are."""
-    from quorumlake.functions.textnorm import name_forms
-
-    w = t.conversations.where("turn = 0").select(
-        F.col("conv_id").alias("id"), F.array_join(F.slice(F.split("text", r"\s+"), 1, 4), " ").alias("name_raw"), (F.col("conv_id") % 7).cast("string").alias("district"),
-        (F.col("conv_id") % 3).cast("string").alias("province"), F.lit("IND").alias("party"), (1990 + F.col("conv_id") % 4).cast("int").alias("year"), F.col("conv_id").alias("na"),
-    )
-    n = w.withColumn("_n", name_forms(F.col("name_raw"))).select("*", "_n.core", "_n.squash", "_n.distinct").drop("_n")
-    return L.rare_tokens(n.withColumn("_t", F.filter(F.split("core", " "), lambda x: x != "")), "id", "_t").drop("_t")
-
-
-@query()
-def linkage_persons(t):
-    """Blocks, the seven-armed predicate, and persons; each step is tested on fixtures."""
-    d = linkage_rows(t)
-    pairs = L.block_pairs(L.blocks(d, "id"), "id")
-    edges = L.matches(d, pairs, "id").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    return L.persons(d, edges, "id").select("id", "squash", "person")
-
-
 @query("""SELECT conv_id, turn, role, LAG(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before, (ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS rank FROM conversations""")
 def conversation_sequence(t):
     w = Window.partitionBy("conv_id").orderBy("turn")

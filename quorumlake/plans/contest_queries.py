@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumlake.functions import textnorm
 from quorumlake.functions.textnorm import recode
 from quorumlake.operators import contest as C
 from quorumlake.plans.registry import Tables, query
@@ -140,7 +141,7 @@ def results_document(t):
 @query("""SELECT p_brand, CASE p_brand WHEN 'Brand#11' THEN 'Alpha' WHEN 'Brand#22' THEN 'Beta' ELSE p_brand END AS brand,
   CASE WHEN p_size <= 10 THEN 'small' WHEN p_size <= 30 THEN 'medium' ELSE 'large' END AS bucket, COUNT(*) AS n FROM part GROUP BY ALL""")
 def recode_and_bucket(t):
-    bucket = F.when(F.col("p_size") <= 10, "small").when(F.col("p_size") <= 30, "medium").otherwise("large")
+    bucket = textnorm.bucket(F.col("p_size"), [10, 30], ["small", "medium", "large"])
     brand = recode(F.col("p_brand"), {"Brand#11": "Alpha", "Brand#22": "Beta"})
     return t.part.groupBy("p_brand", brand.alias("brand"), bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
@@ -157,8 +158,7 @@ def range_recode(t):
 @query("""SELECT CASE WHEN source IN ('src1', 'src2') THEN 'low' WHEN starts_with(source, 'src0') OR starts_with(source, 'src3') THEN 'high' ELSE 'medium' END AS confidence,
   COUNT(*) AS n FROM documents GROUP BY ALL""")
 def confidence_class(t):
-    s = F.col("source")
-    c = F.when(s.isin("src1", "src2"), "low").when(s.startswith("src0") | s.startswith("src3"), "high").otherwise("medium")
+    c = textnorm.confidence(F.col("source"), ["src1", "src2"], ["src0", "src3"])
     return t.documents.groupBy(c.alias("confidence")).agg(F.count("*").alias("n"))
 
 
@@ -178,7 +178,7 @@ def natural_order(t):
     """Ids that end in a number, in the order of the number."""
     from pyspark.sql import Window
 
-    n = F.regexp_extract("s_name", r"(\d+)$", 1).cast("long")
+    n = textnorm.natural_number(F.col("s_name"))
     return t.supplier.select("s_suppkey", F.row_number().over(Window.partitionBy("s_nationkey").orderBy(n)).cast("long").alias("pos"))
 
 

@@ -9,6 +9,7 @@ from quorumlake.functions import similarity as S
 from quorumlake.functions import textnorm as N
 from quorumlake.operators import contest as C
 from quorumlake.operators import quality as Q
+from quorumlake.plans.joins import join_dim
 from quorumlake.plans.registry import query
 from quorumlake.sources import sinks
 from quorumlake.streaming import events as E
@@ -29,7 +30,7 @@ def html_row_extract(t):
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN 2 ELSE 1 END AS n_rows, 'C' || o_custkey AS first_name, CASE WHEN 10 + o_custkey * 7 < 1000000 THEN 10 + o_custkey * 7 END AS first_votes
-  FROM orders WHERE o_orderkey % 10 = 0""")
+  FROM orders""")
 def pipe_table_rows(t):
     """Pipe tables made of order rows, parsed back: header, separator and total rows are not candidates."""
     c = F.col("o_custkey")
@@ -38,7 +39,7 @@ def pipe_table_rows(t):
         F.lit("| Candidate Name | Party | Votes |\n|---|---|---|\n"), row(F.concat(F.lit("C"), c), F.format_number(10 + c * 7, 0)),
         F.when(c % 3 == 0, row(F.concat(F.lit("D"), c), F.lit("99"))).otherwise(""), F.lit("| Total | | 100 |\n"),
     )
-    d = t.orders.where("o_orderkey % 10 = 0").select("o_orderkey", X.page_rows(text).alias("r"))
+    d = t.orders.select("o_orderkey", X.page_rows(text).alias("r"))
     return d.select(F.col("o_orderkey").alias("id"), F.size("r").alias("n_rows"), F.col("r")[0]["name"].alias("first_name"), F.col("r")[0]["votes"].alias("first_votes"))
 
 
@@ -55,7 +56,7 @@ x AS (SELECT p_partkey, list_transform(t, lambda x: CASE x WHEN 'green' THEN 've
 SELECT p_partkey, array_to_string(t, ' ') AS full_name, array_to_string(list_filter(t, lambda x: len(x) > 1 AND x <> 'dr'), '') AS squash FROM x""")
 def name_normalise(t):
     raw = F.concat("p_name", F.lit(" #é-Dr. X "), "p_partkey")
-    n = N.name_forms(raw, honorifics=["dr"], token_fix={"verde": "green", "rojo": "red"})
+    n = N.name_forms(raw, honorifics=["dr"], token_fix={"green": "verde", "red": "rojo"})
     return t.part.select("p_partkey", n["full"].alias("full_name"), n["squash"].alias("squash"))
 
 
@@ -82,13 +83,13 @@ def greedy_segment(t):
 x AS (SELECT DISTINCT doc_id, UNNEST(t) AS tok FROM w), y AS (SELECT DISTINCT item_id, UNNEST(t) AS tok FROM b), z AS (SELECT doc_id, item_id, COUNT(*) AS shared FROM x JOIN y USING (tok) GROUP BY ALL)
 SELECT doc_id, item_id, shared, round(shared / (len(w.t) + len(b.t) - shared)::DOUBLE, 6) AS jaccard FROM z JOIN w USING (doc_id) JOIN b USING (item_id) WHERE shared >= 5""")
 def benchmark_overlap(t):
-    """Shared long tokens of documents and benchmark items, found through the tokens."""
+    """Shared long tokens of documents and benchmark items, found through the items' tokens, which are measured and sent to the documents."""
     tokens = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{8,}"), F.lit(0)))
     d = t.documents.select("doc_id", tokens(F.col("text")).alias("dt"))
     b = t.benchmark.select("item_id", tokens(F.col("text")).alias("bt"))
     x = d.select("doc_id", F.size("dt").alias("n"), F.explode("dt").alias("tok"))
     y = b.select("item_id", F.size("bt").alias("m"), F.explode("bt").alias("tok"))
-    z = x.join(y, "tok").groupBy("doc_id", "item_id", "n", "m").agg(F.count("*").alias("shared")).where("shared >= 5")
+    z = join_dim(x, y, "tok", "inner").groupBy("doc_id", "item_id", "n", "m").agg(F.count("*").alias("shared")).where("shared >= 5")
     return z.select("doc_id", "item_id", "shared", F.round(F.col("shared") / (F.col("n") + F.col("m") - F.col("shared")), 6).alias("jaccard"))
 
 
@@ -177,12 +178,10 @@ def name_search(t):
 
 
 @query("""WITH k AS (SELECT p_brand, list_sort(list_distinct(list(p_type))) AS types FROM part GROUP BY p_brand)
-SELECT a.p_brand AS a, b.p_brand AS b, round(len(list_intersect(a.types, b.types)) / len(list_distinct(list_concat(a.types, b.types)))::DOUBLE, 6) AS iou FROM k a JOIN k b ON a.p_brand < b.p_brand""")
+SELECT a.p_brand AS a, b.p_brand AS b, round(len(list_intersect(a.types, b.types)) / len(list_distinct(list_concat(a.types, b.types)))::DOUBLE, 6) AS iou FROM k a JOIN k b ON a.p_brand < b.p_brand WHERE len(list_intersect(a.types, b.types)) > 0""")
 def set_iou(t):
-    """Overlap of the type sets of any two brands: the brands are a few dozen."""
-    k = t.part.groupBy("p_brand").agg(F.collect_set("p_type").alias("types"))
-    a, b = k.select(F.col("p_brand").alias("a"), F.col("types").alias("x")), k.select(F.col("p_brand").alias("b"), F.col("types").alias("y"))
-    return a.join(F.broadcast(b), F.col("a") < F.col("b")).select("a", "b", F.round(S.jaccard(F.col("x"), F.col("y")), 6).alias("iou"))
+    """Overlap of the type sets of brands that have a type in common, found through the types."""
+    return S.overlaps(t.part, "p_brand", "p_type").select("a", "b", F.round("iou", 6).alias("iou"))
 
 
 @query("SELECT c_custkey, c_mktsegment, c_acctbal FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 1")

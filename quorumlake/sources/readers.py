@@ -65,11 +65,16 @@ def embedded_json(text: Column, marker: str, schema: str) -> Column:
     return F.from_json(F.regexp_extract(text, rf"(?m){marker}\s*=\s*(\{{.*\}}|\[.*\])\s*;?\s*$", 1), schema)
 
 
-def pages(spark: SparkSession, path) -> DataFrame:
-    """``(path, number, text)`` of cached pages, one file each; bytes that are no UTF-8 count as Latin-1."""
+def pages(spark: SparkSession, path, number: str = r"(\d+)\.\w+$") -> DataFrame:
+    """``(path, number, text)`` of cached pages, one file each, with the number that the pattern finds in the path; bytes that
+    are no UTF-8 count as Windows-1252, or as Latin-1 if they hold one that Windows-1252 lacks."""
     d = spark.read.format("binaryFile").load(path).select("path", "content")
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1"))
-    return d.select("path", F.nullif(F.regexp_extract("path", r"(\d+)\.\w+$", 1), F.lit("")).cast("int").alias("number"), text.alias("text"))
+    latin = F.decode("content", "ISO-8859-1")
+    known = {c: bytes([c]).decode("cp1252", "ignore") for c in range(0x80, 0xA0)}
+    windows = F.translate(latin, "".join(chr(c) for c, x in known.items() if x), "".join(known.values()))
+    other = F.when(latin.rlike(f"[{''.join(chr(c) for c, x in known.items() if not x)}]"), latin).otherwise(windows)
+    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(other)
+    return d.select("path", F.nullif(F.regexp_extract("path", number, 1), F.lit("")).cast("int").alias("number"), text.alias("text"))
 
 
 def missing_pages(pages_: DataFrame, high: int) -> DataFrame:

@@ -84,9 +84,9 @@ def test_page_rows(val):
     assert rows(val, X.pipe_rows(F.col("s")), pipe) == [("A B", "P", 1234), ("C", "Independent", 99)]
     assert rows(val, X.pipe_rows(F.col("s")), "| Sole Person | P |\n| Other Person | Q |") == [("Sole Person", "", None)]
     assert rows(val, X.pipe_rows(F.col("s")), "no table") == []
-    plain = "Intro\nCandidate Name\nParty\nVotes\nA B\nP\n1,234\nC D\nQ\n77\nTotal\n1\n2\nE\nR\n88"
+    plain = "Intro\nCandidate Name\nParty Name\nVotes\nA B\nP\n1,234\nC D\nQ\n77\nTotal\n1\n2\nE\nR\n88"
     assert rows(val, X.page_rows(F.col("s")), plain) == [("A B", "P", 1234), ("C D", "Q", 77)]
-    assert rows(val, X.page_rows(F.col("s")), "Candidate\nVotes\nA B\n55") == [("A B", "", 55)]
+    assert rows(val, X.page_rows(F.col("s")), "Candidate Name\nVotes\nA B\n55") == [("A B", "", 55)]
     html = "<TABLE><tr><th>Name</th><td>x</td></tr><tr><td><b>A&nbsp;B</b></td><td>P &amp; Q</td><td>1.234</td></tr><tr><td>Total</td><td>z</td><td>99</td></tr></TABLE><title> T <i>x</i></title>"
     assert rows(val, X.html_rows(F.col("s")), html) == [("A B", "P & Q", 1234)]
     assert val(X.page_title(F.col("s")), "s string", (html,)) == "T x"

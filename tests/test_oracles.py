@@ -42,10 +42,21 @@ def test_same_rows(spark, duck, name):
 
 
 def test_plans_stay_native(spark):
-    for name in ("contest_topk", "contest_winner_margin", "turnover", "block_pairs", "bbox_join", "token_df", "html_row_extract"):
+    for name in ("contest_topk", "contest_winner_margin", "turnover", "block_pairs", "bbox_join", "token_df", "html_row_extract", "nearest_seed", "longest_careers"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow")), name
     plan = QUERIES["contest_topk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     scan = QUERIES["name_search"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in scan
+
+
+def exchanges(spark, name):
+    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_plans_shuffle_no_more_than_needed(spark):
+    """Token counts are summed up before one shuffle, the nearest of few anchors needs none, spans collect no histories."""
+    assert exchanges(spark, "token_df") <= 1 and exchanges(spark, "nearest_seed") == 0
+    assert "collect_list" not in QUERIES["longest_careers"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in QUERIES["quantiles"](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -39,8 +39,10 @@ def test_json_and_geojson(spark, tmp_path):
 def test_pages(spark, tmp_path):
     (tmp_path / "1.txt").write_bytes("é".encode())
     (tmp_path / "3.txt").write_bytes(b"\xe9")
+    (tmp_path / "4.txt").write_bytes(b"\x96\xe9")
+    (tmp_path / "5.txt").write_bytes(b"\x81\x96")
     p = R.pages(spark, str(tmp_path))
-    assert {r.number: r.text for r in p.collect()} == {1: "é", 3: "é"}
+    assert {r.number: r.text for r in p.collect()} == {1: "é", 3: "é", 4: "–é", 5: "\x81\x96"}
     assert [r.number for r in R.missing_pages(p, 3).collect()] == [2]
 
 
@@ -65,9 +67,12 @@ def test_sinks(spark, tmp_path):
     assert doc.document[2].v == "b"
     K.write_json(layer, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
-    ring = F.array(F.struct(F.lit(1.23456).alias("x"), F.lit(2.0).alias("y")))
+    ring = F.array(F.array(F.struct(F.lit(1.23456).alias("x"), F.lit(2.0).alias("y"))))
     f = json.loads(layer.select(K.feature(["k"], ring).alias("f")).first().f)
-    assert f["geometry"]["coordinates"] == [[[1.2346, 2.0]]] and f["properties"] == {"k": 1}
+    assert f["geometry"]["coordinates"] == [[[1.2346, 2.0], [1.2346, 2.0]]] and f["properties"] == {"k": 1}
+    K.write_json(layer.coalesce(1), str(tmp_path / "indented"), indented=True)
+    text = "".join(p.read_text() for p in (tmp_path / "indented").glob("part*"))
+    assert len(json.loads(text)) == 2 and text.count("\n") > 4
 
 
 def test_streaming_counts(spark, tmp_path):

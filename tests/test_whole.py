@@ -19,3 +19,14 @@ def test_greedy_segment_reads_long_texts(spark, tmp_path):
         want[i] = ("|".join(found), unknown)
     got = {r.doc_id: (r.phrases, r.unknown) for r in QUERIES["greedy_segment"](spark, str(tmp_path)).collect()}
     assert {i: g for i, g in got.items() if texts[i]} == {i: x for i, x in want.items() if texts[i]}
+
+
+def test_whole_tables_are_read():
+    """No registered query keeps a slice of a table's rows by a modulo, or a prefix of its texts."""
+    import inspect
+
+    from quorumlake.plans import career_queries, contest_queries, spatial_queries, text_queries
+
+    for module in (career_queries, contest_queries, spatial_queries, text_queries):
+        text = inspect.getsource(module)
+        assert not re.search(r"WHERE \w+key % \d+ = \d|where\(\"\w+key % ", text.replace("p_partkey % 10", ""))
