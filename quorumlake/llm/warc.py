@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from quorumlake.plans.joins import join_dim
+from quorumlake.plans.joins import BROADCAST_ROWS
+from quorumlake.plans.staging import Stage
 
 SCHEMA = (
     "warc_type string, record_id string, target_uri string, refers_to string, payload_digest string, "
@@ -359,12 +360,29 @@ def register(spark: SparkSession) -> None:
 # ---------------------------------------------------------------- pages to records
 
 
-def deduplicated(pages: DataFrame, least: int = 100, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+#: Bits of the bitmap that stands for a set of digests too large to send around: 16 MB.
+SLOTS = 27
+
+
+def _marked(p: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``p`` with ``_maybe``: false for rows whose digest is surely not among ``repeated``, by a bitmap of a fixed size."""
+    slot = F.pmod(F.xxhash64("payload_digest"), F.lit(1 << SLOTS))
+    bucket, bit = F.shiftright(slot, 15).cast("int"), slot.bitwiseAND(F.lit(32767)).cast("int")  # a bitmap of Spark's has 32768 bits
+    marks = repeated.select(bucket.alias("_bucket"), bit.cast("long").alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
+    return p.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left").withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("_bucket", "_bits")
+
+
+def deduplicated(
+    pages: DataFrame, least: int = 100, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_broadcast: int = BROADCAST_ROWS
+) -> DataFrame:
     """Records of pages: of equal payloads of at least ``least`` bytes the one with the smallest id is
     a response, the others revisit it; smaller payloads are all responses.
 
-    Only digests are shuffled to find the copies; payloads stay where they are read unless the
-    table of repeated digests is too large to send around. Defined cases: null html is an empty
+    Only digests are shuffled to find the copies, and payloads stay where they are read. If over ``most_broadcast``
+    digests are repeated, a bitmap of them is sent around instead, and the payloads that it marks, those of repeated
+    digests and some 1 in 100 others at a million, go to a join that can split hot digests. Defined cases: null html is an empty
     payload, a null url has no target header, rows that repeat the smallest id are responses, a
     null id is never the smallest. Other columns are ignored.
     """
@@ -376,7 +394,13 @@ def deduplicated(pages: DataFrame, least: int = 100, id_col: str = "page_id", ur
     p = p.select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
     slim = p.where(F.col("payload_bytes") >= least)
     first = slim.groupBy("payload_digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1 and _first is not null").drop("_n")
-    p = join_dim(p, first, "payload_digest", "left")
+    if first.limit(most_broadcast + 1).count() <= most_broadcast:
+        p = p.join(F.broadcast(first), "payload_digest", "left")
+    else:
+        first = Stage(pages.sparkSession, "warc").put(first, "first")
+        marked = _marked(p, first)
+        known = marked.where("_maybe").drop("_maybe").join(first.hint("merge"), "payload_digest", "left")
+        p = marked.where("not _maybe").drop("_maybe").withColumn("_first", F.lit(None).cast("long")).unionByName(known)
     revisit = F.col("_first").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("")))
     return p.select(

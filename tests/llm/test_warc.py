@@ -69,3 +69,15 @@ def test_empty(spark, tmp_path):
     path = str(tmp_path / "e")
     warc.write(warc.deduplicated(spark.createDataFrame([], SCHEMA)), path)
     assert warc.read(spark, path).count() == 0
+
+
+def test_beyond_the_broadcast_bound(spark):
+    """The same records by the bitmap, of which only repeated digests go to a join."""
+    rows = [(i, None if i % 5 else "http://a/", f"{i % 40} " * 60 if i % 3 else f"own {i} " * 30, "c") for i in range(300)] + [(7, "u", "7 " * 60, "c"), (8, "u", None, "c"), (9, "u", "short", "c")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    key = ["warc_type", "record_id", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload"]
+    few, many = (sorted((tuple(r) for r in warc.deduplicated(docs, most_broadcast=n).select(key).collect()), key=str) for n in (1000, 0))
+    assert few == many and sum(r[0] == "revisit" for r in few) > 100
+    held = warc._marked(docs.selectExpr("sha2(html, 256) payload_digest"), docs.limit(30).selectExpr("sha2(html, 256) payload_digest")).where("_maybe").count()
+    assert 30 <= held < 150
+    assert warc.deduplicated(docs.limit(0), most_broadcast=0).count() == 0
