@@ -125,13 +125,13 @@ def token_df(t):
     return L.token_frequency(d, "doc_id", "tokens").where("df <= 60")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, 'p' || l_partkey || ':' || l_suppkey || ':' || l_quantity::INT AS s FROM lineitem), m AS (SELECT o, MIN(s) AS s FROM e GROUP BY o),
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, (l_partkey * 1000000 + l_suppkey) * 100 + l_quantity::INT AS s FROM lineitem), m AS (SELECT o, MIN(s) AS s FROM e GROUP BY o),
 p AS MATERIALIZED (SELECT e.s AS x, m.s AS y FROM e JOIN m USING (o) WHERE e.s <> m.s UNION SELECT m.s, e.s FROM e JOIN m USING (o) WHERE e.s <> m.s),
 r(n, c) AS (SELECT x, x FROM p UNION SELECT r.n, p.y FROM r JOIN p ON p.x = r.c)
 SELECT n AS node, LEAST(n, MIN(c)) AS component FROM r GROUP BY n""")
 def components(t):
     """Parts of a supplier, by quantity, that were ordered together, directly or through others."""
-    e = t.lineitem.select("l_orderkey", F.concat_ws(":", F.concat(F.lit("p"), "l_partkey"), "l_suppkey", F.col("l_quantity").cast("int")).alias("id")).distinct()
+    e = t.lineitem.select("l_orderkey", ((F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("int")).alias("id")).distinct()
     return G.connected_components(L.star_edges(e, ["l_orderkey"], "id"))
 
 
