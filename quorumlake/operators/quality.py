@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumlake.operators.ordering import global_rank
 from quorumlake.plans.joins import BROADCAST_ROWS
 from quorumlake.plans.staging import Stage
 
@@ -54,21 +53,38 @@ def exactly(df: DataFrame, n: int, what: str = "rows") -> DataFrame:
 
 
 def quantiles(df: DataFrame, value: str, at: list[float], group: list[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation, and the root mean square; missing values are left out. Values are ranked
-    by a distributed sort, so no task holds a group; the two neighbours of a quantile are summed up with their weights."""
+    """Exact quantiles with linear interpolation, and the root mean square; missing values are left out.
+
+    Equal values are counted before they move. Distinct values are range-partitioned, and the counts of each group in each
+    partition tell where a quantile's two neighbours lie: only those cells are sorted, so no task holds a group."""
     group = list(group)
-    d = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    ranked = global_rank(d, [*[F.col(g).asc_nulls_first() for g in group], F.col("_v")], "_rank")
-    per = ranked.groupBy(*group).agg(F.min("_rank").alias("_first"), F.count("*").alias("_n"), F.sqrt(F.avg(F.col("_v") * F.col("_v"))).alias("rms"))
-    per = Stage(df.sparkSession, "quantiles").put(per.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_first", "_n", "rms"), "groups")
-    same = F.lit(True)
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    few = per.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    both = ranked.join(F.broadcast(per) if few else per, same)
-    k = (F.col("_rank") - F.col("_first")).cast("double")
-    weight = lambda q: F.greatest(F.lit(0.0), 1 - F.abs(F.lit(q) * (F.col("_n") - 1) - k))
-    return both.groupBy(*group).agg(*[F.sum(F.when(weight(q) > 0, weight(q) * F.col("_v"))).alias(f"q{round(100 * q)}") for q in at], F.first("rms").alias("rms"))
+    keys = [f"_g{i}" for i in range(len(group))]
+    stage = Stage(df.sparkSession, "quantiles")
+    d = df.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(value).cast("double").alias("_v")).where("_v is not null")
+    counted = d.groupBy(*keys, "_v").agg(F.count("*").alias("_n")).repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], "_v")
+    counted = stage.put(counted.withColumn("_pid", F.spark_partition_id()), "values")
+    cells = counted.groupBy(*keys, "_pid").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_v") * F.col("_v")).alias("_sq"))
+    whole = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.select("*", before.alias("_before"), F.sum("_n").over(whole).alias("_all"), F.sum("_sq").over(whole).alias("_squares"))
+    asked = []
+    for i, q in enumerate(at):
+        pos = F.lit(float(q)) * (F.col("_all") - 1)
+        part = pos - F.floor(pos)
+        for k, weight in ((F.floor(pos), 1 - part), (F.floor(pos) + 1, part)):
+            asked.append(F.struct(F.lit(i).alias("i"), (k - F.col("_before")).alias("k"), weight.alias("weight")))
+    here = lambda x: (x["weight"] > 0) & (x["k"] >= 0) & (x["k"] < F.col("_n"))
+    cells = cells.select(*[F.col(k).alias(f"c{k}") for k in keys], F.col("_pid").alias("_cell"), F.sqrt(F.col("_squares") / F.col("_all")).alias("rms"), F.filter(F.array(*asked), here).alias("_asked"))
+    cells = stage.put(cells.where(F.size("_asked") > 0), "cells")
+    same = F.col("_pid") == F.col("_cell")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"c{k}"))
+    few = cells.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = counted.join(F.broadcast(cells) if few else cells, same)
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_upto", upto).withColumn("_x", F.explode("_asked")).where("_x.k < _upto and _x.k >= _upto - _n")
+    named = [F.sum(F.when(F.col("_x.i") == i, F.col("_x.weight") * F.col("_v"))).alias(f"q{round(100 * q)}") for i, q in enumerate(at)]
+    return rows.groupBy(*keys).agg(*named, F.first("rms").alias("rms")).withColumnsRenamed(dict(zip(keys, group)))
 
 
 def metrics(a: float, parts: Column, whole: Column, overlap: Column) -> Column:

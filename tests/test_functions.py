@@ -90,3 +90,27 @@ def test_page_rows(val):
     html = "<TABLE><tr><th>Name</th><td>x</td></tr><tr><td><b>A&nbsp;B</b></td><td>P &amp; Q</td><td>1.234</td></tr><tr><td>Total</td><td>z</td><td>99</td></tr></TABLE><title> T <i>x</i></title>"
     assert rows(val, X.html_rows(F.col("s")), html) == [("A B", "P & Q", 1234)]
     assert val(X.page_title(F.col("s")), "s string", (html,)) == "T x"
+
+
+def test_quantiles_of_groups_with_ties_and_nulls(spark):
+    import numpy as np
+
+    from quorumlake.operators.quality import quantiles
+
+    groups = {"a": [1.0] * 70 + [2.0, 3.5], "b": [4.0], None: [float(x * x % 101) for x in range(300)], "none": []}
+    rows = [(g, v) for g, vs in groups.items() for v in [*vs, None]]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.g: (r.q0, r.q33, r.q50, r.q100, r.rms) for r in quantiles(df, "v", [0.0, 0.33, 0.5, 1.0], ["g"]).collect()}
+        whole = quantiles(df, "v", [0.9]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(got) == {"a", "b", None}
+    for g, mine in got.items():
+        v = np.array(groups[g])
+        np.testing.assert_allclose(mine, [*np.quantile(v, [0, 0.33, 0.5, 1]), np.sqrt((v * v).mean())], rtol=1e-12)
+    every = np.concatenate([np.array(v) for v in groups.values()])
+    np.testing.assert_allclose([whole[0].q90, whole[0].rms], [np.quantile(every, 0.9), np.sqrt((every * every).mean())])
