@@ -4,6 +4,8 @@ sums of token counts, a cut at each source's exact budget, and repeated epochs.
 Scale: no window ever spans a source. A document's key is a hash, so equal slices of the key space
 are equal shares of any source; the window runs inside (source, slice) and a table of slice totals
 (sources x slices rows) gives each slice its offset. Only slim rows (id, source, size) are shuffled.
+A slice that is far too large, because many rows repeat an id, is range-sorted by row and its sums are taken
+over the ranges.
 """
 
 from __future__ import annotations
@@ -13,9 +15,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumlake.operators.ordering import global_rank
+from quorumlake.operators.ordering import global_prefix, global_rank
+from quorumlake.plans.joins import join_dim
 from quorumlake.plans.staging import Scope, Stage
 
+#: Rows of a (source, slice) that one window may hold; more are summed up over ranges.
+HELD = 100_000
+
 
 def word_count(text: Column) -> Column:
     """Maximal runs of characters outside [\\x20\\x09-\\x0D]; 0 for null or empty text."""
@@ -56,6 +62,24 @@ def random_key(id_col: str, seed: str, text: Column | None = None) -> Column:
     return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), instead)))
 
 
+ORDER = ["_key", "_id", "size", "_row"]
+
+
+def _prefixed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_upto``, the words of its (source, slice) up to each row."""
+    w = Window.partitionBy("source", "_slice").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_upto", F.sum("size").over(w))
+
+
+def _split_prefixed(rows: DataFrame) -> DataFrame:
+    """The same by a range sort of all rows, in which a (source, slice) lies together: their prefix sums, less
+    that at which the row's slice begins."""
+    summed = Stage(rows.sparkSession, "mix").put(global_prefix(rows, ["source", *ORDER], "size", "_upto"), "summed")
+    begins = summed.groupBy(F.struct("source", "_slice").alias("_of")).agg(F.min(F.col("_upto") - F.col("size")).alias("_begin"))
+    out = join_dim(summed.withColumn("_of", F.struct("source", "_slice")), begins, "_of", "inner")
+    return out.withColumn("_upto", F.col("_upto") - F.col("_begin")).drop("_of", "_begin")
+
+
 def mix(
     docs: DataFrame,
     weights: list[int] = (5, 2, 1),
@@ -65,6 +89,7 @@ def mix(
     id_col: str = "doc_id",
     size: Column | None = None,
     row_col: str | None = None,
+    held: int = HELD,
 ) -> DataFrame:
     """``(id, source, size, source_size, target, taken)``: words that the mix takes of each document.
 
@@ -72,29 +97,37 @@ def mix(
     epochs fit, then in the order of their random keys until the budget ends, the last of them in part.
     Defined cases: null text has size 0; a null source is a source of its own; repeated ids count
     as separate rows, ordered by key (of a null id: its text's), then id, then size (equal rows are interchangeable), then by
-    ``row_col``, a unique column that is kept in the result if given; a mix
+    ``row_col``, a unique column that is kept in the result if given, or by a number of the row; a slice that such rows
+    take beyond ``held`` is split, with the same result; a mix
     without words takes 0 everywhere; an empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
     size = word_count(F.col("text")) if size is None else size
-    row = [F.col(row_col).alias("_row")] if row_col else []
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     key = random_key(id_col, seed, F.col("text") if "text" in docs.columns else None)
-    slim = docs.select(*row, F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"), key.alias("_key"))
+    slim = docs.select(row.alias("_row"), F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), size.alias("size"), key.alias("_key"))
     with Scope(spark) as made:
         stage = Stage(spark, "mix")
         slim = stage.put(slim, "sizes")
         n = slim.count()
         digits = max(1, min(5, math.ceil(math.log(max(1, n / 500), 16))))  # slices of at most some 500 documents
         sliced = slim.withColumn("_slice", F.substring("_key", 1, digits))
-        totals = stage.put(sliced.groupBy("source", "_slice").agg(F.sum("size").alias("_words")), "slices")
+        totals = stage.put(sliced.groupBy("source", "_slice").agg(F.sum("size").alias("_words"), F.count("*").alias("_n")), "slices")
         targets = source_targets(totals.groupBy("source").agg(F.sum("_words").alias("source_size")), list(weights), share, cap)
         before = Window.partitionBy("source").orderBy("_slice")
         offsets = totals.select("source", "_slice", (F.sum("_words").over(before) - F.col("_words")).alias("_offset"))
         offsets = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.*", "source_size", "target")
         offsets = stage.put(offsets, "offsets")
         made.keep(slim, offsets)
-    w = Window.partitionBy("source", "_slice").orderBy("_key", "_id", "size", *(["_row"] if row_col else [])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefixed = sliced.withColumn("_upto", F.sum("size").over(w))
+        hot = totals.where(F.col("_n") > max(held, 20 * n // 16**digits)).select(F.struct("source", "_slice").alias("_of"))
+        if hot.isEmpty():
+            prefixed = _prefixed(sliced)
+        else:
+            hot = stage.put(hot, "hot")
+            marked = sliced.withColumn("_of", F.struct("source", "_slice"))
+            split = stage.put(_split_prefixed(join_dim(marked, hot, "_of", "inner").drop("_of")), "split")
+            made.keep(hot, split)
+            prefixed = _prefixed(join_dim(marked, hot, "_of", "left_anti").drop("_of")).unionByName(split)
     same = F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p._slice") == F.col("o._slice"))
     joined = prefixed.alias("p").join(offsets.alias("o"), same).select("p.*", "_offset", "source_size", "target")
     budget = F.floor("target")

@@ -30,7 +30,7 @@ def brute(rows, weights=(5, 2, 1), share=1.5, cap=2.0):
         at, budget = 0, int(target)
         epochs = budget // sizes[s] if sizes[s] else 0
         rest = budget - epochs * sizes[s]
-        mine = sorted((r for r in rows if r[2] == s), key=lambda r: (hashlib.md5(f"mix-1:{r[0]}".encode()).hexdigest(), r[0]))
+        mine = sorted((r for r in rows if r[2] == s), key=lambda r: (hashlib.md5(f"mix-1:{r[0]}".encode()).hexdigest(), r[0], size(r[1])))
         for r in mine:
             n = size(r[1])
             out.append((r[0], n, sizes[s], target, epochs * n + min(max(rest - at, 0), n)))
@@ -58,6 +58,15 @@ def test_against_brute_force(spark, n):
     assert [m[3] for m in mine] == pytest.approx([w[3] for w in want])
 
 
+def test_one_id_of_a_third_of_the_rows(spark):
+    """Slices beyond what one window holds are split and give what a single sorted list gives."""
+    rows = [(7 if i % 3 == 0 else i, text, source, doc) for i, text, source, doc in rows_of(400)]
+    want = [(i, n, total, taken) for i, n, total, _, taken in brute(rows)]
+    for held in (1, 3, 100_000):
+        got = mixing.mix(spark.createDataFrame(rows, SCHEMA).repartition(5), held=held).collect()
+        assert sorted((r.doc_id, r.size, r.source_size, r.taken) for r in got) == want
+
+
 def test_budgets_are_met_and_repeats_are_bounded(spark):
     m = mixing.mix(spark.createDataFrame(rows_of(400), SCHEMA)).cache()
     per = m.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect()
