@@ -119,6 +119,15 @@ def test_whole_table_against_brute_force(spark):
         assert len(set(of)) == len(of)
     drawn_again = pii.collisions(df, KEY)
     assert drawn_again and any(pii.entity_hash(KEY, "person", f"given:han:f:{v}") in drawn_again for k, v in to if k == "han")
+    assert pii.ALL not in drawn_again and len(drawn_again) > 5
+    few = pii.collisions(df, KEY, most=5)
+    assert few[pii.ALL] == 1 and len(few) <= 6
+    longer = {}
+    for x in pii.anonymise(df, KEY, most=5).collect():
+        m = re.match(r"Mr (\S+) <.*; .(.+)女士 saw \1$", x.text)
+        for kind, value, n in (("family", rows[x.pos][0][0][1], m[1]), ("han", rows[x.pos][0][4][1], m[2])):
+            assert longer.setdefault((kind, value), n) == n
+    assert len(longer) == len({(k, n) for (k, _), n in longer.items()})
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     with pytest.raises(ValueError):
