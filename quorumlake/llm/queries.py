@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlake.llm import bpe, fingerprints, importance, language_id, licenses, media, mixing, near_dedup, pii, warc
+from quorumlake.llm import bpe, exact_dedup, fingerprints, hard_negatives, importance, language_id, licenses, media, mixing, near_dedup, pii, warc, whitening
 from quorumlake.plans.shipping import ship
 from quorumlake.plans.staging import Stage, new_path
 
@@ -107,6 +107,22 @@ def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.unionByName(revisits)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.marks(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(e.select("vec_id", "embedding", label.alias("label")), anchors=F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -119,12 +135,32 @@ QUERIES = {
     "op8_warc_archives": op8_warc_archives,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_source_mix": op10_source_mix,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 #: Shingles of the templates and of a text, as the license scan verifies them, without its windows.
 _LICENSE_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
 
 ORACLES = {
+    "op11_exact_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm, length(COALESCE(text, '')) AS n FROM documents)
+SELECT doc_id, FIRST_VALUE(doc_id) OVER g AS keep_id, COUNT(*) OVER (PARTITION BY norm) AS group_size, ROW_NUMBER() OVER g = 1 AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY norm ORDER BY n DESC, doc_id)
+""",
+    "op12_hard_negatives": """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, p.id AS positive_id, (ROW_NUMBER() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id))::INT AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score QUALIFY rank <= 10
+""",
     "op7_license_scan": rf"""
 WITH w AS (
   SELECT doc_id AS id, NULL AS template, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents
