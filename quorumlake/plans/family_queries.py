@@ -371,11 +371,6 @@ def squares(t: Tables, wide: float = 10.0) -> DataFrame:
     return t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("g"), F.array(F.array(p(0, 0), p(wide, 0), p(wide, 10), p(0, 10))).alias("rings"))
 
 
-@query(f"WITH {SQUARES} SELECT g, COUNT(*) * 100.0::DOUBLE AS area FROM sq GROUP BY g")
-def dissolved_regions(t):
-    return P.dissolve(squares(t), ["g"], "rings").select("g", F.round("area", 6).alias("area"))
-
-
 @query(f"WITH {SQUARES} SELECT k, GREATEST(0, LEAST(x + 10, 33) - GREATEST(x, 7)) * GREATEST(0, LEAST(y + 10, 41) - GREATEST(y, 12))::DOUBLE AS inside FROM sq")
 def overlay_areas(t):
     """Area that each square shares with a frame, and the rest, which add up to the square."""
