@@ -1,7 +1,7 @@
 """Boxes, rings, grids: the relational part of the vector operators, and shapes without a geometry library.
 
 Range joins become equi joins on covering grid cells; exact tests follow. This module is boxes, simple rings and grids; free
-polygons are in ``operators.polygons``.
+polygons are in ``layers``, searches in ``near``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.operators.graph import connected_components
+from quorumlake.operators.near import nearest_of
 from quorumlake.plans.staging import Stage
 
 BOX = ("x0", "y0", "x1", "y1")
@@ -58,7 +59,7 @@ def projected_winner(votes: DataFrame, target: str, parts: DataFrame, part: str,
     return top.join(one, target).select(target, "party", F.try_divide("votes", "_all").alias("purity"), (F.col("single") | (F.col("sources") == 1)).alias("single"))
 
 
-#: Anchors that are written into the expression; beyond, points and anchors meet in grid cells.
+#: Anchors that are written into the expression; beyond, they are searched by a tree.
 FEW_ANCHORS = 64
 
 
@@ -66,8 +67,7 @@ def nearest(points: DataFrame, anchors: DataFrame, id_col: str, label: str, dims
     """Each point's nearest anchor (squared distance, then label) and ``d2``. With ``within`` only anchors of the same group compete;
     a point whose group has none, or without coordinates, is left out.
 
-    A few anchors are compared in the row, without a join. Others meet points by cells: a point's nearest anchor is
-    known once it is no farther than a cell's side; what is left goes on with cells twice as large.
+    A few anchors are compared in the row, without a join; others are searched down a tree of cells (``near.nearest_of``).
     """
     order = [F.col(label)]
     a = anchors.where(" and ".join(f"`{d}` is not null" for d in dims)).select(label, *within, *[F.col(d).cast("double").alias(f"_{d}") for d in dims])
@@ -81,31 +81,10 @@ def nearest(points: DataFrame, anchors: DataFrame, id_col: str, label: str, dims
             d2 = lambda r: sum(((F.col(d) - F.lit(r[f"_{d}"])) * (F.col(d) - F.lit(r[f"_{d}"])) for d in dims), F.lit(0.0))
             best = F.array_min(F.array(*[F.struct(d2(r).alias("d2"), F.lit(r[label]).cast(kind).alias("label")) for r in rows]))
             return points.select(id_col, best.alias("_b")).select(id_col, F.col("_b.label").alias(label), F.col("_b.d2").alias("d2"))
-    stage = Stage(points.sparkSession, "nearest")
-    left = stage.put(points.select(id_col, *within, *[F.col(d).cast("double").alias(d) for d in dims]), "left")
-    a = stage.put(a, "anchors")
-    span = a.agg(F.count("*").alias("n"), *[f(f"_{d}").alias(f"{k}{d}") for d in dims for k, f in (("lo", F.min), ("hi", F.max))]).first()
-    reach = left.agg(*[f(d).alias(f"{k}{d}") for d in dims for k, f in (("lo", F.min), ("hi", F.max))]).first()
-    if not span.n or reach[f"lo{dims[0]}"] is None:
-        return left.select(id_col).limit(0).join(a.select(label).limit(0)).withColumn("d2", F.lit(0.0))
-    widest = max(max(span[f"hi{d}"], reach[f"hi{d}"]) - min(span[f"lo{d}"], reach[f"lo{d}"]) for d in dims)
-    side = max(max(span[f"hi{d}"] - span[f"lo{d}"] for d in dims) / max(1.0, span.n ** (1 / len(dims))), widest / 1e6) or 1.0
-    cell = [f"_c{i}" for i in range(len(dims))]
-    done = None
-    while True:
-        at = left.withColumns({c: F.floor(F.col(d) / side) for c, d in zip(cell, dims)})
-        near = a
-        for c, d in zip(cell, dims):
-            near = near.withColumn(c, F.explode(F.sequence(F.floor(F.col(f"_{d}") / side) - 1, F.floor(F.col(f"_{d}") / side) + 1)))
-        d2 = sum(((F.col(d) - F.col(f"_{d}")) * (F.col(d) - F.col(f"_{d}")) for d in dims), F.lit(0.0))
-        best = at.join(near, [*within, *cell]).groupBy(id_col).agg(F.min(F.struct(d2.alias("d2"), F.col(label))).alias("_b"))
-        sure = best if side > widest else best.where(F.col("_b.d2") <= side * side)
-        sure = stage.put(sure.select(id_col, F.col(f"_b.{label}").alias(label), F.col("_b.d2").alias("d2")), "sure")
-        done = sure if done is None else done.unionByName(sure)
-        left = stage.put(left.join(sure.select(id_col), id_col, "left_anti"), "left")
-        if side > widest or left.isEmpty():
-            return done
-        side *= 2
+    if len(dims) != 2:
+        raise ValueError("more anchors than a few are searched in two dimensions")
+    things = a.select(label, *within, *[F.col(f"_{d}").alias(f"{c}{i}") for i in "01" for c, d in zip("xy", dims)])
+    return nearest_of(points, things, id_col, label, within, *dims)
 
 
 def nearest_by_array(points: DataFrame, anchors: list[list[float]], vector: str) -> Column:
@@ -339,40 +318,6 @@ def shared_borders(cells: DataFrame) -> DataFrame:
     return both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("length"))
 
 
-def spatial_join(left: DataFrame, right: DataFrame, cell: float, rings: str = "ring", a: str = "a_", b: str = "b_", predicate: str = "intersects", reach: float = 0.0) -> DataFrame:
-    """Pairs of rings (columns ``{a}ring``, ``{b}ring`` of array<struct<x,y>>) that intersect, of which the first covers the second, or that lie
-    within ``reach``. Their boxes, widened by ``reach``, meet in grid cells; what meets is tested exactly, in Arrow batches."""
-    from quorumlake.operators import polygons as P
-
-    def boxed(df: DataFrame, p: str) -> DataFrame:
-        box = ring_box(F.col(p + rings))
-        return df.withColumns({p + c: box[c] + F.lit(reach * s) for c, s in (("x0", -1), ("y0", -1), ("x1", 1), ("y1", 1))})
-
-    def cells(df: DataFrame, p: str) -> DataFrame:
-        at = lambda c: F.floor(F.col(p + c) / cell)
-        return df.withColumn("_cx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("_cy", F.explode(F.sequence(at("y0"), at("y1"))))
-
-    pairs = cells(boxed(left, a), a).join(cells(boxed(right, b), b), ["_cx", "_cy"])
-    corner = lambda c: F.floor(F.greatest(F.col(a + c), F.col(b + c)) / cell)
-    pairs = pairs.where((F.col("_cx") == corner("x0")) & (F.col("_cy") == corner("y0"))).drop("_cx", "_cy")
-    meet = [F.col(a + lo) <= F.col(b + hi) for lo, hi in (("x0", "x1"), ("y0", "y1"))] + [F.col(b + lo) <= F.col(a + hi) for lo, hi in (("x0", "x1"), ("y0", "y1"))]
-    pairs = pairs.where(meet[0] & meet[1] & meet[2] & meet[3]).drop(*[p + c for p in (a, b) for c in BOX])
-
-    def holds(p: P.Region, q: P.Region) -> bool:
-        if predicate == "covers":
-            return P.traps_area(P.trapezoids([q, p], P.OPERATIONS["difference"])) <= 1e-9 * max(1.0, P.area(q))
-        if predicate == "within":
-            return min(P.distance(p, q[0]).min(), P.distance(q, p[0]).min()) <= reach or P.common_area(p, q) > 0
-        return P.common_area(p, q) > 0
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            side = lambda p: [P.to_region([r]) for r in batch.column(batch.schema.get_field_index(p + rings)).to_pylist()]  # noqa: B023,E731
-            yield batch.filter(pa.array([holds(p, q) for p, q in zip(side(a), side(b))], pa.bool_()))
-
-    return pairs.mapInArrow(run, pairs.schema)
-
-
 def urban_or_small(boxes: list[tuple[float, float, float, float]], least: float) -> Column:
     """Whether a row's box (x0, y0, x1, y1) meets one of ``boxes`` or its ``area`` is under ``least``."""
     c, hit = F.col, F.lit(False)

@@ -15,7 +15,6 @@ from quorumlake.operators import fitting as T
 from quorumlake.operators import graph as G
 from quorumlake.operators import linkage as L
 from quorumlake.operators import ordering as O
-from quorumlake.operators import polygons as P
 from quorumlake.operators import quality as Q
 from quorumlake.operators import spatial as V
 from quorumlake.plans.registry import Tables, query
@@ -364,52 +363,11 @@ def free_seats_in_order(t):
 SQUARES = """sq AS (SELECT n_nationkey AS k, n_regionkey AS g, (n_nationkey % 5) * 10.0 AS x, (n_nationkey // 5) * 10.0 AS y FROM nation)"""
 
 
-def squares(t: Tables, wide: float = 10.0) -> DataFrame:
+def squares(t: Tables) -> DataFrame:
     """Nations as squares of a five by five map."""
     x, y = (F.col("n_nationkey") % 5) * 10.0, F.floor(F.col("n_nationkey") / 5) * 10.0
     p = lambda dx, dy: F.struct((x + dx).cast("double").alias("x"), (y + dy).cast("double").alias("y"))
-    return t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("g"), F.array(F.array(p(0, 0), p(wide, 0), p(wide, 10), p(0, 10))).alias("rings"))
-
-
-@query(f"WITH {SQUARES} SELECT k, GREATEST(0, LEAST(x + 10, 33) - GREATEST(x, 7)) * GREATEST(0, LEAST(y + 10, 41) - GREATEST(y, 12))::DOUBLE AS inside FROM sq")
-def overlay_areas(t):
-    """Area that each square shares with a frame, and the rest, which add up to the square."""
-    frame = F.array(F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((7, 12), (33, 12), (33, 41), (7, 41))]))
-    d = squares(t).withColumn("frame", frame)
-    both = P.overlay(P.overlay(d, "rings", "frame", "intersection", "in", "inside"), "rings", "frame", "difference", "out", "outside")
-    return both.where("abs(inside + outside - 100) < 1e-6").select("k", F.round("inside", 6).alias("inside"))
-
-
-@query(f"WITH {SQUARES} SELECT k, [130.0, 70.0, 130.0, 100.0, 70.0][k % 5 + 1]::DOUBLE AS area FROM sq")
-def overlaps_resolved(t):
-    """Squares three too wide to the east, the last one cut at the frame: what two share stays with the one of the longer border
-    (of equals the first), as earlier pairs left them."""
-    d = squares(t, 13.0).withColumn("row", F.floor(F.col("k") / 5)).withColumn("rings", F.when(F.col("k") % 5 == 4, squares_narrow()).otherwise(F.col("rings")))
-    return P.partition(d, "row", "k", "rings", P.resolve_overlaps).select("k", F.round("area", 6).alias("area"))
-
-
-def squares_narrow():
-    return F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct(F.least(p["x"], F.lit(50.0)).alias("x"), p["y"].alias("y"))))
-
-
-@query(f"WITH {SQUARES} SELECT k, GREATEST(0, LEAST(x + 10, 50) - GREATEST(x, 5)) * 10.0 + CASE WHEN k % 5 = 4 THEN 50 ELSE 0 END::DOUBLE AS area FROM sq")
-def snapped_partition(t):
-    """Rows of squares snapped to a frame that begins and ends five to the east: the last square takes what none covers."""
-    frame = lambda y: [P.np.array([[5, y], [55, y], [55, y + 10], [5, y + 10]], float)]
-
-    def snap(m: P.Map) -> P.Map:
-        return P.snap(m, frame(min(P.np.vstack(r)[:, 1].min() for r in m.values())))
-
-    d = squares(t).withColumn("row", F.floor(F.col("k") / 5))
-    return P.partition(d, "row", "k", "rings", snap).select("k", F.round("area", 6).alias("area"))
-
-
-@query(f"WITH {SQUARES} SELECT a.k AS a, b.k AS b FROM sq a JOIN sq b ON a.k < b.k AND GREATEST(abs(a.x - b.x), abs(a.y - b.y)) <= 10")
-def touching_squares(t):
-    """Squares within a hair of one another, corners included."""
-    d = squares(t).select("k", F.col("rings")[0].alias("ring"))
-    a, b = d.select(F.col("k").alias("a_k"), F.col("ring").alias("a_ring")), d.select(F.col("k").alias("b_k"), F.col("ring").alias("b_ring"))
-    return V.spatial_join(a, b, 10.0, predicate="within", reach=0.001).where("a_k < b_k").select(F.col("a_k").alias("a"), F.col("b_k").alias("b"))
+    return t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("g"), F.array(F.array(p(0, 0), p(10, 0), p(10, 10), p(0, 10))).alias("rings"))
 
 
 @query(f"WITH {SQUARES} SELECT k, x + 5 AS cx, y + 5 AS cy, k % 2 = 0 AS urban, 4.0 * k / SUM(k) OVER (PARTITION BY g) / 4.0 AS share FROM sq WHERE k > 0")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumlake.operators import layers as M
+from quorumlake.operators import near as D
+from quorumlake.operators import overlay as X
 from quorumlake.operators import spatial as V
 from quorumlake.plans.registry import Tables, query
 
@@ -103,3 +105,84 @@ def areal_apportionment(t):
     tally = t.lineitem.groupBy(F.col("l_suppkey").alias("b"), F.col("l_returnflag").alias("party")).agg(F.count("*").alias("n"))
     votes = V.apportion(shared, "a", "b", "area", "whole", "s_acctbal", tally)
     return votes.select(F.col("a").alias("target"), "party", F.round("votes", 3).alias("votes"))
+
+
+# ---------------------------------------------------------------- overlays
+
+#: Cells of the same shapes: what covers a cell.
+COVER = f"""u AS (SELECT x.i AS u, y.i AS v FROM range(120) x(i), range(120) y(i)), {SHAPES.split("ab AS")[0]}
+m AS (SELECT u, v, 1000000 + a AS id, SUM(s) AS n FROM u JOIN a ON u >= u0 AND u < u1 AND v >= v0 AND v < v1 GROUP BY ALL HAVING SUM(s) > 0
+  UNION ALL SELECT u, v, b, SUM(s) FROM u JOIN b ON u >= u0 AND u < u1 AND v >= v0 AND v < v1 GROUP BY ALL HAVING SUM(s) > 0),
+f AS (SELECT u, v, string_agg(id::VARCHAR, '|' ORDER BY id) AS face FROM m GROUP BY u, v)"""
+
+
+def both_layers(t: Tables) -> DataFrame:
+    return frames(t).select((F.col("a") + 1_000_000).alias("id"), "x0", "y0", "x1", "y1").unionByName(notched(t).select(F.col("b").alias("id"), "x0", "y0", "x1", "y1"))
+
+
+@query(f"WITH {COVER} SELECT face, 7.0 * COUNT(*) AS area FROM f GROUP BY face")
+def overlay_faces(t):
+    """Frames and notched shapes, which overlap one another in any number: the area under each set of them."""
+    return X.face_areas(X.arrangement(both_layers(t))).select(F.array_join(F.transform("face", lambda x: x.cast("string")), "|").alias("face"), F.round("area", 6).alias("area"))
+
+
+@query(f"""WITH {COVER} SELECT b AS k, 7.0 * COUNT(*) FILTER (hit) AS inside, 7.0 * COUNT(*) FILTER (NOT hit) AS outside
+FROM (SELECT m.id AS b, EXISTS (SELECT 1 FROM m n WHERE n.u = m.u AND n.v = m.v AND n.id >= 1000000) AS hit FROM m WHERE m.id < 1000000) GROUP BY b""")
+def overlay_areas(t):
+    """How much of each notched shape lies on frames, and how much is left of it without them: intersection and difference."""
+    p = X.arrangement(both_layers(t).withColumn("id", F.least("id", F.lit(1_000_000).cast("long"))))
+    size = lambda d, name: X.shapes_of(d, "k").groupBy("k").agg(F.round(F.sum((F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2), 6).alias(name))
+    whole = t.supplier.select(F.col("s_suppkey").alias("k"))
+    out = whole.join(size(X.intersection(p, 1_000_000), "inside"), "k", "left").join(size(X.difference(p, 1_000_000), "outside"), "k", "left")
+    return out.select("k", F.coalesce("inside", F.lit(0.0)).alias("inside"), F.coalesce("outside", F.lit(0.0)).alias("outside"))
+
+
+STRIPES = """sq AS (SELECT n_nationkey AS k, n_regionkey AS g, (n_nationkey % 5) * 10.0 AS x, (n_nationkey // 5) * 10.0 AS y FROM nation)"""
+
+
+def stripes(t: Tables, wide: int, last: int, gap: int = 0) -> DataFrame:
+    """Nations as squares of five rows, ``wide`` and the last of a row ``last`` wide, rows ``gap`` apart."""
+    u, v = F.col("n_nationkey") % 5 * 10, F.floor(F.col("n_nationkey") / 5) * (10 + gap)
+    ring = box(u, v, u + F.when(F.col("n_nationkey") % 5 == 4, last).otherwise(wide), v + 10)
+    return M.edges_of(t.nation.select(F.col("n_nationkey").cast("long").alias("id"), F.array(ring).alias("rings")), ["id"])
+
+
+@query(f"WITH {STRIPES} SELECT k::BIGINT AS k, 7 * [130.0, 70.0, 130.0, 100.0, 70.0][k % 5 + 1]::DOUBLE AS area FROM sq")
+def overlaps_resolved(t):
+    """Squares three too wide, the last one cut at the frame: what two share stays with the one of the longer border
+    (of equals the first), as earlier pairs left them."""
+    p = X.resolve_overlaps(X.arrangement(stripes(t, 13, 10)))
+    return M.areas(X.shapes_of(p, "k").select("k", *[F.round(c).cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")]), ["k"])
+
+
+@query(f"WITH {STRIPES} SELECT k::BIGINT AS k, 7 * (GREATEST(0, LEAST(x + 10, 50) - GREATEST(x, 5)) * 10.0 + CASE WHEN k % 5 = 4 THEN 50 ELSE 0 END)::DOUBLE AS area FROM sq")
+def snapped_partition(t):
+    """Rows of squares snapped to frames that begin and end five to the east: the last square takes what none covers."""
+    v = F.floor(F.col("n_nationkey") / 5) * 20
+    frame = t.nation.where("n_nationkey % 5 = 0").select(F.array(box(F.lit(5), v, F.lit(55), v + 10)).alias("rings"))
+    frame = M.edges_of(frame.withColumn("id", F.lit(1000).cast("long")), ["id"])
+    p = X.snapped(X.arrangement(stripes(t, 10, 10, 10).unionByName(frame)), 1000)
+    return X.shapes_of(p, "k").groupBy("k").agg(F.round(F.sum((F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2), 6).alias("area"))
+
+
+@query(f"WITH {STRIPES} SELECT a.k::BIGINT AS a, b.k::BIGINT AS b FROM sq a JOIN sq b ON a.k < b.k AND GREATEST(abs(a.x - b.x), abs(a.y - b.y)) <= 10")
+def touching_squares(t):
+    """Squares that touch, corners included."""
+    e = stripes(t, 10, 10)
+    one = lambda c: e.select(F.col("id").alias(c), "x0", "y0", "x1", "y1")
+    return D.within_reach(one("a"), one("b"), "a", "b", 0.001).where("a < b")
+
+
+@query(f"""WITH {SHAPES.split("ab AS")[0]} pt AS (SELECT vec_id, embedding[1]::DOUBLE * 200 + 150 AS x, embedding[2]::DOUBLE * 200 + 60 AS y FROM embeddings),
+uv AS (SELECT vec_id, x, y, (2 * x - y) / 7 AS pu, (3 * y + x) / 7 AS pv FROM pt),
+inn AS (SELECT vec_id, MIN(b) AS b FROM (SELECT vec_id, b, SUM(s) AS n FROM uv JOIN b ON pu >= u0 AND pu < u1 AND pv >= v0 AND pv < v1 GROUP BY ALL) WHERE n > 0 GROUP BY vec_id),
+corner AS (SELECT s_suppkey AS b, s_suppkey * 7 % 83 AS u, s_suppkey * 11 % 89 AS v, UNNEST([[0, 0, 15, 0], [15, 0, 15, 12], [15, 12, 10, 12], [10, 12, 10, 4], [10, 4, 5, 4], [5, 4, 5, 12], [5, 12, 0, 12], [0, 12, 0, 0]]) AS e FROM supplier),
+seg AS (SELECT b, 3 * (u + e[1]) + v + e[2] AS x0, 2 * (v + e[2]) - u - e[1] AS y0, 3 * (u + e[3]) + v + e[4] AS x1, 2 * (v + e[4]) - u - e[3] AS y1 FROM corner),
+near AS (SELECT vec_id, b, LEAST(1, GREATEST(0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS w, x, y, x0, y0, x1, y1 FROM uv, seg WHERE vec_id NOT IN (SELECT vec_id FROM inn)),
+best AS (SELECT vec_id, arg_min(b, (round(power(x - x0 - w * (x1 - x0), 2) + power(y - y0 - w * (y1 - y0), 2), 9), b)) AS b, MIN(power(x - x0 - w * (x1 - x0), 2) + power(y - y0 - w * (y1 - y0), 2)) AS d FROM near GROUP BY vec_id)
+SELECT vec_id, b AS shape, 0.0 AS far FROM inn UNION ALL SELECT vec_id, b, round(sqrt(d), 6) FROM best""")
+def points_to_shapes(t):
+    """Points go to the notched shape that holds them, else to the one with the nearest border."""
+    p = t.embeddings.select("vec_id", (F.col("embedding")[0].cast("double") * 200 + 150).alias("x"), (F.col("embedding")[1].cast("double") * 200 + 60).alias("y"))
+    d = D.placed(p, notched(t), "vec_id", "b")
+    return d.select("vec_id", F.col("b").alias("shape"), F.round(F.sqrt("d2"), 6).alias("far"))
