@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.plans.staging import Stage
 
-#: Rows and columns of a cost table that the driver solves.
-MOST = 14
+#: Rows and columns of a cost matrix that a task solves.
+MOST = 2000
 
 
 def only_free_seat(regions: DataFrame, seats: DataFrame, rounds: int = 6) -> DataFrame:
@@ -111,56 +112,54 @@ def border_growth_in_order(units: DataFrame, borders: DataFrame, group: str, rou
     return a.cogroup(b).applyInPandas(run, kind)
 
 
-def least_cost(cost: list[list[float]]) -> list[int]:
-    """Column of each row in the cheapest assignment of rows to different columns (shortest augmenting paths)."""
-    n, m = len(cost), len(cost[0]) if cost else 0
+def least_cost(cost: np.ndarray) -> np.ndarray:
+    """Column of each row in the cheapest assignment of rows to different columns: shortest augmenting paths, a row of sums at a time."""
+    cost = np.asarray(cost, float)
+    n, m = cost.shape
     if n > m:
         raise ValueError("more rows than columns")
-    u, v, row_of = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
-    for i in range(1, n + 1):
-        row_of[0], at = i, 0
-        low, way, used = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
-        while row_of[at]:
-            used[at] = True
-            r, delta, nxt = row_of[at], float("inf"), 0
-            for j in range(1, m + 1):
-                if not used[j]:
-                    c = cost[r - 1][j - 1] - u[r] - v[j]
-                    if c < low[j]:
-                        low[j], way[j] = c, at
-                    if low[j] < delta:
-                        delta, nxt = low[j], j
-            for j in range(m + 1):
-                if used[j]:
-                    u[row_of[j]] += delta
-                    v[j] -= delta
-                else:
-                    low[j] -= delta
-            at = nxt
-        while at:
-            row_of[at], at = row_of[way[at]], way[at]
-    out = [0] * n
-    for j in range(1, m + 1):
-        if row_of[j]:
-            out[row_of[j] - 1] = j - 1
+    u, v, row_of = np.zeros(n), np.zeros(m), np.full(m, -1)
+    for i in range(n):
+        low, way, used, at, row = np.full(m, np.inf), np.full(m, -1), np.zeros(m, bool), -1, i
+        while True:
+            gap = cost[row] - u[row] - v
+            shorter = ~used & (gap < low)
+            low[shorter], way[shorter] = gap[shorter], at
+            nxt = int(np.where(used, np.inf, low).argmin())
+            step = low[nxt]
+            u[i] += step
+            u[row_of[used]] += step
+            v[used] -= step
+            low[~used] -= step
+            at, used[nxt] = nxt, True
+            if row_of[at] < 0:
+                break
+            row = row_of[at]
+        while at >= 0:
+            back = way[at]
+            row_of[at] = row_of[back] if back >= 0 else i
+            at = back
+    out = np.zeros(n, int)
+    out[row_of[row_of >= 0]] = np.flatnonzero(row_of >= 0)
     return out
 
 
 def optimal_pairs(distances: DataFrame, group: str, most: int = MOST) -> DataFrame:
-    """``(group, left, right)`` of the least total ``cost`` in each group of (group, left, right, cost) rows; a group
-    holds at most ``most`` names a side and a cost for every pair."""
+    """``(group, left, right)`` of the least total ``cost`` in each group of (group, left, right, cost) rows; a group holds at most ``most`` names a
+    side and a cost for every pair: a task solves a group, and its matrix is at most 8 ``most``² bytes. A larger group is an error."""
     schema = ", ".join(f"`{c}` {distances.schema[c].dataType.simpleString()}" for c in (group, "left", "right"))
 
-    def solve(pdf):
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         t = pdf.pivot(index="left", columns="right", values="cost").sort_index().sort_index(axis=1)
-        if max(t.shape) > most:
-            raise ValueError(f"an assignment of {t.shape} is over the bound of {most}")
         flip = t.shape[0] > t.shape[1]
         t = t.T if flip else t
-        to = least_cost(t.values.tolist())
+        to = least_cost(t.to_numpy())
         out = pdf.iloc[: len(to)][[group]].copy()
         a, b = list(t.index), [t.columns[j] for j in to]
         out["left"], out["right"] = (b, a) if flip else (a, b)
         return out
 
+    large = distances.groupBy(group).agg(F.countDistinct("left").alias("l"), F.countDistinct("right").alias("r")).where((F.col("l") > most) | (F.col("r") > most)).first()
+    if large:
+        raise ValueError(f"an assignment of {large.l} to {large.r} is over the bound of {most}")
     return distances.select(group, "left", "right", "cost").groupBy(group).applyInPandas(solve, schema)

@@ -98,3 +98,31 @@ def component_regions(members: DataFrame, seat: str, unit: str, forced: DataFram
     found = connected_components(edges if forced is None else edges.unionByName(forced.select("src", "dst")))
     named = m.join(found.withColumnRenamed("node", "s"), "s", "left").withColumn("region", F.coalesce("component", "s"))
     return named.groupBy("region").agg(F.array_sort(F.collect_set("s")).alias("seats"), F.array_sort(F.collect_set("u")).alias("units"))
+
+
+def basins(edges: DataFrame, seeds: DataFrame, a: str = "a", b: str = "b", weight: str = "w") -> DataFrame:
+    """``(node, label)``: each node's seed (node, label) in the forest of least edges that joins every node to one seed: flooding from the seeds, lowest
+    pass first. Edges are undirected; of equal weights the one with the smaller ends comes first. Nodes that no seed reaches have a null label.
+
+    In rounds every part without a seed joins along its least edge, and parts that join are one; a part with a seed waits to be joined, so no two seeds
+    meet. A round at least halves the parts without one."""
+    stage = Stage(edges.sparkSession, "basins")
+    e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b"), F.struct(F.col(weight).alias("w"), F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).alias("w"))
+    e = stage.put(e, "edges")
+    of = e.select(F.col("a").alias("node")).unionByName(e.select(F.col("b").alias("node"))).unionByName(seeds.select("node")).distinct()
+    of = stage.put(of.withColumn("part", F.col("node")), "of")
+    labels = stage.put(seeds.select(F.col("node").alias("part"), "label"), "labels")
+    while True:
+        ends = e.select(F.col("a").alias("part"), F.col("b").alias("to"), "w").unionByName(e.select(F.col("b").alias("part"), F.col("a").alias("to"), "w"))
+        pick = ends.join(labels.select("part"), "part", "left_anti").groupBy("part").agg(F.min(F.struct("w", "to")).alias("m")).select("part", F.col("m.to").alias("to"))
+        pick = stage.put(pick, "pick")
+        if pick.isEmpty():
+            break
+        joined = stage.put(connected_components(pick, "part", "to").toDF("part", "whole"), "joined")
+        now = lambda d, c: d.join(joined.withColumnRenamed("part", c), c, "left").withColumn(c, F.coalesce("whole", c)).drop("whole")  # noqa: B023,E731
+        of, labels = stage.put(now(of, "part"), "of"), stage.put(now(labels, "part"), "labels")
+        moved = now(now(e, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "w")
+        e = stage.put(moved.groupBy("a", "b").agg(F.min("w").alias("w")), "edges")
+        for name in ("of", "labels", "edges", "joined"):
+            stage.drop(name, keep_last=True)
+    return of.join(labels, "part", "left").select("node", "label")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.operators import cells as C
+from quorumlake.operators import graph as G
 from quorumlake.operators import layers as M
 from quorumlake.plans.map_queries import SHAPES, notched
 from quorumlake.plans.registry import Tables, query
@@ -61,3 +62,20 @@ def nearest_class_fill(t):
     k = F.col("s_suppkey")
     seeds = t.supplier.select(k.alias("seed"), (k * 37 % 400).alias("x"), (k * 11 % high).alias("y"), (k % 3).alias("label"))
     return C.nearest_class(c, seeds, "seed", ["label"]).where("seed is not null").select("x", "y", "seed")
+
+
+@query("""WITH RECURSIVE h AS (SELECT c_custkey AS n, c_nationkey AS g, (ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) AS r, c_acctbal AS h FROM customer),
+e AS (SELECT a.g, a.n AS p, b.n AS q, GREATEST(a.h, b.h) AS w, LEAST(a.n, b.n) AS u, GREATEST(a.n, b.n) AS v FROM h a JOIN h b ON a.g = b.g AND abs(a.r % 6 - b.r % 6) + abs(a.r // 6 - b.r // 6) = 1),
+lab(node, label) USING KEY (node) AS (SELECT n, n FROM (SELECT MIN(c_custkey) AS n FROM customer GROUP BY c_nationkey UNION SELECT MAX(c_custkey) FROM customer GROUP BY c_nationkey)
+  UNION (SELECT q, label FROM recurring.lab JOIN e ON p = node WHERE q NOT IN (SELECT node FROM recurring.lab) QUALIFY ROW_NUMBER() OVER (PARTITION BY g ORDER BY w, u, v) = 1))
+SELECT node, label FROM lab""")
+def basins(t):
+    """Each nation's customers as a grid six wide, flooded from the first and the last one; heights are balances."""
+    r = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
+    h = t.customer.select(F.col("c_custkey").alias("n"), F.col("c_nationkey").alias("g"), r.alias("r"), F.col("c_acctbal").alias("h"))
+    h = h.select("n", "g", "h", (F.col("r") % 6).alias("x"), F.floor(F.col("r") / 6).alias("y"))
+    steps = F.explode(F.array(F.struct((F.col("x") + 1).alias("x"), F.col("y").alias("y")), F.struct(F.col("x"), (F.col("y") + 1).alias("y"))))
+    near = h.select(F.col("n").alias("a"), F.col("h").alias("ha"), "g", steps.alias("s")).select("a", "ha", "g", "s.*").join(h.select(F.col("n").alias("b"), F.col("h").alias("hb"), "g", "x", "y"), ["g", "x", "y"])
+    ends = t.customer.groupBy("c_nationkey").agg(F.array_distinct(F.array(F.min("c_custkey"), F.max("c_custkey"))).alias("n"))
+    seeds = ends.select(F.explode("n").alias("node")).withColumn("label", F.col("node"))
+    return G.basins(near.select("a", "b", F.greatest("ha", "hb").alias("w")), seeds).select("node", "label")

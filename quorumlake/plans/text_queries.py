@@ -9,6 +9,7 @@ from quorumlake.functions import similarity as S
 from quorumlake.functions import textnorm as N
 from quorumlake.operators import contest as C
 from quorumlake.operators import quality as Q
+from quorumlake.operators.segment import greedy_segments
 from quorumlake.plans.joins import join_dim
 from quorumlake.plans.registry import query
 from quorumlake.sources import sinks
@@ -69,14 +70,25 @@ def district_base(t):
     return t.orders.select("o_orderkey", N.district_base(name).alias("district"))
 
 
-@query()
+#: Brand names and the like of a vocabulary: the words of part names, and pairs of them, besides some of the documents' own.
+PHRASES = ["the", "of the", "in the", "and", "and the", "the of", "de la", "la", "la de", "der", "die", "und die", "der und"]
+
+
+@query(rf"""WITH v AS (SELECT DISTINCT lower(p_name) AS p FROM part UNION SELECT UNNEST({PHRASES!r})),
+a AS (SELECT string_agg(p, '|' ORDER BY len(string_split(p, ' ')) DESC, p) AS alt FROM v WHERE regexp_full_match(p, '[a-z]+( [a-z]+)*') AND len(string_split(p, ' ')) <= 4),
+d AS (SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '\p{{L}}+'), ' ') || ' ' AS s FROM documents),
+x AS (SELECT doc_id, regexp_extract_all(CASE WHEN s = ' ' THEN '' ELSE s END, '(?:' || alt || ') |[^ ]+ ') AS m, list_transform(regexp_extract_all(CASE WHEN s = ' ' THEN '' ELSE s END, '((?:' || alt || ') )|[^ ]+ ', 1), lambda p: trim(p)) AS k FROM d, a)
+SELECT doc_id, array_to_string(list_filter(k, lambda p: p <> ''), '|') AS phrases, len(m) - len(list_filter(k, lambda p: p <> '')) AS unknown FROM x""")
 def greedy_segment(t):
-    """Documents' words cut into a small vocabulary's phrases, longest first."""
-    vocabulary = F.array(*map(F.lit, ["the", "of the", "in the", "and", "de la", "la", "der", "die"]))
+    """Documents' words cut into the phrases of a vocabulary, longest first."""
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
-    d = t.documents.select("doc_id", words.alias("w")).select("doc_id", N.greedy_segments(F.col("w"), vocabulary).alias("s"))
-    known = F.filter("s", lambda x: x["known"])
-    return d.select("doc_id", F.array_join(F.transform(known, lambda x: x["phrase"]), "|").alias("phrases"), (F.size("s") - F.size(known)).alias("unknown"))
+    names = t.part.select(F.lower("p_name").alias("phrase")).unionByName(t.spark.createDataFrame([(p,) for p in PHRASES], "phrase string"))
+    names = names.where(F.col("phrase").rlike("^[a-z]+( [a-z]+)*$") & (F.size(F.split("phrase", " ")) <= 4))
+    d = t.documents.select("doc_id", F.coalesce(words, F.array().cast("array<string>")).alias("words"))
+    found = greedy_segments(d, names, "doc_id").groupBy("doc_id")
+    found = found.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "phrase"))), lambda x: x["phrase"]), "|").alias("phrases"), F.sum("n").alias("n"))
+    out = d.select("doc_id", F.size("words").cast("long").alias("all")).join(found, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("phrases", F.lit("")).alias("phrases"), (F.col("all") - F.coalesce("n", F.lit(0))).alias("unknown"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{8,}')) AS t FROM documents), b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{8,}')) AS t FROM benchmark),

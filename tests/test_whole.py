@@ -5,28 +5,12 @@ import re
 from quorumlake.plans.catalog import QUERIES
 
 
-def test_greedy_segment_reads_long_texts(spark, tmp_path):
-    texts = {1: "x " * 50 + "of the end and", 2: " ".join(["in the", "blue", "de la"] * 40), 3: "der", 4: "", 5: None}
-    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    known = ["the", "of the", "in the", "and", "de la", "la", "der", "die"]
-    want = {}
-    for i, t in texts.items():
-        w, at, found, unknown = re.findall(r"[^\W\d_]+", t or ""), 0, [], 0
-        while at < len(w):
-            n = next((n for n in (4, 3, 2, 1) if at + n <= len(w) and " ".join(w[at : at + n]) in known), 0)
-            found += [" ".join(w[at : at + n])] if n else []
-            unknown, at = unknown + (not n), at + max(n, 1)
-        want[i] = ("|".join(found), unknown)
-    got = {r.doc_id: (r.phrases, r.unknown) for r in QUERIES["greedy_segment"](spark, str(tmp_path)).collect()}
-    assert {i: g for i, g in got.items() if texts[i]} == {i: x for i, x in want.items() if texts[i]}
-
-
 def test_whole_tables_are_read():
     """No registered query keeps a slice of a table's rows by a modulo, or a prefix of its texts."""
     import inspect
 
-    from quorumlake.plans import career_queries, contest_queries, spatial_queries, text_queries
+    from quorumlake.plans import career_queries, contest_queries, family_queries, map_queries, raster_queries, spatial_queries, text_queries
 
-    for module in (career_queries, contest_queries, spatial_queries, text_queries):
+    for module in (career_queries, contest_queries, family_queries, map_queries, raster_queries, spatial_queries, text_queries):
         text = inspect.getsource(module)
         assert not re.search(r"WHERE \w+key % \d+ = \d|where\(\"\w+key % ", text.replace("p_partkey % 10", ""))
