@@ -149,16 +149,16 @@ def rings(outline: DataFrame, by: list[str]) -> DataFrame:
     """``(by, ring, at, x0, y0, x1, y1)``: the edges of ``dissolve`` chained to rings, in the order of ``at``. Where rings touch in a point, each
     keeps to its own side: the next edge is the first one clockwise from the way back."""
     stage = Stage(outline.sparkSession, "rings")
-    e = stage.put(outline.withColumn("id", F.monotonically_increasing_id()), "edges")
-    comes = e.select(*by, F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x0") - F.col("x1")).alias("dx"), (F.col("y0") - F.col("y1")).alias("dy"), "id", F.lit(True).alias("comes"))
-    goes = e.select(*by, F.col("x0").alias("x"), F.col("y0").alias("y"), (F.col("x1") - F.col("x0")).alias("dx"), (F.col("y1") - F.col("y0")).alias("dy"), "id", F.lit(False).alias("comes"))
-    v = comes.unionByName(goes)
-    quarter, slope = _around(F.col("dx"), F.col("dy"))
-    w = Window.partitionBy(*by, "x", "y").orderBy("quarter", "slope")
+    e = stage.put(outline.withColumn("_id", F.monotonically_increasing_id()), "edges")
+    way = lambda a, b, comes: [*by, *[F.col(f"{c}{a}").alias(f"_{c}") for c in "xy"], *[(F.col(f"{c}{b}") - F.col(f"{c}{a}")).alias(f"_d{c}") for c in "xy"], "_id", F.lit(comes).alias("_comes")]
+    v = e.select(*way(1, 0, True)).unionByName(e.select(*way(0, 1, False)))
+    quarter, slope = _around(F.col("_dx"), F.col("_dy"))
+    w = Window.partitionBy(*by, "_x", "_y").orderBy("_quarter", "_slope")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    v = v.withColumns({"quarter": quarter, "slope": slope}).withColumn("nxt", F.coalesce(F.lag("id").over(w), F.last("id").over(whole)))
-    ranks = list_ranks(v.where("comes").select("id", "nxt"))
-    return e.join(ranks, "id").select(*by, F.col("list").alias("ring"), "at", "x0", "y0", "x1", "y1")
+    v = v.withColumns({"_quarter": quarter, "_slope": slope}).withColumn("_nxt", F.coalesce(F.lag("_id").over(w), F.last("_id").over(whole)))
+    ranks = list_ranks(v.where("_comes").select(F.col("_id").alias("id"), F.col("_nxt").alias("nxt")))
+    ranks = ranks.select(F.col("id").alias("_id"), F.col("list").alias("ring"), "at")
+    return e.join(ranks, "_id").select(*by, "ring", "at", "x0", "y0", "x1", "y1")
 
 
 def ring_sizes(chained: DataFrame, by: list[str]) -> DataFrame:
