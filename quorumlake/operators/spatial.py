@@ -94,8 +94,8 @@ def nearest_by_array(points: DataFrame, anchors: list[list[float]], vector: str)
 
 
 def kmeans(points: DataFrame, k: int, id_col: str, dims: tuple[str, ...] = ("x", "y"), rounds: int = 30) -> DataFrame:
-    """Lloyd's rounds from the k points with the smallest hashes; seeds numbered north to south, west to east."""
-    seeds = points.orderBy(F.xxhash64(id_col), id_col).limit(k).select(*dims).collect()  # k rows
+    """Lloyd's rounds from the k points with the smallest hashes (MD5 of the id); seeds numbered north to south, west to east."""
+    seeds = points.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(k).select(*dims).collect()  # k rows
     centres = [[float(s[d]) for d in dims] for s in seeds]
     p = points.withColumn("_v", F.array(*[F.col(d).cast("double") for d in dims]))
     for _ in range(rounds):

@@ -73,6 +73,31 @@ def simplified_borders(t):
     return t.orders.select(F.col("o_orderkey").alias("id")).join(kept, "id", "left").join(alone, "id", "left").select("id", F.coalesce("single", F.lit(0).cast("long")).alias("single"), F.coalesce("whole", F.lit(False)).alias("whole"))
 
 
+@query(f"""WITH {BRICKS}, w AS (SELECT a.id AS a, b.id AS b, w FROM (SELECT n, m, sqrt(5) AS w FROM right_ UNION ALL SELECT n, m, sqrt(10) FROM up) e JOIN c a ON a.n = e.n JOIN c b ON b.n = e.m WHERE a.id <> b.id),
+b AS (SELECT a, b, round(SUM(w), 9) AS w FROM (SELECT a, b, w FROM w UNION ALL SELECT b, a, w FROM w) GROUP BY a, b),
+s AS (SELECT o_orderkey AS id, o_totalprice < 2000 AS small FROM orders),
+g AS (SELECT b.a, arg_max(b.b, (b.w, -b.b)) AS q FROM b JOIN s ON s.id = b.a AND small GROUP BY b.a)
+SELECT s.id, CASE WHEN s.small AND NOT t.small THEN q ELSE s.id END AS owner FROM s LEFT JOIN g ON g.a = s.id LEFT JOIN s t ON t.id = q""")
+def absorbed_slivers(t):
+    """Orders of little worth go to the neighbour with the longest common border, one round; those whose neighbour is as small wait."""
+    parts = t.orders.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_totalprice") < 2000, 1.0).otherwise(9.0).alias("area"))
+    found = M.absorb(parts, M.border_pieces(bricks(t)), 5.0, rounds=1).join(parts, "id").join(parts.select(F.col("id").alias("owner"), F.col("area").alias("other")), "owner")
+    return found.select("id", F.when((F.col("area") < 5) & (F.col("other") > 5), F.col("owner")).otherwise(F.col("id")).alias("owner"))
+
+
+@query(f"""WITH {BRICKS}, h AS (SELECT n FROM c WHERE id % 53 = 7 AND iy > 0 AND iy < (SELECT MAX(iy) FROM c) - 1 AND ix BETWEEN 1 AND 398 AND n % 8 = 3),
+w AS (SELECT n, m, sqrt(5) AS w FROM right_ UNION ALL SELECT n, m, sqrt(10) FROM up), nb AS (SELECT e.n, c.id, round(SUM(w), 9) AS w FROM (SELECT n, m, w FROM w UNION ALL SELECT m, n, w FROM w) e JOIN h ON h.n = e.n JOIN c ON c.n = e.m GROUP BY ALL),
+own AS (SELECT n, arg_max(id, (w, -id)) AS id FROM nb GROUP BY n)
+SELECT id, 14.0 * COUNT(*) AS area FROM (SELECT id FROM c WHERE n NOT IN (SELECT n FROM h) UNION ALL SELECT id FROM own) GROUP BY id""")
+def filled_holes(t):
+    """A brick is taken out of some orders: each hole goes to the order with the longest border on it."""
+    n, last = F.col("n"), F.lit((t.orders.count() * 8 - 1) // 400)
+    iy, ix = F.floor(n / 400), n % 400
+    hole = (F.col("id") % 53 == 7) & (iy > 0) & (iy < last - 1) & ix.between(1, 398) & (n % 8 == 3)
+    e = M.dissolve(bricks(t).where(~hole).select("id", "x0", "y0", "x1", "y1"), ["id"])
+    return M.areas(M.fill_holes(e), ["id"])
+
+
 #: Boxes (u0, v0, u1, v1) of shapes, with a sign: nations are frames, suppliers have a notch from the top; both sheared.
 SHAPES = """a AS (SELECT n_nationkey AS a, UNNEST([{'s': 1, 'u0': x, 'v0': y, 'u1': x + 18, 'v1': y + 18}, {'s': -1, 'u0': x + 6, 'v0': y + 6, 'u1': x + 12, 'v1': y + 12}], recursive := true) FROM (SELECT *, n_nationkey % 5 * 20 AS x, n_nationkey // 5 * 20 AS y FROM nation)),
 b AS (SELECT s_suppkey AS b, UNNEST([{'s': 1, 'u0': x, 'v0': y, 'u1': x + 15, 'v1': y + 12}, {'s': -1, 'u0': x + 5, 'v0': y + 4, 'u1': x + 10, 'v1': y + 12}], recursive := true) FROM (SELECT *, s_suppkey * 7 % 83 AS x, s_suppkey * 11 % 89 AS y FROM supplier)),

@@ -57,7 +57,12 @@ def nearest_seed(t):
     return V.nearest(p, s, "vec_id", "label").select("vec_id", "label")
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+s AS (SELECT ROW_NUMBER() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS c, x, y FROM p QUALIFY c < 5),
+r(i, c, x, y) AS (SELECT 0, c::BIGINT, x, y FROM s UNION ALL
+  SELECT i, c, AVG(x), AVG(y) FROM (SELECT r.i + 1 AS i, p.vec_id, p.x, p.y, arg_min(r.c, ((p.x - r.x) * (p.x - r.x) + (p.y - r.y) * (p.y - r.y), r.c)) AS c FROM r, p WHERE r.i < 30 GROUP BY ALL) GROUP BY i, c),
+e AS (SELECT ROW_NUMBER() OVER (ORDER BY y DESC, x) - 1 AS seed, x, y FROM r WHERE i = 30)
+SELECT vec_id, arg_min(seed, ((p.x - e.x) * (p.x - e.x) + (p.y - e.y) * (p.y - e.y), seed))::INT AS seed FROM p, e GROUP BY vec_id""")
 def kmeans_assign(t):
     p = t.embeddings.select("vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     return V.kmeans(p, 5, "vec_id").select("vec_id", "seed")
@@ -83,15 +88,24 @@ def cells_inside(t):
     return unit_grid(t).where(V.inside(ring, F.col("x"), F.col("y"))).select("ix", "iy")
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT (n_nationkey * 20 + i)::INT AS cell_id, n_nationkey + 0.5 AS x, i + 0.5 AS y FROM nation, range(20) r(i)),
+s(k, x, y, q) AS (VALUES (0, 2.0, 2.0, 0.4), (1, 20.0, 3.0, 0.3), (2, 5.0, 17.0, 0.2), (3, 21.0, 16.0, 0.1)),
+d AS (SELECT cell_id, k, sqrt((c.x - s.x) * (c.x - s.x) + (c.y - s.y) * (c.y - s.y))::DOUBLE AS d FROM c, s),
+n AS (SELECT COUNT(*) AS n FROM c), spread AS (SELECT stddev_pop(d) AS sd FROM d),
+t AS (SELECT k, CASE WHEN k < 3 THEN round(q * n) ELSE n - (SELECT SUM(round(q * n)) FROM s WHERE k < 3) END::BIGINT AS t FROM s, n),
+r(i, k, w, e) AS (SELECT 0, k, 0.0::DOUBLE, 999::BIGINT FROM t UNION ALL
+  SELECT r.i + 1, r.k, CASE WHEN g.worst <= GREATEST(2, floor(0.004 * n)) THEN r.w ELSE r.w - g.e / n::DOUBLE * sd * 1.5 END, g.e
+  FROM r JOIN (SELECT t.k, COALESCE(m, 0) - t AS e, MAX(abs(COALESCE(m, 0) - t)) OVER () AS worst FROM t LEFT JOIN (
+      SELECT k, COUNT(*) AS m FROM (SELECT cell_id, arg_min(d.k, (d.d - r.w, d.k)) AS k FROM d JOIN r ON r.k = d.k GROUP BY cell_id) GROUP BY k) f ON f.k = t.k) g ON g.k = r.k, n, spread WHERE r.i < 299)
+SELECT cell_id, arg_min(d.k, (d.d - r.w, d.k))::INT AS label FROM d JOIN r ON r.k = d.k WHERE r.i = (SELECT MAX(i) FROM r) GROUP BY cell_id""")
 def capacity_allocate(t):
-    """Cells dealt to four seeds by quota; the counts are tested."""
+    """Cells dealt to four seeds by quota."""
     cells = unit_grid(t).select((F.col("ix") * 20 + F.col("iy")).alias("cell_id"), "x", "y")
     seeds = t.spark.createDataFrame([(0, 2.0, 2.0, 0.4), (1, 20.0, 3.0, 0.3), (2, 5.0, 17.0, 0.2), (3, 21.0, 16.0, 0.1)], "label int, x double, y double, quota double")
     return V.capacity_allocate(cells, seeds).select("cell_id", "label")
 
 
-@query()
+@query("SELECT n_nationkey::INT AS ix, i::INT AS iy, CASE WHEN n_nationkey < 12 THEN 0 ELSE 1 END AS label FROM nation, range(20) r(i)")
 def contiguity_repair(t):
     """Cells labelled by halves, with strays; each label is connected afterwards."""
     stray = (F.col("ix") % 9 == 4) & (F.col("iy") % 7 == 3)
