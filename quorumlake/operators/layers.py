@@ -161,16 +161,20 @@ def rings(outline: DataFrame, by: list[str]) -> DataFrame:
     return e.join(ranks, "_id").select(*by, "ring", "at", "x0", "y0", "x1", "y1")
 
 
+def _area(edges: DataFrame) -> Column:
+    """Half the sum of the edges' cross products: exact for whole coordinates."""
+    twice = F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")
+    return F.sum(twice.cast("decimal(20,0)") if edges.schema["x0"].dataType.typeName() == "long" else twice).cast("double") / 2
+
+
 def ring_sizes(chained: DataFrame, by: list[str]) -> DataFrame:
     """``(by, ring, area, length, edges)``: a hole's area is negative."""
-    twice = (F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")).cast("decimal(20,0)")
-    return chained.groupBy(*by, "ring").agg((F.sum(twice).cast("double") / 2).alias("area"), F.sum(length()).alias("length"), F.count("*").alias("edges"))
+    return chained.groupBy(*by, "ring").agg(_area(chained).alias("area"), F.sum(length()).alias("length"), F.count("*").alias("edges"))
 
 
 def areas(edges: DataFrame, by: list[str]) -> DataFrame:
     """``(by, area)``."""
-    twice = (F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")).cast("decimal(20,0)")
-    return edges.groupBy(*by).agg((F.sum(twice).cast("double") / 2).alias("area"))
+    return edges.groupBy(*by).agg(_area(edges).alias("area"))
 
 
 # ---------------------------------------------------------------- arcs
@@ -252,24 +256,39 @@ def _in_strips(edges: DataFrame, key: str, width: float, p: str) -> DataFrame:
     return d.select(key, "strip", u.alias(f"{p}u"), v.alias(f"{p}v"), at(u).alias(f"{p}yu"), at(v).alias(f"{p}yv"), f"{p}s")
 
 
-def common_areas(a: DataFrame, b: DataFrame, a_key: str = "a", b_key: str = "b", width: float | None = None) -> DataFrame:
-    """``(a, b, area)`` of pairs of shapes of two layers that share area, of any form, holes included.
+def _cell(a: DataFrame, b: DataFrame) -> float:
+    """Side of the grid cells in which boxes of two tables meet: twice their mean span."""
+    span = lambda d, p: d.select(F.greatest(F.col(f"{p}x1") - F.col(f"{p}x0"), F.col(f"{p}y1") - F.col(f"{p}y0")).alias("d"))
+    return max(1.0, 2.0 * (span(a, "a_").unionByName(span(b, "b_")).agg(F.avg("d")).first()[0] or 1.0))
+
+
+def centres(edges: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, area, cx, cy)``: shapes' areas and centres of mass."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    cross = x0 * y1 - x1 * y0
+    s = edges.groupBy(*by).agg(F.sum(cross).alias("_a"), F.sum(cross * (x0 + x1)).alias("_x"), F.sum(cross * (y0 + y1)).alias("_y"))
+    return s.select(*by, (F.col("_a") / 2).alias("area"), (F.col("_x") / (3 * F.col("_a"))).alias("cx"), (F.col("_y") / (3 * F.col("_a"))).alias("cy"))
+
+
+def common_areas(a: DataFrame, b: DataFrame, a_key: str = "a", b_key: str = "b", width: float | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """``(a, b, area)`` of pairs of shapes of two layers that share area, of any form, holes included; of those of ``pairs`` (a, b) only, if given.
 
     A shape is the signed sum of the areas below its edges, so two shapes share the signed sum, over pairs of their edges that lie over one another,
     of the area below both: the integral of the lower one, in closed form. Less than 10^-9 of what their boxes share is rounding. Edges are cut at strips of ``width`` (four mean edges
     if not given) and meet in the strips that the pair's boxes share; no point is located and no crossing is chained."""
-    from quorumlake.operators.spatial import box_join
+    from quorumlake.operators.spatial import box_join, overlap_area
 
     stage = Stage(a.sparkSession, "common")
     both = a.select((F.col("x1") - F.col("x0")).alias("d")).unionByName(b.select((F.col("x1") - F.col("x0")).alias("d")))
     mean = both.agg(F.avg(F.abs("d"))).first()[0]
     width = width or max(1.0, 4.0 * (mean or 1.0))
     ba, bb = stage.put(boxes(a, [a_key], "a_"), "a"), stage.put(boxes(b, [b_key], "b_"), "b")
-    span = ba.select(F.greatest(F.col("a_x1") - F.col("a_x0"), F.col("a_y1") - F.col("a_y0")).alias("d")).unionByName(bb.select(F.greatest(F.col("b_x1") - F.col("b_x0"), F.col("b_y1") - F.col("b_y0")).alias("d")))
-    cell = max(1.0, 2.0 * (span.agg(F.avg("d")).first()[0] or 1.0))
-    pairs = box_join(ba, bb, cell)
+    if pairs is not None:
+        met = pairs.join(ba, a_key).join(bb, b_key).withColumn("area", overlap_area("a_", "b_")).where("area > 0")
+    else:
+        met = box_join(ba, bb, _cell(ba, bb))
     lo, hi, base = F.greatest("a_x0", "b_x0"), F.least("a_x1", "b_x1"), F.greatest("a_y0", "b_y0")
-    pairs = pairs.select(a_key, b_key, base.alias("base"), F.col("area").alias("boxed"), F.explode(F.sequence(F.floor(lo / width), F.ceil(hi / width) - 1)).alias("strip"))
+    pairs = met.select(a_key, b_key, base.alias("base"), F.col("area").alias("boxed"), F.explode(F.sequence(F.floor(lo / width), F.ceil(hi / width) - 1)).alias("strip"))
     pairs = stage.put(pairs, "pairs")
     met = pairs.join(_in_strips(a, a_key, width, "e"), [a_key, "strip"]).join(_in_strips(b, b_key, width, "f"), [b_key, "strip"])
     u, v = F.greatest("eu", "fu"), F.least("ev", "fv")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumlake.operators import fitting as T
 from quorumlake.operators import layers as M
 from quorumlake.operators import near as D
 from quorumlake.operators import overlay as X
@@ -211,3 +212,22 @@ def points_to_shapes(t):
     p = t.embeddings.select("vec_id", (F.col("embedding")[0].cast("double") * 200 + 150).alias("x"), (F.col("embedding")[1].cast("double") * 200 + 60).alias("y"))
     d = D.placed(p, notched(t), "vec_id", "b")
     return d.select("vec_id", F.col("b").alias("shape"), F.round(F.sqrt("d2"), 6).alias("far"))
+
+
+@query("SELECT s_suppkey AS g, (s_suppkey % 11 * 3 - 15)::INT AS angle, TRUE AS whole FROM supplier")
+def rotated_overlap(t):
+    """Notched shapes, turned and moved: the turn among eleven that brings them back over themselves."""
+    a = notched(t).withColumnRenamed("b", "g")
+    turn = F.radians(F.col("g") % 11 * 3 - 15)
+    at = lambda k: {f"x{k}": F.cos(turn) * F.col(f"x{k}") - F.sin(turn) * F.col(f"y{k}") + 500, f"y{k}": F.sin(turn) * F.col(f"x{k}") + F.cos(turn) * F.col(f"y{k}") - 90}
+    d = T.rotated_iou(a, a.withColumns(at(0) | at(1)))
+    return d.select("g", "angle", (F.col("iou") > 0.999).alias("whole"))
+
+
+@query("SELECT s_suppkey AS g, TRUE AS found FROM supplier")
+def overlap_fit(t):
+    """Notched shapes, stretched, turned and moved: the affine change that covers them again by over nine tenths."""
+    a = notched(t).withColumnRenamed("b", "g")
+    turn = F.radians(F.col("g") * 37 % 360)
+    at = lambda k: {f"x{k}": 1.4 * F.cos(turn) * F.col(f"x{k}") - 1.2 * F.sin(turn) * F.col(f"y{k}") + 70, f"y{k}": 1.4 * F.sin(turn) * F.col(f"x{k}") + 1.2 * F.cos(turn) * F.col(f"y{k}") - 9}
+    return T.fit_overlap(a, a.withColumns(at(0) | at(1))).select("g", (F.col("iou") > 0.9).alias("found"))
