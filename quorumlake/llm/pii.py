@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -68,26 +69,35 @@ ENDS = {
 #: Chinese family names, a closed list, and the ends of given names by gender (those of GIVEN).
 HAN_FAMILY = "王 李 张 刘 陈 杨 黄 赵 吴 周".split()
 HAN = 0x4E00, 20902
+#: Letters of initials.
+ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "han": "abcdefghijklmnopqrstuvwxyz"}
 #: Feminine and base ends of Russian family names (fixed values).
 FEMININE = (("ова", "ов"), ("ева", "ев"), ("ёва", "ёв"), ("ина", "ин"), ("ына", "ын"))
 _GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
 
 # ---------------------------------------------------------------- detection
 
-_NAME = r"[^\W\d_]*[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][^\W\d_]+)?"
+_UPPER = "A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω"
+_NAME = rf"(?:[{_UPPER}]['’])?[^\W\d_]*[{_UPPER}][^\W\d_]+(?:-(?:[{_UPPER}]['’])?[{_UPPER}][^\W\d_]+)?"
+#: What may stand before a name: initials, and particles (fixed values), which stay.
+_PARTICLES = "da de del della den der des di do dos du la las le los ten ter van vom von zu zum zur".split()
+_LINK = rf"(?:[{_UPPER}]\.[ \u00a0-]?){{0,3}}(?:(?:{'|'.join(_PARTICLES)})[ \u00a0]+){{0,3}}"
 _TITLE = "|".join(sorted((re.escape(t) for g in TITLES.values() for t in g if not "一" <= t[0] <= "鿿"), key=len, reverse=True))
 _KNOWN = "|".join(sorted((n for (script, _), names in GIVEN.items() if script != "han" for n in names), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"),
+    "email": re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ](?:[A-Za-z0-9À-ÖØ-öø-ÿ._%+-]*[A-Za-z0-9À-ÖØ-öø-ÿ_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"),
     "secret": re.compile(r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|credential)s?[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9+/_.~-]{8,}={0,2})|(?<![A-Za-z0-9])((?:AKIA|ghp_|sk-|xox[abp]-)[A-Za-z0-9_-]{12,}|[0-9a-f]{32,64})(?![A-Za-z0-9])"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card": re.compile(r"(?<![\d.-])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-]|\.\d)"),
     "ipv4": re.compile(rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d]|\.\d)"),
     "ssn": re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d-]|\.\d)|(?<![\w.])\+\d{7,15}(?!\d)"),
-    "person": re.compile(rf"(?<!\w)({_TITLE})\.?\s+({_NAME}(?:\s+{_NAME}){{0,2}})|(王|李|张|刘|陈|杨|黄|赵|吴|周)([一-鿿]{{1,2}})(先生|女士)"),
-    "named": re.compile(rf"(?<![\w-])(?:{_KNOWN})(?:[ \u00a0]+{_NAME}){{1,2}}(?![\w-])"),
+    "phone": re.compile(
+        r"(?<![\w.+-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}|0\d(?:[ .-]\d{2}){4}|[6-9]\d{1,2} \d{3} \d{2} \d{2}|1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}"
+        r"|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6})(?![\d-]|\.\d)|(?<![\w.])\+\d{7,15}(?!\d)"
+    ),
+    "person": re.compile(rf"(?<!\w)({_TITLE})\.?\s+({_LINK}{_NAME}(?:\s+{_LINK}{_NAME}){{0,2}})|(王|李|张|刘|陈|杨|黄|赵|吴|周)([一-鿿]{{1,2}})(先生|女士)"),
+    "named": re.compile(rf"(?<![\w-])(?:{_KNOWN})(?:[ \u00a0]+{_LINK}{_NAME}){{1,2}}(?![\w-])"),
 }
 _DIGIT = re.compile(r"\d")
 #: What a text must contain for a pattern to be tried: cheap searches that spare most texts the patterns. Each is a
@@ -142,12 +152,18 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "han" if "一" <= c <= "鿿" else "latin"
 
 
+def _iban_check(country: str, body: str) -> int:
+    """The check digits, from 2 to 98, that make an account number's remainder by 97 one."""
+    return 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+
+
 def _luhn(digits: str) -> int:
     """Check sum of a card number: every second digit from the right counts double, less 9 over 9."""
     return sum(2 * d - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(digits))))
 
 
-_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_ACCENTED = "".join(chr(c) for c in range(0xE0, 0x100) if chr(c) not in "÷ß")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-ß" + _ACCENTED + "".join(chr(c) for c in range(0xC0, 0xDF) if chr(c) != "×"))
 _LOCAL_ENDS = _LOCAL - set(".")
 _STARTS = _LOCAL - set("._%+-")
 
@@ -244,21 +260,27 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def _name_parts(m: re.Match, kind: str) -> list[tuple[int, int, str, str, str]]:
-    """(start, end, role, word, the title's gender) of the words of a name; both sides of a hyphen are words."""
+    """(start, end, role, word, the title's gender) of the words of a name; both sides of a hyphen are words, an initial is one, particles and
+    what stands before an apostrophe are none."""
     if kind == "person" and m[3]:  # a Chinese name with its title behind
         return [(*m.span(3), "family", m[3], ""), (*m.span(4), "given", m[4], "m" if m[5] == "先生" else "f")]
     start, text = (m.start(2), m[2]) if kind == "person" else (m.start(), m[0])
     gender = next((g for g, titles in TITLES.items() if m[1] in titles), "") if kind == "person" else ""
-    words = list(re.finditer(r"\S+", text))
+    last = max(text.rfind(c) for c in " \u00a0\t\n\r") + 1
     out = []
-    for i, w in enumerate(words):
-        role = "family" if i == len(words) - 1 else "given"
-        out += [(start + w.start() + x.start(), start + w.start() + x.end(), role, x[0], gender) for x in re.finditer("[^-]+", w[0])]
+    for x in re.finditer(r"[^\W\d_]+", text):
+        after = text[x.end() : x.end() + 1]
+        if x[0] in _PARTICLES or len(x[0]) == 1 and after in ("'", "’"):
+            continue
+        role = "initial" if len(x[0]) == 1 and after == "." else "family" if x.start() >= last else "given"
+        out.append((start + x.start(), start + x.end(), role, x[0], gender))
     return out
 
 
 def _forms(role: str, word: str) -> list[str]:
-    """A word and, of a Russian family name, the form of the other gender."""
+    """A word and, of a Russian family name, the form of the other gender; an initial is found only where it stands."""
+    if role == "initial":
+        return []
     if role == "given" or script_of(word) != "cyrillic":
         return [word]
     other = next((word[: -len(a)] + b for a, b in FEMININE if word.endswith(a)), None)
@@ -267,6 +289,9 @@ def _forms(role: str, word: str) -> list[str]:
 
 def _name_value(role: str, word: str, gender: str) -> str:
     low, script = word.lower(), script_of(word)
+    if role == "initial":
+        letters, plain = ALPHABETS[script], unicodedata.normalize("NFD", low)[0]
+        return f"initial:{script}::{plain if plain in letters else letters[ord(plain) % len(letters)]}"
     if role == "given":
         gender = gender or _GENDER.get(low) or "mf"[hashlib.sha256(low.encode()).digest()[0] & 1]
         return f"given:{script}:{gender}:{low}"
@@ -322,8 +347,11 @@ _HEX = ("0123456789abcdef",), ("0123456789ABCDEF",)
 
 
 def _name(key: bytes, value: str, attempt: int) -> str:
-    """A composed name of three syllables, one more with each attempt; a Chinese one has two characters and more."""
+    """A composed name of four syllables, one more with each attempt; another letter for an initial; a Chinese one has two characters and more."""
     role, script, gender, low = value.split(":", 3)
+    if role == "initial":
+        letters = ALPHABETS[script]
+        return letters[(letters.index(low) + 1 + _prf(key, "initial", script) % (len(letters) - 1)) % len(letters)].upper()
     n = _prf(key, f"person:{attempt}", value)
     if script == "han":
         if role == "family":
@@ -336,7 +364,7 @@ def _name(key: bytes, value: str, attempt: int) -> str:
         ends = GIVEN["han", gender]
         return out + ends[n % len(ends)]
     out = ""
-    for _ in range(attempt + 3):
+    for _ in range(attempt + 4):
         for letters in SYLLABLES[script]:
             n, c = divmod(n, len(letters))
             out += letters[c]
@@ -353,7 +381,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = value.partition("@")
         labels, _, top = domain.rpartition(".")
-        return f"{reshape(key, tweak + ':local@' + domain, local)}@{reshape(key, tweak + ':domain', labels)}.{top}"
+        return f"{reshape(key, tweak + ':local@' + domain, local, (*_CLASSES, _ACCENTED))}@{reshape(key, tweak + ':domain', labels)}.{top}"
     if kind == "card":
         body = value[0] + reshape(key, f"{tweak}:{value[0]}", value[1:-1])
         off = (_luhn(value[:-1] + "0") + int(value[-1])) % 10  # 0 if the check digit holds
@@ -369,8 +397,16 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "phone":  # the last ten digits alike with and without a country's code
         return value[:-10] + reshape(key, tweak, value[-10:])
     if kind == "iban":
-        return value[:2] + reshape(key, tweak + value[:2], value[2:])
+        country, digits, body = value[:2], value[2:4], value[4:]
+        if not digits.isdecimal() or not 2 <= int(digits) <= 98:  # no check digits: they stay as they are
+            return country + digits + reshape(key, f"{tweak}{country}:{digits}", body)
+        off = (int(digits) - _iban_check(country, body)) % 97  # 0 if they hold; what does not hold is as far off afterwards
+        body = reshape(key, tweak + country, body)
+        return f"{country}{(_iban_check(country, body) - 2 + off) % 97 + 2:02}{body}"
     if kind == "secret":
+        for prefix in ("AKIA", "ghp_", "sk-", "xoxa-", "xoxb-", "xoxp-"):
+            if value.startswith(prefix):
+                return prefix + reshape(key, tweak + prefix, value[len(prefix) :])
         for classes in _HEX:
             if all(c in classes[0] for c in value):
                 return reshape(key, tweak, value, classes)
