@@ -1,7 +1,7 @@
 """Edit similarities and set overlaps: built-in functions but for the edit similarity, which runs on Arrow batches."""
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -74,10 +74,24 @@ def differ_by(a: Column, b: Column, fillers: list[str], least: int = 3) -> Colum
     return (F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b))) >= least) & contained(a, b) & (F.size(F.array_except(odd, filler)) == 0)
 
 
-def overlaps(df: DataFrame, key: str, item: str) -> DataFrame:
-    """``(a, b, shared, iou)``, a < b, of all keys whose sets of items meet, through the items: keys without a common item
-    never meet. Items that very many keys have make many pairs, as their overlaps do."""
+def overlaps(df: DataFrame, key: str, item: str, least: int = 1) -> DataFrame:
+    """``(a, b, shared, iou)``, a < b, of all keys whose sets have ``least`` items and more in common.
+
+    Items are put in one order, the rare ones first. Two sets with so many in common have one among all but the last ``least`` - 1 of each of their items, so
+    only these bring keys together, and what very many keys have brings none, unless it is all that a small set has. The sets of those that met are then
+    compared. With ``least`` 1 every common item brings keys together, as many pairs as there are overlaps."""
     d = df.select(F.col(key).alias("k"), F.col(item).alias("i")).where("i is not null").distinct()
+    if least > 1:
+        w = Window.partitionBy("k")
+        rare = join_dim(d, d.groupBy("i").agg(F.count("*").alias("_df")), "i", "inner")
+        rare = rare.withColumns({"_at": F.row_number().over(w.orderBy("_df", "i")), "_n": F.count("*").over(w)})
+        first = rare.where(F.col("_at") <= F.col("_n") - (least - 1)).select("k", "i")
+        met = first.withColumnRenamed("k", "a").join(first.withColumnRenamed("k", "b"), "i").where("a < b").select("a", "b").distinct()
+        sets = d.groupBy("k").agg(F.collect_set("i").alias("s"))
+        for side in "ab":
+            met = join_dim(met, sets.select(F.col("k").alias(side), F.col("s").alias(f"s_{side}")), side, "inner")
+        met = met.withColumn("shared", F.size(F.array_intersect("s_a", "s_b")).cast("long")).where(F.col("shared") >= least)
+        return met.select("a", "b", "shared", (F.col("shared") / (F.size("s_a") + F.size("s_b") - F.col("shared"))).alias("iou"))
     n = d.groupBy("k").agg(F.count("*").alias("n"))
     met = d.select(F.col("k").alias("a"), "i").join(d.select(F.col("k").alias("b"), "i"), "i").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
     for side in "ab":

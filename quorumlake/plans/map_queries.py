@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumlake.operators import assignment as A
 from quorumlake.operators import fitting as T
 from quorumlake.operators import layers as M
 from quorumlake.operators import near as D
@@ -99,6 +100,19 @@ def filled_holes(t):
     return M.areas(M.fill_holes(e), ["id"])
 
 
+@query(f"""WITH RECURSIVE {BRICKS}, w AS (SELECT a.id AS a, b.id AS b, w FROM (SELECT n, m, sqrt(5) AS w FROM right_ UNION ALL SELECT n, m, sqrt(10) FROM up) e JOIN c a ON a.n = e.n JOIN c b ON b.n = e.m WHERE a.id <> b.id),
+b AS (SELECT a, b, round(SUM(w) * 1000)::BIGINT AS w FROM (SELECT a, b, w FROM w UNION ALL SELECT b, a, w FROM w) GROUP BY a, b),
+lab(i, unit, label) AS (SELECT 0, o_orderkey, o_custkey FROM orders WHERE o_totalprice > 450000 UNION ALL
+  SELECT i, unit, label FROM (SELECT l.i + 1 AS i, l.unit, l.label FROM lab l UNION ALL
+    SELECT i + 1, a, arg_max(label, (w, label)) FROM (SELECT l.i, b.a, l.label, SUM(w) AS w FROM lab l JOIN b ON b.b = l.unit WHERE b.a NOT IN (SELECT unit FROM lab) GROUP BY ALL) GROUP BY i, a) WHERE i <= 6)
+SELECT unit, label FROM lab WHERE i = 6""")
+def grown_borders(t):
+    """Orders of great worth label themselves; in six rounds each unlabelled one takes the label with the longest border on it, all at once."""
+    p = M.shared_borders(M.border_pieces(bricks(t))).withColumn("length", F.round(F.col("length") * 1000).cast("long"))
+    seeds = t.orders.where("o_totalprice > 450000").select(F.col("o_orderkey").alias("unit"), F.col("o_custkey").alias("label"))
+    return A.border_growth(p, seeds, rounds=6)
+
+
 #: Boxes (u0, v0, u1, v1) of shapes, with a sign: nations are frames, suppliers have a notch from the top; both sheared.
 SHAPES = """a AS (SELECT n_nationkey AS a, UNNEST([{'s': 1, 'u0': x, 'v0': y, 'u1': x + 18, 'v1': y + 18}, {'s': -1, 'u0': x + 6, 'v0': y + 6, 'u1': x + 12, 'v1': y + 12}], recursive := true) FROM (SELECT *, n_nationkey % 5 * 20 AS x, n_nationkey // 5 * 20 AS y FROM nation)),
 b AS (SELECT s_suppkey AS b, UNNEST([{'s': 1, 'u0': x, 'v0': y, 'u1': x + 15, 'v1': y + 12}, {'s': -1, 'u0': x + 5, 'v0': y + 4, 'u1': x + 10, 'v1': y + 12}], recursive := true) FROM (SELECT *, s_suppkey * 7 % 83 AS x, s_suppkey * 11 % 89 AS y FROM supplier)),
@@ -184,8 +198,8 @@ def overlaps_resolved(t):
 @query(f"WITH {STRIPES} SELECT k::BIGINT AS k, 7 * (GREATEST(0, LEAST(x + 10, 50) - GREATEST(x, 5)) * 10.0 + CASE WHEN k % 5 = 4 THEN 50 ELSE 0 END)::DOUBLE AS area FROM sq")
 def snapped_partition(t):
     """Rows of squares snapped to frames that begin and end five to the east: the last square takes what none covers."""
-    v = F.floor(F.col("n_nationkey") / 5) * 20
-    frame = t.nation.where("n_nationkey % 5 = 0").select(F.array(box(F.lit(5), v, F.lit(55), v + 10)).alias("rings"))
+    v = F.col("row") * 20
+    frame = t.nation.select(F.floor(F.col("n_nationkey") / 5).alias("row")).distinct().select(F.array(box(F.lit(5), v, F.lit(55), v + 10)).alias("rings"))
     frame = M.edges_of(frame.withColumn("id", F.lit(1000).cast("long")), ["id"])
     p = X.snapped(X.arrangement(stripes(t, 10, 10, 10).unionByName(frame)), 1000)
     return X.shapes_of(p, "k").groupBy("k").agg(F.round(F.sum((F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2), 6).alias("area"))

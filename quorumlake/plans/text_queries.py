@@ -199,3 +199,12 @@ def set_iou(t):
 @query("SELECT c_custkey, c_mktsegment, c_acctbal FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 1")
 def keep_largest(t):
     return C.keep_first(t.customer.select("c_custkey", "c_mktsegment", "c_acctbal"), ["c_mktsegment"], [F.desc("c_acctbal"), "c_custkey"])
+
+
+@query("""WITH d AS (SELECT DISTINCT o_custkey AS k, l_partkey AS i FROM orders JOIN lineitem ON l_orderkey = o_orderkey), n AS (SELECT k, COUNT(*) AS n FROM d GROUP BY k),
+m AS (SELECT x.k AS a, y.k AS b, COUNT(*) AS shared FROM d x JOIN d y ON x.i = y.i AND x.k < y.k GROUP BY ALL HAVING COUNT(*) >= 4)
+SELECT a, b, shared, round(shared / (x.n + y.n - shared)::DOUBLE, 6) AS iou FROM m JOIN n x ON x.k = a JOIN n y ON y.k = b""")
+def common_parts(t):
+    """Customers who bought four parts and more in common."""
+    d = t.lineitem.select("l_orderkey", "l_partkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    return S.overlaps(d, "o_custkey", "l_partkey", least=4).select("a", "b", "shared", F.round("iou", 6).alias("iou"))

@@ -114,3 +114,16 @@ def test_quantiles_of_groups_with_ties_and_nulls(spark):
         np.testing.assert_allclose(mine, [*np.quantile(v, [0, 0.33, 0.5, 1]), np.sqrt((v * v).mean())], rtol=1e-12)
     every = np.concatenate([np.array(v) for v in groups.values()])
     np.testing.assert_allclose([whole[0].q90, whole[0].rms], [np.quantile(every, 0.9), np.sqrt((every * every).mean())])
+
+
+def test_overlaps_with_a_least_number(spark):
+    """The rare items of each set find all pairs with so many in common, whatever is frequent; nulls and repeats count for nothing."""
+    import random
+
+    r = random.Random(5)
+    sets = {k: {r.randrange(25) for _ in range(r.randint(0, 12))} | ({99} if k % 3 else set()) for k in range(40)}
+    rows = [(k, i) for k, s in sets.items() for i in s] + [(1, None), *[(2, i) for i in sets[2]]]
+    df = spark.createDataFrame(rows, "k int, i int")
+    for least in (1, 2, 4):
+        got = {(x.a, x.b): (x.shared, round(x.iou, 9)) for x in S.overlaps(df, "k", "i", least).collect()}
+        assert got == {(a, b): (n, round(n / len(sets[a] | sets[b]), 9)) for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) >= least}
