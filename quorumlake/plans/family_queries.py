@@ -55,7 +55,7 @@ def geojson_round_trip(t):
     """A square with a hole for each nation, written as feature collections and read back; empty geometries are left out."""
     p = lambda x, y: F.struct((F.col("n_nationkey") + F.lit(x)).alias("x"), F.lit(y).alias("y"))
     rings = F.array(F.array(p(0.0, 0.0), p(0.0, 8.0), p(8.12346, 8.0), p(8.12346, 0.0)), F.array(p(2.0, 2.0), p(4.0, 2.0), p(4.0, 4.0), p(2.0, 4.0)))
-    d = t.nation.select(F.col("n_name").alias("name"), rings.alias("g")).unionByName(t.region.select(F.col("r_name").alias("name"), F.array().cast(P.RINGS).alias("g")))
+    d = t.nation.select(F.col("n_name").alias("name"), rings.alias("g")).unionByName(t.region.select(F.col("r_name").alias("name"), F.array().cast("array<array<struct<x:double,y:double>>>").alias("g")))
     path = new_path(t.spark, "geojson")
     sinks.write_geojson(d, path, ["name"], "g")
     read = R.geojson(t.spark, path).select(F.col("properties")["name"].alias("name"), F.col("polygons")[0].alias("g"))
