@@ -119,13 +119,13 @@ def rotated_iou(a: DataFrame, b: DataFrame, most: int = 15, step: int = 3) -> Da
 def fit_overlap(a: DataFrame, b: DataFrame, rounds: int = 16, reach: float = 0.2) -> DataFrame:
     """``(g, m11, m12, m21, m22, tx, ty, cx, cy, iou)``: for each map the affine change of ``a`` that covers ``b`` best, as far as a search by ``rounds`` finds it.
 
-    It begins with the centres and areas made equal and the best of eight turns. A round tries each of the six numbers a step up and down, for all maps in one
+    It begins with the centres and areas made equal and the best of 48 turns. A round tries each of the six numbers a step up and down, for all maps in one
     job, and takes the best; where none is better, the map's step is halved."""
     with Scope(a.sparkSession) as made:
         stage = Stage(a.sparkSession, "fit")
         own, to = M.centres(a, ["g"]), M.centres(b, ["g"]).toDF("g", "b_area", "tx", "ty")
         d = own.join(to, "g").select("g", "cx", "cy", "tx", "ty", F.sqrt(F.col("b_area") / F.col("area")).alias("size"), F.sqrt("b_area").alias("span"))
-        d = _turned(d.select("*", F.posexplode(F.sequence(F.lit(0), F.lit(315), F.lit(45))).alias("k", "angle")), F.radians("angle"), F.col("size")).drop("angle")
+        d = _turned(d.select("*", F.explode(F.sequence(F.lit(0), F.lit(47))).alias("k")), F.radians(F.col("k") * 7.5), F.col("size"))
         numbers = ["m11", "m12", "m21", "m22", "tx", "ty"]
         keep = ["iou", *numbers, "cx", "cy", "size", "span"]
 

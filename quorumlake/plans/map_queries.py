@@ -244,4 +244,4 @@ def overlap_fit(t):
     a = notched(t).withColumnRenamed("b", "g")
     turn = F.radians(F.col("g") * 37 % 360)
     at = lambda k: {f"x{k}": 1.4 * F.cos(turn) * F.col(f"x{k}") - 1.2 * F.sin(turn) * F.col(f"y{k}") + 70, f"y{k}": 1.4 * F.sin(turn) * F.col(f"x{k}") + 1.2 * F.cos(turn) * F.col(f"y{k}") - 9}
-    return T.fit_overlap(a, a.withColumns(at(0) | at(1))).select("g", (F.col("iou") > 0.9).alias("found"))
+    return T.fit_overlap(a, a.withColumns(at(0) | at(1)), rounds=9).select("g", (F.col("iou") > 0.9).alias("found"))
