@@ -120,7 +120,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
-    return out.withColumn("deviation", F.col("deviation").cast("long"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
 QUERIES = {
