@@ -1,7 +1,8 @@
 """Record linkage: blocks, pairs, predicates, persons, overrides.
 
 Pairs arise only inside blocks: an equi join on exploded keys, never a product. A block over the cap is left
-out, which is part of the method, except for the kinds that must not be capped. The cheap
+out, which is part of the method, except for the kinds that must not be capped: of those the large
+ones give the pairs alone that the predicate can accept (``candidates``). The cheap
 tests of the predicate come first; the edit similarity runs on what those leave open.
 """
 
@@ -15,6 +16,7 @@ from quorumlake.functions.textnorm import FILLERS
 from quorumlake.operators.contest import mode_first
 from quorumlake.operators.graph import connected_components
 from quorumlake.operators.ordering import global_rank
+from quorumlake.operators.simjoin import similar_rows
 from quorumlake.plans.joins import join_dim
 
 
@@ -52,6 +54,33 @@ def block_pairs(keys: DataFrame, id_col: str, cap: int = 400, uncapped: tuple[st
     return a.join(b, ["kind", "key"]).where("a < b").select("a", "b").distinct()
 
 
+def candidates(df: DataFrame, id_col: str, held: int = 400, cap: int = 400, fillers: list[str] = FILLERS) -> DataFrame:
+    """Distinct ``(a, b)``, a < b, with every pair that ``matches`` can find among the pairs of ``block_pairs``.
+
+    Districts of up to ``held`` rows give all their pairs. In larger ones rows meet by what an alternative of the predicate needs: similar
+    squashed names, similar names without their commonest parts, similar sorted words, or the same words but for fillers. The
+    matches are the same whatever ``held`` is.
+    """
+    keys = blocks(df, id_col)
+    sizes = keys.where("kind = 'd'").groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > held)
+    if sizes.isEmpty():
+        return block_pairs(keys, id_col, cap)
+    pairs = block_pairs(join_dim(keys.where("kind = 'd'"), sizes.select("key"), "key", "left_anti").select(keys.columns).unionByName(keys.where("kind <> 'd'")), id_col, cap)
+    hot = join_dim(df, sizes.select(F.col("key").alias("district")), "district", "left_semi")
+    words = F.filter(F.split("core", " "), lambda t: t != "")
+    rest = F.array_except(words, F.array(*map(F.lit, fillers))) if fillers else F.array_distinct(words)
+    hot = hot.select(id_col, "district", "squash", "distinct", F.array_join(F.array_sort(words), " ").alias("sorted"), F.array_join(F.array_sort(rest), " ").alias("plain"))
+    found = [
+        similar_rows(hot, id_col, "district", "squash", 93, edits=1, edits_from=10),
+        similar_rows(hot.where(F.length("distinct") >= 8), id_col, "district", "distinct", 95),
+        similar_rows(hot, id_col, "district", "sorted", 93),
+        similar_rows(hot, id_col, "district", "plain", 100),
+    ]
+    for more in found:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
+
+
 def _sides(pairs: DataFrame, df: DataFrame, id_col: str) -> DataFrame:
     for side in "ab":
         d = df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])

@@ -17,6 +17,7 @@ from quorumlake.operators import linkage as L
 from quorumlake.operators import ordering as O
 from quorumlake.operators import quality as Q
 from quorumlake.operators import spatial as V
+from quorumlake.operators.simjoin import similar_strings
 from quorumlake.plans.registry import Tables, query
 from quorumlake.plans.spatial_queries import unit_grid
 from quorumlake.plans.staging import new_path
@@ -183,6 +184,17 @@ def indel_similarity(t):
     return p.select("a", "b", F.round(S.indel_ratio(F.col("na"), F.col("nb")), 2).alias("ratio"), F.round(S.token_sort_ratio(F.col("na"), F.col("nb")), 2).alias("sorted_ratio"))
 
 
+HOST = r"^[a-z]+://([^/:?#]+)\.[^./:?#]+\.([a-z]+)(?:[/:?#]|$)"
+
+
+@query(f"""WITH h AS (SELECT DISTINCT regexp_extract(url, '{HOST}', 1) AS name, regexp_extract(url, '{HOST}', 2) AS suffix FROM pages WHERE url IS NOT NULL)
+SELECT x.suffix, x.name AS x, y.name AS y FROM h x JOIN h y ON x.suffix = y.suffix AND x.name < y.name AND levenshtein(x.name, y.name) <= 1 WHERE x.name <> '' AND y.name <> ''""")
+def similar_hosts(t):
+    """Names of hosts under one suffix that are one edit apart."""
+    h = t.pages.select(F.regexp_extract("url", HOST, 2).alias("suffix"), F.nullif(F.regexp_extract("url", HOST, 1), F.lit("")).alias("name"))
+    return similar_strings(h, "suffix", "name", 100, edits=1).where("x < y")
+
+
 # ---------------------------------------------------------------- linkage
 
 NAMES = """n AS (SELECT p_partkey AS id, p_name AS core, replace(p_name, ' ', '') AS squash, p_brand || '-' || p_size AS district, (p_partkey % 3)::VARCHAR AS province, 1990 + p_partkey % 4 AS year,
@@ -227,7 +239,7 @@ FROM h WHERE arm IS NOT NULL""")
 def match_modern(t):
     """Pairs of blocks and the first arm of the modern predicate that holds."""
     d = linkage_rows(t)
-    return L.matches(d, L.block_pairs(L.blocks(d, "id"), "id"), "id")
+    return L.matches(d, L.candidates(d, "id"), "id")
 
 
 @query(f"""WITH RECURSIVE {MATCH}
@@ -237,7 +249,7 @@ FROM h WHERE arm IS NOT NULL""")
 def match_historic(t):
     """The historic predicate; rows of one year match only as several seats of one candidate."""
     d = linkage_rows(t)
-    return L.matches(d, L.block_pairs(L.blocks(d, "id"), "id"), "id", modern=False, same_year=True)
+    return L.matches(d, L.candidates(d, "id"), "id", modern=False, same_year=True)
 
 
 @query("""WITH g AS (SELECT p_partkey AS id, p_name, MIN(p_partkey) OVER (PARTITION BY p_name, p_size % 2) AS person FROM part)
