@@ -201,10 +201,31 @@ def accepted(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataF
     return join_dim(docs, gone, id_col, "left_anti")
 
 
-def pages(table: DataFrame, model: TrigramModel) -> DataFrame:
+#: Public suffixes of two labels under which names are registered; a run over real pages passes the whole list.
+TWO_PART_SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp", "ac.jp",
+    "com.br", "com.ar", "com.mx", "com.co", "com.pe", "com.ve", "com.es", "org.es", "gob.es", "gob.mx", "asso.fr", "gouv.fr", "com.fr", "co.at", "or.at",
+)
+
+
+def address(host: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> tuple[Column, Column]:
+    """``(suffix, domain)`` of a host: the suffix is one of ``suffixes`` or the last label, the domain that and the label
+    before it. A number address, a host of one label, or one that is a suffix itself has no domain; a number address has no suffix."""
+    host = F.rtrim(host, F.lit("."))
+    number = host.rlike(r"^[0-9.]+$") | host.contains(":") | host.startswith("[")
+    labels = F.size(F.split(host, r"\."))
+    two = F.substring_index(host, ".", -2)
+    long = two.isin(list(suffixes)) if suffixes else F.lit(False)
+    suffix = F.when(long, two).otherwise(F.substring_index(host, ".", -1))
+    domain = F.when(long, F.when(labels > 2, F.substring_index(host, ".", -3))).otherwise(F.when(labels > 1, two))
+    return F.when(~number, suffix), F.when(~number, domain)
+
+
+def pages(table: DataFrame, model: TrigramModel, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> DataFrame:
     """Web pages: declared by ``<html lang>``, with the suffix, domain and host of their address."""
-    host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
+    host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?(\[[^\]/]*\]|[^/:?#]+)", 1)), F.lit(""))
     declared = F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z-]+)", 1), F.lit(""))
     plain = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*+>|&[a-zA-Z#0-9]+;", " ")
     rows = table.select("page_id", plain.alias("text"), declared.alias("d"), host.alias("h"))
-    return identify(rows, model, "page_id", declared=F.col("d"), suffix=F.substring_index("h", ".", -1), domain=F.substring_index("h", ".", -2), host=F.col("h"))
+    suffix, domain = address(F.col("h"), suffixes)
+    return identify(rows, model, "page_id", declared=F.col("d"), suffix=suffix, domain=domain, host=F.col("h"))

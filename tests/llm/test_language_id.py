@@ -135,3 +135,17 @@ def test_very_long_text(spark, model):
     df = spark.createDataFrame([(1, "the house of the people with the water " * 50_000, "en", "s", "")], SCHEMA)
     got = L.identify(df, model, declared=F.col("lang")).first()
     assert got.language == "en" and got.n_grams > 1_000_000
+
+
+def test_suffix_and_domain_of_addresses(spark):
+    from quorumlake.llm.language_id import address
+
+    want = {
+        "news.shop.co.uk": ("co.uk", "shop.co.uk"), "shop.co.uk": ("co.uk", "shop.co.uk"), "co.uk": ("co.uk", None), "www.example.de": ("de", "example.de"),
+        "example.de.": ("de", "example.de"), "localhost": ("localhost", None), "192.168.0.1": (None, None), "[2001:db8::1]": (None, None), None: (None, None),
+    }
+    suffix, domain = address(F.col("h"))
+    rows = spark.createDataFrame([(h,) for h in want], "h string").select("h", suffix.alias("s"), domain.alias("d")).collect()
+    assert {r.h: (r.s, r.d) for r in rows} == want
+    suffix, domain = address(F.col("h"), ())
+    assert tuple(spark.createDataFrame([("a.b.co.uk",)], "h string").select(suffix, domain).first()) == ("uk", "co.uk")
