@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.operators import layers as M
 from quorumlake.operators.graph import connected_components
-from quorumlake.operators.near import nearest_of
+from quorumlake.operators.near import with_nearest
 from quorumlake.plans.staging import Stage
 
 TILE = 256
@@ -161,7 +161,5 @@ def rasterised(edges: DataFrame, keys: list[str], x0: float = 0.0, y0: float = 0
 def nearest_class(cells: DataFrame, seeds: DataFrame, label: str = "label", within: list[str] = ()) -> DataFrame:
     """``cells`` (x, y, within) with the label of the nearest seed (x, y, label, within), in cells; of equally near ones the smallest label. With
     ``within`` only seeds of the same district compete; a cell whose district has none has a null label."""
-    c = Stage(cells.sparkSession, "classes").put(cells.withColumn("_cell", F.monotonically_increasing_id()), "cells")
     items = seeds.select(*within, label, *[F.col(a).alias(f"{a}{i}") for a in "xy" for i in "01"])
-    found = nearest_of(c.select("_cell", *within, "x", "y"), items, "_cell", label, list(within))
-    return c.join(found.select("_cell", F.col(label)), "_cell", "left").drop("_cell")
+    return with_nearest(cells, items, label, list(within), to="_nearest").drop("_d2").withColumnRenamed("_nearest", label)

@@ -1,22 +1,25 @@
 """Nearest points and borders, containment, and pairs within reach, over tables of any distribution.
 
 The nearest of many things is found down a tree of cells, each split in sixteen while it holds more than ``LEAF`` of them: cells follow
-the things' counts, so towns and lone places cost alike. A level is one join: each point keeps the cells whose nearest
+the things' counts, so towns and lone places cost alike. A level is one join: points, those of a small cell together, keep the cells whose nearest
 corner is no farther than the least of all their farthest corners. Only the few cells that are left at the end meet their things.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumlake.plans.joins import join_dim
+from quorumlake.plans.joins import join_dim, small
 from quorumlake.plans.staging import Scope, Stage
 
 #: Things of a cell that is not split, and levels at most: things that fill less than 4^-12 of the map share a cell.
 LEAF, DEEPEST = 32, 12
+#: Items that the points of a small cell get as an array.
+HELD = 512
 
 
 def segment_d2(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -28,8 +31,9 @@ def segment_d2(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Col
     return dx * dx + dy * dy
 
 
-def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame, DataFrame, int] | None:
-    """Nodes (within, level, cx, cy, box, inner) and items with their leaf (within, level, cx, cy); the deepest level."""
+def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame, DataFrame, int, Callable[[str, Column], Column]] | None:
+    """Nodes (within, level, cx, cy, box, inner) and items with their leaf (within, level, cx, cy); the deepest level; the cell of a coordinate one
+    level below it."""
     mid = {"_mx": (F.col("x0") + F.col("x1")) / 2, "_my": (F.col("y0") + F.col("y1")) / 2}
     s = items.withColumns(mid).agg(F.count("*").alias("n"), F.min("_mx").alias("x"), F.min("_my").alias("y"), F.greatest(F.max("_mx") - F.min("_mx"), F.max("_my") - F.min("_my")).alias("side")).first()
     if not s.n:
@@ -45,51 +49,81 @@ def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame
     up = nodes.where("inner").select(*within, (F.col("level") + 1).alias("level"), F.col("cx").alias("ux"), F.col("cy").alias("uy"))
     ends = nodes.where("not inner").withColumns({"ux": F.floor(F.col("cx") / 4), "uy": F.floor(F.col("cy") / 4)})
     leaves = ends.where("level = 0").select(*key).unionByName(ends.join(up, [*within, "level", "ux", "uy"]).select(*key))
-    return nodes, stage.put(d.join(leaves, key), "items"), depth
+    cell = lambda axis, c: F.floor((c - (s.x if axis == "x" else s.y)) / (s.side or 1.0) * 4.0 ** (depth + 1))
+    return nodes, stage.put(d.join(leaves, key), "items"), depth, cell
 
 
 def nearest_of(points: DataFrame, items: DataFrame, id_col: str, label: str, within: list[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """``(id, label, d2)``: each point's nearest item, a segment (x0, y0, x1, y1) or a point (both ends equal), by squared distance, then label. With
     ``within`` only items of the same group compete. Points without coordinates, or whose group has no item, are left out; points that repeat an
     id are rows of their own."""
+    p = Stage(points.sparkSession, "near").put(points.select(F.col(id_col).alias("_id"), *within, F.col(x).alias("_x"), F.col(y).alias("_y")), "points")
+    found = with_nearest(p, items, label, within, "_x", "_y", "_label")
+    return found.where("_d2 is not null").select(F.col("_id").alias(id_col), F.col("_label").alias(label), F.col("_d2").alias("d2"))
+
+
+def with_nearest(points: DataFrame, items: DataFrame, label: str, within: list[str] = (), x: str = "x", y: str = "y", to: str = "nearest") -> DataFrame:
+    """``points``, each row once, with ``to``, the nearest item's label as in ``nearest_of``, and ``_d2``; both null where there is none.
+
+    Points of a small cell go down the tree together, by their box: of the few cells left at the end those items are kept that may be nearest to a place
+    in the box. These go to the points as one array, so a point is shuffled once at most and no pair of point and item is ever a row. Cells
+    with over ``HELD`` such items (places around a ring of them) give pairs instead."""
     within = list(within)
     with Scope(points.sparkSession) as made:
         stage = Stage(points.sparkSession, "near")
         ends = ["x0", "y0", "x1", "y1"]
         items = items.where(" and ".join(f"{c} is not null" for c in ends)).select(*within, label, *[F.col(c).cast("double").alias(c) for c in ends])
         items = stage.put(items.groupBy(*within, *ends).agg(F.min(label).alias(label)), "things")
-        p = points.where(f"`{x}` is not null and `{y}` is not null").select(F.monotonically_increasing_id().alias("_pid"), F.col(id_col).alias("_id"), *within, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-        p = stage.put(p, "points")
         tree = _cells(items, within, stage)
         if tree is None:
-            return p.limit(0).select(F.col("_id").alias(id_col)).join(items.select(label).limit(0)).withColumn("d2", F.lit(0.0))
-        nodes, held, depth = tree
-        gap = lambda c, lo, hi: F.greatest(F.col(lo) - F.col(c), F.col(c) - F.col(hi), F.lit(0.0))
-        far = lambda c, lo, hi: F.greatest(F.abs(F.col(c) - F.col(lo)), F.abs(F.col(c) - F.col(hi)))
-        d2 = lambda f: f("_x", "bx0", "bx1") * f("_x", "bx0", "bx1") + f("_y", "by0", "by1") * f("_y", "by0", "by1")
-        cols = ["_pid", *within, "_x", "_y", "level", "cx", "cy", "inner"]
+            return points.withColumns({to: F.lit(None).cast(items.schema[label].dataType), "_d2": F.lit(None).cast("double")})
+        nodes, held, depth, cell = tree
+        px, py = F.col(x).cast("double"), F.col(y).cast("double")
+        p = points.withColumns({"_bx": cell("x", px), "_by": cell("y", py)})
+        block = [*within, "_bx", "_by"]
+        boxes = p.where("_bx is not null and _by is not null").groupBy(*block).agg(*[f(c).alias(n) for c, v in ((px, "x"), (py, "y")) for f, n in ((F.min, f"p{v}0"), (F.max, f"p{v}1"))])
+        boxes = stage.put(boxes, "blocks")
+        of = [*block, "px0", "py0", "px1", "py1"]
+        gap = lambda c, lo, hi: F.greatest(F.col(lo) - F.col(f"p{c}1"), F.col(f"p{c}0") - F.col(hi), F.lit(0.0))
+        far = lambda c, lo, hi: F.greatest(F.abs(F.col(f"p{c}0") - F.col(lo)), F.abs(F.col(f"p{c}0") - F.col(hi)), F.abs(F.col(f"p{c}1") - F.col(lo)), F.abs(F.col(f"p{c}1") - F.col(hi)))
+        d2 = lambda f: f("x", "bx0", "bx1") * f("x", "bx0", "bx1") + f("y", "by0", "by1") * f("y", "by0", "by1")
+        close = lambda d: d.withColumns({"low": d2(gap), "reach": F.min(d2(far)).over(Window.partitionBy(*block))}).where(F.col("low") <= F.col("reach") * (1 + 1e-12))
+        node = ["level", "cx", "cy"]
         root = nodes.where("level = 0").select(*within, F.lit(0).alias("level"), "cx", "cy", "inner")
-        if within:
-            front = join_dim(p, root, within, "inner")
-        else:
-            one = root.first()
-            front = p.withColumns({"level": F.lit(0), "cx": F.lit(one.cx), "cy": F.lit(one.cy), "inner": F.lit(one.inner)})
-        front = stage.put(front.select(*cols), "front")
+        front = join_dim(boxes, root, within, "inner") if within else boxes.crossJoin(F.broadcast(root))  # one row
+        front = stage.put(front.select(*of, *node, "inner"), "front")
         for k in range(depth):
             inner = front.where("inner")
             if inner.isEmpty():
                 break
             kids = nodes.where(F.col("level") == k + 1).withColumns({"ux": F.floor(F.col("cx") / 4), "uy": F.floor(F.col("cy") / 4)})
-            down = inner.select("_pid", *within, "_x", "_y", F.col("cx").alias("ux"), F.col("cy").alias("uy"))
-            down = join_dim(down, kids, [*within, "ux", "uy"], "inner").withColumns({"low": d2(gap), "high": d2(far)}).select(*cols, "low", "high")
-            ends_ = join_dim(front.where("not inner"), nodes.drop("inner"), [*within, "level", "cx", "cy"], "inner").withColumns({"low": d2(gap), "high": d2(far)}).select(*cols, "low", "high")
-            both = down.unionByName(ends_).withColumn("reach", F.min("high").over(Window.partitionBy("_pid")))
-            front = stage.put(both.where(F.col("low") <= F.col("reach") * (1 + 1e-12)).select(*cols), "front")
+            down = inner.select(*of, F.col("cx").alias("ux"), F.col("cy").alias("uy"))
+            down = join_dim(down, kids, [*within, "ux", "uy"], "inner")
+            done = join_dim(front.where("not inner").drop("inner"), nodes, [*within, *node], "inner")
+            cols = [*of, *node, "inner", "bx0", "by0", "bx1", "by1"]
+            front = stage.put(close(down.select(*cols).unionByName(done.select(*cols))).select(*of, *node, "inner"), "front")
             stage.drop("front", keep_last=True)
-        made.keep(p, front, held)
-    near = segment_d2(*[F.col(c) for c in ("_x", "_y", *ends)])
-    best = front.join(held, [*within, "level", "cx", "cy"]).groupBy("_pid").agg(F.min(F.struct(near.alias("d2"), F.col(label).alias("label"))).alias("_b"))
-    return p.select("_pid", "_id").join(best, "_pid").select(F.col("_id").alias(id_col), F.col("_b.label").alias(label), F.col("_b.d2").alias("d2"))
+        box = {f"b{c}{i}": f(f"{c}0", f"{c}1") for c in "xy" for i, f in ((0, F.least), (1, F.greatest))}
+        met = close(front.join(held, [*within, *node]).withColumns(box)).select(*block, F.struct(*ends, F.col(label).alias("label")).alias("_i"))
+        met = stage.put(met, "met")
+        n = stage.put(met.groupBy(*block).agg(F.count("*").alias("_n")), "counts")
+        wide = stage.put(n.where(F.col("_n") > HELD).select(*block), "wide")
+        crowded = not wide.isEmpty()
+        few = met.join(wide, block, "left_anti") if crowded else met
+        few = stage.put(few.groupBy(*block).agg(F.collect_list("_i").alias("_near")), "few")
+        made.keep(few, met, wide)
+    best = lambda i: F.struct(segment_d2(px, py, i["x0"], i["y0"], i["x1"], i["y1"]).alias("d2"), i["label"].alias("label"))
+    narrow = join_dim(p.join(F.broadcast(wide) if small(wide) else wide, block, "left_anti") if crowded else p, few.hint("shuffle_hash"), block, "left")
+    out = narrow.withColumn("_b", F.array_min(F.transform("_near", best))).select(*points.columns, F.col("_b.label").alias(to), F.col("_b.d2").alias("_d2"))
+    if crowded:
+        with Scope(points.sparkSession) as made:
+            rows = Stage(points.sparkSession, "near").put(p.join(wide, block, "left_semi").withColumn("_pid", F.monotonically_increasing_id()), "rows")
+            made.keep(rows)
+        pairs = rows.select("_pid", *block, F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py")).join(met, block)
+        d = F.struct(segment_d2(F.col("_px"), F.col("_py"), *[F.col(f"_i.{c}") for c in ends]).alias("d2"), F.col("_i.label").alias("label"))
+        got = pairs.groupBy("_pid").agg(F.min(d).alias("_b"))
+        out = out.unionByName(rows.join(got, "_pid").select(*points.columns, F.col("_b.label").alias(to), F.col("_b.d2").alias("_d2")))
+    return out
 
 
 def containing(points: DataFrame, edges: DataFrame, id_col: str, key: str, x: str = "x", y: str = "y") -> DataFrame:

@@ -68,3 +68,34 @@ def test_snap_fills_open_parts(spark):
     p = X.snapped(X.arrangement(layer(spark, shapes)), 9)
     size = {r.id: round(r.area, 6) for r in X.shapes_of(p).groupBy("id").agg((F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2).alias("area")).collect()}
     assert size == {1: 100.0, 2: 200.0}
+
+
+def test_points_of_a_cell_go_down_together(spark, monkeypatch):
+    """No staged table has a row a point, and points inside a ring of very many things, which gives pairs, have the nearest too."""
+    import math
+
+    from quorumlake.plans import staging
+
+    sizes, put = [], staging.Stage.put
+
+    def noted(self, df, name):
+        out = put(self, df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(staging.Stage, "put", noted)
+    seeds = [(i, (i * 37 % 101) * 2, i * 53 % 97) for i in range(30)]
+    items = spark.createDataFrame([(i, x, y, x, y) for i, x, y in seeds], "label int, x0 int, y0 int, x1 int, y1 int")
+    cells = spark.range(20_000).selectExpr("id % 200 as x", "id div 200 as y")
+    got = D.with_nearest(cells, items, "label").collect()
+    assert len(got) == 20_000 and max(sizes) < 5_000
+    for r in got[::97]:
+        assert (r._d2, r.nearest) == min(((r.x - x) ** 2 + (r.y - y) ** 2, i) for i, x, y in seeds)
+    ring = [(i, math.cos(i), math.sin(i)) for i in range(700)]
+    items = spark.createDataFrame([(i, x, y, x, y) for i, x, y in ring], "label int, x0 double, y0 double, x1 double, y1 double")
+    dots = [(0.0, 0.0), (1e-7, 0.0), (0.0, 1e-7), (3.0, 0.5), (None, 1.0)]
+    got = {(r.x, r.y): r for r in D.with_nearest(spark.createDataFrame(dots, "x double, y double"), items, "label").collect()}
+    assert len(got) == 5 and got[None, 1.0].nearest is None
+    for a, b in dots[:-1]:
+        d = got[a, b]._d2
+        assert abs(d - min((a - x) ** 2 + (b - y) ** 2 for _, x, y in ring)) < 1e-12
