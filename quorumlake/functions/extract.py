@@ -67,7 +67,8 @@ def has_party_column(text: Column) -> Column:
 
 
 def pipe_rows(text: Column, has_party: Column | None = None) -> Column:
-    """Rows of ``| a | b |`` tables; without any vote count, the first plausible bare name alone."""
+    """Rows of ``| a | b |`` tables; without any vote count, the first plausible bare name alone. A row whose number is no possible count (a million and
+    more) stays beside counted ones, with a null vote; the reference drops it."""
     party = has_party_column(text) if has_party is None else has_party
     lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.btrim(x)), lambda x: x.startswith("|"))
     cells = F.transform(lines, lambda x: F.transform(F.split(F.btrim(x, F.lit("|")), r"\|"), lambda c: F.btrim(F.regexp_replace(c, r"\*\*", ""))))
@@ -77,9 +78,12 @@ def pipe_rows(text: Column, has_party: Column | None = None) -> Column:
     def chosen(entries: Column) -> Column:
         counted = F.filter(entries, lambda e: e["votes"].isNotNull())
         bare = F.filter(entries, lambda e: e["votes"].isNull() & (F.length(e["name"]) <= 45) & ~e["name"].rlike(PROSE))
-        return F.when(F.size(counted) > 0, counted).otherwise(F.slice(bare, 1, 1))
+        kept = F.filter(entries, lambda e: e["votes"].isNotNull() | e["beyond"])
+        return F.transform(F.when(F.size(counted) > 0, kept).otherwise(F.slice(bare, 1, 1)), lambda e: e.dropFields("beyond"))
 
-    entries = _let(party, lambda p: F.filter(F.transform(cells, lambda c: _entry(c, p)), good))
+    beyond = lambda c: F.exists(c, lambda x: F.regexp_replace(x, "[,.]", "").rlike("^[0-9]{7,}$"))
+    read = lambda c, p: _let(_entry(c, p), lambda e: e.withField("beyond", e["votes"].isNull() & beyond(c)))
+    entries = _let(party, lambda p: F.filter(F.transform(cells, lambda c: read(c, p)), good))
     return _let(entries, chosen)
 
 

@@ -84,6 +84,7 @@ def test_page_rows(val):
     assert rows(val, X.pipe_rows(F.col("s")), pipe) == [("A B", "P", 1234), ("C", "Independent", 99)]
     assert rows(val, X.pipe_rows(F.col("s")), "| Sole Person | P |\n| Other Person | Q |") == [("Sole Person", "", None)]
     assert rows(val, X.pipe_rows(F.col("s")), "no table") == []
+    assert rows(val, X.pipe_rows(F.col("s")), "| Candidate Name | Party | Votes |\n| A B | P | 1,000,000 |\n| C D | P | 99 |\n| E F | P |") == [("A B", "", None), ("C D", "", 99)]
     plain = "Intro\nCandidate Name\nParty Name\nVotes\nA B\nP\n1,234\nC D\nQ\n77\nTotal\n1\n2\nE\nR\n88"
     assert rows(val, X.page_rows(F.col("s")), plain) == [("A B", "P", 1234), ("C D", "Q", 77)]
     assert rows(val, X.page_rows(F.col("s")), "Candidate Name\nVotes\nA B\n55") == [("A B", "", 55)]
