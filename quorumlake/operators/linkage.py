@@ -18,6 +18,7 @@ from quorumlake.operators.graph import connected_components
 from quorumlake.operators.ordering import global_rank
 from quorumlake.operators.simjoin import similar_rows
 from quorumlake.plans.joins import join_dim
+from quorumlake.plans.staging import Scope, Stage
 
 
 def token_frequency(df: DataFrame, id_col: str, tokens: str, unique: bool = True) -> DataFrame:
@@ -201,6 +202,30 @@ def cluster_scores(clusters: DataFrame, spine: DataFrame) -> DataFrame:
     return hits("squash", 2, 1).unionByName(hits("distinct", 1, 8)).groupBy("cluster", "person").agg(F.sum("w").alias("score"))
 
 
+def best_persons(clusters: DataFrame, spine: DataFrame) -> DataFrame:
+    """``unambiguous(cluster_scores(clusters, spine))`` as (cluster, person, score), without its pairs: clusters of the same forms score alike, and so do persons of
+    the same rows, so one of each stands for all, and a person whose rows another one has too is ambiguous. What is scored grows with the pairs of different
+    such sets that have a form in common."""
+    with Scope(clusters.sparkSession) as made:
+        stage = Stage(clusters.sparkSession, "scores")
+        long_ = F.when(F.length("distinct") >= 8, F.col("distinct"))
+        some = F.when(F.length("squash") >= 1, F.col("squash"))
+        c = clusters.groupBy("cluster").agg(F.array_sort(F.collect_set(some)).alias("_s"), F.array_sort(F.collect_set(long_)).alias("_d"))
+        c = stage.put(c, "clusters")
+        kinds = c.groupBy("_s", "_d").agg(F.min("cluster").alias("_kind"))
+        kinds = stage.put(kinds, "kinds")
+        p = spine.where("person is not null").groupBy("person").agg(F.array_sort(F.collect_list(some)).alias("_s"), F.array_sort(F.collect_list(long_)).alias("_d"))
+        p = stage.put(p.groupBy("_s", "_d").agg(F.min("person").alias("person"), F.count("*").alias("_n")), "persons")
+        made.keep(c, kinds, p)
+    rows = lambda d, key, name: d.select(F.col(key).alias(name), F.explode("_s").alias("squash"), F.lit(None).cast("string").alias("distinct")).unionByName(
+        d.select(F.col(key).alias(name), F.lit(None).cast("string").alias("squash"), F.explode("_d").alias("distinct"))
+    )
+    scored = cluster_scores(rows(kinds, "_kind", "cluster"), rows(p, "person", "person")).join(p.select("person", "_n"), "person")
+    best = scored.groupBy("cluster", "score").agg(F.sum("_n").alias("_n"), F.min("person").alias("person")).groupBy("cluster").agg(F.max(F.struct("score", "_n", "person")).alias("_b"))
+    best = best.where("_b._n = 1").select(F.col("cluster").alias("_kind"), "_b.person", "_b.score")
+    return c.join(kinds.join(best, "_kind").drop("_kind"), ["_s", "_d"]).select("cluster", "person", "score")
+
+
 def gap_evidence(gap: Column, squash: Column, distinct: Column, district: Column, squash_length: Column, distinct_length: Column, rare: Column) -> Column:
     """Whether evidence suffices for a gap of years: up to 10, 20 and 35, and never beyond."""
     far = squash & district & (distinct_length >= 10)

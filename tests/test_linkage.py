@@ -76,6 +76,7 @@ def test_scores_gaps_and_ambiguity(spark):
     scores = L.cluster_scores(clusters, spine)
     assert {(r.cluster, r.person): r.score for r in scores.collect()} == {("c", "p"): 3, ("c", "q"): 2, ("e", "r"): 2, ("e", "s"): 2}
     assert [(r.cluster, r.person) for r in L.unambiguous(scores).collect()] == [("c", "p")]
+    assert [tuple(r) for r in L.best_persons(clusters, spine).collect()] == [("c", "p", 3)]
     gap = lambda *a: spark.range(1).select(L.gap_evidence(*map(F.lit, a)).alias("v")).first().v
     assert gap(10, True, False, False, 14, 0, False) and not gap(10, True, False, False, 13, 0, False)
     assert gap(10, False, True, True, 0, 0, False) and not gap(15, False, True, True, 0, 0, False)
