@@ -29,9 +29,10 @@ def edges_of(shapes: DataFrame, keys: list[str], rings: str = "rings", quantum:
     parts is a row a part. Rings of under three points or without area, and null shapes, have no edges."""
     near = lambda c: F.round(c / F.lit(quantum)).cast("long")
     d = shapes.select(*keys, F.posexplode(rings).alias("_i", "_r"))
-    d = d.select(*keys, "_i", F.transform("_r", lambda p: F.struct(near(p["x"]).alias("x"), near(p["y"]).alias("y"))).alias("_r"))
+    once = lambda c: F.explode(F.array(c))  # noqa: E731  (made once: filters and projections after it do not repeat it)
+    d = d.select(*keys, "_i", once(F.transform("_r", lambda p: F.struct(near(p["x"]).alias("x"), near(p["y"]).alias("y")))).alias("_r"))
     area = ring_area(F.transform("_r", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"))))
-    d = d.withColumn("_a", area).where("_a <> 0").withColumn("_r", F.when((F.col("_a") > 0) == (F.col("_i") == 0), F.col("_r")).otherwise(F.reverse("_r")))
+    d = d.withColumn("_a", once(area)).where("_a <> 0").withColumn("_r", F.when((F.col("_a") > 0) == (F.col("_i") == 0), F.col("_r")).otherwise(F.reverse("_r")))
     turned = F.concat(F.slice("_r", 2, F.size("_r")), F.slice("_r", 1, 1))
     d = d.select(*keys, F.explode(F.arrays_zip(F.col("_r").alias("p"), turned.alias("q"))).alias("_e"))
     d = d.select(*keys, *[F.col(f"_e.{p}.{c}").alias(f"{c}{i}") for i, p in enumerate("pq") for c in "xy"])
@@ -92,6 +93,7 @@ def border_pieces(edges: DataFrame, key: str = "id") -> DataFrame:
         mine = F.when(F.col("ahead") == way, F.col("opens")).otherwise(0)
         sides |= {f"n_{side}": F.sum(mine), side: F.sum(F.col(key).cast("long") * mine)}
     d = _ends(edges.where(F.col(key).isNotNull()), [key]).groupBy(*LINE, "t", "o").agg(*[v.alias(k) for k, v in sides.items()])
+    d = d.where(" or ".join(f"`{s}` <> 0" for s in sides))  # where nothing changes on either side a stretch runs on
     d = _between(d, [], list(sides)).where("n_left <> 0 or n_right <> 0")
     d = d.where(_checked("n_left", 1, "shapes overlap")).where(_checked("n_right", 1, "shapes overlap"))
     d = d.select(F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("qx").alias("x1"), F.col("qy").alias("y1"), *[F.when(F.col(f"n_{s}") != 0, F.col(s)).alias(s) for s in ("left", "right")])

@@ -29,6 +29,11 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADC
     return n <= max_rows and size <= max_bytes
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores: a small file is few tasks, which matters where each of its rows becomes many."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *df.columns)
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``dim`` by broadcast if it is ``small``, else by a shuffle that adaptive execution can split where a key is hot."""
     return fact.join(F.broadcast(dim) if small(dim, max_rows) else dim, on, how)

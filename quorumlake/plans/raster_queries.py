@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quorumlake.operators import cells as C
 from quorumlake.operators import graph as G
 from quorumlake.operators import layers as M
+from quorumlake.plans.joins import spread
 from quorumlake.plans.map_queries import SHAPES, notched
 from quorumlake.plans.registry import Tables, query
 
@@ -23,7 +24,7 @@ part AS (SELECT c.*, l FROM lab JOIN c USING (n) WHERE r = 25)"""
 
 
 def cells(t: Tables) -> DataFrame:
-    d = t.orders.select("o_custkey", F.explode(F.expr("sequence(o_orderkey * 8, o_orderkey * 8 + 7)")).alias("n"))
+    d = spread(t.orders.select("o_orderkey", "o_custkey")).select("o_custkey", F.explode(F.expr("sequence(o_orderkey * 8, o_orderkey * 8 + 7)")).alias("n"))
     return d.select(F.floor(F.col("n") / 400).alias("y"), (F.col("n") % 400).alias("x"), ((F.col("o_custkey") + F.floor(F.col("n") % 8 / 3)) % 3).alias("label"))
 
 

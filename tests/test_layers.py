@@ -178,3 +178,28 @@ def test_slivers_and_holes_go_to_the_longest_border(spark):
     filled = M.fill_holes(layer(spark, frame))
     assert {r.id: r.area for r in M.areas(filled, ["id"]).collect()} == {1: 16.0, 2: 12.0, 3: 4.0, 4: 4.0}  # all four borders are equal: the smallest
     assert {r.id: r.area for r in M.areas(M.fill_holes(layer(spark, frame), least=5.0), ["id"]).collect()} == {1: 12.0, 2: 12.0, 3: 4.0, 4: 4.0}
+
+
+def test_straight_stretches_are_one_piece(spark):
+    """Two rows of bricks, each row a shape of eight: their border is one piece, not one a brick; rows are dealt over the cores before they grow."""
+    cells = [(k, [ring((2 * i, k), (2 * i + 2, k), (2 * i + 2, k + 1), (2 * i, k + 1))]) for k in (0, 1) for i in range(8)]
+    d = spark.createDataFrame(cells, "id int, rings array<array<struct<x:double,y:double>>>")
+    p = M.border_pieces(M.edges_of(d, ["id"])).collect()
+    assert sorted((r.x0, r.x1) for r in p if r.left is not None and r.right is not None) == [(0, 16)] and len(p) == 7
+
+
+def test_ranks_of_lists_that_leave_early(spark):
+    """Short and long lists and circles at once: each is told apart and put in order."""
+    links, n = [], 0
+    for size in (1, 2, 3, 5, 8, 33, 150):
+        for closed in (False, True):
+            ids = list(range(n, n + size))
+            n += size
+            links += [(a, b) for a, b in zip(ids, ids[1:])] + [(ids[-1], ids[0] if closed else None)]
+    got = {r.id: r for r in M.list_ranks(spark.createDataFrame(links, "id long, nxt long")).collect()}
+    assert len(got) == n
+    for a, b in links:
+        assert got[a].closed == (b is not None and got[b].closed) or b is not None
+        if b is not None:
+            assert got[a].list == got[b].list and (got[a].at < got[b].at or b == got[b].list)
+    assert len({r.list for r in got.values()}) == 14
