@@ -118,10 +118,12 @@ def list_ranks(links: DataFrame) -> DataFrame:
     element, a circle by its smallest, which comes first.
 
     Pointer jumping: in round k an element knows the smallest element, and its distance, of the 2^k from it on, and the element
-    after them. Rounds end when every pointer has left its list, or gone round its circle: then its target knows the same smallest element."""
+    after them. Rounds end when every pointer has left its list, or gone round its circle: then its target knows the same smallest element. If that holds
+    for one element of a circle, all of it have gone round. Lists and circles that are through leave the table every few rounds, so only long ones
+    are carried on."""
     stage = Stage(links.sparkSession, "lists")
     cur = links.select("id", "nxt", F.col("id").alias("m"), F.lit(0).cast("long").alias("d"), F.coalesce("nxt", "id").alias("tail"), F.when(F.col("nxt").isNull(), 0).otherwise(1).cast("long").alias("steps"))
-    cur, step = stage.put(cur, "lists"), 1
+    cur, step, through = stage.put(cur, "lists"), 1, []
     while True:
         j = cur.select(F.col("id").alias("nxt"), *[F.col(c).alias(f"j_{c}") for c in ("nxt", "m", "d", "tail", "steps")])
         on = cur.join(j, "nxt", "left")
@@ -135,6 +137,17 @@ def list_ranks(links: DataFrame) -> DataFrame:
         step *= 2
         if cur.where("moved").isEmpty():
             break
+        if step in (4, 16) or step > 16 and step.bit_length() % 3 == 0:
+            round_ = stage.put(cur.where("nxt is not null and not moved").select("m").distinct(), "round")
+            going = cur.where("nxt is not null").join(round_, "m", "left_anti").select(cur.columns)
+            aim = going.select(F.col("nxt").alias("id"))
+            # of an open list's end what no pointer aims at now none will
+            left = cur.where("nxt is null")
+            through.append(stage.put(cur.where("nxt is not null").join(round_, "m", "left_semi").select(cur.columns).unionByName(left.join(aim, "id", "left_anti").select(cur.columns)), "through"))
+            cur = stage.put(going.unionByName(left.join(aim, "id", "left_semi").select(cur.columns)), "lists")
+            stage.drop("lists", keep_last=True)
+    for d in through:
+        cur = cur.unionByName(d)
     closed = F.col("nxt").isNotNull()
     first = F.when(F.col("d") == 0, F.lit(-(1 << 62))).otherwise(-F.col("d"))
     return cur.select("id", F.when(closed, F.col("m")).otherwise(F.col("tail")).alias("list"), closed.alias("closed"), F.when(closed, first).otherwise(-F.col("steps")).alias("at"))
@@ -340,6 +353,7 @@ def fill_holes(edges: DataFrame, key: str = "id", least: float = 0.0) -> DataFra
     hole is a ring of the whole layer's outline that runs clockwise."""
     with Scope(edges.sparkSession) as made:
         stage = Stage(edges.sparkSession, "holes")
+        edges = stage.put(edges.select(key, "x0", "y0", "x1", "y1"), "edges")
         pieces = stage.put(border_pieces(edges, key), "pieces")
         one = F.when(F.col("left").isNull(), F.struct(F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x0").alias("x1"), F.col("y0").alias("y1"))).otherwise(F.struct("x0", "y0", "x1", "y1"))
         outer = pieces.where("left is null or right is null").select(one.alias("e"), F.coalesce("left", "right").alias(key), F.lit(0).alias("all")).select("all", key, "e.*")
@@ -348,7 +362,7 @@ def fill_holes(edges: DataFrame, key: str = "id", least: float = 0.0) -> DataFra
         owners = chained.join(holes, "ring").groupBy("ring", key).agg(F.sum(length()).alias("length"))
         owners = owners.groupBy("ring").agg(F.max(F.struct(F.round("length", 9).alias("length"), (-F.col(key)).alias("n"), F.col(key).alias("to"))).alias("m")).select("ring", F.col("m.to").alias("to"))
         filled = stage.put(chained.join(owners, "ring").select(F.col("to").alias(key), F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x0").alias("x1"), F.col("y0").alias("y1")), "filled")
-        made.keep(filled)
+        made.keep(edges, filled)
     return dissolve(edges.select(key, "x0", "y0", "x1", "y1").unionByName(filled), [key])
 
 

@@ -203,3 +203,19 @@ def test_ranks_of_lists_that_leave_early(spark):
         if b is not None:
             assert got[a].list == got[b].list and (got[a].at < got[b].at or b == got[b].list)
     assert len({r.list for r in got.values()}) == 14
+
+
+def test_short_lists_are_not_carried_on(spark, monkeypatch):
+    """A long list among short circles: the last rounds hold the long one alone."""
+    sizes, put = [], M.Stage.put
+
+    def noted(self, df, name):
+        out = put(self, df, name)
+        if name == "lists":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(M.Stage, "put", noted)
+    links = [(3 * i + k, 3 * i + (k + 1) % 3) for i in range(100) for k in range(3)] + [(1000 + i, 1001 + i if i < 59 else None) for i in range(60)]
+    got = M.list_ranks(spark.createDataFrame(links, "id long, nxt long")).collect()
+    assert len(got) == 360 and len({r.list for r in got}) == 101 and sizes[-1] <= 60
