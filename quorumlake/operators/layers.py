@@ -2,12 +2,12 @@
 
 A layer is a table of directed edges (key, x0, y0, x1, y1) with the shape on the left: outer rings run counter-clockwise, holes
 clockwise. Coordinates are whole numbers (degrees over a quantum) up to 2^24 either way. Then the line an edge lies on is told
-exactly by two doubles, its slope and its offset (``_on_lines``), and everything that concerns common borders is one grouped sum over
+exactly by two whole numbers, its slope and its offset in binary fractions (``_on_lines``), and everything that concerns common borders is one grouped sum over
 the ends of edges on a line and one running sum along it. Neighbours need not share their vertices: a long edge
 facing many short ones is split where they end.
 
-Scale: a shape is never gathered in a task. Sums at equal points are combined before the shuffle; windows run along one line; rings
-and arcs are numbered by pointer jumping (``list_ranks``), a join a round over all lists at once, as many rounds as the
+Scale: a shape is never gathered in a task. Rows are dealt by their lines once, for the sums at equal points and for the windows along a line; what a
+shape's own parts have in common goes before that, without a shuffle where its edges lie in one task. Rings and arcs are numbered by pointer jumping (``list_ranks``), a join a round over all lists at once, as many rounds as the
 logarithm of the longest. Layers must not overlap themselves where that is said; it is checked.
 """
 
@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.operators.spatial import ring_area
+from quorumlake.plans.joins import join_dim
 from quorumlake.plans.staging import Scope, Stage
 
 #: Coordinates up to this are told apart by lines of doubles: slopes differ by 2^-50 at least, offsets by 2^-25.
 REACH = 1 << 24
+#: They are kept as whole numbers of these parts: windows and groups over doubles are dealt anew each time.
+SLOPE, OFFSET = float(1 << 52), float(1 << 28)
 LINE = ["steep", "slope", "offset"]
 
 
@@ -49,7 +52,7 @@ def _on_lines(edges: DataFrame) -> DataFrame:
     cross = F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")
     slope = F.when(steep, F.try_divide(dx, dy)).otherwise(F.try_divide(dy, dx))
     offset = F.when(steep, F.try_divide(cross, dy)).otherwise(F.try_divide(cross, dx))
-    d = edges.where(ok).withColumns({"steep": steep, "slope": slope + 0.0, "offset": offset + 0.0})
+    d = edges.where(ok).withColumns({"steep": steep, "slope": (slope * SLOPE).cast("long"), "offset": (offset * OFFSET).cast("long")})
     at = {f"_{k}{i}": F.when(F.col("steep"), F.col(f"{a}{i}")).otherwise(F.col(f"{b}{i}")) for i in "01" for k, a, b in (("t", "y", "x"), ("o", "x", "y"))}
     d = d.withColumns(at).withColumn("ahead", F.when(F.col("_t0") < F.col("_t1"), 1).otherwise(-1))
     pick = lambda k, i: F.when(F.col("ahead") == 1, F.col(f"_{k}{i}")).otherwise(F.col(f"_{k}{1 - i}"))
@@ -79,7 +82,17 @@ def _checked(c: str, most: int, why: str) -> Column:
 def dissolve(edges: DataFrame, by: list[str]) -> DataFrame:
     """``(by, x0, y0, x1, y1)``: the outline of each group's shapes, which must not overlap. What two of them share cancels, whole or in part; straight
     stretches are one edge. A group without an outline does not occur; null keys are a group."""
-    d = _ends(edges, by).groupBy(*by, *LINE, "t", "o").agg(F.sum(F.col("ahead") * F.col("opens")).alias("level")).where("level <> 0")
+    return _outline(_ends(edges, by).repartition(*by, *LINE), by)
+
+
+def shape_outlines(edges: DataFrame, by: list[str]) -> DataFrame:
+    """``dissolve`` of single shapes, which is not dealt by lines: edges that lie in tasks by their shapes (some of ``by``) are not shuffled at all."""
+    d = edges.select(*by, "x0", "y0", "x1", "y1")
+    return _outline(_ends(d, by), by)
+
+
+def _outline(ends: DataFrame, by: list[str]) -> DataFrame:
+    d = ends.groupBy(*by, *LINE, "t", "o").agg(F.sum(F.col("ahead") * F.col("opens")).alias("level")).where("level <> 0")
     d = _between(d, by, ["level"]).where("level <> 0").where(_checked("level", 1, "shapes of a group overlap"))
     turn = lambda a, b: F.when(F.col("level") > 0, F.col(a)).otherwise(F.col(b))
     return d.select(*by, turn("px", "qx").alias("x0"), turn("py", "qy").alias("y0"), turn("qx", "px").alias("x1"), turn("qy", "py").alias("y1"))
@@ -92,7 +105,8 @@ def border_pieces(edges: DataFrame, key: str = "id") -> DataFrame:
     for side, way in (("left", 1), ("right", -1)):
         mine = F.when(F.col("ahead") == way, F.col("opens")).otherwise(0)
         sides |= {f"n_{side}": F.sum(mine), side: F.sum(F.col(key).cast("long") * mine)}
-    d = _ends(edges.where(F.col(key).isNotNull()), [key]).groupBy(*LINE, "t", "o").agg(*[v.alias(k) for k, v in sides.items()])
+    own = shape_outlines(edges.where(F.col(key).isNotNull()), [key])
+    d = _ends(own, [key]).repartition(*LINE).groupBy(*LINE, "t", "o").agg(*[v.alias(k) for k, v in sides.items()])
     d = d.where(" or ".join(f"`{s}` <> 0" for s in sides))  # where nothing changes on either side a stretch runs on
     d = _between(d, [], list(sides)).where("n_left <> 0 or n_right <> 0")
     d = d.where(_checked("n_left", 1, "shapes overlap")).where(_checked("n_right", 1, "shapes overlap"))
@@ -196,26 +210,33 @@ def areas(edges: DataFrame, by: list[str]) -> DataFrame:
 
 
 def arcs(pieces: DataFrame) -> DataFrame:
-    """``(arc, closed, at, x0, y0, x1, y1, left, right)``: border pieces chained between junctions, where three or more meet. Both
-    shapes refer to the same arc; it runs with the smaller one (none is the smallest) on its left."""
+    """``(arc, closed, at, x0, y0, x1, y1, left, right, alone)``: border pieces chained between junctions, where three or more meet. Both
+    shapes refer to the same arc; it runs with the smaller one (none is the smallest) on its left. ``alone`` tells an arc of one piece."""
     stage = Stage(pieces.sparkSession, "arcs")
     back = F.coalesce(F.col("left") > F.col("right"), F.col("right").isNull())
     turn = lambda a, b: F.when(back, F.col(b)).otherwise(F.col(a))
     p = pieces.select(*[turn(a, b).alias(a) for a, b in (("x0", "x1"), ("y0", "y1"), ("x1", "x0"), ("y1", "y0"), ("left", "right"), ("right", "left"))])
     p = stage.put(p.withColumn("id", F.monotonically_increasing_id()), "pieces")
-    ends = p.select(F.col("x0").alias("x"), F.col("y0").alias("y")).unionByName(p.select(F.col("x1").alias("x"), F.col("y1").alias("y")))
-    passed = ends.groupBy("x", "y").agg(F.count("*").alias("n")).where("n = 2").select("x", "y")
-    goes = p.select(F.col("x0").alias("x"), F.col("y0").alias("y"), F.col("id").alias("nxt")).join(passed, ["x", "y"])
-    links = p.select(F.col("x1").alias("x"), F.col("y1").alias("y"), "id").join(goes, ["x", "y"], "left").select("id", "nxt")
-    return p.join(list_ranks(links), "id").select(F.col("list").alias("arc"), "closed", "at", "x0", "y0", "x1", "y1", "left", "right")
+    end = lambda i: F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y"), F.lit(i == 1).alias("comes"))
+    ends = p.select("id", F.explode(F.array(end(0), end(1))).alias("_e")).select("id", "_e.*")
+    meet = ends.groupBy("x", "y").agg(F.count("*").alias("n"), F.max(F.when(F.col("comes"), F.col("id"))).alias("id"), F.max(F.when(~F.col("comes"), F.col("id"))).alias("nxt"))
+    links = stage.put(meet.where("n = 2 and id is not null and nxt is not null").select("id", "nxt"), "links")
+    last = links.select(F.col("nxt").alias("id")).join(links, "id", "left_anti").withColumn("nxt", F.lit(None).cast("long"))
+    # a piece between two junctions is an arc: only the others are numbered
+    ranks = stage.put(list_ranks(links.unionByName(last)), "ranks")
+    d = join_dim(p, ranks, "id", "left").withColumns({"arc": F.coalesce("list", "id"), "alone": F.col("list").isNull()})
+    return d.select("arc", F.coalesce("closed", F.lit(False)).alias("closed"), F.coalesce("at", F.lit(0).cast("long")).alias("at"), "x0", "y0", "x1", "y1", "left", "right", "alone")
 
 
 def simplify(chained: DataFrame, tolerance: float) -> DataFrame:
     """``arcs`` with fewer points: none that goes was farther than ``tolerance`` from its arc's new line (Douglas-Peucker). An arc's ends stay; of a closed
     one at least the first point and two others do, so no ring vanishes. Each arc is simplified once, so neighbours stay equal along it.
 
-    In rounds over all arcs: the farthest point of each open stretch, by a grouped maximum, splits it or closes it."""
+    Arcs of one piece stay as they are. In rounds over all others: the farthest point of each open stretch, by a grouped maximum, splits it or closes it."""
     stage = Stage(chained.sparkSession, "simplify")
+    cols = ["arc", "at", "x0", "y0", "x1", "y1", "closed", "left", "right"]
+    straight = chained.where("alone").select(cols)
+    chained = stage.put(chained.where("not alone").select(cols), "chained")
     sides = chained.groupBy("arc").agg(F.first("closed").alias("closed"), F.first("left").alias("left"), F.first("right").alias("right"))
     ends = chained.groupBy("arc").agg(F.max_by(F.struct("x1", "y1"), "at").alias("e"), F.max("at").alias("last"))
     ends = ends.select("arc", (F.col("last") + F.lit(1)).alias("at"), F.col("e.x1").alias("x"), F.col("e.y1").alias("y"))
@@ -241,7 +262,8 @@ def simplify(chained: DataFrame, tolerance: float) -> DataFrame:
         stage.drop("open", keep_last=True)
     w = Window.partitionBy("arc").orderBy("at")
     d = kept.select("arc", "at", F.col("x").alias("x0"), F.col("y").alias("y0"), F.lead("x").over(w).alias("x1"), F.lead("y").over(w).alias("y1"))
-    return d.where("x1 is not null and (x0 <> x1 or y0 <> y1)").join(sides, "arc")
+    d = d.where("x1 is not null and (x0 <> x1 or y0 <> y1)").join(sides, "arc")
+    return straight.unionByName(d.select(cols))
 
 
 def sides_of(pieces: DataFrame, key: str = "id") -> DataFrame:

@@ -29,9 +29,12 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADC
     return n <= max_rows and size <= max_bytes
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt over all cores: a small file is few tasks, which matters where each of its rows becomes many."""
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *df.columns)
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt over all cores, by ``by`` or all its columns: a small file is few tasks, which matters where each of its rows becomes many. There are
+    as many tasks at least as the session's shuffles have."""
+    spark = df.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *(by or df.columns))
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -219,3 +219,25 @@ def test_short_lists_are_not_carried_on(spark, monkeypatch):
     links = [(3 * i + k, 3 * i + (k + 1) % 3) for i in range(100) for k in range(3)] + [(1000 + i, 1001 + i if i < 59 else None) for i in range(60)]
     got = M.list_ranks(spark.createDataFrame(links, "id long, nxt long")).collect()
     assert len(got) == 360 and len({r.list for r in got}) == 101 and sizes[-1] <= 60
+
+
+def test_bricks_are_edges_at_once(spark):
+    """Edges made without arrays are those of the boxes; borders of shapes whose edges lie together are dealt once, by their lines."""
+    from quorumlake.plans import map_queries as Q
+    from quorumlake.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    u, v = F.col("u"), F.col("v")
+    d = spark.range(900).select("id", (F.col("id") % 30).alias("u"), F.floor(F.col("id") / 30).alias("v"))
+    boxes = M.edges_of(d.select("id", F.array(Q.box(u, v, u + 2, v + 1)).alias("rings")), ["id"])
+    assert points(d.select("id", F.explode(Q.box_edges(u, v, u + 2, v + 1)).alias("e")).select("id", "e.*"), ["id"]) == points(boxes, ["id"])
+    plan = M.border_pieces(Q.bricks(t))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # orders over cores, ends over lines
+
+
+def test_arcs_of_one_piece_are_not_numbered(spark):
+    """Two squares side by side: their common border is an arc of one piece, the outer borders have three each; without a tolerance all points stay."""
+    p = M.border_pieces(layer(spark, [(1, [box(0, 0, 2, 3)]), (2, [box(2, 0, 4, 3)])]))
+    rows = M.arcs(p).collect()
+    assert {(r.left, r.right): r.alone for r in rows} == {(1, 2): True, (None, 1): False, (None, 2): False} and len({r.arc for r in rows}) == 3
+    assert points(M.simplify(M.arcs(p), 0.0)) == sorted((r.x0, r.y0, r.x1, r.y1) for r in rows)
