@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.operators import layers as M
 from quorumlake.operators.near import containing
-from quorumlake.plans.joins import join_dim
+from quorumlake.plans.joins import join_dim, spread
 from quorumlake.plans.staging import Scope, Stage
 
 FINE = 1024.0
@@ -55,15 +55,29 @@ def _crossings(edges: DataFrame) -> DataFrame:
     return met.select(F.explode(F.array("ee", "fe")).alias("e"), "x", "y").distinct()
 
 
+def _stretches(e: DataFrame) -> DataFrame:
+    """``(line, x0, y0, x1, y1)``: edges that overlap or touch on a line as one, however many shapes they border. A crossing cuts the whole line, so it is
+    looked for once, not for each pair of edges that pass there."""
+    end = lambda i: F.struct(F.col(f"t{i}").alias("t"), F.col(f"o{i}").alias("o"), F.lit(1 - 2 * i).alias("opens"))
+    d = e.select(*M.LINE, F.explode(F.array(end(0), end(1))).alias("_e")).select(*M.LINE, "_e.*")
+    d = d.repartition(*M.LINE).groupBy(*M.LINE, "t", "o").agg(F.sum("opens").alias("opens"))
+    w = Window.partitionBy(*M.LINE).orderBy("t")
+    d = d.withColumn("over", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("over = 0 or over = opens and opens > 0")
+    d = d.withColumns({"t2": F.lead("t").over(w), "o2": F.lead("o").over(w)}).where("over > 0")
+    xy = {"x0": ("o", "t"), "y0": ("t", "o"), "x1": ("o2", "t2"), "y1": ("t2", "o2")}
+    return d.select(*M.LINE, *[F.when(F.col("steep"), F.col(a)).otherwise(F.col(b)).alias(c) for c, (a, b) in xy.items()])
+
+
 def arrangement(edges: DataFrame, key: str = "id") -> DataFrame:
     """``(x0, y0, x1, y1, left, right)``: pieces of all borders, with sorted arrays of the shapes (whole numbers) over either side; pieces with the
     same on both sides go. ``edges`` is a table of directed edges (see ``layers``); shapes may overlap, touch, repeat and lie inside one another."""
     with Scope(edges.sparkSession) as made:
         stage = Stage(edges.sparkSession, "overlay")
         e = M._on_lines(edges.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), "x0", "y0", "x1", "y1"))
-        e = stage.put(e.withColumn("e", F.monotonically_increasing_id()), "edges")
+        e = stage.put(e, "edges")
         steep = F.col("steep")
-        cross = _crossings(e).join(e.select("e", *M.LINE), "e").select(*M.LINE, F.when(steep, F.col("y")).otherwise(F.col("x")).alias("t"), F.when(steep, F.col("x")).otherwise(F.col("y")).alias("o"))
+        whole = stage.put(_stretches(e).withColumn("e", F.monotonically_increasing_id()), "stretches")
+        cross = _crossings(whole).join(whole.select("e", *M.LINE), "e").select(*M.LINE, F.when(steep, F.col("y")).otherwise(F.col("x")).alias("t"), F.when(steep, F.col("x")).otherwise(F.col("y")).alias("o"))
         ends = e.select(*M.LINE, F.explode(F.array(*[F.struct(F.col(f"t{i}").cast("double").alias("t"), F.col(f"o{i}").cast("double").alias("o")) for i in (0, 1)])).alias("_")).select(*M.LINE, "_.*")
         w = Window.partitionBy(*M.LINE).orderBy("t", "o")
         cuts = ends.unionByName(cross).distinct().withColumns({"k": F.row_number().over(w), "t2": F.lead("t").over(w), "o2": F.lead("o").over(w)})
@@ -82,7 +96,7 @@ def arrangement(edges: DataFrame, key: str = "id") -> DataFrame:
         over = stage.put(over, "over")
         made.keep(p, over)
     rest = F.array_except(F.coalesce("over", F.array().cast("array<bigint>")), F.concat("l", "r"))
-    out = p.join(over, "piece", "left").select("x0", "y0", "x1", "y1", F.array_sort(F.concat("l", rest)).alias("left"), F.array_sort(F.concat("r", rest)).alias("right"))
+    out = spread(p, "piece").join(over, "piece", "left").select("x0", "y0", "x1", "y1", F.array_sort(F.concat("l", rest)).alias("left"), F.array_sort(F.concat("r", rest)).alias("right"))
     return out.where("left <> right")
 
 

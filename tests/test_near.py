@@ -99,3 +99,17 @@ def test_points_of_a_cell_go_down_together(spark, monkeypatch):
     for a, b in dots[:-1]:
         d = got[a, b]._d2
         assert abs(d - min((a - x) ** 2 + (b - y) ** 2 for _, x, y in ring)) < 1e-12
+
+
+def test_crossings_are_looked_for_once_a_line(spark):
+    """Forty copies of a square over thirty of another: edges that lie on one line are one stretch, and the sets over each face are whole."""
+    from quorumlake.operators import layers as M
+
+    square = lambda x, y: [{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + 6, y), (x + 6, y + 6), (x, y + 6))]
+    rows = [(i, [square(0, 0)]) for i in range(40)] + [(100 + i, [square(2, 3)]) for i in range(30)]
+    e = M.edges_of(spark.createDataFrame(rows, "id long, rings array<array<struct<x:double,y:double>>>"), ["id"])
+    lines = X._stretches(M._on_lines(e))
+    assert sorted((r.x0, r.y0, r.x1, r.y1) for r in lines.collect()) == sorted([(0, 0, 6, 0), (0, 0, 0, 6), (6, 0, 6, 6), (0, 6, 6, 6), (2, 3, 8, 3), (2, 3, 2, 9), (8, 3, 8, 9), (2, 9, 8, 9)])
+    faces = {tuple(r.face): r.area for r in X.face_areas(X.arrangement(e)).collect()}
+    a, b = tuple(range(40)), tuple(range(100, 130))
+    assert faces == {a: 24.0, b: 24.0, a + b: 12.0}
