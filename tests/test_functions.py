@@ -128,3 +128,25 @@ def test_overlaps_with_a_least_number(spark):
     for least in (1, 2, 4):
         got = {(x.a, x.b): (x.shared, round(x.iou, 9)) for x in S.overlaps(df, "k", "i", least).collect()}
         assert got == {(a, b): (n, round(n / len(sets[a] | sets[b]), 9)) for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) >= least}
+
+
+def test_overlaps_carry_no_sets_with_pairs(spark, monkeypatch):
+    """Pairs are counted where a key's partners lie: what is staged is no larger than the sets. Items of very many keys are counted, too, alone and with others."""
+    import random
+
+    from quorumlake.plans import staging
+
+    tables, put = {}, staging.Stage.put
+    monkeypatch.setattr(staging.Stage, "put", lambda self, df, name: tables.setdefault(name, put(self, df, name)))
+    r = random.Random(7)
+    sets = {k: {r.randrange(40) for _ in range(12)} | {i for i in range(100, 106) if r.random() < 0.5} for k in range(50)}
+    df = spark.createDataFrame([(k, i) for k, s in sets.items() for i in s], "k int, i int")
+    want = lambda least: {(a, b): n for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) >= least}
+    for most in (4096, 20, 5):
+        monkeypatch.setattr(S, "HEAVY", most)
+        tables.clear()
+        assert {(x.a, x.b): x.shared for x in S.overlaps(df, "k", "i", 4).collect()} == want(4)
+        assert "sets" in tables and (most < 4096 or "hot" not in tables)
+    monkeypatch.setattr(S, "HEAVY", 4096)
+    plan = S._counted(df, [])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning(a") + plan.count("Exchange hashpartitioning(i") == 2
