@@ -114,6 +114,28 @@ def border_pieces(edges: DataFrame, key: str = "id") -> DataFrame:
     return d.where("not left <=> right")
 
 
+def equal_shapes(edges: DataFrame, key: str = "id") -> DataFrame:
+    """``(key, first)``: each shape with the smallest one that has the same edges. Shapes are told apart by hashes of their edges; where the edges of those of one
+    hash are not the same, which is checked, each stays by itself. No shape is gathered."""
+    ends = ["x0", "y0", "x1", "y1"]
+    e = edges.groupBy(key, *ends).agg(F.count("*").alias("_m"))
+    mark = lambda salt: F.sum(F.xxhash64(F.lit(salt), *ends, "_m").cast("decimal(38,0)"))
+    s = e.groupBy(key).agg(mark(1).alias("_h"), mark(2).alias("_g"), F.count("*").alias("_n"))
+    s = Stage(edges.sparkSession, "equal").put(s, "marks")
+    first = s.groupBy("_h", "_g", "_n").agg(F.min(key).alias("first"), F.count("*").alias("_of")).where("_of > 1").drop("_of")
+    found = s.join(first, ["_h", "_g", "_n"]).select(key, "first", "_n")
+    found = Stage(edges.sparkSession, "equal").put(found, "found")
+    union = join_dim(e, found, key, "inner").groupBy("first", "_n", *ends, "_m").agg(F.count("*").alias("_k")).groupBy("first", "_n").agg(F.count("*").alias("_all"))
+    good = union.where("_all = _n").select("first")
+    named = join_dim(found.select(key, "first"), good, "first", "left_semi")
+    return join_dim(s.select(key), named, key).select(key, F.coalesce("first", key).alias("first"))
+
+
+def of_first(edges: DataFrame, same: DataFrame, key: str = "id") -> DataFrame:
+    """The edges of one shape of those that are equal."""
+    return join_dim(edges, same.where(F.col(key) == F.col("first")).select(key), key, "left_semi").select(key, "x0", "y0", "x1", "y1")
+
+
 def length() -> Column:
     return F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
 

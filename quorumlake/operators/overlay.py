@@ -70,10 +70,35 @@ def _stretches(e: DataFrame) -> DataFrame:
 
 def arrangement(edges: DataFrame, key: str = "id") -> DataFrame:
     """``(x0, y0, x1, y1, left, right)``: pieces of all borders, with sorted arrays of the shapes (whole numbers) over either side; pieces with the
-    same on both sides go. ``edges`` is a table of directed edges (see ``layers``); shapes may overlap, touch, repeat and lie inside one another."""
+    same on both sides go. ``edges`` is a table of directed edges (see ``layers``); shapes may overlap, touch, repeat and lie inside one another.
+
+    Shapes of equal edges are laid as one (``layers.equal_shapes``); each set that occurs gets all of them at the end, once."""
+    with Scope(edges.sparkSession) as made:
+        stage = Stage(edges.sparkSession, "overlay")
+        edges = stage.put(edges.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), "x0", "y0", "x1", "y1"), "given")
+        same = stage.put(M.equal_shapes(edges, "key"), "equal")
+        p = stage.put(_laid(M.of_first(edges, same, "key")), "laid")
+        sets = stage.put(whole_sets(p.select(F.explode(F.array("left", "right")).alias("set")).distinct(), same), "sets")
+        made.keep(p, sets)
+    for c in ("left", "right"):
+        p = p.join(sets.select(F.col("set").alias(c), F.col("whole").alias(f"_{c}")), c)
+    return p.select("x0", "y0", "x1", "y1", F.col("_left").alias("left"), F.col("_right").alias("right"))
+
+
+def whole_sets(sets: DataFrame, same: DataFrame) -> DataFrame:
+    """``sets`` with ``whole``: the column ``set``, an array of first shapes, with all that equal them (``same``: key, first), in order."""
+    groups = same.groupBy("first").agg(F.collect_list("key").alias("_keys"))
+    d = sets.withColumn("_s", F.monotonically_increasing_id())
+    d = Stage(sets.sparkSession, "sets").put(d, "sets")
+    each = join_dim(d.select("_s", F.explode("set").alias("first")), groups, "first", "inner").groupBy("_s").agg(F.sort_array(F.flatten(F.collect_list("_keys"))).alias("whole"))
+    return d.join(each, "_s", "left").withColumn("whole", F.coalesce("whole", F.array().cast("array<bigint>"))).drop("_s")
+
+
+def _laid(edges: DataFrame) -> DataFrame:
+    """``arrangement`` of shapes (key) none of which equals another."""
     with Scope(edges.sparkSession) as made:
         stage = Stage(edges.sparkSession, "overlay")
-        e = M._on_lines(edges.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), "x0", "y0", "x1", "y1"))
+        e = M._on_lines(edges.select("key", "x0", "y0", "x1", "y1"))
         e = stage.put(e, "edges")
         steep = F.col("steep")
         whole = stage.put(_stretches(e).withColumn("e", F.monotonically_increasing_id()), "stretches")
@@ -111,6 +136,17 @@ def face_areas(pieces: DataFrame) -> DataFrame:
     return half_edges(pieces).groupBy("face").agg((F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2).alias("area"))
 
 
+def faces_of(edges: DataFrame, key: str = "id") -> DataFrame:
+    """``face_areas`` of the arrangement of ``edges``, for which equal shapes are one until its faces are summed up: no piece carries them all."""
+    with Scope(edges.sparkSession) as made:
+        stage = Stage(edges.sparkSession, "faces")
+        edges = stage.put(edges.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), "x0", "y0", "x1", "y1"), "given")
+        same = stage.put(M.equal_shapes(edges, "key"), "equal")
+        faces = stage.put(whole_sets(face_areas(_laid(M.of_first(edges, same, "key"))).withColumnRenamed("face", "set"), same), "faces")
+        made.keep(faces)
+    return faces.select(F.col("whole").alias("face"), "area")
+
+
 def relabelled(pieces: DataFrame, rule) -> DataFrame:
     """The pieces after ``rule``, a function from a column of sets to one of sets; borders between equal sets vanish."""
     return pieces.withColumns({"left": rule(F.col("left")), "right": rule(F.col("right"))}).where("left <> right")
