@@ -152,7 +152,13 @@ def containing(points: DataFrame, edges: DataFrame, id_col: str, key: str, x: st
 
 
 def placed(points: DataFrame, edges: DataFrame, id_col: str, key: str, x: str = "x", y: str = "y") -> DataFrame:
-    """``(id, key, d2)``: the shape that holds a point (the smallest of several; d2 is 0), else the one with the nearest border. Ids are unique."""
+    """``(id, key, d2)``: the shape that holds a point (the smallest of several; d2 is 0), else the one with the nearest border. Ids are unique. Of equal
+    shapes only the smallest, which is the answer, is asked."""
+    from quorumlake.operators.layers import equal_shapes, of_first
+
+    stage = Stage(points.sparkSession, "placed")
+    edges = stage.put(edges.where(F.col(key).isNotNull()).select(key, "x0", "y0", "x1", "y1"), "given")
+    edges = stage.put(of_first(edges, equal_shapes(edges, key), key), "edges")
     inside = containing(points, edges, id_col, key, x, y).groupBy(id_col).agg(F.min(key).alias(key)).withColumn("d2", F.lit(0.0))
     inside = Stage(points.sparkSession, "placed").put(inside, "inside")
     rest = points.join(inside.select(id_col), id_col, "left_anti")

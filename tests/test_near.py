@@ -113,3 +113,25 @@ def test_crossings_are_looked_for_once_a_line(spark):
     faces = {tuple(r.face): r.area for r in X.face_areas(X.arrangement(e)).collect()}
     a, b = tuple(range(40)), tuple(range(100, 130))
     assert faces == {a: 24.0, b: 24.0, a + b: 12.0}
+
+
+def test_equal_shapes_are_laid_once(spark, monkeypatch):
+    """Copies of shapes meet points and other shapes once; each set gets all of them, the smallest holds a point. Shapes that share a hash and differ stay apart."""
+    from quorumlake.operators import layers as M
+
+    shapes = [(i, [box(0, 0, 6, 6)]) for i in range(5, 25)] + [(i, [box(2, 3, 8, 9)]) for i in range(40, 60)] + [(3, [box(2, 3, 8, 10)])]
+    e = layer(spark, shapes)
+    same = {r.id: r.first for r in M.equal_shapes(e).collect()}
+    assert same == {i: 5 if i < 25 else 40 for i in [*range(5, 25), *range(40, 60)]} | {3: 3}
+    laid, real = [], X._laid
+    monkeypatch.setattr(X, "_laid", lambda d: laid.append(d.select("key").distinct().count()) or real(d))
+    a, b = tuple(range(5, 25)), tuple(range(40, 60))
+    want = {a: 24.0, (3, *b): 24.0, (3, *a, *b): 12.0, (3,): 6.0}
+    assert {tuple(r.face): r.area for r in X.faces_of(e).collect()} == want
+    assert {tuple(r.face): r.area for r in X.face_areas(X.arrangement(e)).collect()} == want and laid == [3, 3]
+    asked, held = [], D.containing
+    monkeypatch.setattr(D, "containing", lambda p, d, *how: asked.append(d.select("id").distinct().count()) or held(p, d, *how))
+    p = spark.createDataFrame([(1, 1.0, 1.0), (2, 7.0, 8.0), (3, 7.0, 9.5), (4, -3.0, 1.0)], "pid int, x double, y double")
+    assert {r.pid: (r.id, r.d2) for r in D.placed(p, e, "pid", "id").collect()} == {1: (5, 0), 2: (3, 0), 3: (3, 0), 4: (5, 9)} and asked == [3]
+    monkeypatch.setattr(M.F, "xxhash64", lambda *c: M.F.lit(1))
+    assert all(r.id == r.first for r in M.equal_shapes(e).collect())
