@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlake.functions import similarity as S
-from quorumlake.functions.textnorm import FILLERS
+from quorumlake.functions.textnorm import FILLERS, normalised_title
 from quorumlake.operators.contest import mode_first
 from quorumlake.operators.graph import connected_components
 from quorumlake.operators.ordering import global_rank
 from quorumlake.operators.simjoin import similar_rows
-from quorumlake.plans.joins import join_dim
+from quorumlake.plans.joins import join_dim, spread
 from quorumlake.plans.staging import Scope, Stage
 
 
@@ -28,6 +28,18 @@ def token_frequency(df: DataFrame, id_col: str, tokens: str, unique: bool = True
     return (each if unique else each.distinct()).groupBy("token").agg(F.count("*").alias("df"))
 
 
+def resolved_titles(df: DataFrame, raw: str, vocabulary: list[str], junk: list[str]) -> DataFrame:
+    """``df`` with ``title`` and ``unknown`` of ``normalised_title``: each distinct title is resolved once, dealt over all cores, and rows get theirs by a join. A null
+    title has null ones."""
+    with Scope(df.sparkSession) as made:
+        each = spread(df.select(raw).where(F.col(raw).isNotNull()).distinct(), raw)
+        s = F.explode(F.array(normalised_title(F.col(raw), F.array(*map(F.lit, vocabulary)), junk))).alias("_t")  # made once
+        each = each.select(raw, s).select(raw, F.col("_t.title").alias("title"), F.col("_t.unknown").cast("int").alias("unknown"))
+        each = Stage(df.sparkSession, "titles").put(each, "titles")
+        made.keep(each)
+    return join_dim(df, each, raw)
+
+
 def rare_tokens(df: DataFrame, id_col: str, tokens: str, most: int = 60, longer_than: int = 2, name: str = "rare") -> DataFrame:
     """Adds the array of a record's tokens that at most ``most`` records have."""
     each = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("token")).where(F.length("token") > longer_than)

@@ -89,3 +89,11 @@ def test_surnames(spark):
     got = {(r.p, r.token) for r in L.surname_tokens(d, "p", "core", ["khan"]).collect()}
     assert got == {(1, "ali"), (1, "zardan"), (2, "zardan")}
     assert L.surname_tokens(d, "p", "core", [], most=1).where("token = 'zardan'").count() == 0
+
+
+def test_titles_are_resolved_once(spark):
+    """Rows of one title share its resolution: the plan meets the titles by a join, and rows without a title stay."""
+    rows = [(i, ["Swat-CUM-Xyz Dera-II", "Upper Dir", None][i % 3]) for i in range(300)]
+    d = L.resolved_titles(spark.createDataFrame(rows, "k int, raw string"), "raw", ["dera khan", "swat", "dera", "upper dir"], ["district"])
+    assert {(r.raw, r.title, r.unknown) for r in d.collect()} == {("Swat-CUM-Xyz Dera-II", "Swat-Cum-Dera 2", 1), ("Upper Dir", "Upper Dir", 0), (None, None, None)} and d.count() == 300
+    assert "aggregate(" not in d._jdf.queryExecution().optimizedPlan().toString()
