@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumlake.plans.joins import join_dim
 from quorumlake.plans.staging import Stage
 
 
@@ -90,6 +91,31 @@ def family_graph(edges: DataFrame, persons: DataFrame, resolved: DataFrame | Non
     return nodes.select("family", "id", "name", F.coalesce("wins", F.lit(0)).alias("wins"), F.coalesce("_known", F.lit(False)).alias("known")), e
 
 
+def block_families(a: DataFrame, b: DataFrame, persons: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``family_graph`` of edges that join all of ``a`` (family, block, id) with all of ``b`` (family, block, id, rel) of one block: nodes (family, id, name,
+    wins, known, ties), and the edges. Ties, the edges a node has, are counted from the sizes of the blocks' sides, so that no edge is made for the nodes, whose work grows
+    with the members; the edges are as many as there are pairs, and are made only where they are read. Repeated members count once; one that is on
+    both sides of a block has no tie with itself. Members without an id go. A person is in one block of a family on each side; others are an error."""
+    a, b = (d.select("family", *block, "id", *more).where("id is not null").distinct() for d, more in ((a, []), (b, ["rel"])))
+    once = lambda d: d.select("family", *block, "id").distinct().groupBy("family", "id").agg(F.count("*").alias("_n"))
+    check = once(a).unionByName(once(b)).agg(F.max("_n")).first()[0]
+    if (check or 1) > 1:
+        raise ValueError("a person is in several blocks of a family")
+    key = ["family", *block]
+    sizes = a.groupBy(*key).agg(F.count("*").alias("_a"), F.lit(0).cast("long").alias("_b")).unionByName(b.groupBy(*key).agg(F.lit(0).cast("long").alias("_a"), F.count("*").alias("_b")))
+    sizes = sizes.groupBy(*key).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    side = lambda d, ours: d.select(*key, "id", F.lit(ours).alias("_on_a"), F.lit(1 - ours).alias("_on_b"))
+    m = side(a, 1).unionByName(side(b, 0)).groupBy(*key, "id").agg(F.sum("_on_a").alias("_on_a"), F.sum("_on_b").alias("_on_b"))
+    m = join_dim(m, sizes, key, "inner")
+    # on both sides the tie with itself is left out of either count
+    ties = F.col("_on_a") * F.col("_b") + F.col("_on_b") * F.col("_a") - 2 * F.col("_on_a") * F.col("_on_b")
+    ends = m.groupBy("family", "id").agg(F.sum(ties).alias("ties")).where("ties > 0")
+    nodes = ends.join(persons.select("id", "name", "wins", F.lit(True).alias("_known")), "id", "left")
+    nodes = nodes.select("family", "id", "name", F.coalesce("wins", F.lit(0)).alias("wins"), F.coalesce("_known", F.lit(False)).alias("known"), "ties")
+    edges = a.withColumnRenamed("id", "a").join(b.withColumnRenamed("id", "b"), key).where("a <> b").select("family", "a", "b", "rel")
+    return nodes, edges
+
+
 def component_regions(members: DataFrame, seat: str, unit: str, forced: DataFrame | None = None) -> DataFrame:
     """``(region, seats, units)``: seats that share units, directly or by others, make one region of all their units; ``forced`` (src,
     dst) joins seats besides. region is the smallest seat."""

@@ -1,6 +1,6 @@
 import random
 
-from quorumlake.operators.graph import capped_clique_edges, connected_components
+from quorumlake.operators.graph import block_families, capped_clique_edges, connected_components, family_graph
 from quorumlake.operators.ordering import global_rank
 
 
@@ -39,3 +39,22 @@ def test_global_rank(spark):
     df = spark.range(1000).selectExpr("(id * 37) % 1000 as k")
     got = {r.k: r["rank"] for r in global_rank(df, ["k"], partitions=7).collect()}
     assert got == {k: k + 1 for k in range(1000)}
+
+
+def test_block_families_make_no_edges(spark):
+    """Nodes and ties as by the edges, with repeats, persons on both sides, two relations and members without an id; no plan of nodes meets the two sides."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    a = [("fg"[i % 2], i % 6, i) for i in range(30)] + [("f", 0, 0), ("f", 2, None)]
+    b = [("fg"[i % 2], i % 6, i, r.choice("xy")) for i in range(10, 60)] + [("f", 2, 8, "x"), ("f", 2, 8, "z"), ("g", 7, 777, "x"), ("f", None, 5, "x")]
+    one, other = spark.createDataFrame(a, "family string, k int, id int"), spark.createDataFrame(b, "family string, k int, id int, rel string")
+    persons = spark.createDataFrame([(i, f"n{i}", i % 5) for i in range(0, 60, 2)], "id int, name string, wins int")
+    nodes, edges = block_families(one, other, persons, ["k"])
+    e = one.withColumnRenamed("id", "a").join(other.withColumnRenamed("id", "b"), ["family", "k"])
+    want, kept = family_graph(e, persons)
+    ties = kept.select("family", F.explode(F.array("a", "b")).alias("id")).groupBy("family", "id").agg(F.count("*").alias("ties"))
+    assert sorted(map(tuple, nodes.collect()), key=repr) == sorted(map(tuple, want.join(ties, ["family", "id"]).select(nodes.columns).collect()), key=repr)
+    assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, kept.collect()))
+    many = spark.range(100_000).selectExpr("'f' as family", "1 as k", "cast(id as int) as id", "'x' as rel")
+    assert block_families(many, many, persons, ["k"])[0].agg(F.sum("ties")).first()[0] == 2 * 100_000 * 99_999  # 10^10 edges
