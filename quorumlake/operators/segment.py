@@ -13,15 +13,21 @@ def greedy_segments(texts: DataFrame, vocabulary: DataFrame, id_col: str, words:
     """``(id, pos, n, phrase)``: the segments of each text's array of words that are phrases of ``vocabulary``, of up to ``longest`` words joined by
     a space: from the left, the longest phrase that begins at a word is taken, else the word is passed. A text without any has no row; ids are unique.
 
-    Runs of words meet the vocabulary in a join (sent to the texts if it is measured as small). A match that no earlier one reaches into is
+    Words that begin a phrase are found first, by the phrases' few first words; only runs from these (a null word begins none) are made and meet the vocabulary in a join
+    (either table is sent to the texts if it is measured as small). A match that no earlier one reaches into is
     taken for certain; only where matches overlap does it depend on those before, and there pointers to the next possible match
     are followed by doubling, a join a round over all texts, as many as the logarithm of the longest chain of overlaps."""
     with Scope(texts.sparkSession) as made:
         stage = Stage(texts.sparkSession, "segments")
         n, w = F.size(words), F.col(words)
-        runs = F.transform(w, lambda _, i: F.array(*[F.when(i + k <= n, F.struct(i.alias("pos"), F.lit(k).alias("n"), F.array_join(F.slice(w, i + 1, k), " ").alias("phrase"))) for k in range(1, longest + 1)]))
-        d = texts.where(n > 0).select(id_col, F.explode(F.filter(F.flatten(runs), lambda r: r.isNotNull())).alias("_r")).select(id_col, "_r.*")
         known = vocabulary.select(F.col(phrase).alias("phrase")).where("phrase is not null").distinct()
+        known = stage.put(known, "known")
+        head = lambda c: F.substring_index(c, " ", 1)
+        begins = F.transform(w, lambda x, i: F.struct(i.alias("pos"), head(x).alias("head"), F.slice(w, i + 1, longest).alias("next")))
+        at = texts.where(n > 0).select(id_col, F.explode(begins).alias("_b")).select(id_col, "_b.*")
+        at = join_dim(at, known.select(head("phrase").alias("head")).distinct(), "head", "left_semi")
+        runs = F.array(*[F.when(F.size("next") >= k, F.struct(F.lit(k).alias("n"), F.array_join(F.slice("next", 1, k), " ").alias("phrase"))) for k in range(1, longest + 1)])
+        d = at.select(id_col, "pos", F.explode(F.filter(runs, lambda r: r.isNotNull())).alias("_r")).select(id_col, "pos", "_r.*")
         hits = join_dim(d, known, "phrase", "left_semi").groupBy(id_col, "pos").agg(F.max(F.struct("n", "phrase")).alias("_m")).select(id_col, "pos", "_m.*")
         by = Window.partitionBy(id_col).orderBy("pos")
         reach = F.max(F.col("pos") + F.col("n")).over(by.rowsBetween(Window.unboundedPreceding, -1))

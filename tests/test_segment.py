@@ -26,3 +26,20 @@ def test_against_reading_from_the_left(spark, letters):
     for x in greedy_segments(df, vocabulary, "id").collect():
         got.setdefault(x.id, []).append((x.pos, x.n, x.phrase))
     assert {i: sorted(g) for i, g in got.items()} == {i: b for i, w in texts.items() if (b := brute(w, known))}
+
+
+def test_only_runs_that_may_be_phrases_are_made(spark, monkeypatch):
+    """Words that begin no phrase give no run, whatever follows them; words with spaces and runs at a text's end are found."""
+    from quorumlake.operators import segment
+
+    met, join = [], segment.join_dim
+
+    def noted(fact, dim, on, *how):
+        met.append((on, fact.count()))
+        return join(fact, dim, on, *how)
+
+    monkeypatch.setattr(segment, "join_dim", noted)
+    df = spark.createDataFrame([(1, ["x"] * 500 + ["a", "b", "x", "a b"]), (2, ["b", "a"]), (3, [])], "id int, words array<string>")
+    got = segment.greedy_segments(df, spark.createDataFrame([("a b",), ("a b x a b",), ("a",), (None,)], "phrase string"), "id").collect()
+    assert sorted((r.id, r.pos, r.n, r.phrase) for r in got) == [(1, 500, 4, "a b x a b"), (2, 1, 1, "a")]
+    assert met == [("head", 506), ("phrase", 6)]
