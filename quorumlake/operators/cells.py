@@ -2,7 +2,8 @@
 
 A run is a stretch (y, x0, x1) of a row's cells of one class, both ends included. An image of flat colours has few of them, and everything
 here works on runs: components join runs of neighbouring rows, contours cancel the sides of their rectangles, overlaps join
-runs of two tables. Long runs are cut at every ``TILE`` columns, so a join's key is a row's tile, never a row or an image.
+runs of two tables. Long runs are cut at every ``TILE`` columns, so a join's key is a row's tile, never a row or an image. Components and contours are settled inside
+blocks of ``BAND`` rows and ``TILE`` columns first.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from pyspark.sql import functions as F
 from quorumlake.operators import layers as M
 from quorumlake.operators.graph import connected_components
 from quorumlake.operators.near import with_nearest
+from quorumlake.plans.joins import spread
 from quorumlake.plans.staging import Stage
 
 TILE = 256
+#: Rows of a block: what lies inside one is settled there.
+BAND = 64
 
 
 def images(spark: SparkSession, path) -> DataFrame:
@@ -44,9 +48,10 @@ def hsv(r: Column, g: Column, b: Column) -> dict[str, Column]:
 
 def runs(cells: DataFrame, keys: list[str], kind: str = "label") -> DataFrame:
     """``(keys, kind, y, x0, x1)`` of cells (keys, y, x, kind); cells of a null kind make none. A cell that repeats counts once."""
-    w = Window.partitionBy(*keys, "y", F.floor(F.col("x") / TILE), kind).orderBy("x")
-    d = cells.where(F.col(kind).isNotNull()).select(*keys, "y", "x", kind).distinct().withColumn("_g", F.col("x") - F.row_number().over(w))
-    return d.groupBy(*keys, kind, "y", F.floor(F.col("x") / TILE).alias("_t"), "_g").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("_t", "_g")
+    # a cell that repeats has one rank, so nothing but the window deals the cells; a table that lies by ``y`` stays where it is
+    w = Window.partitionBy(*keys, "y", "_t", kind).orderBy("x")
+    d = cells.where(F.col(kind).isNotNull()).select(*keys, "y", "x", kind, F.floor(F.col("x") / TILE).alias("_t")).withColumn("_g", F.col("x") - F.dense_rank().over(w))
+    return d.groupBy(*keys, kind, "y", "_t", "_g").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("_t", "_g")
 
 
 def tiled(r: DataFrame, reach: int = 0) -> DataFrame:
@@ -137,11 +142,20 @@ def peaks(cells: DataFrame, keys: list[str], axis: str, share: float, apart: int
 
 def outlines(r: DataFrame, by: list[str]) -> DataFrame:
     """Edges (by, x0, y0, x1, y1) around each group's runs, holes included: the contours of a mask, or the polygons of labels (see ``layers`` to chain
-    and simplify them). A cell is a unit square."""
-    box = {"a": ("x0", "y"), "b": ("x1 + 1", "y"), "c": ("x1 + 1", "y + 1"), "d": ("x0", "y + 1")}
-    side = lambda p, q: F.expr(f"struct({box[p][0]} as x0, {box[p][1]} as y0, {box[q][0]} as x1, {box[q][1]} as y1)")
-    e = r.select(*by, F.explode(F.array(*[side(p, q) for p, q in ("ab", "bc", "cd", "da")])).alias("_e")).select(*by, *[F.col(f"_e.{c}").cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")])
-    return M.dissolve(e, by)
+    and simplify them). A cell is a unit square.
+
+    Sides cancel inside blocks of ``BAND`` rows and ``TILE`` columns first, for which the runs are dealt once; only what ends at a block's border goes on, by its lines."""
+    corner = {"a": ("x0", "y"), "b": ("x1 + 1", "y"), "c": ("x1 + 1", "y + 1"), "d": ("x0", "y + 1")}
+    side = lambda p, q: F.expr(f"struct({corner[p][0]} as x0, {corner[p][1]} as y0, {corner[q][0]} as x1, {corner[q][1]} as y1)")
+    cut = tiled(r).select(*by, "y", "tile", F.greatest("x0", F.col("tile") * TILE).alias("x0"), F.least("x1", F.col("tile") * TILE + TILE - 1).alias("x1"))
+    block = [*by, "_band", "tile"]
+    cut = spread(cut.withColumn("_band", F.floor(F.col("y") / BAND)), *block)
+    e = cut.select(*block, F.explode(F.array(*[side(p, q) for p, q in ("ab", "bc", "cd", "da")])).alias("_e")).select(*block, *[F.col(f"_e.{c}").cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    within = lambda c, n, size: (F.least(f"{c}0", f"{c}1") > F.col(n) * size) & (F.greatest(f"{c}0", f"{c}1") < (F.col(n) + 1) * size)
+    e = M.shape_outlines(e, block).withColumn("_inner", within("x", "tile", TILE) & within("y", "_band", BAND))
+    e = Stage(r.sparkSession, "outlines").put(e, "blocks")
+    edges = lambda d: d.select(*by, "x0", "y0", "x1", "y1")
+    return edges(e.where("_inner")).unionByName(M.dissolve(edges(e.where("not _inner")), by))
 
 
 def rasterised(edges: DataFrame, keys: list[str], x0: float = 0.0, y0: float = 0.0, step: float = 1.0) -> DataFrame:

@@ -223,6 +223,11 @@ def ring_sizes(chained: DataFrame, by: list[str]) -> DataFrame:
     return chained.groupBy(*by, "ring").agg(_area(chained).alias("area"), F.sum(length()).alias("length"), F.count("*").alias("edges"))
 
 
+def outline_sizes(edges: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, area, length)`` of whole outlines, holes taken off: the sums of ``ring_sizes``, for which no ring needs to be chained."""
+    return edges.groupBy(*by).agg(_area(edges).alias("area"), F.sum(length()).alias("length"))
+
+
 def areas(edges: DataFrame, by: list[str]) -> DataFrame:
     """``(by, area)``."""
     return edges.groupBy(*by).agg(_area(edges).alias("area"))

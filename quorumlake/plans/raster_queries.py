@@ -24,8 +24,10 @@ part AS (SELECT c.*, l FROM lab JOIN c USING (n) WHERE r = 25)"""
 
 
 def cells(t: Tables) -> DataFrame:
-    d = spread(t.orders.select("o_orderkey", "o_custkey")).select("o_custkey", F.explode(F.expr("sequence(o_orderkey * 8, o_orderkey * 8 + 7)")).alias("n"))
-    return d.select(F.floor(F.col("n") / 400).alias("y"), (F.col("n") % 400).alias("x"), ((F.col("o_custkey") + F.floor(F.col("n") % 8 / 3)) % 3).alias("label"))
+    # an order's eight cells lie in one row of the image; a row's orders are dealt together, so that its runs need no other shuffle
+    d = spread(t.orders.select("o_orderkey", "o_custkey", F.floor(F.col("o_orderkey") / 50).alias("y")), "y")
+    d = d.select("y", "o_custkey", F.explode(F.expr("sequence(o_orderkey * 8, o_orderkey * 8 + 7)")).alias("n"))
+    return d.select("y", (F.col("n") % 400).alias("x"), ((F.col("o_custkey") + F.floor(F.col("n") % 8 / 3)) % 3).alias("label"))
 
 
 @query(f"""WITH RECURSIVE {PARTS}
@@ -41,8 +43,7 @@ e AS (SELECT a.label, COUNT(*) AS n FROM c a JOIN c b ON b.label = a.label AND (
 SELECT label, s.n::DOUBLE AS area, (4 * s.n - 2 * e.n)::DOUBLE AS length FROM s JOIN e USING (label)""")
 def label_polygons(t):
     """Labels as polygons: the area and the length of their outlines."""
-    sizes = M.ring_sizes(M.rings(C.outlines(C.runs(cells(t), []), ["label"]), ["label"]), ["label"])
-    return sizes.groupBy("label").agg(F.sum("area").alias("area"), F.sum("length").alias("length"))
+    return M.outline_sizes(C.outlines(C.runs(cells(t), []), ["label"]), ["label"])
 
 
 @query(f"""WITH {SHAPES.split("ab AS")[0]} g AS (SELECT x.i AS x, y.i AS y, (2 * (x.i + 0.5) - (y.i + 0.5)) / 7 AS u, (3 * (y.i + 0.5) + (x.i + 0.5)) / 7 AS v FROM range(0, 420) x(i), range(-110, 220) y(i)),

@@ -46,6 +46,30 @@ def test_components_across_tiles(spark, monkeypatch, diagonal):
     assert Counter((s.label, s.cells) for s in few) == Counter({x: n for x, n in Counter((k, n) for k, n, *_ in want.elements()).items() if x[1] >= max(3, top[x[0]] / 2)})
 
 
+@pytest.mark.parametrize("kinds", [[None, 0, 1], [0, 0, 0, 1], ["a", "b", "c", None]])
+def test_blocks_change_no_part_and_no_outline(spark, monkeypatch, kinds):
+    """Parts and outlines are the same whether a block holds all cells or few of them; runs that no tile cut are whole; repeated cells count once."""
+    g = grid(11, 60, 30, kinds)
+    rows = [(1, y - 9, x - 21, k) for (x, y), k in g.items()]
+    t = spark.createDataFrame(rows + rows[:50], f"id int, y int, x int, label {'string' if 'a' in kinds else 'int'}")
+    found = []
+    for tile, band in ((256, 64), (7, 4), (5, 1)):
+        monkeypatch.setattr(C, "TILE", 256)
+        r = C.runs(t, ["id"])
+        monkeypatch.setattr(C, "TILE", tile)
+        monkeypatch.setattr(C, "BAND", band)
+        parts = C.sizes(C.components(r, ["id"]), ["id", "label"]).drop("part").collect()
+        found.append((sorted(map(tuple, parts)), sorted(map(tuple, C.outlines(r, ["id", "label"]).collect()))))
+    assert found[0] == found[1] == found[2] and sum(p[2] for p in found[0][0]) == sum(k is not None for k in g.values())
+
+
+def test_little_is_shuffled_of_an_image(spark):
+    """Runs need one shuffle of the cells, none if these lie by rows; what meets beyond blocks is what lies at their borders."""
+    cells = spark.range(400 * 300).selectExpr("id div 400 y", "id % 400 x", "(hash(id) & 255) % 3 label")
+    shuffles = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(C.runs(cells, [])) == 1 and shuffles(C.runs(cells.repartition(4, "y"), [])) == 1
+
+
 def test_contours_scanlines_and_overlaps(spark, monkeypatch):
     """Outlines of a mask drawn as scanlines give the mask again; cells in common as counted; what lies near a core."""
     monkeypatch.setattr(C, "TILE", 5)
