@@ -8,8 +8,11 @@ blocks of ``BAND`` rows and ``TILE`` columns first.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from quorumlake.operators import layers as M
 from quorumlake.operators.graph import connected_components
@@ -59,17 +62,81 @@ def tiled(r: DataFrame, reach: int = 0) -> DataFrame:
     return r.withColumn("tile", F.explode(F.sequence(F.floor((F.col("x0") - reach) / TILE), F.floor((F.col("x1") + reach) / TILE))))
 
 
+def _touching(kind: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of numbers of runs of one kind that touch: below one another, or side by side in a row. ``y`` and ``x`` count from a block's corner."""
+    at = lambda k, row, x: (k * (BAND + 2) + row) * (TILE + 4) + x + 2
+    start, end = at(kind, y, x0), at(kind, y, x1)
+    order = np.argsort(start, kind="stable")
+    start, far = start[order], np.maximum.accumulate(end[order])
+    low = np.searchsorted(far, at(kind, y + 1, x0 - wide), "left")
+    n = np.maximum(np.searchsorted(start, at(kind, y + 1, x1 + wide), "right") - low, 0)
+    a = np.repeat(np.arange(len(y)), n)
+    b = order[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    met = end[b] >= at(kind, y + 1, x0 - wide)[a]
+    beside = np.searchsorted(start, end + 1, "left")
+    got = np.append(start, -1)[beside] == end + 1
+    return np.concatenate([a[met], np.nonzero(got)[0]]), np.concatenate([b[met], order[beside[got]]])
+
+
+def _least_numbers(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` the smallest number that the pairs connect it with."""
+    of = np.arange(n)
+    while True:
+        low, high = np.minimum(of[a], of[b]), np.maximum(of[a], of[b])
+        if (low == high).all():
+            return of
+        np.minimum.at(of, high, low)
+        while (of[of] != of).any():
+            of = of[of]
+
+
+def _in_blocks(r: DataFrame, keys: list[str], kind: str, wide: int) -> DataFrame:
+    """Runs with ``root``, the smallest ``run`` that those of their block of ``BAND`` rows and ``TILE`` columns connect them with: a row for each block that a run lies
+    in, ``home`` the first; ``open`` if one of those lies at the block's border. A block has a bounded number of cells."""
+    named = r.columns
+
+    def run(block: pa.Table) -> pa.Table:
+        t = block.sort_by("run")
+        column = lambda c: t.column(c).to_numpy()
+        code = t.column(kind).combine_chunks().dictionary_encode().indices
+        ok = code.is_valid().to_numpy(zero_copy_only=False) & all(t.column(k).null_count == 0 for k in keys)
+        y, tile, ids = column("y").astype(np.int64), column("tile"), column("run")
+        left = tile * TILE
+        x0, x1 = np.maximum(column("x0") - left, 0), np.minimum(column("x1") - left, TILE - 1)
+        at = np.nonzero(ok)[0]
+        a, b = _touching(code.fill_null(0).to_numpy()[at].astype(np.int64), (y % BAND)[at], x0[at], x1[at], wide)
+        of = _least_numbers(len(ids), at[a], at[b])
+        outer = np.isin(y % BAND, (0, BAND - 1)) | (x0 == 0) | (x1 == TILE - 1)
+        more = {"root": ids[of], "home": np.floor_divide(column("x0"), TILE) == tile, "open": np.isin(of, of[outer])}
+        t = t.select(named)
+        for name, values in more.items():
+            t = t.append_column(name, pa.array(values))
+        return t
+
+    schema = StructType([*r.schema.fields, StructField("root", LongType()), StructField("home", BooleanType()), StructField("open", BooleanType())])
+    return tiled(r).withColumn("_band", F.floor(F.col("y") / BAND)).groupBy(*keys, "_band", "tile").applyInArrow(run, schema)
+
+
 def components(r: DataFrame, keys: list[str], kind: str = "label", diagonal: bool = False) -> DataFrame:
-    """Runs with ``part``, the number of their connected part: runs of one kind that touch, in neighbouring rows or at a tile's seam."""
+    """Runs with ``part``, the number of their connected part: runs of one kind that touch, in neighbouring rows or side by side. Runs are joined inside blocks first, a
+    block a task; joins and rounds over the whole table see only the runs at the blocks' borders."""
     stage = Stage(r.sparkSession, "runs")
-    r = stage.put(r.withColumn("run", F.monotonically_increasing_id()), "runs")
     wide = int(diagonal)
-    low = tiled(r).select(*keys, kind, "y", "tile", "x0", "x1", "run")
-    up = tiled(r, wide).select(*keys, kind, (F.col("y") - 1).alias("y"), "tile", F.col("x0").alias("u0"), F.col("x1").alias("u1"), F.col("run").alias("dst"))
+    r = stage.put(r.withColumn("run", F.monotonically_increasing_id()), "runs")
+    local = stage.put(_in_blocks(r, keys, kind, wide), "blocks")
+    first, last = F.floor(F.col("x0") / TILE), F.floor(F.col("x1") / TILE)
+    border = (F.pmod("y", F.lit(BAND)).isin(0, BAND - 1)) | (first != last) | (F.col("x0") == first * TILE) | (F.col("x1") == last * TILE + TILE - 1)
+    outer = local.where("home").where(border)
+    low = tiled(outer).select(*keys, kind, "y", "tile", "x0", "x1", "run")
+    up = tiled(outer, wide).select(*keys, kind, (F.col("y") - 1).alias("y"), "tile", F.col("x0").alias("u0"), F.col("x1").alias("u1"), F.col("run").alias("dst"))
     met = low.join(up, [*keys, kind, "y", "tile"]).where((F.col("x0") <= F.col("u1") + wide) & (F.col("u0") <= F.col("x1") + wide)).select(F.col("run").alias("src"), "dst")
-    seam = r.select(*keys, kind, "y", (F.col("x1") + 1).alias("x0"), F.col("run").alias("src")).join(r.select(*keys, kind, "y", "x0", F.col("run").alias("dst")), [*keys, kind, "y", "x0"])
-    found = connected_components(met.unionByName(seam.select("src", "dst")))
-    return r.join(found.withColumnRenamed("node", "run"), "run", "left").withColumn("part", F.coalesce("component", "run")).drop("component", "run")
+    seam = outer.select(*keys, kind, "y", (F.col("x1") + 1).alias("x0"), F.col("run").alias("src")).join(outer.select(*keys, kind, "y", "x0", F.col("run").alias("dst")), [*keys, kind, "y", "x0"])
+    own = local.where(border).select(F.col("run").alias("src"), F.col("root").alias("dst"))
+    found = connected_components(met.unionByName(seam.select("src", "dst")).unionByName(own))
+    home, cols = local.where("home"), [c for c in r.columns if c != "run"]
+    done = home.where("not open").select(*cols, F.col("root").alias("part"))
+    rest = home.where("open").join(found.withColumnRenamed("node", "root"), "root", "left")
+    return done.unionByName(rest.select(*cols, F.coalesce("component", "root").alias("part")))
 
 
 def sizes(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,9 +151,10 @@ def sizes(parts: DataFrame, keys: list[str]) -> DataFrame:
 def large(parts: DataFrame, keys: list[str], least: int = 1, share: float = 0.0, kind: str | None = None) -> DataFrame:
     """Parts of at least ``least`` cells and at least ``share`` of the largest one (of their kind, if named)."""
     group = [*keys, *([kind] if kind else [])]
-    n = parts.groupBy(*group, "part").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_n"))
-    top = n.groupBy(*group).agg(F.max("_n").alias("_top"))
-    return parts.join(_with(n, top, group).where((F.col("_n") >= least) & (F.col("_n") >= share * F.col("_top"))).select(*group, "part"), [*group, "part"], "left_semi")
+    n = parts.groupBy(*group, "part").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_n")).where(F.col("_n") >= least)
+    if share > 0:
+        n = _with(n, n.groupBy(*group).agg(F.max("_n").alias("_top")), group).where(F.col("_n") >= share * F.col("_top"))
+    return parts.join(n.select(*group, "part"), [*group, "part"], "left_semi")
 
 
 def _with(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:

@@ -34,8 +34,8 @@ def cells(t: Tables) -> DataFrame:
 SELECT label, COUNT(*) AS cells, MIN(x) AS x0, MIN(y) AS y0, MAX(x) AS x1, MAX(y) AS y1, round(AVG(x), 6) AS cx, round(AVG(y), 6) AS cy FROM part GROUP BY label, l HAVING COUNT(*) >= 5""")
 def colour_segments(t):
     """Connected parts of one class with at least five cells: their size, box and centre."""
-    parts = C.large(C.components(C.runs(cells(t), []), []), [], 5)
-    return C.sizes(parts, ["label"]).select("label", "cells", "x0", "y0", "x1", "y1", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+    parts = C.components(C.runs(cells(t), []), [])
+    return C.sizes(parts, ["label"]).where("cells >= 5").select("label", "cells", "x0", "y0", "x1", "y1", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
 
 
 @query(f"""WITH {CELLS}, s AS (SELECT label, COUNT(*) AS n FROM c GROUP BY label),

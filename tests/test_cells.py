@@ -63,11 +63,16 @@ def test_blocks_change_no_part_and_no_outline(spark, monkeypatch, kinds):
     assert found[0] == found[1] == found[2] and sum(p[2] for p in found[0][0]) == sum(k is not None for k in g.values())
 
 
-def test_little_is_shuffled_of_an_image(spark):
+def test_little_is_shuffled_of_an_image(spark, monkeypatch):
     """Runs need one shuffle of the cells, none if these lie by rows; what meets beyond blocks is what lies at their borders."""
     cells = spark.range(400 * 300).selectExpr("id div 400 y", "id % 400 x", "(hash(id) & 255) % 3 label")
     shuffles = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert shuffles(C.runs(cells, [])) == 1 and shuffles(C.runs(cells.repartition(4, "y"), [])) == 1
+    seen = []
+    monkeypatch.setattr(C, "connected_components", lambda e, *a: seen.append(e.count()) or G.connected_components(e, *a))
+    r = C.runs(cells, [])
+    C.components(r, []).count()
+    assert seen[0] < r.count() / 3
 
 
 def test_contours_scanlines_and_overlaps(spark, monkeypatch):
