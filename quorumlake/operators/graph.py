@@ -9,16 +9,32 @@ from quorumlake.plans.joins import join_dim
 from quorumlake.plans.staging import Stage
 
 
+#: Edges from which on whole components are taken out of the rounds; below it the jobs for that take longer than they save.
+SETTLE = 1 << 18
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
 
 
+def _settled(stage: Stage, e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (hi, lo) of the stars that nothing else touches, which are whole components, and all others. An end is amiss if it has two smaller neighbours, or smaller
+    and larger ones; a star is open if one of its ends is."""
+    end = lambda c, h, n: e.select(F.col(c).alias("n"), F.lit(h).cast("long").alias("h"), F.lit(n).cast("long").alias("l"))
+    amiss = end("hi", 1, 0).unionByName(end("lo", 0, 1)).groupBy("n").agg(F.sum("h").alias("h"), F.max("l").alias("l")).where("h > 1 or (h = 1 and l = 1)")
+    amiss = stage.put(amiss.select("n", "l"), "amiss")
+    stars = join_dim(e, amiss.select(F.col("n").alias("hi")), "hi", "left_semi").select("lo").unionByName(amiss.where("l = 1").select(F.col("n").alias("lo")))
+    stars = stage.put(stars.distinct(), "open")
+    return stage.put(join_dim(e, stars, "lo", "left_anti").select("hi", "lo"), "settled"), stage.put(join_dim(e, stars, "lo", "left_semi").select("hi", "lo"), "edges")
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for each node that an edge between two nodes touches; component is the smallest node.
 
     Alternating large-star and small-star rounds: each node's neighbours are hooked to its smallest
     neighbour until only stars remain. A round is two map-side combined minima, two joins that
-    adaptive execution may split at hot nodes, and a table staged in the shared folder.
+    adaptive execution may split at hot nodes, and a table staged in the shared folder. Components that are
+    single stars leave a table of over ``SETTLE`` edges before rounds 1, 2, 4, 8 and so on, so only others are carried on.
     Null ends and self-loops are ignored; an empty input gives an empty result.
     """
     spark = edges.sparkSession
@@ -30,8 +46,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         .distinct()
     )
     e = stage.put(e, "edges")
-    before = _signature(e)
-    for _ in range(max_rounds):
+    before, done = _signature(e), []
+    for i in range(max_rounds):
+        if before[0] > SETTLE and i & (i + 1) == 0:
+            whole, e = _settled(stage, e)
+            done.append(whole)
+            stage.drop("edges", keep_last=True)
+            before = _signature(e)
         if not before[0]:
             break
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -47,6 +68,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         before = after
     else:
         raise RuntimeError(f"components did not converge in {max_rounds} rounds")
+    for whole in done:
+        e = e.unionByName(whole)
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )

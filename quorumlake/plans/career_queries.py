@@ -131,7 +131,8 @@ r(n, c) AS (SELECT x, x FROM p UNION SELECT r.n, p.y FROM r JOIN p ON p.x = r.c)
 SELECT n AS node, LEAST(n, MIN(c)) AS component FROM r GROUP BY n""")
 def components(t):
     """Parts of a supplier, by quantity, that were ordered together, directly or through others."""
-    e = t.lineitem.select("l_orderkey", ((F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("int")).alias("id")).distinct()
+    e = t.lineitem.select("l_orderkey", ((F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("int")).alias("id"))
+    e = e.repartition("l_orderkey").distinct()  # an order is few rows: dealt once, its smallest one and its edges need no other shuffle
     return G.connected_components(L.star_edges(e, ["l_orderkey"], "id"))
 
 

@@ -28,6 +28,35 @@ def test_components_long_path_and_empty(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
+def test_settled_stars_leave_the_rounds(spark, monkeypatch):
+    """Single stars are through before the first round, which sees no edge of them; the components of any graph stay the same."""
+    from quorumlake.operators import graph as G
+
+    seen, settled = [], G._settled
+
+    def counted(stage, e):
+        whole, rest = settled(stage, e)
+        seen.append((whole.count(), rest.count()))
+        return whole, rest
+
+    monkeypatch.setattr(G, "_settled", counted)
+    monkeypatch.setattr(G, "SETTLE", 0)
+    stars = [(10 * k, 10 * k + i) for k in range(50) for i in (1, 2, 3)]
+    chain = [(1000, 1001), (1001, 1002), (1003, 1002), (2000, 2005), (2001, 2005)]
+    df = spark.createDataFrame(stars + chain, "src long, dst long")
+    got = groups(connected_components(df).collect())
+    assert seen[0] == (150, 5) and got == sorted([[10 * k + i for i in range(4)] for k in range(50)] + [[1000, 1001, 1002, 1003], [2000, 2001, 2005]])
+    for seed in range(1):
+        r = random.Random(seed)
+        edges = [(r.randrange(300), r.randrange(300)) for _ in range(140)]
+        of = {n: n for e in edges if e[0] != e[1] for n in e}
+        for _ in of:
+            for a, b in edges:
+                if a != b:
+                    of[a] = of[b] = min(of[a], of[b])
+        assert {x.node: x.component for x in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()} == of
+
+
 def test_capped_cliques(spark):
     rows = [("t1", 1), ("t2", 1), ("t2", 2), ("t2", 2)] + [("t8", i) for i in range(8)] + [("t9", i) for i in range(20, 29)]
     got = capped_clique_edges(spark.createDataFrame(rows, "g string, p long"), ["g"], "p")
