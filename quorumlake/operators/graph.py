@@ -149,12 +149,29 @@ def component_regions(members: DataFrame, seat: str, unit: str, forced: DataFram
     return named.groupBy("region").agg(F.array_sort(F.collect_set("s")).alias("seats"), F.array_sort(F.collect_set("u")).alias("units"))
 
 
+def _led_to(stage: Stage, pick: DataFrame) -> DataFrame:
+    """``(part, whole)``: where picks (part, to), one a part, lead in the end. Circles are of two parts that pick each other; the smaller one stays. Four steps a round,
+    then sixteen and so on."""
+    back = pick.select(F.col("to").alias("part"), F.col("part").alias("to"), F.lit(True).alias("_back"))
+    cur = stage.put(pick.join(back, ["part", "to"], "left").where("_back is null or part > to").select("part", "to"), "joined")
+    while True:
+        on, at = cur, "to"
+        for step in ("_1", "_2", "_3"):
+            on = on.join(cur.select(F.col("part").alias(at), F.col("to").alias(step)), at, "left")
+            at = step
+        cur = stage.put(on.select("part", F.coalesce("_3", "_2", "_1", "to").alias("to"), F.col("_3").isNotNull().alias("moved")), "joined")
+        stage.drop("joined", keep_last=True)
+        if cur.where("moved").isEmpty():
+            return cur.select("part", F.col("to").alias("whole"))
+        cur = cur.select("part", "to")
+
+
 def basins(edges: DataFrame, seeds: DataFrame, a: str = "a", b: str = "b", weight: str = "w") -> DataFrame:
     """``(node, label)``: each node's seed (node, label) in the forest of least edges that joins every node to one seed: flooding from the seeds, lowest
     pass first. Edges are undirected; of equal weights the one with the smaller ends comes first. Nodes that no seed reaches have a null label.
 
     In rounds every part without a seed joins along its least edge, and parts that join are one; a part with a seed waits to be joined, so no two seeds
-    meet. A round at least halves the parts without one."""
+    meet. A round at least halves the parts without one. Picks are followed by pointer jumping; a part keeps the name of its seed's."""
     stage = Stage(edges.sparkSession, "basins")
     e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b"), F.struct(F.col(weight).alias("w"), F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).alias("w"))
     e = stage.put(e, "edges")
@@ -167,11 +184,11 @@ def basins(edges: DataFrame, seeds: DataFrame, a: str = "a", b: str = "b", weigh
         pick = stage.put(pick, "pick")
         if pick.isEmpty():
             break
-        joined = stage.put(connected_components(pick, "part", "to").toDF("part", "whole"), "joined")
+        joined = _led_to(stage, pick)
         now = lambda d, c: d.join(joined.withColumnRenamed("part", c), c, "left").withColumn(c, F.coalesce("whole", c)).drop("whole")  # noqa: B023,E731
-        of, labels = stage.put(now(of, "part"), "of"), stage.put(now(labels, "part"), "labels")
+        of = stage.put(now(of, "part"), "of")
         moved = now(now(e, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "w")
         e = stage.put(moved.groupBy("a", "b").agg(F.min("w").alias("w")), "edges")
-        for name in ("of", "labels", "edges", "joined"):
+        for name in ("of", "edges", "joined"):
             stage.drop(name, keep_last=True)
     return of.join(labels, "part", "left").select("node", "label")

@@ -135,3 +135,12 @@ def test_basins_against_growing_one_by_one(spark):
         own[q] = label
     got = G.basins(spark.createDataFrame(edges, "a int, b int, w int"), spark.createDataFrame(list(seeds.items()), "node int, label string")).collect()
     assert {g.node: g.label for g in got} == {n: own.get(n) for n in {*range(56), 57, 58}}
+
+
+def test_basins_follow_long_chains_of_picks(spark, monkeypatch):
+    """Every node of a long path picks the next one: followed by pointer jumping, not by rounds of components."""
+    monkeypatch.setattr(G, "connected_components", None)
+    edges = [(i, i + 1, i) for i in range(90)] + [(200, 201, 5), (201, 202, 5), (300, 301, 1)]
+    seeds = spark.createDataFrame([(0, "a"), (90, "b"), (202, "c")], "node int, label string")
+    got = {r.node: r.label for r in G.basins(spark.createDataFrame(edges, "a int, b int, w int"), seeds).collect()}
+    assert got == {i: "a" for i in range(90)} | {90: "b", 200: "c", 201: "c", 202: "c", 300: None, 301: None}
