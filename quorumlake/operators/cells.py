@@ -240,8 +240,8 @@ def rasterised(edges: DataFrame, keys: list[str], x0: float = 0.0, y0: float = 0
     return d.select(*keys, "y", at("_x").alias("x0"), (at("_to") - 1).alias("x1")).where("x0 <= x1")
 
 
-def nearest_class(cells: DataFrame, seeds: DataFrame, label: str = "label", within: list[str] = ()) -> DataFrame:
+def nearest_class(cells: DataFrame, seeds: DataFrame, label: str = "label", within: list[str] = (), how: str = "left") -> DataFrame:
     """``cells`` (x, y, within) with the label of the nearest seed (x, y, label, within), in cells; of equally near ones the smallest label. With
-    ``within`` only seeds of the same district compete; a cell whose district has none has a null label."""
+    ``within`` only seeds of the same district compete; a cell whose district has none has a null label, or is left out if ``how`` is inner."""
     items = seeds.select(*within, label, *[F.col(a).alias(f"{a}{i}") for a in "xy" for i in "01"])
-    return with_nearest(cells, items, label, list(within), to="_nearest").drop("_d2").withColumnRenamed("_nearest", label)
+    return with_nearest(cells, items, label, list(within), to="_nearest", how=how).drop("_d2").withColumnRenamed("_nearest", label)

@@ -20,6 +20,10 @@ from quorumlake.plans.staging import Scope, Stage
 LEAF, DEEPEST = 32, 12
 #: Items that the points of a small cell get as an array.
 HELD = 512
+#: Items that lie flat in the row of a small cell, so that its points are settled by compiled arithmetic, not by a function of an array.
+FLAT = 8
+#: Rows, and bytes of their values, of the small cells' table that may be sent to every executor: the points, very many more, then stay where they are.
+SENT_ROWS, SENT_BYTES = 1_000_000, 128 << 20
 
 
 def segment_d2(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -31,11 +35,12 @@ def segment_d2(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Col
     return dx * dx + dy * dy
 
 
-def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame, DataFrame, int, Callable[[str, Column], Column]] | None:
+def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame, DataFrame, int, Callable[[str, Column], Column], bool] | None:
     """Nodes (within, level, cx, cy, box, inner) and items with their leaf (within, level, cx, cy); the deepest level; the cell of a coordinate one
-    level below it."""
+    level below it; whether all items are points."""
     mid = {"_mx": (F.col("x0") + F.col("x1")) / 2, "_my": (F.col("y0") + F.col("y1")) / 2}
-    s = items.withColumns(mid).agg(F.count("*").alias("n"), F.min("_mx").alias("x"), F.min("_my").alias("y"), F.greatest(F.max("_mx") - F.min("_mx"), F.max("_my") - F.min("_my")).alias("side")).first()
+    long = F.max((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))).alias("long")
+    s = items.withColumns(mid).agg(F.count("*").alias("n"), long, F.min("_mx").alias("x"), F.min("_my").alias("y"), F.greatest(F.max("_mx") - F.min("_mx"), F.max("_my") - F.min("_my")).alias("side")).first()
     if not s.n:
         return None
     depth = min(DEEPEST, max(1, math.ceil(math.log(max(1, s.n / LEAF), 16)) + 2))
@@ -50,7 +55,26 @@ def _cells(items: DataFrame, within: list[str], stage: Stage) -> tuple[DataFrame
     ends = nodes.where("not inner").withColumns({"ux": F.floor(F.col("cx") / 4), "uy": F.floor(F.col("cy") / 4)})
     leaves = ends.where("level = 0").select(*key).unionByName(ends.join(up, [*within, "level", "ux", "uy"]).select(*key))
     cell = lambda axis, c: F.floor((c - (s.x if axis == "x" else s.y)) / (s.side or 1.0) * 4.0 ** (depth + 1))
-    return nodes, stage.put(d.join(leaves, key), "items"), depth, cell
+    return nodes, stage.put(d.join(leaves, key), "items"), depth, cell, not s.long
+
+
+def _undominated(met: DataFrame, block: list[str]) -> DataFrame:
+    """Rows of ``met`` (block, its box px0 to py1, point items) without items that another one beats in the whole box. Of two points one is nearer on each side of a line, so
+    an item that is farther at all four corners is farther everywhere; it is held against those nearest to the corners and to the middle."""
+    at = lambda x, y: (x - F.col("x0")) * (x - F.col("x0")) + (y - F.col("y0")) * (y - F.col("y0"))
+    px, py = [F.col("px0"), F.col("px1")], [F.col("py0"), F.col("py1")]
+    corners = [f"_c{i}" for i in range(4)]
+    d = met.withColumns({c: at(px[i // 2], py[i % 2]) for i, c in enumerate(corners)} | {"_cm": at((px[0] + px[1]) / 2, (py[0] + py[1]) / 2)})
+    w = Window.partitionBy(*block)
+    d = d.withColumns({f"_by{c}": F.min_by(F.struct(*corners), F.col(c)).over(w) for c in [*corners, "_cm"]})
+    slack = F.greatest(*corners) * 1e-12  # distances in the box are no larger, and are rounded by less
+    beaten = F.lit(False)
+    for by in [*corners, "_cm"]:
+        less = F.lit(True)
+        for c in corners:
+            less = less & (F.col(f"_by{by}")[c] + slack < F.col(c))
+        beaten = beaten | less
+    return d.where(~beaten).select(*met.columns)
 
 
 def nearest_of(points: DataFrame, items: DataFrame, id_col: str, label: str, within: list[str] = (), x: str = "x", y: str = "y") -> DataFrame:
@@ -62,12 +86,13 @@ def nearest_of(points: DataFrame, items: DataFrame, id_col: str, label: str, wit
     return found.where("_d2 is not null").select(F.col("_id").alias(id_col), F.col("_label").alias(label), F.col("_d2").alias("d2"))
 
 
-def with_nearest(points: DataFrame, items: DataFrame, label: str, within: list[str] = (), x: str = "x", y: str = "y", to: str = "nearest") -> DataFrame:
-    """``points``, each row once, with ``to``, the nearest item's label as in ``nearest_of``, and ``_d2``; both null where there is none.
+def with_nearest(points: DataFrame, items: DataFrame, label: str, within: list[str] = (), x: str = "x", y: str = "y", to: str = "nearest", how: str = "left") -> DataFrame:
+    """``points``, each row once, with ``to``, the nearest item's label as in ``nearest_of``, and ``_d2``; both null where there is none. With ``how``
+    inner those points are left out; a filter on the result would be pushed below the distances, which would be computed over again for it.
 
     Points of a small cell go down the tree together, by their box: of the few cells left at the end those items are kept that may be nearest to a place
-    in the box. These go to the points as one array, so a point is shuffled once at most and no pair of point and item is ever a row. Cells
-    with over ``HELD`` such items (places around a ring of them) give pairs instead."""
+    in the box. These go to the points in one row, up to ``FLAT`` of them as columns of their own if all items are points, more as an array, so a point is shuffled once
+    at most and no pair of point and item is ever a row. Cells with over ``HELD`` such items (places around a ring of them) give pairs instead."""
     within = list(within)
     with Scope(points.sparkSession) as made:
         stage = Stage(points.sparkSession, "near")
@@ -76,8 +101,9 @@ def with_nearest(points: DataFrame, items: DataFrame, label: str, within: list[s
         items = stage.put(items.groupBy(*within, *ends).agg(F.min(label).alias(label)), "things")
         tree = _cells(items, within, stage)
         if tree is None:
+            points = points if how == "left" else points.limit(0)
             return points.withColumns({to: F.lit(None).cast(items.schema[label].dataType), "_d2": F.lit(None).cast("double")})
-        nodes, held, depth, cell = tree
+        nodes, held, depth, cell, dots = tree
         px, py = F.col(x).cast("double"), F.col(y).cast("double")
         p = points.withColumns({"_bx": cell("x", px), "_by": cell("y", py)})
         block = [*within, "_bx", "_by"]
@@ -104,24 +130,44 @@ def with_nearest(points: DataFrame, items: DataFrame, label: str, within: list[s
             front = stage.put(close(down.select(*cols).unionByName(done.select(*cols))).select(*of, *node, "inner"), "front")
             stage.drop("front", keep_last=True)
         box = {f"b{c}{i}": f(f"{c}0", f"{c}1") for c in "xy" for i, f in ((0, F.least), (1, F.greatest))}
-        met = close(front.join(held, [*within, *node]).withColumns(box)).select(*block, F.struct(*ends, F.col(label).alias("label")).alias("_i"))
+        met = close(front.join(held, [*within, *node]).withColumns(box))
+        if dots:
+            met = _undominated(met, block)
+        met = met.select(*block, F.struct(*(ends[:2] if dots else ends), F.col(label).alias("label")).alias("_i"), F.count("*").over(Window.partitionBy(*block)).alias("_n"))
         met = stage.put(met, "met")
-        n = stage.put(met.groupBy(*block).agg(F.count("*").alias("_n")), "counts")
-        wide = stage.put(n.where(F.col("_n") > HELD).select(*block), "wide")
+        wide = stage.put(met.where(F.col("_n") > HELD).select(*block).distinct(), "wide")
         crowded = not wide.isEmpty()
-        few = met.join(wide, block, "left_anti") if crowded else met
-        few = stage.put(few.groupBy(*block).agg(F.collect_list("_i").alias("_near")), "few")
+        few = met.where(F.col("_n") <= HELD).groupBy(*block).agg(F.collect_list("_i").alias("_near"))
+        flat = range(FLAT if dots else 0)
+        if dots:
+            parts = [F.get("_near", F.lit(i))[c].alias(f"_{c}{i}") for i in flat for c in ("x0", "y0", "label")]
+            few = few.select(*block, F.when(F.size("_near") > FLAT, F.col("_near")).alias("_near"), *parts)
+        few = stage.put(few, "few")
         made.keep(few, met, wide)
-    best = lambda i: F.struct(segment_d2(px, py, i["x0"], i["y0"], i["x1"], i["y1"]).alias("d2"), i["label"].alias("label"))
-    narrow = join_dim(p.join(F.broadcast(wide) if small(wide) else wide, block, "left_anti") if crowded else p, few.hint("shuffle_hash"), block, "left")
-    out = narrow.withColumn("_b", F.array_min(F.transform("_near", best))).select(*points.columns, F.col("_b.label").alias(to), F.col("_b.d2").alias("_d2"))
+        arrays = not few.where("_near is not null").isEmpty()
+        if not arrays:
+            few = few.drop("_near")
+    dot = lambda u, v, x0, y0: (u - x0) * (u - x0) + (v - y0) * (v - y0)
+    to_item = lambda u, v, i: dot(u, v, i["x0"], i["y0"]) if dots else segment_d2(u, v, i["x0"], i["y0"], i["x1"], i["y1"])
+    best = lambda u, v, i: F.struct(to_item(u, v, i).alias("d2"), i["label"].isNull().alias("none"), i["label"].alias("label"))
+    narrow = p.join(F.broadcast(wide) if small(wide) else wide, block, "left_anti") if crowded else p
+    narrow = narrow.join(F.broadcast(few) if small(few, SENT_ROWS, SENT_BYTES) else few.hint("shuffle_hash"), block, how)
+    d2, least = None, None
+    if dots:
+        # the least distance first, then the least label at it: both compile, which a minimum over an array does not
+        narrow = narrow.withColumns({f"_d{i}": dot(px, py, F.col(f"_x0{i}"), F.col(f"_y0{i}")) for i in flat})
+        narrow = narrow.withColumn("_least", F.least(*[f"_d{i}" for i in flat]))
+        d2, least = F.col("_least"), F.least(*[F.when(F.col(f"_d{i}") == F.col("_least"), F.col(f"_label{i}")) for i in flat])
+    if arrays:
+        narrow = narrow.withColumn("_b", F.array_min(F.transform("_near", lambda i: best(px, py, i))))
+        d2, least = (F.when(F.col("_near").isNotNull(), F.col(f"_b.{c}")).otherwise(v) if dots else F.col(f"_b.{c}") for c, v in (("d2", d2), ("label", least)))
+    out = narrow.select(*points.columns, least.alias(to), d2.alias("_d2"))
     if crowded:
         with Scope(points.sparkSession) as made:
             rows = Stage(points.sparkSession, "near").put(p.join(wide, block, "left_semi").withColumn("_pid", F.monotonically_increasing_id()), "rows")
             made.keep(rows)
         pairs = rows.select("_pid", *block, F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py")).join(met, block)
-        d = F.struct(segment_d2(F.col("_px"), F.col("_py"), *[F.col(f"_i.{c}") for c in ends]).alias("d2"), F.col("_i.label").alias("label"))
-        got = pairs.groupBy("_pid").agg(F.min(d).alias("_b"))
+        got = pairs.groupBy("_pid").agg(F.min(best(F.col("_px"), F.col("_py"), F.col("_i"))).alias("_b"))
         out = out.unionByName(rows.join(got, "_pid").select(*points.columns, F.col("_b.label").alias(to), F.col("_b.d2").alias("_d2")))
     return out
 

@@ -60,10 +60,11 @@ SELECT x, y, seed FROM (SELECT x, y, seed, ROW_NUMBER() OVER (PARTITION BY n ORD
 def nearest_class_fill(t):
     """Each cell's nearest seed of its own district."""
     c = cells(t)
-    high = F.lit(c.agg(F.max("y")).first()[0] + 1)
+    top = t.orders.agg(F.max(F.floor(F.col("o_orderkey") / 50))).first()[0]  # the last row of the image, read off the orders
+    high = F.lit(0 if top is None else top) + 1
     k = F.col("s_suppkey")
     seeds = t.supplier.select(k.alias("seed"), (k * 37 % 400).alias("x"), (k * 11 % high).alias("y"), (k % 3).alias("label"))
-    return C.nearest_class(c, seeds, "seed", ["label"]).where("seed is not null").select("x", "y", "seed")
+    return C.nearest_class(c, seeds, "seed", ["label"], "inner").select("x", "y", "seed")
 
 
 @query("""WITH RECURSIVE h AS (SELECT c_custkey AS n, c_nationkey AS g, (ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) AS r, c_acctbal AS h FROM customer),

@@ -135,3 +135,55 @@ def test_equal_shapes_are_laid_once(spark, monkeypatch):
     assert {r.pid: (r.id, r.d2) for r in D.placed(p, e, "pid", "id").collect()} == {1: (5, 0), 2: (3, 0), 3: (3, 0), 4: (5, 9)} and asked == [3]
     monkeypatch.setattr(M.F, "xxhash64", lambda *c: M.F.lit(1))
     assert all(r.id == r.first for r in M.equal_shapes(e).collect())
+
+
+@pytest.mark.parametrize("flat, held", [(8, 512), (2, 512), (2, 3)])
+def test_points_meet_few_items_in_compiled_code(spark, monkeypatch, flat, held):
+    """Of the items of a small cell those that another one beats in all of it go; the rest lie flat beside the points, as an array or in pairs: the same rows, ties included."""
+    from quorumlake.plans import staging
+
+    sizes, put = {}, staging.Stage.put
+
+    def noted(self, df, name):
+        out = put(self, df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(staging.Stage, "put", noted)
+    monkeypatch.setattr(D, "FLAT", flat)
+    monkeypatch.setattr(D, "HELD", held)
+    r = random.Random(flat + held)
+    seeds = [(i, 2 * r.randrange(60), 2 * r.randrange(30), i % 2) for i in range(150)]
+    items = spark.createDataFrame([(i, x, y, x, y, g) for i, x, y, g in seeds], "label int, x0 int, y0 int, x1 int, y1 int, g int")
+    cells = spark.range(7200).selectExpr("id % 120 as x", "id div 120 as y", "cast(id % 3 as int) as g").unionByName(spark.createDataFrame([(None, 1, 0)], "x long, y long, g int"))
+    df = D.with_nearest(cells, items, "label", ["g"])
+    if flat == 8:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "transform(" not in plan and "SortMergeJoin" not in plan
+    got = [((q.x, q.y), (q._d2, q.nearest)) for q in df.collect()]
+    of = {g: [t for t in seeds if t[3] == g] for g in range(3)}
+    best = lambda i: min((((i % 120 - x) ** 2 + (i // 120 - y) ** 2, k) for k, x, y, _ in of[i % 3]), default=(None, None))
+    want = {(i % 120, i // 120): best(i) for i in range(7200)}
+    assert len(got) == 7201 and dict(got) == want | {(None, 1): (None, None)}
+    assert sizes["met"] < 8 * sizes["blocks"]
+    inner = D.with_nearest(cells, items, "label", ["g"], how="inner").collect()
+    assert {(q.x, q.y): (q._d2, q.nearest) for q in inner} == {k: v for k, v in want.items() if v[1] is not None} and len(inner) == 4800
+
+
+def test_least_distances_are_computed_once(spark):
+    """The query's cells meet their seeds without functions of arrays, and no filter computes the distances over again."""
+    from quorumlake.plans.catalog import QUERIES
+
+    plan = QUERIES["nearest_class_fill"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and "Filter isnotnull(least" not in plan
+
+
+def test_no_cells_and_no_seeds(spark, tmp_path):
+    """An image without orders, or without suppliers, has no cells with a seed."""
+    from quorumlake.plans.catalog import QUERIES
+
+    for empty in ("orders", "supplier"):
+        for name in ("orders", "supplier"):
+            d = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+            (d.limit(0) if name == empty else d).write.parquet(f"{tmp_path}/{empty}/{name}.parquet")
+        assert QUERIES["nearest_class_fill"](spark, f"{tmp_path}/{empty}").count() == 0
